@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -63,11 +64,26 @@ def experiments(config: Config = Config()) -> dict[str, Experiment]:
     )}
 
 
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` evened out and kept while a model passes over it again and again.
+
+    Filters leave partitions of very different sizes; the rebalance lets AQE cut them by bytes,
+    so small data is few tasks per iteration and large data is many even ones.
+    """
+    kept = df.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def fit(train: DataFrame, experiment: Experiment, config: Config = Config(),
         params: dict[Param, object] | None = None) -> PipelineModel:
     pipeline = feature_pipeline(experiment.estimator, config, experiment.numeric,
                                 experiment.scale)
-    return pipeline.fit(train, params or {})
+    with held(train) as rows:
+        return pipeline.fit(rows, params or {})
 
 
 def scored(model: PipelineModel, df: DataFrame, kept_rate: float) -> DataFrame:
@@ -120,20 +136,19 @@ def tune(train: DataFrame, experiment: Experiment, config: Config = Config(),
     evaluator = BinaryClassificationEvaluator(labelCol=c.label, metricName=metric,
                                               rawPredictionCol="rawPrediction")
     fold = fold_number(F.col(c.row_id), config.folds, config.seed)
-    sample = fraction_of(train, fraction, config).withColumn("_fold", fold)
-    sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
     start, totals = time.perf_counter(), [0.0] * len(grid)
-    for k in range(config.folds):
-        learn, judge = sample.filter(F.col("_fold") != k), sample.filter(F.col("_fold") == k)
-        prepare = feature_pipeline(None, config, experiment.numeric, experiment.scale).fit(learn)
-        vectors, held_out = [
-            prepare.transform(part).select(FEATURES, c.label)
-            .persist(StorageLevel.MEMORY_AND_DISK) for part in (learn, judge)]
-        for i, model in experiment.estimator.fitMultiple(vectors, grid):
-            totals[i] += evaluator.evaluate(model.transform(held_out))
-        vectors.unpersist()
-        held_out.unpersist()
-    sample.unpersist()
+    with held(fraction_of(train, fraction, config).withColumn("_fold", fold)) as sample:
+        for k in range(config.folds):
+            learn, judge = sample.filter(F.col("_fold") != k), sample.filter(F.col("_fold") == k)
+            prepare = feature_pipeline(None, config, experiment.numeric, experiment.scale) \
+                .fit(learn)
+            vectors, held_out = [
+                prepare.transform(part).select(FEATURES, c.label)
+                .persist(StorageLevel.MEMORY_AND_DISK) for part in (learn, judge)]
+            for i, model in experiment.estimator.fitMultiple(vectors, grid):
+                totals[i] += evaluator.evaluate(model.transform(held_out))
+            vectors.unpersist()
+            held_out.unpersist()
     searched = time.perf_counter()
     scores = [t / config.folds for t in totals]
     best = max(range(len(grid)), key=scores.__getitem__)

@@ -1,4 +1,8 @@
-"""Evaluating a click probability, by distributed aggregation only."""
+"""Evaluating a click probability, by distributed aggregation only.
+
+Everything here depends on a prediction only through its score and its label, so predictions are
+read once, into one row per distinct score; all metrics are aggregates of that table.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,60 +23,78 @@ def constant_prior(train: DataFrame, evaluate: DataFrame, config: Config = Confi
     return evaluate.withColumn(score, p0)
 
 
-def ranked_scores(pred: DataFrame, score: str, config: Config = Config()) -> DataFrame:
-    """One row per distinct score with its counts and the counts from the top down to it.
+def score_counts(pred: DataFrame, score: str = "p_calibrated",
+                 config: Config = Config()) -> DataFrame:
+    """Rows and positives per distinct score: ``s, n, pos``. A missing score is an error."""
+    s = F.coalesce(F.col(score).cast("double"), F.raise_error(F.lit(f"NULL in {score}")))
+    return pred.select(s.alias("s"), F.col(config.columns.label).cast("bigint").alias("y")) \
+        .groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
+
 
-    A running total over all scores would be one task. Scores are first grouped, then summed
-    within slices of the score range, then shifted by the totals of the higher slices.
+def ranked(counts: DataFrame) -> DataFrame:
+    """``counts`` with the counts from the highest score down to each one.
+
+    A running total over all scores would be one task. Scores are summed within slices of the
+    score range, then shifted by the totals of the higher slices.
     """
-    c = config.columns
-    label = F.col(c.label).cast("bigint")
-    grouped = (pred.groupBy(F.col(score).cast("double").alias("s"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"))
-               .withColumn("_slice", F.least(F.greatest(
-                   F.floor(F.col("s") * SCORE_SLICES), F.lit(0)), F.lit(SCORE_SLICES))))
+    sliced = counts.withColumn("_slice", F.least(F.greatest(
+        F.floor(F.col("s") * SCORE_SLICES), F.lit(0)), F.lit(SCORE_SLICES)).cast("int"))
     higher = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (grouped.groupBy("_slice").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    offsets = (sliced.groupBy("_slice").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
                .select("_slice", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("_n0"),
                        F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("_pos0")))
     within = (Window.partitionBy("_slice").orderBy(F.col("s").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = grouped.withColumns({"_n1": F.sum("n").over(within),
-                                  "_pos1": F.sum("pos").over(within)})
-    joined = ranked.join(F.broadcast(offsets), "_slice")  # at most SCORE_SLICES + 1 rows
+    summed = sliced.withColumns({"_n1": F.sum("n").over(within),
+                                 "_pos1": F.sum("pos").over(within)})
+    joined = summed.join(F.broadcast(offsets), "_slice")  # at most SCORE_SLICES + 1 rows
     return joined.select("s", "n", "pos", (F.col("_n0") + F.col("_n1")).alias("n_cum"),
                          (F.col("_pos0") + F.col("_pos1")).alias("pos_cum"))
 
 
-def auc(pred: DataFrame, score: str = "p_calibrated", config: Config = Config()) -> DataFrame:
-    """Exact areas under the ROC and precision-recall curves (trapezoids, ties as one point)."""
+def _area_sums() -> dict[str, Column]:
+    """Sums over ranked scores that give both areas (trapezoids; tied scores are one point).
+
+    The precision-recall curve starts at recall 0 with the precision of the first point.
+    """
     n, pos = F.col("n").cast("double"), F.col("pos").cast("double")
     n_cum, pos_cum = F.col("n_cum").cast("double"), F.col("pos_cum").cast("double")
-    neg, pos_before, n_before = n - pos, pos_cum - pos, n_cum - n
     precision = pos_cum / n_cum
-    precision_before = F.when(n_before > 0, F.try_divide(pos_before, n_before)) \
-        .otherwise(precision)
-    sums = ranked_scores(pred, score, config).agg(
-        F.sum("pos").cast("double").alias("p"), F.sum(neg).alias("q"),
-        F.sum(neg * (pos_before + pos / 2)).alias("roc"),
-        F.sum(pos * (precision + precision_before) / 2).alias("pr"))
-    return sums.select(
-        F.try_divide(F.col("roc"), F.col("p") * F.col("q")).alias("auc_roc"),
-        F.try_divide(F.col("pr"), F.col("p")).alias("auc_pr"))
+    before = F.when(n_cum > n, F.try_divide(pos_cum - pos, n_cum - n)).otherwise(precision)
+    return {"_p": F.sum("pos").cast("double"), "_q": F.sum(n - pos),
+            "_roc": F.sum((n - pos) * (pos_cum - pos / 2)),
+            "_pr": F.sum(pos * (precision + before) / 2)}
+
+
+def _areas() -> dict[str, Column]:
+    return {"auc_roc": F.try_divide(F.col("_roc"), F.col("_p") * F.col("_q")),
+            "auc_pr": F.try_divide(F.col("_pr"), F.col("_p"))}
+
+
+def _aliased(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
+def auc(pred: DataFrame, score: str = "p_calibrated", config: Config = Config()) -> DataFrame:
+    """Exact areas under the ROC and precision-recall curves, one row."""
+    sums = ranked(score_counts(pred, score, config)).agg(*_aliased(_area_sums()))
+    return sums.select(*_aliased(_areas()))
 
 
 def binary_metrics(pred: DataFrame, score: str = "p_calibrated",
                    config: Config = Config()) -> DataFrame:
     """One row: size, observed and predicted rate, log-loss, Brier, AUCs, lift, calibration."""
-    y, p = F.col(config.columns.label).cast("double"), F.col(score)
-    base = pred.agg(
-        F.count(F.lit(1)).alias("n"), F.avg(y).alias("observed"), F.avg(p).alias("predicted"),
-        F.avg(log_loss(y, p)).alias("logloss"),
-        F.avg((p - y) * (p - y)).alias("brier"))
-    areas = auc(pred, score, config).select(F.struct("auc_roc", "auc_pr")).scalar()
-    full = base.withColumn("_auc", areas).withColumns({
-        "auc_roc": F.col("_auc.auc_roc"), "auc_pr": F.col("_auc.auc_pr")})
-    full = full.withColumns({
+    s, pos = F.col("s"), F.col("pos")
+    neg, one, zero = F.col("n") - pos, F.lit(1), F.lit(0)
+    sums = ranked(score_counts(pred, score, config)).agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("_pos"), F.sum(s * F.col("n")).alias("_s"),
+        F.sum(pos * log_loss(one, s) + neg * log_loss(zero, s)).alias("_loss"),
+        F.sum(pos * (1 - s) * (1 - s) + neg * s * s).alias("_square"), *_aliased(_area_sums()))
+    means = sums.withColumns({
+        "observed": ratio(F.col("_pos"), F.col("n")), "predicted": ratio(F.col("_s"), F.col("n")),
+        "logloss": ratio(F.col("_loss"), F.col("n")), "brier": ratio(F.col("_square"), F.col("n")),
+        **_areas()})
+    full = means.withColumns({
         "auc_pr_lift": ratio(F.col("auc_pr"), F.col("observed")),
         "calibration_bias": ratio(F.col("predicted"), F.col("observed"))})
     return full.select("n", *[F.round(m, 6).alias(m) for m in (
@@ -94,29 +116,27 @@ def sampling_effect(full: DataFrame, sampled: DataFrame, score: str = "p_calibra
         F.try_divide(F.col("sampled") - F.col("full"), F.col("full")), 6))
 
 
-def exact_quantiles(pred: DataFrame, score: str, probabilities: list[float],
-                    config: Config = Config()) -> DataFrame:
+def exact_quantiles(counts: DataFrame, probabilities: list[float]) -> DataFrame:
     """One row with one column ``q0, q1, ...`` per probability, linearly interpolated.
 
     Picks the two neighbouring order statistics out of the running counts, so nothing is sorted
     in one place and nothing is approximated.
     """
-    ranked = ranked_scores(pred, score, config)
-    total = pred.agg(F.count(F.lit(1))).scalar()
-    first = F.col("total") - F.col("n_cum")  # rows below this score
+    total = counts.agg(F.sum("n")).scalar()
+    rows = ranked(counts).withColumn("total", total)
+    below = F.col("total") - F.col("n_cum")
 
     def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position < first + F.col("n")), F.col("s")))
+        return F.max(F.when((below <= position) & (position < below + F.col("n")), F.col("s")))
 
-    picks = []
+    picks, values = [], []
     for i, q in enumerate(probabilities):
         place = F.lit(q) * (F.col("total") - 1)
         picks += [at(F.floor(place)).alias(f"lo{i}"), at(F.ceil(place)).alias(f"hi{i}"),
                   F.max(place - F.floor(place)).alias(f"f{i}")]
-    found = ranked.withColumn("total", total).agg(*picks)
-    return found.select(*[
-        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}")).alias(f"q{i}")
-        for i in range(len(probabilities))])
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+        values.append((low + (high - low) * F.col(f"f{i}")).alias(f"q{i}"))
+    return rows.agg(*picks).select(*values)
 
 
 def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 10,
@@ -126,19 +146,18 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
     The bucket of a row is the number of cut points strictly below its score. Cut points are
     exact, or come from ``approxQuantile`` if a relative error is given.
     """
-    label = config.columns.label
+    counts = score_counts(pred, score, config)
     probabilities = [i / buckets for i in range(1, buckets)]
     if relative_error is None:
         names = [f"q{i}" for i in range(len(probabilities))]
-        cut = exact_quantiles(pred, score, probabilities, config) \
-            .select(F.struct(*names)).scalar()
+        cut = exact_quantiles(counts, probabilities).select(F.struct(*names)).scalar()
         cuts = [cut[name] for name in names]
     else:
         cuts = [F.lit(v) for v in pred.approxQuantile(score, probabilities, relative_error)]
-    bucket = sum(((F.col(score) > v).cast("int") for v in cuts), F.lit(0))
-    per_bucket = (pred.select(bucket.alias("bucket"), score, label).groupBy("bucket")
-                  .agg(F.count(F.lit(1)).alias("impressions"), F.sum(label).alias("clicks"),
-                       F.avg(score).alias("mean_score")))
+    bucket = sum(((F.col("s") > v).cast("int") for v in cuts), F.lit(0))
+    per_bucket = counts.withColumn("bucket", bucket).groupBy("bucket").agg(
+        F.sum("n").alias("impressions"), F.sum("pos").alias("clicks"),
+        F.sum(F.col("s") * F.col("n")).alias("_s"))
     everything = Window.partitionBy()  # over at most ``buckets`` rows
     rate = ratio(F.col("clicks"), F.col("impressions"))
     overall = ratio(F.sum("clicks").over(everything), F.sum("impressions").over(everything))
@@ -146,7 +165,7 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
     return per_bucket.select(
         F.concat(F.lit("D"), from_top.cast("string")).alias("decile"),
         "impressions", "clicks", F.round(100 * rate, 6).alias("ctr_pct"),
-        F.round(100 * F.col("mean_score"), 6).alias("mean_score_pct"),
+        F.round(100 * ratio(F.col("_s"), F.col("impressions")), 6).alias("mean_score_pct"),
         F.round(F.try_divide(rate, overall), 6).alias("lift"))
 
 

@@ -1,6 +1,7 @@
 """User-item clicks, popularity and implicit-feedback factorisation."""
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -11,6 +12,8 @@ from lagwise.config import Config
 from lagwise.errors import DataQualityError
 
 INT_MAX = 2_147_483_647
+# Factor blocks grow with the matrix, so a block always fits a task.
+RATINGS_PER_BLOCK = 500_000
 
 
 def interaction_matrix(df: DataFrame, config: Config = Config()) -> DataFrame:
@@ -66,7 +69,9 @@ def fit_als(matrix: DataFrame, config: Config = Config(), iterations: int | None
     """Non-negative implicit ALS on the click matrix, after the id-range gate."""
     c = config.columns
     require_int_ids(matrix, config=config)
-    als = ALS(userCol=c.user, itemCol=c.category, ratingCol="clicks", implicitPrefs=True,
+    blocks = max(1, math.ceil(matrix.count() / RATINGS_PER_BLOCK))
+    als = ALS(numUserBlocks=blocks, numItemBlocks=blocks,
+              userCol=c.user, itemCol=c.category, ratingCol="clicks", implicitPrefs=True,
               nonnegative=True, coldStartStrategy="drop", rank=config.als_rank,
               regParam=config.als_reg, alpha=config.als_alpha, seed=config.seed,
               maxIter=config.als_iterations if iterations is None else iterations)
