@@ -1,6 +1,7 @@
 """Experiments: what is fitted, how it is tuned, and how it is judged."""
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -64,14 +65,20 @@ def experiments(config: Config = Config()) -> dict[str, Experiment]:
     )}
 
 
+# Rows per task while a model iterates: enough that a pass is work and not task start-up, few
+# enough (tens of megabytes) that any number of rows fits.
+ROWS_PER_PARTITION = 100_000
+
+
 @contextmanager
-def held(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` evened out and kept while a model passes over it again and again.
+def held(df: DataFrame, config: Config = Config()) -> Iterator[DataFrame]:
+    """``df`` evened out by row id and kept while a model passes over it again and again.
 
-    Filters leave partitions of very different sizes; the rebalance lets AQE cut them by bytes,
-    so small data is few tasks per iteration and large data is many even ones.
+    Filters leave many partitions of very different sizes, and every one of them is a task in
+    every iteration. The count reads only the columns the filters need.
     """
-    kept = df.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
+    kept = df.repartition(parts, config.columns.row_id).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
@@ -82,7 +89,7 @@ def fit(train: DataFrame, experiment: Experiment, config: Config = Config(),
         params: dict[Param, object] | None = None) -> PipelineModel:
     pipeline = feature_pipeline(experiment.estimator, config, experiment.numeric,
                                 experiment.scale)
-    with held(train) as rows:
+    with held(train, config) as rows:
         return pipeline.fit(rows, params or {})
 
 
@@ -137,7 +144,7 @@ def tune(train: DataFrame, experiment: Experiment, config: Config = Config(),
                                               rawPredictionCol="rawPrediction")
     fold = fold_number(F.col(c.row_id), config.folds, config.seed)
     start, totals = time.perf_counter(), [0.0] * len(grid)
-    with held(fraction_of(train, fraction, config).withColumn("_fold", fold)) as sample:
+    with held(fraction_of(train, fraction, config).withColumn("_fold", fold), config) as sample:
         for k in range(config.folds):
             learn, judge = sample.filter(F.col("_fold") != k), sample.filter(F.col("_fold") == k)
             prepare = feature_pipeline(None, config, experiment.numeric, experiment.scale) \

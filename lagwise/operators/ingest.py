@@ -29,6 +29,19 @@ def with_time_features(df: DataFrame, config: Config = Config()) -> DataFrame:
     )
 
 
+def with_row_id(df: DataFrame, config: Config = Config()) -> DataFrame:
+    """Add a row id made from the content, unless the table brings one.
+
+    Needs no shuffle and is the same in every run. Rows equal in every column share an id, which
+    is harmless: they are interchangeable in any ordering and any sample.
+    """
+    row_id = config.columns.row_id
+    if row_id in df.columns:
+        return df
+    return df.withColumn(row_id, F.xxhash64(*df.columns))
+
+
 def ingest_impressions(typed: DataFrame, config: Config = Config()) -> DataFrame:
-    """A contract-read impression table with the user column renamed and time columns added."""
-    return with_time_features(typed.withColumnRenamed("user", config.columns.user), config)
+    """A contract-read impression table: user column renamed, row id and time columns added."""
+    renamed = typed.withColumnRenamed("user", config.columns.user)
+    return with_time_features(with_row_id(renamed, config), config)
