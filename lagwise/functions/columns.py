@@ -18,7 +18,8 @@ def _epoch() -> Column:
 
 def epoch_seconds(ts_ntz: Column) -> Column:
     """Whole seconds since 1970 of a zone-free timestamp, whatever the session zone is."""
-    return F.timestamp_diff("SECOND", _epoch(), ts_ntz)
+    days = F.unix_date(F.to_date(ts_ntz)).cast("bigint")
+    return days * 86400 + F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60 + F.second(ts_ntz)
 
 
 def utc_timestamp(seconds: Column) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.operators.fatigue import with_user_fatigue
-from lagwise.operators.history import (category_price, entity_features, join_combination,
-                                       price_columns, with_slot_rate)
+from lagwise.operators.history import (category_price, combination_keys, entity_features,
+                                       join_combination, price_columns, with_slot_rate)
+from lagwise.sources.layers import staged
 
 
 def gold_columns(config: Config = Config()) -> list[str]:
@@ -21,18 +22,18 @@ def gold_features(silver: DataFrame, config: Config = Config(), origin: int | No
                   lag_days: int = 0) -> DataFrame:
     """All features of the silver table, one row per impression.
 
-    The wide table moves twice: once to meet the per-combination features (entity histories,
-    prior and category price, joined among themselves beforehand), once for the user windows.
+    The wide table is shuffled once for the user windows. It meets the per-combination features
+    (entity histories, prior and category price, joined among themselves beforehand) and the
+    slot rates in one join each; both are staged, so each is broadcast if its real size allows.
     """
-    c = config.columns
-    keys = list(dict.fromkeys([*config.entities, c.day]))
-    combos = entity_features(silver, config)
-    if c.category in keys:
-        combos = combos.join(category_price(silver, config), c.category, "left")
-        rows = join_combination(silver, combos, keys)
+    category = config.columns.category
+    features, prices = entity_features(silver, config), category_price(silver, config)
+    if category in config.entities:
+        features = features.join(prices, category, "left")
+        rows = silver
     else:
-        rows = join_combination(silver, combos, keys).join(
-            category_price(silver, config), c.category, "left")
+        rows = silver.join(staged(prices, "category-price"), category, "left")
+    rows = join_combination(rows, staged(features, "entity-features"), combination_keys(config))
     rows = with_slot_rate(rows, history_of=silver, origin=origin, config=config)
     rows = with_user_fatigue(rows, config, lag_days).withColumns(price_columns(config))
     return rows.withColumn("hour", F.col("hour").cast("int")).select(*gold_columns(config))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.functions.columns import ratio, smoothed_rate
+from lagwise.sources.layers import staged
 
 
 def _strictly_before(window):
@@ -62,14 +63,28 @@ def _rate_columns(entity: str, imp: Column, clk: Column, p0: Column,
             f"log_imp_hist_{entity}": F.log1p(imp.cast("double"))}
 
 
-def _history_joined(rows: DataFrame, daily: DataFrame, prior: DataFrame, config: Config):
-    """``rows`` with imp_prev_*, clk_prev_* of each entity and p0 of the day."""
+def _history_features(rows: DataFrame, totals_of: DataFrame, config: Config,
+                      counts: bool) -> DataFrame:
+    """``rows`` with ``p0`` and the features of every entity, from the totals of ``totals_of``.
+
+    ``totals_of`` holds impressions and clicks at a grain that includes the entities and the day.
+    """
     day = config.columns.day
+    features: dict[str, Column] = {}
     for e in config.entities:
-        h = entity_history(daily, e, config).withColumnsRenamed(
+        h = entity_history(totals_of, e, config).withColumnsRenamed(
             {"imp_prev": f"imp_prev_{e}", "clk_prev": f"clk_prev_{e}"})
         rows = rows.join(h, [e, day], "left")
-    return rows.join(F.broadcast(prior), day, "left")  # one row per calendar day
+        features |= _rate_columns(e, F.col(f"imp_prev_{e}"), F.col(f"clk_prev_{e}"),
+                                  F.col("p0"), config)
+    prior = deferred_prior(totals_of, config)
+    rows = rows.join(F.broadcast(prior), day, "left")  # one row per calendar day
+    raw = [] if counts else [f"{k}_prev_{e}" for e in config.entities for k in ("imp", "clk")]
+    return rows.withColumns(features).drop(*raw)
+
+
+def combination_keys(config: Config = Config()) -> list[str]:
+    return list(dict.fromkeys([*config.entities, config.columns.day]))
 
 
 def entity_features(df: DataFrame, config: Config = Config(),
@@ -77,18 +92,10 @@ def entity_features(df: DataFrame, config: Config = Config(),
     """Rate and volume features for every combination of entities and day seen in ``df``.
 
     The histories meet here, on the aggregated combinations, and not on the impressions: the
-    wide table is joined (and shuffled) once for all entities. ``counts`` keeps the raw sums.
+    wide table is joined once for all entities. ``counts`` keeps the raw sums.
     """
-    c = config.columns
-    keys = list(dict.fromkeys([*config.entities, c.day]))
-    combos = daily_totals(df, keys, config)
-    joined = _history_joined(combos, combos, deferred_prior(combos, config), config)
-    features: dict[str, Column] = {}
-    for e in config.entities:
-        features |= _rate_columns(e, F.col(f"imp_prev_{e}"), F.col(f"clk_prev_{e}"),
-                                  F.col("p0"), config)
-    extra = [f"{k}_prev_{e}" for e in config.entities for k in ("imp", "clk")] if counts else []
-    return joined.select(*keys, "p0", *extra, *[v.alias(k) for k, v in features.items()])
+    combos = daily_totals(df, combination_keys(config), config)
+    return _history_features(combos, combos, config, counts).drop("imp", "clk")
 
 
 def join_combination(df: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -98,11 +105,21 @@ def join_combination(df: DataFrame, features: DataFrame, keys: Sequence[str]) ->
     return df.join(renamed, on, "left").drop(*[f"_{k}" for k in keys])
 
 
-def with_entity_history(df: DataFrame, config: Config = Config(),
-                        counts: bool = False) -> DataFrame:
-    """Every impression with the leak-free history features of all its entities, and ``p0``."""
-    keys = list(dict.fromkeys([*config.entities, config.columns.day]))
-    return join_combination(df, entity_features(df, config, counts), keys)
+def with_entity_history(df: DataFrame, config: Config = Config(), counts: bool = False,
+                        combined: bool = True) -> DataFrame:
+    """Every impression with the leak-free history features of all its entities, and ``p0``.
+
+    ``combined`` joins the impressions once, with the features of each entity combination; the
+    table of combinations is staged, so its real size decides whether it is broadcast. If nearly
+    every impression is a combination of its own, that table saves nothing: then join each
+    entity's history directly.
+    """
+    if combined:
+        features = staged(entity_features(df, config, counts), "entity-features")
+        return join_combination(df, features, combination_keys(config))
+    label = config.columns.label
+    units = df.select(*combination_keys(config), F.lit(1).alias("imp"), F.col(label).alias("clk"))
+    return _history_features(df, units, config, counts)
 
 
 def deferred_entity_ctr(df: DataFrame, config: Config = Config()) -> DataFrame:
@@ -145,9 +162,13 @@ def slot_hour_rates(df: DataFrame, origin: int | None = None,
 
 def with_slot_rate(df: DataFrame, history_of: DataFrame | None = None, origin: int | None = None,
                    config: Config = Config()) -> DataFrame:
-    """Add ``hour_idx`` and ``ctr_6h``; hours without history take ``p0``, which ``df`` carries."""
+    """Add ``hour_idx`` and ``ctr_6h``; hours without history take ``p0``, which ``df`` carries.
+
+    The rates (slots x hours) are staged: they are broadcast if that is really small, and joined
+    by a skew-aware shuffle if there are very many slots.
+    """
     source = df if history_of is None else history_of
-    rates = slot_hour_rates(source, origin, config)
+    rates = staged(slot_hour_rates(source, origin, config), "slot-hours")
     joined = (df.withColumn("hour_idx", hour_index(source, origin, config))
               .join(rates, [config.columns.slot, "hour_idx"], "left"))
     return joined.withColumn("ctr_6h", F.coalesce("ctr_6h", "p0"))
@@ -170,5 +191,6 @@ def price_columns(config: Config = Config()) -> dict[str, Column]:
 
 
 def with_price_relative(df: DataFrame, config: Config = Config()) -> DataFrame:
-    joined = df.join(category_price(df, config), config.columns.category, "left")
+    prices = staged(category_price(df, config), "category-price")
+    joined = df.join(prices, config.columns.category, "left")
     return joined.withColumns(price_columns(config)).drop("category_price")

@@ -259,7 +259,7 @@ def entity_history_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deferred_entity_ctr_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line with the leak-free rate of its part, supplier and customer."""
     config = standins.VOLUME_CONFIG
-    wide = history.with_entity_history(standins.volume(spark, sf_dir), config)
+    wide = history.with_entity_history(standins.volume(spark, sf_dir), config, combined=False)
     return _rounded(wide.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "o_custkey",
         *[f"ctr_hist_{e}" for e in config.entities]),

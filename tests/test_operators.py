@@ -98,7 +98,9 @@ def test_fractions_are_nested_and_layout_free(spark):
 def test_time_features_do_not_depend_on_the_session_zone(spark):
     df = spark.createDataFrame([(1_494_000_000,), (1_494_086_399,)], "time_stamp bigint")
     def rows():
-        return [tuple(r) for r in with_time_features(df).orderBy("time_stamp").collect()]
+        full = with_time_features(df).withColumn("back", fn.epoch_seconds(F.col("ts_utc_s")))
+        assert full.filter("back <> time_stamp").count() == 0
+        return [tuple(r) for r in full.orderBy("time_stamp").collect()]
     zone = spark.conf.get("spark.sql.session.timeZone")
     before = rows()
     try:
@@ -264,7 +266,7 @@ def test_user_order_equals_a_plain_window_on_any_layout(spark, sf_dir):
     w = Window.partitionBy("userid").orderBy("time_stamp", "adgroup_id", "pid", "event_id")
     plain = imp.select("event_id", F.row_number().over(w).cast("bigint"),
                        F.col("time_stamp") - F.lag("time_stamp").over(w),
-                       F.coalesce(F.sum("clk").over(w.rowsBetween(w.unboundedPreceding, -1)),
+                       F.coalesce(F.sum("clk").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                   F.lit(0)))
     expected = {tuple(r) for r in plain.collect()}
     parts = spark.conf.get("spark.sql.shuffle.partitions")
@@ -296,6 +298,8 @@ def test_history_is_strictly_earlier_days(spark):
     config = Config(entities=("e",))
     out = {r["event_id"]: r for r in
            history.with_entity_history(df, config, counts=True).collect()}
+    direct = history.with_entity_history(df, config, counts=True, combined=False)
+    assert {r["event_id"]: r for r in direct.select(*out[0].asDict()).collect()} == out
     assert len(out) == 5
     assert out[0]["p0"] is None and out[0]["ctr_hist_e"] is None
     assert out[2]["p0"] == 0.5 and (out[2]["imp_prev_e"], out[2]["clk_prev_e"]) == (2, 1)
