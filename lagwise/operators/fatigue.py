@@ -8,26 +8,32 @@ from lagwise.config import Config
 from lagwise.functions.columns import gap_bucket, smoothed_rate
 
 
-def _user_slice(config: Config):
-    """(user, slice of time) as one non-NULL key.
+_KEYS = ["_hash", "_key"]
+
+
+def _with_slice(df: DataFrame, config: Config) -> DataFrame:
+    """Add the (user, slice of time) key of each row, never NULL, and its hash.
 
     One struct, not two columns: a plan whose input is already spread by user alone must not
-    pass for spread by user and slice.
+    pass for spread by user and slice. The hash comes first because sorting by a number is fast
+    and sorting by a struct is not.
     """
     c = config.columns
-    return F.struct(F.col(c.user).alias("user"),
-                    F.floor(F.col(c.time) / config.user_slice_seconds).alias("slice"))
+    part = F.floor(F.col(c.time) / config.user_slice_seconds)
+    return df.withColumns({
+        "_key": F.struct(F.col(c.user).alias("user"), part.alias("slice")),
+        "_hash": F.xxhash64(c.user, part)})
 
 
-def user_slice_totals(df: DataFrame, config: Config = Config()) -> DataFrame:
+def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
     """Per user and slice: what had happened before the slice began."""
     c = config.columns
-    totals = df.groupBy(_user_slice(config).alias("_key")).agg(
+    totals = sliced.groupBy(*_KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.sum(c.label).alias("k"), F.max(c.time).alias("last"))
     before = (Window.partitionBy("_key.user").orderBy("_key.slice")
               .rowsBetween(Window.unboundedPreceding, -1))
     return totals.select(
-        "_key", F.sum("n").over(before).alias("_n0"), F.sum("k").over(before).alias("_k0"),
+        *_KEYS, F.sum("n").over(before).alias("_n0"), F.sum("k").over(before).alias("_k0"),
         F.max("last").over(before).alias("_last0"))
 
 
@@ -41,22 +47,21 @@ def with_user_order(df: DataFrame, config: Config = Config()) -> DataFrame:
     of slices in the data's time span.
     """
     c = config.columns
-    order = Window.partitionBy("_key").orderBy(c.time, c.ad, c.slot, c.row_id)
+    order = Window.partitionBy(*_KEYS).orderBy(c.time, c.ad, c.slot, c.row_id)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    sliced = (
-        df.withColumn("_key", _user_slice(config))
-        .withColumns({
-            "_n1": F.row_number().over(order),
-            "_k1": F.sum(c.label).over(earlier),
-            "_last1": F.lag(c.time).over(order)}))
-    joined = sliced.join(user_slice_totals(df, config), "_key", "left")
+    sliced = _with_slice(df, config)
+    within = sliced.withColumns({
+        "_n1": F.row_number().over(order),
+        "_k1": F.sum(c.label).over(earlier),
+        "_last1": F.lag(c.time).over(order)})
+    joined = within.join(_earlier_slices(sliced, config), _KEYS, "left")
     zero = F.lit(0)
     return joined.withColumns({
         "order_seen": F.col("_n1") + F.coalesce("_n0", zero),
         "clk_prev": F.coalesce("_k1", zero) + F.coalesce("_k0", zero),
         "gap_sec": F.col(c.time) - F.when(F.col("_n1") == 1, F.col("_last0"))
         .otherwise(F.col("_last1")),
-    }).drop("_key", "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
+    }).drop(*_KEYS, "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
 
 
 def _lagged_totals(df: DataFrame, lag_days: int, config: Config) -> DataFrame:

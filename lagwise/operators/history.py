@@ -92,9 +92,10 @@ def entity_features(df: DataFrame, config: Config = Config(),
     """Rate and volume features for every combination of entities and day seen in ``df``.
 
     The histories meet here, on the aggregated combinations, and not on the impressions: the
-    wide table is joined once for all entities. ``counts`` keeps the raw sums.
+    wide table is joined once for all entities. The combinations are staged, so all histories
+    and the prior come from one pass over the impressions. ``counts`` keeps the raw sums.
     """
-    combos = daily_totals(df, combination_keys(config), config)
+    combos = staged(daily_totals(df, combination_keys(config), config), "combinations")
     return _history_features(combos, combos, config, counts).drop("imp", "clk")
 
 

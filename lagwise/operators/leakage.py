@@ -10,7 +10,9 @@ from lagwise import fixed_values as fv
 from lagwise.config import Config
 from lagwise.functions.columns import (correlation, count_where, ratio, smoothed_rate,
                                        unpivot_rows)
+from lagwise.operators.history import combination_keys
 from lagwise.operators.quality import require_all_ok
+from lagwise.sources.layers import staged
 
 _TOLERANCE = 1e-9
 
@@ -57,14 +59,15 @@ def recomputed_history(gold: DataFrame, config: Config = Config()) -> DataFrame:
     """Compare every stored entity rate with one computed another way.
 
     Here the history is the running total up to and including the day, minus the day itself,
-    on the small entity-day table; a window left open on the current row would show up.
+    on the small entity-day table; a window left open on the current row would show up. The
+    feature table is read once, into a staged table of entity combinations.
     """
     c = config.columns
-    keys = list(dict.fromkeys([*config.entities, c.day]))
-    combos = gold.groupBy(*keys).agg(
+    keys = combination_keys(config)
+    combos = staged(gold.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("imp"), F.sum(c.label).alias("clk"),
         *[f(f"ctr_hist_{e}").alias(f"{f.__name__}_{e}")
-          for e in config.entities for f in (F.min, F.max)])
+          for e in config.entities for f in (F.min, F.max)]), "leak-combinations")
     up_to_day = Window.orderBy(c.day)
     days = combos.groupBy(c.day).agg(F.sum("imp").alias("i"), F.sum("clk").alias("k"))
     prior = days.select(c.day, ratio(F.sum("k").over(up_to_day) - F.col("k"),

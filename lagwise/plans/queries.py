@@ -54,12 +54,13 @@ def _impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layer(spark: SparkSession, sf_dir: str, name: str,
-           build: Callable[[], DataFrame], required: Sequence[str]) -> DataFrame:
+           build: Callable[[], DataFrame], required: Sequence[str],
+           partition_by: str | None = CONFIG.columns.day) -> DataFrame:
     """A layer written once per application and data folder, then read by all who need it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LAYER_PATHS:
         path = layers.fresh_path(spark, name)
-        layers.build_layer(spark, path, required, build, partition_by=CONFIG.columns.day)
+        layers.build_layer(spark, path, required, build, partition_by)
         _LAYER_PATHS[key] = path
     return spark.read.parquet(_LAYER_PATHS[key])
 
@@ -80,6 +81,12 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
                   gold_columns(CONFIG))
 
 
+def volume_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines joined with their orders, once for all that follows."""
+    return _layer(spark, sf_dir, "volume", lambda: standins.volume(spark, sf_dir),
+                  standins.VOLUME_CONFIG.entities, partition_by=None)
+
+
 def _splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return split.temporal_split(gold_layer(spark, sf_dir), CONFIG)
 
@@ -246,7 +253,7 @@ def deferred_entity_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_history_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity-day history of the largest table, for three high-cardinality entities."""
     config = standins.VOLUME_CONFIG
-    lines = standins.volume(spark, sf_dir)
+    lines = volume_layer(spark, sf_dir)
     parts = []
     for e in config.entities:
         h = history.entity_history(history.daily_totals(lines, [e, "d"], config), e, config)
@@ -259,7 +266,7 @@ def entity_history_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deferred_entity_ctr_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line with the leak-free rate of its part, supplier and customer."""
     config = standins.VOLUME_CONFIG
-    wide = history.with_entity_history(standins.volume(spark, sf_dir), config, combined=False)
+    wide = history.with_entity_history(volume_layer(spark, sf_dir), config, combined=False)
     return _rounded(wide.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "o_custkey",
         *[f"ctr_hist_{e}" for e in config.entities]),

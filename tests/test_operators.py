@@ -71,7 +71,7 @@ def test_two_proportion_z(spark):
 
 
 def test_correlation_ignores_nulls_and_survives_constants(spark):
-    df = spark.createDataFrame([(1.0, 1, 5.0), (2.0, 1, 5.0), (3.0, 0, 5.0), (None, 0, 5.0)],
+    df = spark.createDataFrame([(1.0, 1, 0.1), (2.0, 1, 0.1), (3.0, 0, 0.1), (None, 0, 0.1)],
                                "x double, y int, c double")
     row = df.agg(fn.correlation(F.col("x"), F.col("y")).alias("r"),
                  fn.correlation(F.col("c"), F.col("y")).alias("const")).first()
