@@ -57,6 +57,7 @@ class Config:
     search_fraction: float = 0.20
     seed: int = 42
     folds: int = 3
+    parallel_folds: int = 3
 
     als_rank: int = 32
     als_reg: float = 0.05

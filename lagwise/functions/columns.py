@@ -90,18 +90,20 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def in_fraction(row_id: Column, fraction: float, seed: int) -> Column:
+def in_fraction(row_id: Column, fraction: float, seed: int, purpose: str) -> Column:
     """A repeatable Bernoulli draw per row.
 
     The row id decides, not the partition it is read in: a lost task redraws the same rows, any
     layout of the input gives the same sample, and a smaller fraction is a subset of a larger one.
+    Draws of the same purpose are nested; draws of different purposes are independent, so one
+    sample can be taken of another.
     """
     if not 0 <= fraction <= 1:
         raise ValueError(f"a fraction lies in [0, 1], got {fraction}")
     if fraction == 1:
         return F.lit(True)
     limit = format(int(fraction * 16 ** _HASH_HEX_DIGITS), f"0{_HASH_HEX_DIGITS}x")
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:{purpose}:"), row_id.cast("string")))
     return F.substring(digest, 1, _HASH_HEX_DIGITS) < limit
 
 

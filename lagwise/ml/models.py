@@ -6,8 +6,9 @@ import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -135,27 +136,36 @@ def tune(train: DataFrame, experiment: Experiment, config: Config = Config(),
     """k-fold search on a sample, then refit of the winner on all of ``train``.
 
     The grid only changes the estimator, so in each fold the feature stages are fitted and the
-    vectors built once, for all grid points. Folds follow the row id and are the same on any
-    layout of the data.
+    vectors built once, for all grid points. Folds follow the row id, so they are the same on
+    any layout of the data; they run side by side, as their jobs are short and wait a lot.
     """
     fraction = config.search_fraction if search_fraction is None else search_fraction
     c, grid = config.columns, list(experiment.grid)
     evaluator = BinaryClassificationEvaluator(labelCol=c.label, metricName=metric,
                                               rawPredictionCol="rawPrediction")
     fold = fold_number(F.col(c.row_id), config.folds, config.seed)
-    start, totals = time.perf_counter(), [0.0] * len(grid)
-    with held(fraction_of(train, fraction, config).withColumn("_fold", fold), config) as sample:
-        for k in range(config.folds):
+    start = time.perf_counter()
+    with held(fraction_of(train, fraction, config, "search")
+              .withColumn("_fold", fold), config) as sample:
+
+        def judged(k: int) -> list[float]:
             learn, judge = sample.filter(F.col("_fold") != k), sample.filter(F.col("_fold") == k)
             prepare = feature_pipeline(None, config, experiment.numeric, experiment.scale) \
                 .fit(learn)
             vectors, held_out = [
                 prepare.transform(part).select(FEATURES, c.label)
                 .persist(StorageLevel.MEMORY_AND_DISK) for part in (learn, judge)]
+            scores = [0.0] * len(grid)
             for i, model in experiment.estimator.fitMultiple(vectors, grid):
-                totals[i] += evaluator.evaluate(model.transform(held_out))
+                scores[i] = evaluator.evaluate(model.transform(held_out))
             vectors.unpersist()
             held_out.unpersist()
+            return scores
+
+        in_session = inheritable_thread_target(train.sparkSession)
+        with ThreadPool(min(config.folds, config.parallel_folds)) as pool:
+            folds = pool.map(in_session(judged), range(config.folds))
+    totals = [sum(scores) for scores in zip(*folds)]
     searched = time.perf_counter()
     scores = [t / config.folds for t in totals]
     best = max(range(len(grid)), key=scores.__getitem__)
@@ -196,7 +206,7 @@ def learning_curve(train: DataFrame, evaluate: DataFrame, experiment: Experiment
     """Rows, fit time and quality of the same fit on growing, nested parts of ``train``."""
     rows = []
     for fraction in fractions:
-        part = fraction_of(train, fraction, config)
+        part = fraction_of(train, fraction, config, "curve")
         n = part.count()
         start = time.perf_counter()
         model = fit(part, experiment, config)

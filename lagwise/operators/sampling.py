@@ -15,7 +15,7 @@ def kept_in_sample(config: Config = Config(), rate: float | None = None) -> Colu
     c = config.columns
     rate = config.negative_rate if rate is None else rate
     return (F.col(c.label) == 1) | (
-        (F.col(c.label) == 0) & in_fraction(F.col(c.row_id), rate, config.seed))
+        (F.col(c.label) == 0) & in_fraction(F.col(c.row_id), rate, config.seed, "negatives"))
 
 
 def undersample_negatives(df: DataFrame, config: Config = Config(),
@@ -52,15 +52,17 @@ def effective_rate(df: DataFrame, config: Config = Config(), rate: float | None
     return kept / negatives if negatives else 1.0
 
 
-def fraction_of(df: DataFrame, fraction: float, config: Config = Config()) -> DataFrame:
-    return df.filter(in_fraction(F.col(config.columns.row_id), fraction, config.seed))
+def fraction_of(df: DataFrame, fraction: float, config: Config = Config(),
+                purpose: str = "fraction") -> DataFrame:
+    """A repeatable sample; give samples of samples different purposes."""
+    return df.filter(in_fraction(F.col(config.columns.row_id), fraction, config.seed, purpose))
 
 
 def nested_fractions(df: DataFrame, fractions: Sequence[float],
                      config: Config = Config()) -> DataFrame:
     """Rows and positives in each fraction, counted in one pass; smaller ones are subsets."""
     c = config.columns
-    member = {f: in_fraction(F.col(c.row_id), f, config.seed) for f in fractions}
+    member = {f: in_fraction(F.col(c.row_id), f, config.seed, "fraction") for f in fractions}
     wide = df.agg(
         *[count_where(m).alias(f"n{i}") for i, m in enumerate(member.values())],
         *[count_where(m & (F.col(c.label) == 1)).alias(f"k{i}")

@@ -186,14 +186,14 @@ FROM (SELECT *, k_null / nullif(CAST(n_null AS DOUBLE), 0) AS a,
              (k_null + k_known) / CAST(n AS DOUBLE) AS c FROM missing)"""
 
 
-def _hash_keep(fraction: float) -> str:
+def _hash_keep(fraction: float, purpose: str) -> str:
     if fraction == 1:
         return "TRUE"
     limit = format(int(fraction * 2 ** 32), "08x")
-    return f"substr(md5(concat('42:', CAST(event_id AS VARCHAR))), 1, 8) < '{limit}'"
+    return f"substr(md5(concat('42:{purpose}:', CAST(event_id AS VARCHAR))), 1, 8) < '{limit}'"
 
 
-_KEPT = f"(clk = 1 OR (clk = 0 AND {_hash_keep(0.1)}))"
+_KEPT = f"(clk = 1 OR (clk = 0 AND {_hash_keep(0.1, 'negatives')}))"
 
 
 def _ranked(source: str) -> str:
@@ -414,7 +414,7 @@ FROM (SELECT a.lo, a.hi, (coalesce(sum(b.clk), 0) + CAST(200 AS DOUBLE)
 _SQL["negative_undersample"] = f"SELECT event_id, clk, {_KEPT} AS kept FROM imp WHERE {_TRAIN}"
 _SQL["nested_fractions"] = " UNION ALL ".join(
     f"SELECT '{f:g}' AS fraction, count(*) AS rows, {_B('coalesce(sum(clk), 0)')} AS positives "
-    f"FROM imp WHERE {_hash_keep(f)}" for f in (0.1, 0.25, 0.5, 1.0))
+    f"FROM imp WHERE {_hash_keep(f, 'fraction')}" for f in (0.1, 0.25, 0.5, 1.0))
 _SQL["class_balance"] = f"""
 SELECT p AS positives, n AS negatives, k AS negatives_kept, p + k AS rows_kept,
        {_r('CAST(k AS DOUBLE) / n')} AS effective_rate,

@@ -173,7 +173,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.fraction < 1:
         # The sample keeps the hours of the whole table, and gets a feature layer of its own.
         origin = silver.agg(F.min(config.columns.time)).first()[0]
-        silver = sampling.fraction_of(silver, args.fraction, config)
+        silver = sampling.fraction_of(silver, args.fraction, config, "silver")
         out = f"{args.out}/fraction-{args.fraction:g}"
     gold = build_gold(spark, silver, out, config, args.rebuild, origin)
     reports = {

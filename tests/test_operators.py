@@ -81,16 +81,16 @@ def test_correlation_ignores_nulls_and_survives_constants(spark):
 
 def test_fractions_are_nested_and_layout_free(spark):
     df = spark.range(20_000).withColumnRenamed("id", "event_id")
-    small, large = fn.in_fraction(F.col("event_id"), 0.1, 42), fn.in_fraction(
-        F.col("event_id"), 0.5, 42)
+    small, large = fn.in_fraction(F.col("event_id"), 0.1, 42, "a"), fn.in_fraction(
+        F.col("event_id"), 0.5, 42, "a")
     rows = df.select("event_id", small.alias("s"), large.alias("l")).collect()
     assert all(r["l"] for r in rows if r["s"])
     assert 1800 < sum(r["s"] for r in rows) < 2200
     again = df.repartition(3).filter(small).count()
     assert again == sum(r["s"] for r in rows)
-    assert df.filter(fn.in_fraction(F.col("event_id"), 0.1, 7)).count() != again
+    assert df.filter(fn.in_fraction(F.col("event_id"), 0.1, 7, "a")).count() != again
     with pytest.raises(ValueError):
-        fn.in_fraction(F.col("event_id"), 1.5, 42)
+        fn.in_fraction(F.col("event_id"), 1.5, 42, "a")
 
 
 # --- time -----------------------------------------------------------------------------------------------
@@ -374,6 +374,17 @@ def test_undersampling_keeps_every_positive(spark, sf_dir):
     assert balance["prevalence_sample"] > balance["prevalence_real"]
 
 
+def test_a_sample_of_a_sample_keeps_the_balance(spark):
+    df = spark.range(40_000).select(F.col("id").alias("event_id"),
+                                    (F.col("id") % 2).cast("int").alias("clk"))
+    learn = sampling.undersample_negatives(df)
+    before = learn.filter("clk = 1").count() / learn.count()
+    for purpose in ("search", "curve"):
+        part = sampling.fraction_of(learn, 0.2, purpose=purpose)
+        assert 0.18 < part.count() / learn.count() < 0.22
+        assert abs(part.filter("clk = 1").count() / part.count() - before) < 0.02
+
+
 def test_class_weights_balance_the_classes(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "clk int")
     total = sampling.with_class_weights(df).groupBy("clk").agg(F.sum("weight").alias("w"))
