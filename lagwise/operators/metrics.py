@@ -32,7 +32,7 @@ def score_counts(pred: DataFrame, score: str = "p_calibrated",
 
 
 def ranked(counts: DataFrame) -> DataFrame:
-    """``counts`` with the counts from the highest score down to each one.
+    """``counts`` with the counts from the highest score down to each one, and the total.
 
     A running total over all scores would be one task. Scores are summed within slices of the
     score range, then shifted by the totals of the higher slices.
@@ -42,13 +42,14 @@ def ranked(counts: DataFrame) -> DataFrame:
     higher = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (sliced.groupBy("_slice").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
                .select("_slice", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("_n0"),
-                       F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("_pos0")))
+                       F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("_pos0"),
+                       F.sum("n").over(Window.partitionBy()).alias("n_all")))
     within = (Window.partitionBy("_slice").orderBy(F.col("s").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = sliced.withColumns({"_n1": F.sum("n").over(within),
                                  "_pos1": F.sum("pos").over(within)})
     joined = summed.join(F.broadcast(offsets), "_slice")  # at most SCORE_SLICES + 1 rows
-    return joined.select("s", "n", "pos", (F.col("_n0") + F.col("_n1")).alias("n_cum"),
+    return joined.select("s", "n", "pos", "n_all", (F.col("_n0") + F.col("_n1")).alias("n_cum"),
                          (F.col("_pos0") + F.col("_pos1")).alias("pos_cum"))
 
 
@@ -122,16 +123,15 @@ def exact_quantiles(counts: DataFrame, probabilities: list[float]) -> DataFrame:
     Picks the two neighbouring order statistics out of the running counts, so nothing is sorted
     in one place and nothing is approximated.
     """
-    total = counts.agg(F.sum("n")).scalar()
-    rows = ranked(counts).withColumn("total", total)
-    below = F.col("total") - F.col("n_cum")
+    rows = ranked(counts)
+    below = F.col("n_all") - F.col("n_cum")
 
     def at(position: Column) -> Column:
         return F.max(F.when((below <= position) & (position < below + F.col("n")), F.col("s")))
 
     picks, values = [], []
     for i, q in enumerate(probabilities):
-        place = F.lit(q) * (F.col("total") - 1)
+        place = F.lit(q) * (F.col("n_all") - 1)
         picks += [at(F.floor(place)).alias(f"lo{i}"), at(F.ceil(place)).alias(f"hi{i}"),
                   F.max(place - F.floor(place)).alias(f"f{i}")]
         low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
@@ -151,11 +151,13 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
     if relative_error is None:
         names = [f"q{i}" for i in range(len(probabilities))]
         cut = exact_quantiles(counts, probabilities).select(F.struct(*names)).scalar()
-        cuts = [cut[name] for name in names]
+        rows = counts.withColumn("_cut", cut)  # one column, so the subquery is planned once
+        cuts = [F.col(f"_cut.{name}") for name in names]
     else:
+        rows = counts
         cuts = [F.lit(v) for v in pred.approxQuantile(score, probabilities, relative_error)]
     bucket = sum(((F.col("s") > v).cast("int") for v in cuts), F.lit(0))
-    per_bucket = counts.withColumn("bucket", bucket).groupBy("bucket").agg(
+    per_bucket = rows.withColumn("bucket", bucket).groupBy("bucket").agg(
         F.sum("n").alias("impressions"), F.sum("pos").alias("clicks"),
         F.sum(F.col("s") * F.col("n")).alias("_s"))
     everything = Window.partitionBy()  # over at most ``buckets`` rows
