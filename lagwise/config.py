@@ -45,8 +45,9 @@ class Config:
     order_cap: int = 20
     rolling_hours: int = 6
 
-    # A user's rows are windowed in slices of this many seconds, so one user never fills one task.
-    user_slice_seconds: int = 3600
+    # Users with more rows than this are windowed in slices of this many seconds.
+    hot_user_rows: int = 1_000_000
+    user_slice_seconds: int = 60
 
     drop_threshold: float = 0.01
     impute_threshold: float = 0.05

@@ -6,29 +6,43 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.functions.columns import gap_bucket, smoothed_rate
+from lagwise.sources.layers import staged
 
 
 _KEYS = ["_hash", "_key"]
 
 
-def _with_slice(df: DataFrame, config: Config) -> DataFrame:
-    """Add the (user, slice of time) key of each row, never NULL, and its hash.
+def hot_users(df: DataFrame, config: Config = Config()) -> DataFrame:
+    """Users with more rows than one task should order; at most rows / ``hot_user_rows`` of them.
 
-    One struct, not two columns: a plan whose input is already spread by user alone must not
-    pass for spread by user and slice. The hash comes first because sorting by a number is fast
-    and sorting by a struct is not.
+    The user is wrapped, so that rows without a user are a user like any other.
+    """
+    user = F.struct(F.col(config.columns.user).alias("id"))
+    return (df.groupBy(user.alias("_user")).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > config.hot_user_rows).select("_user"))
+
+
+def _with_slice(df: DataFrame, hot: DataFrame, config: Config) -> DataFrame:
+    """Add ``_hot`` and the window key: the user, and for hot users also the slice of time.
+
+    The key is one struct, not two columns: a plan whose input is already spread by user alone
+    must not pass for spread by user and slice. Its hash comes first because sorting by a number
+    is fast and sorting by a struct is not.
     """
     c = config.columns
-    part = F.floor(F.col(c.time) / config.user_slice_seconds)
-    return df.withColumns({
-        "_key": F.struct(F.col(c.user).alias("user"), part.alias("slice")),
-        "_hash": F.xxhash64(c.user, part)})
+    part = F.when(F.col("_hot"), F.floor(F.col(c.time) / config.user_slice_seconds))
+    return (
+        df.withColumn("_user", F.struct(F.col(c.user).alias("id")))
+        .join(hot.withColumn("_hot", F.lit(True)), "_user", "left")
+        .withColumns({"_key": F.struct(F.col(c.user).alias("user"), part.alias("slice")),
+                      "_hash": F.xxhash64(c.user, part)})
+        .drop("_user"))
 
 
 def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
-    """Per user and slice: what had happened before the slice began."""
+    """Per hot user and slice: what had happened before the slice began."""
     c = config.columns
-    totals = sliced.groupBy(*_KEYS).agg(
+    totals = sliced.filter("_hot").groupBy(*_KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.sum(c.label).alias("k"), F.max(c.time).alias("last"))
     before = (Window.partitionBy("_key.user").orderBy("_key.slice")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -37,31 +51,44 @@ def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
         F.max("last").over(before).alias("_last0"))
 
 
-def with_user_order(df: DataFrame, config: Config = Config()) -> DataFrame:
-    """Add ``order_seen`` (1 for a user's first row), ``gap_sec`` and ``clk_prev``.
-
-    A running window over a whole user would put that user into one task. Here the window runs
-    inside slices of time, and each slice starts from the totals of the earlier ones. Slices
-    follow the same order as the rows, so the result equals the window over the whole user. The
-    totals have at most one row per user and slice, and their window is bounded by the number
-    of slices in the data's time span.
-    """
+def _within(df: DataFrame, keys: list[str], config: Config) -> DataFrame:
+    """Position, earlier clicks and previous time inside each window partition."""
     c = config.columns
-    order = Window.partitionBy(*_KEYS).orderBy(c.time, c.ad, c.slot, c.row_id)
+    order = Window.partitionBy(*keys).orderBy(c.time, c.ad, c.slot, c.row_id)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    sliced = _with_slice(df, config)
-    within = sliced.withColumns({
-        "_n1": F.row_number().over(order),
-        "_k1": F.sum(c.label).over(earlier),
+    return df.withColumns({
+        "_n1": F.row_number().over(order).cast("bigint"),
+        "_k1": F.coalesce(F.sum(c.label).over(earlier), F.lit(0)),
         "_last1": F.lag(c.time).over(order)})
-    joined = within.join(_earlier_slices(sliced, config), _KEYS, "left")
+
+
+def with_user_order(df: DataFrame, config: Config = Config(),
+                    history_of: DataFrame | None = None) -> DataFrame:
+    """Add ``order_seen`` (1 for a user's first row), ``gap_sec`` and ``clk_prev``.
+
+    A running window puts a whole user into one task, which is right for nearly all of them. The
+    few with very many rows are windowed in slices of time instead, and each slice starts from
+    the totals of the earlier ones. Slices follow the order of the rows, so the result is that
+    of the window over the whole user.
+
+    ``history_of`` is the table to count in, if ``df`` is the same rows behind costly joins.
+    """
+    c, source = config.columns, df if history_of is None else history_of
+    hot = staged(hot_users(source, config), "hot-users")
+    if hot.isEmpty():
+        return _within(df, [c.user], config).withColumns({
+            "order_seen": F.col("_n1"), "clk_prev": F.col("_k1"),
+            "gap_sec": F.col(c.time) - F.col("_last1")}).drop("_n1", "_k1", "_last1")
+    within = _within(_with_slice(df, hot, config), _KEYS, config)
+    joined = within.join(
+        _earlier_slices(_with_slice(source, hot, config), config), _KEYS, "left")
     zero = F.lit(0)
     return joined.withColumns({
         "order_seen": F.col("_n1") + F.coalesce("_n0", zero),
-        "clk_prev": F.coalesce("_k1", zero) + F.coalesce("_k0", zero),
+        "clk_prev": F.col("_k1") + F.coalesce("_k0", zero),
         "gap_sec": F.col(c.time) - F.when(F.col("_n1") == 1, F.col("_last0"))
         .otherwise(F.col("_last1")),
-    }).drop(*_KEYS, "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
+    }).drop(*_KEYS, "_hot", "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
 
 
 def _lagged_totals(df: DataFrame, lag_days: int, config: Config) -> DataFrame:
@@ -76,17 +103,19 @@ def _lagged_totals(df: DataFrame, lag_days: int, config: Config) -> DataFrame:
                         F.sum("k").over(before).alias("_k_lag"))
 
 
-def with_user_fatigue(df: DataFrame, config: Config = Config(), lag_days: int = 0) -> DataFrame:
+def with_user_fatigue(df: DataFrame, config: Config = Config(), lag_days: int = 0,
+                      history_of: DataFrame | None = None) -> DataFrame:
     """User features on every row of ``df``, which carries ``p0``.
 
     By default the user's rate uses every earlier row. With ``lag_days`` it uses only whole days
     at least that far back, for outcomes that become known late.
     """
     c = config.columns
-    ordered = with_user_order(df, config)
+    source = df if history_of is None else history_of
+    ordered = with_user_order(df, config, source)
     seen, clicked = F.col("order_seen") - 1, F.col("clk_prev")
     if lag_days > 0:
-        ordered = ordered.join(_lagged_totals(df, lag_days, config), [c.user, c.day], "left")
+        ordered = ordered.join(_lagged_totals(source, lag_days, config), [c.user, c.day], "left")
         seen, clicked = (F.coalesce("_n_lag", F.lit(0)), F.coalesce("_k_lag", F.lit(0)))
     featured = ordered.withColumns({
         "ctr_user_prev": smoothed_rate(clicked, seen, F.col("p0"), config.user_prior_weight),

@@ -35,5 +35,6 @@ def gold_features(silver: DataFrame, config: Config = Config(), origin: int | No
         rows = silver.join(staged(prices, "category-price"), category, "left")
     rows = join_combination(rows, staged(features, "entity-features"), combination_keys(config))
     rows = with_slot_rate(rows, history_of=silver, origin=origin, config=config)
-    rows = with_user_fatigue(rows, config, lag_days).withColumns(price_columns(config))
+    rows = with_user_fatigue(rows, config, lag_days, history_of=silver)
+    rows = rows.withColumns(price_columns(config))
     return rows.withColumn("hour", F.col("hour").cast("int")).select(*gold_columns(config))

@@ -358,6 +358,8 @@ _SQL["deferred_entity_ctr_volume"] = (
 _SQL["user_fatigue"] = f"""
 SELECT event_id, order_capped, gap_sec, gap_bucket, {_r('ctr_user_prev')} AS ctr_user_prev,
        {_r('log_imp_prev')} AS log_imp_prev, {_r('log_gap')} AS log_gap FROM fatigue"""
+_SQL["user_fatigue_sliced"] = \
+    "SELECT event_id, seen AS order_seen, gap_sec, clk_prev FROM user_rows"
 _SQL["user_fatigue_lagged"] = f"""
 SELECT event_id, {_r('(coalesce(k, 0) + CAST(20 AS DOUBLE) * p0) / (coalesce(n, 0) + CAST(20 AS DOUBLE))')}
          AS ctr_user_prev

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +105,8 @@ def _with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_fatigue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fatigue.with_user_fatigue(_with_prior(spark, sf_dir), CONFIG)
+    return fatigue.with_user_fatigue(_with_prior(spark, sf_dir), CONFIG,
+                                     history_of=standins.impressions(spark, sf_dir))
 
 
 # --- contract, layers, time -------------------------------------------------------------------------
@@ -281,6 +283,14 @@ def user_fatigue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, ["ctr_user_prev", "log_imp_prev", "log_gap"])
 
 
+@query
+def user_fatigue_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same order of rows with most users treated as too large for one task."""
+    config = replace(CONFIG, hot_user_rows=20, user_slice_seconds=3600)
+    return fatigue.with_user_order(standins.impressions(spark, sf_dir), config).select(
+        "event_id", "order_seen", "gap_sec", "clk_prev")
+
+
 @query
 def user_fatigue_lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user's rate from outcomes at least two days old."""

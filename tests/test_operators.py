@@ -1,6 +1,7 @@
 """Hand-computed cases for every window, metric, rule and gate."""
 import datetime as dt
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,11 +251,11 @@ def test_user_order_with_ties_gaps_and_slices(spark):
                                      "pid string, event_id bigint, clk int")
     expected = {3: (1, None, 0), 1: (2, 0, 1), 2: (3, 0, 1), 4: (4, 3900, 2), 5: (5, 86_000, 2),
                 6: (1, None, 0), 7: (1, None, 0), 8: (2, 8990, 1)}
-    for seconds in (1, 60, 3600, 10**9):
-        config = Config(user_slice_seconds=seconds)
+    for limit, seconds in ((100, 60), (0, 1), (0, 60), (0, 3600), (0, 10**9), (1, 60), (4, 60)):
+        config = Config(hot_user_rows=limit, user_slice_seconds=seconds)
         got = {r["event_id"]: (r["order_seen"], r["gap_sec"], r["clk_prev"])
                for r in fatigue.with_user_order(df, config).collect()}
-        assert got == expected, seconds
+        assert got == expected, (limit, seconds)
 
 
 def test_user_order_equals_a_plain_window_on_any_layout(spark, sf_dir):
@@ -273,9 +274,12 @@ def test_user_order_equals_a_plain_window_on_any_layout(spark, sf_dir):
     try:
         for n in ("1", "8"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            got = fatigue.with_user_order(imp.repartition(5), CONFIG).select(
-                "event_id", "order_seen", "gap_sec", "clk_prev")
-            assert {tuple(r) for r in got.collect()} == expected
+            for limit in (10_000, 100):
+                config = replace(CONFIG, hot_user_rows=limit)
+                assert fatigue.hot_users(imp, config).count() == (limit == 100)
+                got = fatigue.with_user_order(imp.repartition(5), config).select(
+                    "event_id", "order_seen", "gap_sec", "clk_prev")
+                assert {tuple(r) for r in got.collect()} == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
 
