@@ -75,7 +75,7 @@ def test_weighted_fit_is_recalibrated(spark, sf_dir):
     assert rate == pytest.approx(1 / sampling.positive_weight(train).first()["weight"])
     mean = models.scored(model, train, rate).agg(F.avg("p_calibrated")).first()[0]
     real = train.agg(F.avg("clk")).first()[0]
-    assert 0.5 < mean / real < 2
+    assert 0.9 < mean / real < 1.1
 
 
 @pytest.fixture(scope="module")
