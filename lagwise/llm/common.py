@@ -30,6 +30,10 @@ def pick(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
                        *(column(c).alias(c) for c in more))
 
 
+def id_type(rows: DataFrame) -> str:
+    return rows.schema["doc_id"].dataType.simpleString()
+
+
 def packed(docs: DataFrame) -> Column:
     """All columns of a row as one struct, to carry them past an operator's own names."""
     return F.struct(*(column(c) for c in docs.columns))

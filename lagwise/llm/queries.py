@@ -5,13 +5,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagwise.llm import exact
+from lagwise.llm import bpe, exact, packing, rans
 from lagwise.llm.common import documents
+from lagwise.llm.tokens import tokenizer
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decide(documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.roundtrip(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = rans.write_corpus(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return rans.read_corpus(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_exact_dedup,)}
+    return {f.__name__: f for f in (op6_packing, op7_exact_dedup, op9_bpe, op10_token_files)}
