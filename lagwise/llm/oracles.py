@@ -9,5 +9,53 @@ FROM d JOIN g USING (text_sha256)
 """
 
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = ("(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+           + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+#: kind, pattern, group, least length of the group, as the operator has them.
+_RULES = (
+    ("assign", _ASSIGN, 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("google", "AIza[A-Za-z0-9_-]{35}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
+)
+
+
+def _secrets() -> str:
+    parts = [f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
+           unnest(regexp_extract_all(text, '{pattern}', 0)) AS hit,
+           unnest(regexp_extract_all(text, '{pattern}', {group})) AS part,
+           unnest(string_split_regex(text, '{pattern}')[:-2]) AS gap,
+           generate_subscripts(regexp_extract_all(text, '{pattern}', 0), 1) AS i,
+           {least} AS least
+    FROM d""" for rank, (kind, pattern, group, least) in enumerate(_RULES)]
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({" UNION ALL ".join(parts)}),
+ends AS (SELECT *, sum(length(gap) + length(hit)) OVER (
+             PARTITION BY doc_id, rank ORDER BY i)::BIGINT AS stop FROM hits),
+spans AS (SELECT doc_id, rank, kind, stop - length(hit) AS start,
+                 kind || ':' || (stop - length(hit)) || ':' || stop AS span
+          FROM ends WHERE length(part) >= least),
+told AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign,
+                count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+                string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+                string_agg(span, ',' ORDER BY start, rank) AS spans
+         FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": EXACT}
+    return {"op1_secrets": _secrets(), "op7_exact_dedup": EXACT}
