@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagwise.llm.common import column, packed
 from lagwise.sources.layers import staged
 
 BITS = 27
@@ -55,3 +56,29 @@ def probe(df: DataFrame, key: Column, bitmaps: DataFrame, flag: str,
             _is_set(F.col(f"{flag}_bits_{i}"), place.bitwiseAND((1 << _BUCKET_BITS) - 1)),
             F.lit(False))
     return df.select(*columns, found.alias(flag))
+
+
+def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame, bits: int = BITS
+                 ) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be in ``ids.doc_id``, rows whose id surely is not), as (doc_id, row).
+
+    Only the first part needs a join: the second keeps its place, whatever the texts weigh.
+    """
+    rows = docs.select(column(id_col).alias("doc_id"), packed(docs).alias("row"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    marked = probe(rows, key, build(ids, key, bits), "maybe", bits)
+    return (marked.filter("maybe").select("doc_id", "row"),
+            marked.filter(~F.col("maybe")).select("doc_id", "row"))
+
+
+def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids.doc_id`` (a written table)."""
+    maybe, never = split_by_ids(docs, id_col, ids)
+    left = maybe.join(ids.select("doc_id"), "doc_id", "left_anti")
+    return never.select("row.*").unionByName(left.select("row.*"))
+
+
+def only_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids.doc_id`` (a written table)."""
+    maybe, _ = split_by_ids(docs, id_col, ids)
+    return maybe.join(ids.select("doc_id"), "doc_id", "left_semi").select("row.*")

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagwise.llm import bpe, exact, packing, rans, secrets
+from lagwise.llm import bpe, exact, near, packing, rans, secrets
 from lagwise.llm.common import documents
 from lagwise.llm.tokens import tokenizer
 
@@ -18,6 +18,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(documents(spark, sf_dir))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
@@ -32,4 +36,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op6_packing, op7_exact_dedup, op9_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op1_secrets, op2_near_dedup, op6_packing, op7_exact_dedup, op9_bpe, op10_token_files)}
