@@ -18,21 +18,29 @@ WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u200
 BYTE_CHUNKS = re.compile(
     f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 WORD_CHUNKS = re.compile(f"[^{WHITE_SPACE}]+")
-#: Chunks that a task remembers, and the longest that it does.
-REMEMBERED, LONGEST = 1 << 18, 64
+#: Chunks that a worker remembers in each of two generations, and the longest that it does.
+REMEMBERED, LONGEST = 1 << 17, 64
 
 
 class ChunkCache(dict):
-    """chunk -> what ``make`` gives for it; forgets everything at ``REMEMBERED`` entries."""
+    """chunk -> what ``make`` gives for it.
+
+    When ``REMEMBERED`` chunks are in, they become the old generation, from which a chunk that is
+    seen again comes back; the old generation before that is forgotten.
+    """
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict = {}
 
     def __missing__(self, chunk):
-        value = self.make(chunk)
+        value = self.old.get(chunk)
+        if value is None:
+            value = self.make(chunk)
         if len(chunk) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = value
         return value
