@@ -211,7 +211,7 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
 def _found(rows: DataFrame, rules: tuple[Rule, ...], mask: Column) -> DataFrame:
     parts = [spans_of(F.col("text"), rule, i, None if scans_fully(rule) else
                       mask.bitwiseAND(1 << i) != 0) for i, rule in enumerate(rules)]
-    return rows.withColumn("spans", F.array_sort(F.concat(*parts)))
+    return rows.withColumn("spans", F.sort_array(F.concat(*parts)))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
