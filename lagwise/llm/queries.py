@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagwise.llm import bpe, exact, lm, near, packing, quality, rans, secrets
+from lagwise.llm import bpe, exact, language, lm, near, packing, quality, rans, secrets
 from lagwise.llm.common import documents
 from lagwise.llm.tokens import tokenizer
 
@@ -34,6 +34,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
@@ -44,4 +48,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_near_dedup, op3_lm_scoring, op4_quality, op6_packing, op7_exact_dedup, op9_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op1_secrets, op2_near_dedup, op3_lm_scoring, op4_quality, op6_packing, op7_exact_dedup, op8_language_id, op9_bpe, op10_token_files)}
