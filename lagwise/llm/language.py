@@ -272,6 +272,32 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
         + ", words array<string>, labels array<string>" * with_words)
 
 
+def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.5,
+                    text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without texts that are undetermined or whose language has a share of
+    less than ``least``. Rows are filtered where they are: nothing is joined or shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    place = docs.columns.index(text_col)
+    key = uuid.uuid4().int
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        if key not in _CACHES and model is not None:
+            _CACHES.clear()
+            _CACHES[key] = model.cache()
+        for batch in slices(batches, 256):
+            texts = [words_of(t or "") for t in batch.column(place).to_pylist()]
+            good = np.zeros(len(texts), dtype=bool)
+            some = np.flatnonzero([bool(words) and model is not None for words in texts])
+            if len(some):
+                lengths = np.asarray([len(texts[i]) for i in some])
+                posterior = model.posteriors([texts[i] for i in some], _CACHES[key])
+                good[some] = _by_document(posterior, lengths).max(axis=1) >= least
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def held_out(doc_id, folds: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 0
 

@@ -8,6 +8,24 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
 """
 
+LINES = r"""
+WITH all_lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+worded AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p FROM all_lines
+           WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+triples AS (SELECT doc_id, p, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
+            FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS k
+           FROM triples WHERE c IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, p + unnest([0, 1, 2]) AS p FROM ranked WHERE k > 1),
+marked AS (SELECT l.doc_id, l.i, l.line, w.p, g.p IS NOT NULL AS out FROM all_lines l
+           LEFT JOIN worded w USING (doc_id, i) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p)
+SELECT doc_id, count(p) AS n_lines, count(*) FILTER (out) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT out), '')) AS text_sha256
+FROM marked GROUP BY doc_id
+"""
+
 
 def _either_case(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -58,4 +76,5 @@ FROM d LEFT JOIN told USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secrets": _secrets(), "op7_exact_dedup": EXACT}
+    return {"op1_secrets": _secrets(), "op5_line_dedup": LINES,
+            "op7_exact_dedup": EXACT}

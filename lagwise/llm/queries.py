@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagwise.llm import bpe, exact, language, lm, near, packing, quality, rans, secrets
+from lagwise.llm import bpe, exact, language, lines, lm, near, packing, quality, rans, secrets
 from lagwise.llm.common import documents
 from lagwise.llm.tokens import tokenizer
 
@@ -30,6 +30,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
@@ -48,4 +52,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_near_dedup, op3_lm_scoring, op4_quality, op6_packing, op7_exact_dedup, op8_language_id, op9_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op1_secrets, op2_near_dedup, op3_lm_scoring, op4_quality, op5_line_dedup, op6_packing, op7_exact_dedup, op8_language_id, op9_bpe, op10_token_files)}

@@ -260,8 +260,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``docs`` with every span of the text replaced by ``mark``; overlapping spans count as one."""
+             text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with every span of the text replaced by ``mark``; overlapping spans count as one.
+
+    ``length_col`` names a column that holds the length of the text and follows it.
+    """
     found = scan(docs, RULES, id_col, text_col, keep_rows=True)
 
     def step(acc: Column, s: Column) -> Column:
@@ -274,6 +277,14 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id",
     clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(
                             F.col("text"), acc["at"] + 1, F.length("text"))))
-    text = F.when(F.size("spans") > 0, clean).otherwise(F.col("row").getField(text_col))
-    return found.select(*(text.alias(c) if c == text_col else F.col("row").getField(c).alias(c)
-                          for c in docs.columns))
+    found = found.withColumn("clean", F.when(F.size("spans") > 0, clean))
+
+    def value(c: str) -> Column:
+        own = F.col("row").getField(c)
+        if c == text_col:
+            return F.coalesce("clean", own)
+        if c == length_col:
+            return F.coalesce(F.length("clean").cast(docs.schema[c].dataType), own)
+        return own
+
+    return found.select(*(value(c).alias(c) for c in docs.columns))
