@@ -38,6 +38,9 @@ class Config:
     columns: Columns = field(default_factory=Columns)
     splits: Splits = field(default_factory=Splits)
 
+    # Columns besides the label that tell the outcome of a row.
+    outcomes: tuple[str, ...] = ("nonclk",)
+
     utc_offset_hours: int = 8
     entities: tuple[str, ...] = ("cate_id", "campaign_id", "customer", "pid")
     entity_prior_weight: float = 200.0

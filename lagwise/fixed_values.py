@@ -27,6 +27,23 @@ LEAK = "FUGA"
 BURN_IN_TOO_SHORT = "BURN-IN INSUFICIENTE"
 IMPOSSIBLE_VALUE = "VALOR IMPOSIBLE"
 
+# Verdicts of this library's own.
+NO_SPREAD = "NO SPREAD"
+NO_ROWS = "NO ROWS"
+
+# The published models: kind, settings, grid (first value of a row varies slowest),
+# whether vectors are scaled, and whether features learnt from past clicks are used.
+MODELS = {
+    "lr_context": ("logistic", {"maxIter": 50}, {"regParam": (0.0, 0.01), "elasticNetParam": (0.0,)},
+                   True, False),
+    "lr_full": ("logistic", {"maxIter": 50},
+                {"regParam": (0.0, 0.001, 0.01), "elasticNetParam": (0.0, 0.5)}, True, True),
+    "rf_full": ("forest", {"numTrees": 60, "maxDepth": 8, "subsamplingRate": 0.7},
+                {"maxDepth": (6, 10), "numTrees": (60,)}, False, True),
+    "gbt_full": ("boosting", {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1},
+                 {"maxDepth": (4, 6), "maxIter": (40,)}, False, True),
+}
+
 # Split labels.
 SPLIT_BURN_IN = "burn-in (no se entrena)"
 SPLIT_TRAIN = "train"

@@ -10,7 +10,6 @@ from lagwise import fixed_values as fv
 
 PROBABILITY_FLOOR = 1e-12
 _HASH_HEX_DIGITS = 8
-_ROUNDING = 1e-12
 
 
 def _epoch() -> Column:
@@ -57,9 +56,9 @@ def smoothed_rate(clicks: Column, impressions: Column, prior: Column, weight: fl
     return (clicks.cast("double") + m * prior) / (impressions.cast("double") + m)
 
 
-def corrected_probability(sampled: Column, kept_rate: Column | float) -> Column:
-    """Undo negative undersampling: multiply the odds by the share of negatives kept."""
-    r = kept_rate if isinstance(kept_rate, Column) else F.lit(float(kept_rate))
+def corrected_probability(sampled: Column, factor: Column | float) -> Column:
+    """Multiply the odds; by the share of negatives kept, this undoes undersampling."""
+    r = factor if isinstance(factor, Column) else F.lit(float(factor))
     return sampled * r / (sampled * r + 1.0 - sampled)
 
 
@@ -90,6 +89,22 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def sample_draw(row_id: Column, seed: int, purpose: str) -> Column:
+    """A row's draw: hexadecimal digits, even over their range, from its id and the purpose."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{purpose}:"), row_id.cast("string")))
+    return F.substring(digest, 1, _HASH_HEX_DIGITS)
+
+
+def drawn(draw: str | Column, fraction: float) -> Column:
+    """Whether a draw falls into a sample of this fraction; smaller samples lie in larger ones."""
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"a fraction lies in [0, 1], got {fraction}")
+    if fraction == 1:
+        return F.lit(True)
+    limit = format(int(fraction * 16 ** _HASH_HEX_DIGITS), f"0{_HASH_HEX_DIGITS}x")
+    return (F.col(draw) if isinstance(draw, str) else draw) < limit
+
+
 def in_fraction(row_id: Column, fraction: float, seed: int, purpose: str) -> Column:
     """A repeatable Bernoulli draw per row.
 
@@ -98,13 +113,7 @@ def in_fraction(row_id: Column, fraction: float, seed: int, purpose: str) -> Col
     Draws of the same purpose are nested; draws of different purposes are independent, so one
     sample can be taken of another.
     """
-    if not 0 <= fraction <= 1:
-        raise ValueError(f"a fraction lies in [0, 1], got {fraction}")
-    if fraction == 1:
-        return F.lit(True)
-    limit = format(int(fraction * 16 ** _HASH_HEX_DIGITS), f"0{_HASH_HEX_DIGITS}x")
-    digest = F.md5(F.concat(F.lit(f"{seed}:{purpose}:"), row_id.cast("string")))
-    return F.substring(digest, 1, _HASH_HEX_DIGITS) < limit
+    return drawn(sample_draw(row_id, seed, purpose), fraction)
 
 
 def fold_number(row_id: Column, folds: int, seed: int) -> Column:
@@ -114,19 +123,12 @@ def fold_number(row_id: Column, folds: int, seed: int) -> Column:
 def correlation(x: Column, y: Column) -> Column:
     """Pearson r over the rows where both are known; NULL (no error) if one side is constant.
 
-    Written with plain sums: they are much cheaper than moment aggregates when many columns are
-    correlated in one pass.
+    From centred moments, which are merged without cancellation: a small spread on top of a large
+    value (seconds since 1970, say) is still a spread, and a constant has none at all.
     """
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    n = F.count(x)
-
-    def spread(v: Column) -> Column:
-        total, squares = F.sum(v), n * F.sum(v * v)
-        size = squares - total * total
-        return F.when(size > _ROUNDING * squares, F.sqrt(size))  # below it is rounding, not spread
-
-    return F.try_divide(n * F.sum(x * y) - F.sum(x) * F.sum(y), spread(x) * spread(y))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def unpivot_rows(names: Sequence[str], columns: dict[str, Sequence[Column]], key: str) -> Column:

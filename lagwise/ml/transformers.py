@@ -41,22 +41,36 @@ class PriorCorrector(Transformer, HasInputCol, HasOutputCol,
                      DefaultParamsReadable, DefaultParamsWritable):
     """Brings a probability learnt on undersampled negatives back to the real prevalence.
 
-    The input is MLlib's probability vector or a plain number.
+    The input is MLlib's probability vector or a plain number. ``oddsFactor`` states the factor for
+    the odds directly, for models whose odds were changed in another way; it may exceed one.
     """
 
     keptRate = Param(Params._dummy(), "keptRate", "share of negatives kept, in (0, 1]",
                      typeConverter=TypeConverters.toFloat)
 
+    oddsFactor = Param(Params._dummy(), "oddsFactor", "factor for the odds, above 0",
+                       typeConverter=TypeConverters.toFloat)
+
     @keyword_only
-    def __init__(self, *, inputCol="probability", outputCol="p_calibrated", keptRate=1.0):
+    def __init__(self, *, inputCol="probability", outputCol="p_calibrated", keptRate=1.0,
+                 oddsFactor=None):
         super().__init__()
         self._setDefault(inputCol="probability", outputCol="p_calibrated", keptRate=1.0)
-        self._set(**self._input_kwargs)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        rate, source = self.getOrDefault(self.keptRate), self.getInputCol()
+    def _factor(self) -> float:
+        if self.isSet(self.oddsFactor):
+            factor = self.getOrDefault(self.oddsFactor)
+            if not factor > 0:
+                raise ValueError(f"oddsFactor is above 0, got {factor}")
+            return factor
+        rate = self.getOrDefault(self.keptRate)
         if not 0 < rate <= 1:
             raise ValueError(f"keptRate lies in (0, 1], got {rate}")
+        return rate
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rate, source = self._factor(), self.getInputCol()
         is_vector = isinstance(dataset.schema[source].dataType, VectorUDT)
         sampled = vector_to_array(source)[1] if is_vector else F.col(source).cast("double")
         return dataset.withColumn(self.getOutputCol(), corrected_probability(sampled, rate))

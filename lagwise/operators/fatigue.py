@@ -1,11 +1,12 @@
 """What one user has seen and clicked before each impression."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.functions.columns import gap_bucket, smoothed_rate
+from lagwise.operators.history import join_combination
 from lagwise.sources.layers import staged
 
 
@@ -42,7 +43,8 @@ def _with_slice(df: DataFrame, hot: DataFrame, config: Config) -> DataFrame:
 def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
     """Per hot user and slice: what had happened before the slice began."""
     c = config.columns
-    totals = sliced.filter("_hot").groupBy(*_KEYS).agg(
+    dated = sliced.filter(F.col("_hot") & F.col(c.time).isNotNull())
+    totals = dated.groupBy(*_KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.sum(c.label).alias("k"), F.max(c.time).alias("last"))
     before = (Window.partitionBy("_key.user").orderBy("_key.slice")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -52,16 +54,31 @@ def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
 
 
 def _within(df: DataFrame, keys: list[str], config: Config) -> DataFrame:
-    """Position, earlier clicks and previous time inside each window partition."""
+    """Position, earlier clicks and previous time inside each window partition.
+
+    Rows without a time are a partition of their own: no row comes after them. Rows that tie on
+    the whole order have no earlier and later, so none of them counts the clicks of the others;
+    their window needs no shuffle or sort of its own.
+    """
     c = config.columns
-    order = Window.partitionBy(*keys).orderBy(c.time, c.ad, c.slot, c.row_id)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    ties = [c.time, c.ad, c.slot, c.row_id]
+    keys = [*keys, F.col(c.time).isNull()]
+    order = Window.partitionBy(*keys).orderBy(*ties)
+    tied = Window.partitionBy(*keys, *ties).orderBy(*ties)
+    rows = (Window.unboundedPreceding, -1)
+    zero, label = F.lit(0), F.sum(c.label)
     return df.withColumns({
         "_n1": F.row_number().over(order).cast("bigint"),
-        "_k1": F.coalesce(F.sum(c.label).over(earlier), F.lit(0)),
+        "_k1": F.coalesce(label.over(order.rowsBetween(*rows)), zero)
+        - F.coalesce(label.over(tied.rowsBetween(*rows)), zero),
         "_last1": F.lag(c.time).over(order)})
 
 
+def _only_dated(features: dict[str, Column], config: Config) -> dict[str, Column]:
+    """NULL on rows without a time."""
+    return {k: F.when(F.col(config.columns.time).isNotNull(), v) for k, v in features.items()}
+
+
 def with_user_order(df: DataFrame, config: Config = Config(),
                     history_of: DataFrame | None = None) -> DataFrame:
     """Add ``order_seen`` (1 for a user's first row), ``gap_sec`` and ``clk_prev``.
@@ -76,26 +93,26 @@ def with_user_order(df: DataFrame, config: Config = Config(),
     c, source = config.columns, df if history_of is None else history_of
     hot = staged(hot_users(source, config), "hot-users")
     if hot.isEmpty():
-        return _within(df, [c.user], config).withColumns({
+        return _within(df, [c.user], config).withColumns(_only_dated({
             "order_seen": F.col("_n1"), "clk_prev": F.col("_k1"),
-            "gap_sec": F.col(c.time) - F.col("_last1")}).drop("_n1", "_k1", "_last1")
+            "gap_sec": F.col(c.time) - F.col("_last1")}, config)).drop("_n1", "_k1", "_last1")
     within = _within(_with_slice(df, hot, config), _KEYS, config)
     joined = within.join(
         _earlier_slices(_with_slice(source, hot, config), config), _KEYS, "left")
     zero = F.lit(0)
-    return joined.withColumns({
+    return joined.withColumns(_only_dated({
         "order_seen": F.col("_n1") + F.coalesce("_n0", zero),
         "clk_prev": F.col("_k1") + F.coalesce("_k0", zero),
         "gap_sec": F.col(c.time) - F.when(F.col("_n1") == 1, F.col("_last0"))
         .otherwise(F.col("_last1")),
-    }).drop(*_KEYS, "_hot", "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
+    }, config)).drop(*_KEYS, "_hot", "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
 
 
 def _lagged_totals(df: DataFrame, lag_days: int, config: Config) -> DataFrame:
     """Per user and day: impressions and clicks up to ``lag_days`` days earlier."""
     c = config.columns
-    daily = df.groupBy(c.user, c.day).agg(F.count(F.lit(1)).alias("n"),
-                                          F.sum(c.label).alias("k"))
+    daily = df.filter(F.col(c.day).isNotNull()).groupBy(c.user, c.day).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(c.label).alias("k"))
     day_number = F.unix_date(c.day).cast("bigint")
     before = (Window.partitionBy(c.user).orderBy(day_number)
               .rangeBetween(Window.unboundedPreceding, -lag_days))
@@ -115,7 +132,8 @@ def with_user_fatigue(df: DataFrame, config: Config = Config(), lag_days: int =
     ordered = with_user_order(df, config, source)
     seen, clicked = F.col("order_seen") - 1, F.col("clk_prev")
     if lag_days > 0:
-        ordered = ordered.join(_lagged_totals(source, lag_days, config), [c.user, c.day], "left")
+        ordered = join_combination(ordered, _lagged_totals(source, lag_days, config),
+                                   [c.user, c.day])  # rows without a user are a user, too
         seen, clicked = (F.coalesce("_n_lag", F.lit(0)), F.coalesce("_k_lag", F.lit(0)))
     featured = ordered.withColumns({
         "ctr_user_prev": smoothed_rate(clicked, seen, F.col("p0"), config.user_prior_weight),

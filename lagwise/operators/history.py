@@ -16,6 +16,11 @@ def _strictly_before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _dated(df: DataFrame, when: str) -> DataFrame:
+    """Rows whose time did not parse are before nothing: they enter no history."""
+    return df.filter(F.col(when).isNotNull())
+
+
 def daily_totals(df: DataFrame, keys: Sequence[str], config: Config = Config()) -> DataFrame:
     """Impressions and clicks per key combination; partial sums meet in the shuffle."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("imp"),
@@ -36,7 +41,8 @@ def deferred_prior(daily: DataFrame, config: Config = Config()) -> DataFrame:
     over one row per calendar day, which is all its single task ever sees.
     """
     day = config.columns.day
-    per_day = daily.groupBy(day).agg(F.sum("imp").alias("imp"), F.sum("clk").alias("clk"))
+    per_day = _dated(daily, day).groupBy(day).agg(F.sum("imp").alias("imp"),
+                                                  F.sum("clk").alias("clk"))
     before = _strictly_before(Window.orderBy(day))
     return per_day.select(
         day, ratio(F.sum("clk").over(before), F.sum("imp").over(before)).alias("p0"))
@@ -49,7 +55,8 @@ def entity_history(daily: DataFrame, entity: str, config: Config = Config()) ->
     as many rows as there are days, whatever share of the impressions the entity holds.
     """
     day = config.columns.day
-    per_day = daily.groupBy(entity, day).agg(F.sum("imp").alias("imp"), F.sum("clk").alias("clk"))
+    per_day = _dated(daily, day).groupBy(entity, day).agg(F.sum("imp").alias("imp"),
+                                                          F.sum("clk").alias("clk"))
     before = _strictly_before(Window.partitionBy(entity).orderBy(day))
     return per_day.select(
         entity, day,
@@ -154,8 +161,8 @@ def slot_hour_rates(df: DataFrame, origin: int | None = None,
     RANGE, not ROWS: hours without traffic count as elapsed time. The current hour is excluded.
     """
     slot = config.columns.slot
-    hourly = daily_totals(df.withColumn("hour_idx", hour_index(df, origin, config)),
-                          [slot, "hour_idx"], config)
+    hours = df.withColumn("hour_idx", hour_index(df, origin, config))
+    hourly = daily_totals(_dated(hours, "hour_idx"), [slot, "hour_idx"], config)
     window = Window.partitionBy(slot).orderBy("hour_idx").rangeBetween(-config.rolling_hours, -1)
     return hourly.select(slot, "hour_idx",
                          F.avg(ratio(F.col("clk"), F.col("imp"))).over(window).alias("ctr_6h"))

@@ -1,11 +1,13 @@
 """Time columns of the impression table, derived once, at ingestion."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagwise.config import Config
-from lagwise.functions.columns import day_part, flag, shift_hours, utc_timestamp
+from lagwise.functions.columns import count_where, day_part, flag, shift_hours, utc_timestamp
 
 
 def with_time_features(df: DataFrame, config: Config = Config()) -> DataFrame:
@@ -32,13 +34,26 @@ def with_time_features(df: DataFrame, config: Config = Config()) -> DataFrame:
 def with_row_id(df: DataFrame, config: Config = Config()) -> DataFrame:
     """Add a row id made from the content, unless the table brings one.
 
-    Needs no shuffle and is the same in every run. Rows equal in every column share an id, which
-    is harmless: they are interchangeable in any ordering and any sample.
+    Needs no shuffle and is the same in every run. Outcomes have no part in it, or the order of
+    rows that tie on everything else would follow their own label; such rows share an id, and the
+    windows count none of them as earlier than another. A NULL is a value of its own.
     """
-    row_id = config.columns.row_id
-    if row_id in df.columns:
+    c = config.columns
+    if c.row_id in df.columns:
         return df
-    return df.withColumn(row_id, F.xxhash64(*df.columns))
+    known = [F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("-"))
+             for n in df.columns if n not in (c.label, *config.outcomes)]
+    return df.withColumn(c.row_id, F.xxhash64(*known))
+
+
+def undated_rows(*tables: tuple[str, DataFrame], config: Config = Config()) -> DataFrame:
+    """Rows per table, and how many have no usable time; these enter no history and no split."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("rows"),
+                      count_where(F.col(config.columns.time).isNull()).alias("undated")).select(
+            F.lit(name).alias("table_name"), "rows", "undated")
+
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables])
 
 
 def ingest_impressions(typed: DataFrame, config: Config = Config()) -> DataFrame:

@@ -26,19 +26,21 @@ def feature_correlations(gold: DataFrame, config: Config = Config()) -> DataFram
     rows = gold.filter(F.col(c.day) != F.lit(config.splits.burn_in))
     wide = rows.agg(*[correlation(F.col(n), F.col(c.label)).alias(n) for n in names])
     long = wide.select(unpivot_rows(names, {"r": [F.col(n) for n in names]}, "feature"))
-    leaks = F.coalesce(F.abs("r") > config.max_abs_correlation, F.lit(False))
-    return long.select("feature", F.round("r", 6).alias("r"),
-                       F.when(leaks, fv.LEAK).otherwise(fv.OK).alias("verdict"))
+    verdict = (F.when(F.col("r").isNull(), fv.NO_SPREAD)
+               .when(F.abs("r") > config.max_abs_correlation, fv.LEAK).otherwise(fv.OK))
+    return long.select("feature", F.round("r", 6).alias("r"), verdict.alias("verdict"))
 
 
 def burn_in_nulls(gold: DataFrame, config: Config = Config()) -> DataFrame:
     """Missing entity rates on the first day that is trained on; there must be none."""
     c, rates = config.columns, [f"ctr_hist_{e}" for e in config.entities]
     first = gold.filter(F.col(c.day) == F.lit(config.splits.train_start))
-    wide = first.agg(*[count_where(F.col(n).isNull()).alias(n) for n in rates])
-    long = wide.select(unpivot_rows(rates, {"nulls": [F.col(n) for n in rates]}, "feature"))
-    return long.withColumn(
-        "verdict", F.when(F.col("nulls") == 0, fv.OK).otherwise(fv.BURN_IN_TOO_SHORT))
+    wide = first.agg(F.count(F.lit(1)).alias("rows"),
+                     *[count_where(F.col(n).isNull()).alias(n) for n in rates])
+    long = wide.select("rows", unpivot_rows(rates, {"nulls": [F.col(n) for n in rates]}, "feature"))
+    verdict = (F.when(F.col("rows") == 0, fv.NO_ROWS).when(F.col("nulls") == 0, fv.OK)
+               .otherwise(fv.BURN_IN_TOO_SHORT))
+    return long.select("feature", "nulls", verdict.alias("verdict"))
 
 
 def rate_ranges(gold: DataFrame, config: Config = Config()) -> DataFrame:
@@ -52,7 +54,8 @@ def rate_ranges(gold: DataFrame, config: Config = Config()) -> DataFrame:
     wrong = F.coalesce((F.col("lowest") <= 0) | (F.col("highest") > 1), F.lit(False))
     return long.select("feature", F.round("lowest", 6).alias("lowest"),
                        F.round("highest", 6).alias("highest"),
-                       F.when(wrong, fv.IMPOSSIBLE_VALUE).otherwise(fv.OK).alias("verdict"))
+                       F.when(F.col("lowest").isNull(), fv.NO_ROWS)
+                       .when(wrong, fv.IMPOSSIBLE_VALUE).otherwise(fv.OK).alias("verdict"))
 
 
 def recomputed_history(gold: DataFrame, config: Config = Config()) -> DataFrame:
@@ -64,7 +67,7 @@ def recomputed_history(gold: DataFrame, config: Config = Config()) -> DataFrame:
     """
     c = config.columns
     keys = combination_keys(config)
-    combos = staged(gold.groupBy(*keys).agg(
+    combos = staged(gold.filter(F.col(c.day).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("imp"), F.sum(c.label).alias("clk"),
         *[f(f"ctr_hist_{e}").alias(f"{f.__name__}_{e}")
           for e in config.entities for f in (F.min, F.max)]), "leak-combinations")

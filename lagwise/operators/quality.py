@@ -63,8 +63,11 @@ def join_cardinality(impressions: DataFrame, ads: DataFrame, profiles: DataFrame
 
 
 def require_all_ok(checks: DataFrame, what: str) -> None:
-    """Stop the run if any verdict is not OK. ``checks`` has a handful of rows."""
-    bad = checks.filter(F.col("verdict") != fv.OK).toJSON().take(20)
+    """Stop the run if any verdict is not OK. ``checks`` has a handful of rows.
+
+    A feature without spread cannot follow the label: that verdict is reported, but stops nothing.
+    """
+    bad = checks.filter(~F.col("verdict").isin(fv.OK, fv.NO_SPREAD)).toJSON().take(20)
     if bad:
         raise DataQualityError(f"{what}: {bad}")
 
@@ -102,20 +105,30 @@ def missingness_profile(impressions: DataFrame, profiles: DataFrame,
     z = two_proportion_z(F.col("clicks_null"), F.col("n_null"), clicks_known, n_known)
     return long.select(
         "column_name",
-        F.round(100 * ratio(F.col("n_null"), F.col("n")), 6).alias("pct_null"),
+        (100 * ratio(F.col("n_null"), F.col("n"))).alias("pct_null"),
         "n_null",
-        F.round(ctr_null, 6).alias("ctr_null"),
-        F.round(ctr_known, 6).alias("ctr_not_null"),
-        F.round(F.when(ctr_null > 0, F.try_divide(ctr_null, ctr_known)), 6).alias("ratio"),
-        F.round(z, 6).alias("z"))
+        ctr_null.alias("ctr_null"),
+        ctr_known.alias("ctr_not_null"),
+        F.when(ctr_null > 0, F.try_divide(ctr_null, ctr_known)).alias("ratio"),
+        z.alias("z"))
+
+
+def shown(table: DataFrame) -> DataFrame:
+    """For display: doubles to six decimals. Decisions are never taken on this."""
+    return table.select(*[F.round(c, 6).alias(c) if kind == "double" else c
+                          for c, kind in table.dtypes])
 
 
 def imputation_decision(profile: DataFrame, config: Config = Config()) -> DataFrame:
-    """Add ``decision`` and ``reason``: thresholds decide, unless absence itself is informative."""
+    """Add ``decision`` and ``reason``: thresholds decide, unless absence itself is informative.
+
+    Works on what :func:`missingness_profile` measured, unrounded; "nothing missing" is a count.
+    """
     share = F.col("pct_null") / 100
+    complete = F.col("n_null") == 0
     informative = F.coalesce(F.abs("z") > config.z_critical, F.lit(False))
     drop_pct, impute_pct = 100 * config.drop_threshold, 100 * config.impute_threshold
-    decision = (F.when(share == 0, fv.NO_ACTION)
+    decision = (F.when(complete, fv.NO_ACTION)
                 .when(informative, fv.KEEP_UNKNOWN)
                 .when(share <= config.drop_threshold, fv.DROP_ROWS)
                 .when(share <= config.impute_threshold, fv.IMPUTE_MODE)
@@ -123,7 +136,7 @@ def imputation_decision(profile: DataFrame, config: Config = Config()) -> DataFr
     size = (F.when(share <= config.drop_threshold, f"at most {drop_pct:g}% missing")
             .when(share <= config.impute_threshold, f"at most {impute_pct:g}% missing")
             .otherwise(f"more than {impute_pct:g}% missing"))
-    why = (F.when(share == 0, "nothing missing in the join")
+    why = (F.when(complete, "nothing missing in the join")
            .when(informative, F.concat(size, F.lit("; absence is informative")))
            .when(share > config.impute_threshold,
                  F.concat(size, F.lit("; too many to impute")))

@@ -17,12 +17,14 @@ def list_rows(lists: DataFrame, user: str, column: str, item: str = "item") -> D
 
 
 def ranking_metrics(recommended: DataFrame, truth: DataFrame, k: int | None = None,
-                    item: str = "item", config: Config = Config()) -> DataFrame:
+                    item: str = "item", config: Config = Config(),
+                    users_with_list: int | None = None) -> DataFrame:
     """One row of metrics over the users that have both a recommendation and a truth.
 
     ``recommended`` holds (user, rank, item), ``truth`` holds (user, item). Everything stays in
     rows: no truth set is collected, so a user with a huge history is just many rows, and only
-    their first ``k`` recommendations are ever ordered together.
+    their first ``k`` recommendations are ever ordered together. ``users_with_list`` is stated where
+    ``recommended`` holds only the users that are judged.
     """
     user = config.columns.user
     k = config.top_k if k is None else k
@@ -51,7 +53,8 @@ def ranking_metrics(recommended: DataFrame, truth: DataFrame, k: int | None = No
         F.avg(ratio(F.col("precision_sum"), reachable)).alias("map"),
         F.avg(F.col("dcg") / F.element_at(F.array(*ideal), reachable.cast("int"))).alias("ndcg"))
     with_truth = wanted_per_user.agg(F.count(F.lit(1))).scalar()
-    with_list = recommended.select(user).distinct().agg(F.count(F.lit(1))).scalar()
+    with_list = F.lit(users_with_list).cast("bigint") if users_with_list is not None else \
+        recommended.select(user).distinct().agg(F.count(F.lit(1))).scalar()
     full = judged.withColumns({"users_with_truth": with_truth, "users_with_list": with_list})
 
     def metric(name: str, out: str):

@@ -24,14 +24,16 @@ def interaction_matrix(df: DataFrame, config: Config = Config()) -> DataFrame:
 
 
 def id_ranges(*matrices: DataFrame, config: Config = Config()) -> DataFrame:
-    """Largest user and item id over all matrices, and whether 32-bit factor ids hold them."""
+    """Largest user and item id over all matrices, and whether 32-bit factor ids hold them all."""
     c = config.columns
     ids = reduce(DataFrame.unionByName, [m.select(c.user, c.category) for m in matrices])
     top = ids.agg(F.coalesce(F.max(c.user), F.lit(0)).alias("u"),
-                  F.coalesce(F.max(c.category), F.lit(0)).alias("i"))
+                  F.coalesce(F.max(c.category), F.lit(0)).alias("i"),
+                  F.coalesce(F.min(c.user), F.lit(0)).alias("u_low"),
+                  F.coalesce(F.min(c.category), F.lit(0)).alias("i_low"))
     return top.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("id"), F.col(v).cast("bigint").alias("largest"),
-                 (F.col(v) <= INT_MAX).alias("fits"))
+                 ((F.col(v) <= INT_MAX) & (F.col(f"{v}_low") >= -INT_MAX - 1)).alias("fits"))
         for name, v in ((c.user, "u"), (c.category, "i"))])))
 
 
@@ -79,11 +81,16 @@ def fit_als(matrix: DataFrame, config: Config = Config(), iterations: int | None
                                  "clicks"))
 
 
-def als_rows(model: ALSModel, k: int | None = None, config: Config = Config()) -> DataFrame:
-    """Top-k recommendations per user as (user, rank, item, score)."""
+def als_rows(model: ALSModel, k: int | None = None, config: Config = Config(),
+             users: DataFrame | None = None) -> DataFrame:
+    """Top-k recommendations per user as (user, rank, item, score).
+
+    Only users in ``users`` are scored if it is given: each costs a product with all items.
+    """
     c = config.columns
     k = config.top_k if k is None else k
-    lists = model.recommendForAllUsers(k)
+    lists = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(
+        users.select(F.col(c.user).cast("int")).distinct(), k)
     return (lists.select(F.col(c.user).cast("bigint").alias(c.user),
                          F.posexplode("recommendations").alias("pos", "r"))
             .select(c.user, (F.col("pos") + 1).alias("rank"),

@@ -46,7 +46,7 @@ _TABLES["ads"] = """
 SELECT adgroup_id, cate_id, campaign_id, customer, TRY_CAST(brand_raw AS DOUBLE) AS brand, price
 FROM raw_ads"""
 
-_TABLES["profile"] = """
+_TABLES["all_profiles"] = """
 SELECT c_custkey AS userid, c_nationkey AS cms_segid,
        CAST(1 + c_nationkey % 13 AS INTEGER) AS cms_group_id,
        CAST(1 + c_custkey % 2 AS INTEGER) AS final_gender_code,
@@ -57,7 +57,9 @@ SELECT c_custkey AS userid, c_nationkey AS cms_segid,
        CAST(c_custkey % 2 AS INTEGER) AS occupation,
        CASE WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN NULL
             ELSE CAST(1 + c_nationkey % 4 AS DOUBLE) END AS new_user_class_level
-FROM customer WHERE c_custkey % 17 <> 0"""
+FROM customer"""
+
+_TABLES["profile"] = "SELECT * FROM all_profiles WHERE userid % 17 <> 0"
 
 _TABLES["timed"] = """
 SELECT *, CAST(hour(ts_local) AS INTEGER) AS hour,
@@ -246,14 +248,14 @@ def _complete(sql: str) -> str:
 
 _SQL: dict[str, str] = {}
 
-_SQL["csv_contract_scan"] = f"SELECT userid, {', '.join(_PROFILE)} FROM profile"
+_SQL["csv_contract_scan"] = f"SELECT userid, {', '.join(_PROFILE)} FROM all_profiles"
 _SQL["schema_cast"] = "SELECT * FROM ads"
 _AUDIT = {
     "raw_sample": ("imp", [("user", "userid"), ("time_stamp",) * 2, ("adgroup_id",) * 2,
                            ("pid",) * 2, ("nonclk",) * 2, ("clk",) * 2]),
     "ad_feature": ("raw_ads", [("adgroup_id",) * 2, ("cate_id",) * 2, ("campaign_id",) * 2,
                                ("customer",) * 2, ("brand", "brand_raw"), ("price",) * 2]),
-    "user_profile": ("profile", [("userid",) * 2] + [(c, c) for c in _PROFILE]),
+    "user_profile": ("all_profiles", [("userid",) * 2] + [(c, c) for c in _PROFILE]),
 }
 _SQL["cast_audit"] = (
     "SELECT *, nulls_after - nulls_before AS created_by_cast FROM ("
@@ -263,6 +265,10 @@ _SQL["cast_audit"] = (
         + (f"count(*) FILTER (TRY_CAST({c} AS DOUBLE) IS NULL)" if c == "brand_raw"
            else f"count(*) FILTER ({c} IS NULL)") + f" AS nulls_after FROM {source}"
         for t, (source, cols) in _AUDIT.items() for name, c in cols) + ")")
+_SQL["undated_rows"] = """
+SELECT 'impressions' AS table_name, count(*) AS rows, count(*) FILTER (time_stamp IS NULL) AS undated
+FROM imp UNION ALL
+SELECT 'with_lost_times', count(*), count(*) FILTER (time_stamp IS NULL OR userid % 13 = 0) FROM imp"""
 _SQL["time_features"] = \
     "SELECT event_id, ts_utc_s, ts_local, d, hour, day_part, dow, weekend FROM timed"
 _SQL["layer_roundtrip"] = ("SELECT event_id, userid, time_stamp, adgroup_id, pid, clk, ts_local, "
@@ -292,11 +298,11 @@ FROM (
   UNION ALL SELECT 'profiles_key_unique', count(DISTINCT userid), count(*) FROM profile)"""
 _SQL["missingness_profile"] = "SELECT * FROM missing_profile"
 _SQL["imputation_decision"] = """
-SELECT *, CASE WHEN pct_null = 0 THEN 'sin_accion'
+SELECT *, CASE WHEN n_null = 0 THEN 'sin_accion'
                WHEN abs(z) > 3 THEN 'categoria_desconocido'
                WHEN pct_null <= 1 THEN 'descartar_fila' WHEN pct_null <= 5 THEN 'imputar_moda'
                ELSE 'categoria_desconocido' END AS decision,
-       CASE WHEN pct_null = 0 THEN 'nothing missing in the join' ELSE
+       CASE WHEN n_null = 0 THEN 'nothing missing in the join' ELSE
          CASE WHEN pct_null <= 1 THEN 'at most 1% missing'
               WHEN pct_null <= 5 THEN 'at most 5% missing' ELSE 'more than 5% missing' END
          || CASE WHEN abs(z) > 3 THEN '; absence is informative'
@@ -387,7 +393,8 @@ SELECT d, count(*) AS rows, {_B('sum(clk)')} AS positives,
 FROM imp GROUP BY d"""
 _SQL["leak_check_corr"] = " UNION ALL ".join(f"""
 SELECT '{c}' AS feature, {_r('r')} AS r,
-       CASE WHEN abs(r) > CAST(0.95 AS DOUBLE) THEN 'FUGA' ELSE 'OK' END AS verdict
+       CASE WHEN r IS NULL THEN 'NO SPREAD' WHEN abs(r) > CAST(0.95 AS DOUBLE) THEN 'FUGA'
+            ELSE 'OK' END AS verdict
 FROM (SELECT covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) AS r
       FROM (SELECT {c} AS x, CAST(clk AS DOUBLE) AS y FROM gold
             WHERE d <> DATE '2024-01-01' AND {c} IS NOT NULL))""" for c in _MEASURED)
@@ -459,6 +466,18 @@ SELECT {_r('b / CAST(60 AS DOUBLE)')} AS threshold, {_B('sum(n) OVER w')} AS n_c
 FROM (SELECT least(floor(p * 60), 59) AS b, count(*) AS n, sum(clk) AS k FROM scored GROUP BY 1)
 WINDOW w AS (ORDER BY b DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
+_DECIDED = "(SELECT decision FROM decided WHERE column_name = '{c}')"
+_KEPT = " AND ".join(f"NOT ({c} IS NULL AND {_DECIDED.format(c=c)} = 'descartar_fila')"
+                     for c in _PROFILE)
+_TABLES["decided"] = _SQL["imputation_decision"]
+_SQL["imputation_measured"] = (
+    "SELECT event_id, " + ", ".join(
+        f"CASE {_DECIDED.format(c=c)} WHEN 'categoria_desconocido' "
+        f"THEN coalesce(CAST({c} AS INTEGER), -1) WHEN 'imputar_moda' THEN coalesce(CAST({c} AS "
+        f"INTEGER), (SELECT CAST({c} AS INTEGER) FROM with_profile WHERE {c} IS NOT NULL AND {_KEPT} "
+        f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) ELSE CAST({c} AS INTEGER) END AS {c}"
+        for c in _PROFILE) + f" FROM with_profile WHERE {_KEPT}")
+
 _SQL["interaction_matrix"] = "SELECT * FROM clicks_train"
 _BOTH = "(SELECT * FROM clicks_train UNION ALL SELECT * FROM clicks_test)"
 _SQL["id_range_check"] = " UNION ALL ".join(

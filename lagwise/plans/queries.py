@@ -12,8 +12,8 @@ from lagwise.functions.columns import corrected_probability
 from lagwise.ml import features as feat
 from lagwise.ml import models
 from lagwise.ml.transformers import PriorCorrector, TokenEncoder
-from lagwise.operators import (enrich, fatigue, history, leakage, metrics, quality, ranking,
-                               recommend, sampling, split)
+from lagwise.operators import (enrich, fatigue, history, ingest, leakage, metrics, quality,
+                               ranking, recommend, sampling, split)
 from lagwise.operators.gold import gold_columns, gold_features
 from lagwise.operators.ingest import with_time_features
 from lagwise.plans import standins
@@ -115,7 +115,7 @@ def _with_fatigue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_contract_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles through a CSV with a dirty header (mark, trailing space, capitals, extra column)."""
     path = layers.fresh_path(spark, "profiles-csv")
-    dirty = standins.profiles(spark, sf_dir).select(
+    dirty = standins.all_profiles(spark, sf_dir).select(
         F.col("userid").alias("﻿UserID"), *CONFIG.profile_columns[:-1],
         F.col("new_user_class_level").alias("new_user_class_level "),
         F.lit("x").alias("not_declared"))
@@ -138,7 +138,7 @@ def cast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.audit_cast(
         contract.apply_contract(_as_text(clicks), contract.IMPRESSIONS),
         contract.apply_contract(_as_text(standins.raw_ads(spark, sf_dir)), contract.ADS),
-        contract.apply_contract(_as_text(standins.profiles(spark, sf_dir)), contract.PROFILES))
+        contract.apply_contract(_as_text(standins.all_profiles(spark, sf_dir)), contract.PROFILES))
 
 
 @query
@@ -208,13 +208,35 @@ def join_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missingness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.shown(_missingness(spark, sf_dir))
+
+
+def _missingness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missingness_profile(standins.impressions(spark, sf_dir),
                                        standins.profiles(spark, sf_dir), CONFIG)
 
 
 @query
 def imputation_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.imputation_decision(missingness_profile(spark, sf_dir), CONFIG)
+    return quality.shown(quality.imputation_decision(_missingness(spark, sf_dir), CONFIG))
+
+
+@query
+def imputation_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decisions that the table itself calls for, carried out on it."""
+    decided = quality.decisions_by_column(
+        quality.imputation_decision(_missingness(spark, sf_dir), CONFIG))
+    joined = enrich.with_profiles(standins.impressions(spark, sf_dir),
+                                  standins.profiles(spark, sf_dir), CONFIG)
+    return quality.apply_imputation(joined, decided).select("event_id", *CONFIG.profile_columns)
+
+
+@query
+def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impressions as they came, and with the times of one user in thirteen lost."""
+    imp = standins.impressions(spark, sf_dir).select("userid", "time_stamp")
+    lost = imp.withColumn("time_stamp", F.when(F.col("userid") % 13 != 0, F.col("time_stamp")))
+    return ingest.undated_rows(("impressions", imp), ("with_lost_times", lost), config=CONFIG)
 
 
 @query
@@ -481,9 +503,11 @@ def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def als_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _clicks(spark, sf_dir)
-    lists = recommend.als_rows(recommend.fit_als(train, CONFIG), config=CONFIG)
+    model = recommend.fit_als(train, CONFIG)
+    lists = recommend.als_rows(model, config=CONFIG, users=test)
     truth = test.select("userid", F.col("cate_id").alias("item"))
-    return ranking.ranking_metrics(lists, truth, config=CONFIG)
+    return ranking.ranking_metrics(lists, truth, config=CONFIG,
+                                   users_with_list=model.userFactors.count())
 
 
 # --- feature pipeline and models --------------------------------------------------------------------
@@ -556,8 +580,8 @@ def gbt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lr_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, test = _splits(spark, sf_dir)
-    model, rate = models.weighted_fit(train, models.experiments(CONFIG)["lr_full"], CONFIG)
-    return _test_scores(model, test, rate)
+    model, factor = models.weighted_fit(train, models.experiments(CONFIG)["lr_full"], CONFIG)
+    return models.scored(model, test, odds_factor=factor).select("event_id", SCORE)
 
 
 def _tuned(spark: SparkSession, sf_dir: str):

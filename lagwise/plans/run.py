@@ -42,7 +42,8 @@ def build_bronze(spark: SparkSession, csv: str, out: str, config: Config = Confi
     impressions = layers.build_layer(
         spark, f"{out}/impressions",
         [c.row_id, c.user, c.time, c.ad, c.slot, c.label, "ts_local", c.day, "hour", "day_part"],
-        lambda: ingest_impressions(reads["raw_sample"].typed, config), c.day, rebuild)
+        lambda: ingest_impressions(reads["raw_sample"].typed, config), c.day, rebuild,
+        repr(config))
     ads, profiles = [
         layers.build_layer(spark, f"{out}/{t.name}", t.required,
                            lambda t=t: reads[t.name].typed, rebuild=rebuild)
@@ -67,7 +68,7 @@ def build_silver(spark: SparkSession, bronze: Bronze, out: str, config: Config =
         spark, f"{out}/silver", [*config.profile_columns, "no_profile", "brand_known"],
         lambda: quality.apply_imputation(enrich.enriched(
             bronze.impressions, bronze.ads, bronze.profiles, config), decided),
-        config.columns.day, rebuild)
+        config.columns.day, rebuild, repr(config))
     layers.register_views({"silver": silver})
     return silver
 
@@ -77,7 +78,7 @@ def build_gold(spark: SparkSession, silver: DataFrame, out: str, config: Config
     """The feature layer, after the leakage gate."""
     gold = layers.build_layer(
         spark, f"{out}/gold", gold_columns(config),
-        lambda: gold_features(silver, config, origin), config.columns.day, rebuild)
+        lambda: gold_features(silver, config, origin), config.columns.day, rebuild, repr(config))
     layers.register_views({"gold": gold})
     leakage.require_leak_free(gold, config)
     return gold
@@ -131,9 +132,9 @@ def run_experiments(gold: DataFrame, config: Config = Config(),
 def run_weighted(gold: DataFrame, config: Config = Config()) -> DataFrame:
     """The linear model on every training row with class weights, judged on the test days."""
     train, _, test = split.temporal_split(gold, config)
-    model, rate = models.weighted_fit(train, models.experiments(config)["lr_full"], config)
+    model, factor = models.weighted_fit(train, models.experiments(config)["lr_full"], config)
     return _named("lr_weighted", metrics.binary_metrics(
-        models.scored(model, test, rate), config=config))
+        models.scored(model, test, odds_factor=factor), config=config))
 
 
 def run_recommendation(gold: DataFrame, config: Config = Config(), quick: bool = False
@@ -147,10 +148,11 @@ def run_recommendation(gold: DataFrame, config: Config = Config(), quick: bool =
     model = recommend.fit_als(learn, config, iterations=3 if quick else None)
     popular = ranking.list_rows(recommend.popularity_lists(truth, learn, config=config),
                                 c.user, "recommended")
+    factored = recommend.als_rows(model, config=config, users=truth)
     return reduce(DataFrame.unionByName, [
-        _named(name, ranking.ranking_metrics(rows, wanted, config=config))
-        for name, rows in (("als", recommend.als_rows(model, config=config)),
-                           ("popularity", popular))])
+        _named(name, ranking.ranking_metrics(rows, wanted, config=config, users_with_list=n))
+        for name, rows, n in (("als", factored, model.userFactors.count()),
+                              ("popularity", popular, None))])
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -51,7 +51,12 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").where("c_custkey % 17 <> 0").selectExpr(
+    """Profiles as the features meet them: one user in seventeen has none."""
+    return all_profiles(spark, sf_dir).where("userid % 17 <> 0")
+
+
+def all_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS userid", "c_nationkey AS cms_segid",
         "1 + c_nationkey % 13 AS cms_group_id",
         "CAST(1 + c_custkey % 2 AS INT) AS final_gender_code",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lagwise.errors import ContractError
 
 _OWN_FOLDER: dict[str, str] = {}
+_STAMP = "lagwise.stamp"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _OWN_FOLDER.setdefault("path", tempfile.mkdtemp(prefix="lagwise-"))
+    if "path" not in _OWN_FOLDER:
+        _OWN_FOLDER["path"] = tempfile.mkdtemp(prefix="lagwise-")
+    return _OWN_FOLDER["path"]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -47,6 +50,21 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> No
     writer.parquet(path)
 
 
+def _stamped(df: DataFrame, stamp: str) -> DataFrame:
+    """``df`` with what it was built from noted on its first column; Parquet keeps the note."""
+    first = df.columns[0]
+    return df.withMetadata(first, df.schema[first].metadata | {_STAMP: stamp})
+
+
+def is_complete(spark: SparkSession, path: str, stamp: str | None = None) -> bool:
+    """Whether a write to ``path`` was finished and, if ``stamp`` is given, was made from the same."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if not marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker):
+        return False
+    return stamp is None or any(f.metadata.get(_STAMP) == stamp
+                                for f in spark.read.parquet(path).schema.fields)
+
+
 def missing_columns(spark: SparkSession, path: str, required: Iterable[str]) -> set[str] | None:
     """Required columns the layer lacks, or None if there is no layer at ``path``."""
     try:
@@ -57,11 +75,14 @@ def missing_columns(spark: SparkSession, path: str, required: Iterable[str]) ->
 
 def build_layer(spark: SparkSession, path: str, required: Iterable[str],
                 build: Callable[[], DataFrame], partition_by: str | None = None,
-                rebuild: bool = False) -> DataFrame:
-    """Read the layer if it is there with all its columns; otherwise build, write and check it."""
+                rebuild: bool = False, stamp: str | None = None) -> DataFrame:
+    """Read the layer if it is there, finished, with all its columns and, if ``stamp`` is given,
+    built under the same one (a run's configuration); otherwise build, write and check it."""
     required = set(required)
-    if rebuild or missing_columns(spark, path, required) != set():
-        write_layer(build(), path, partition_by)
+    if rebuild or missing_columns(spark, path, required) != set() or not is_complete(
+            spark, path, stamp):
+        built = build()
+        write_layer(built if stamp is None else _stamped(built, stamp), path, partition_by)
         lost = missing_columns(spark, path, required)
         if lost != set():
             raise ContractError(f"layer {path} lacks {sorted(lost or required)} after the write")

@@ -71,11 +71,13 @@ def test_context_experiment_has_no_history():
 
 def test_weighted_fit_is_recalibrated(spark, sf_dir):
     train, _, test = split.temporal_split(q.gold_layer(spark, sf_dir), CONFIG)
-    model, rate = models.weighted_fit(train, models.experiments(CONFIG)["lr_context"], CONFIG)
-    assert rate == pytest.approx(1 / sampling.positive_weight(train).first()["weight"])
-    mean = models.scored(model, train, rate).agg(F.avg("p_calibrated")).first()[0]
-    real = train.agg(F.avg("clk")).first()[0]
-    assert 0.9 < mean / real < 1.1
+    for rows in (train, train.withColumn("clk", 1 - F.col("clk"))):  # then positives are the majority
+        model, factor = models.weighted_fit(rows, models.experiments(CONFIG)["lr_context"], CONFIG)
+        assert factor == pytest.approx(1 / sampling.positive_weight(rows).first()["weight"])
+        mean = models.scored(model, rows, odds_factor=factor).agg(F.avg("p_calibrated")).first()[0]
+        real = rows.agg(F.avg("clk")).first()[0]
+        assert 0.9 < mean / real < 1.1
+    assert factor > 1
 
 
 @pytest.fixture(scope="module")

@@ -218,7 +218,8 @@ def test_join_check_sees_duplicates_and_losses(spark):
     (1.0, 0.0, fv.DROP_ROWS), (3.0, 0.9, fv.IMPUTE_MODE), (3.0, 3.5, fv.KEEP_UNKNOWN),
     (5.0, 3.0, fv.IMPUTE_MODE), (5.1, 0.0, fv.KEEP_UNKNOWN), (40.0, None, fv.KEEP_UNKNOWN)])
 def test_imputation_rule(spark, pct, z, decision):
-    profile = spark.createDataFrame([(pct, z)], "pct_null double, z double")
+    profile = spark.createDataFrame([(pct, int(pct > 0), z)],
+                                    "pct_null double, n_null bigint, z double")
     assert quality.imputation_decision(profile).first()["decision"] == decision
 
 
