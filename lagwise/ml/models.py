@@ -190,16 +190,26 @@ def grid_table(tuned: Tuned, experiment: Experiment, like: DataFrame) -> DataFra
         rows, "experiment string, point int, params string, cv_auc_pr double, best boolean")
 
 
-def optimism_gap(tuned: Tuned, val: DataFrame, kept_rate: float, config: Config = Config()
-                 ) -> DataFrame:
+def fit_record(tuned: Tuned, like: DataFrame) -> DataFrame:
+    """One row: the search's score and winner, the number of fits, and the seconds."""
+    winner = ", ".join(f"{k}={v}" for k, v in tuned.params.items())
+    return like.sparkSession.createDataFrame(
+        [(tuned.scores[tuned.best], winner, tuned.fits, tuned.search_seconds, tuned.refit_seconds)],
+        "cv_auc_pr double, params string, fits int, search_seconds double, refit_seconds double")
+
+
+def optimism_gap(tuned: Tuned, val: DataFrame, kept_rate: float, config: Config = Config(),
+                 val_scores: DataFrame | None = None) -> DataFrame:
     """Cross-validated score minus the score on validation rows undersampled at the same rate.
 
     AUC-PR moves with prevalence, so only like is compared with like; AUC-ROC does not, and its
-    difference between the sampled and the full validation set is the control.
+    difference between the sampled and the full validation set is the control. ``val_scores`` is the
+    score table of ``val``, if there is one already.
     """
     sampled = undersample_negatives(val, config, kept_rate)
     same = auc(scored(tuned.model, sampled, kept_rate), config=config)
-    full = auc(scored(tuned.model, val, kept_rate), config=config)
+    full = auc(scored(tuned.model, val, kept_rate) if val_scores is None else val_scores,
+               config=config)
     full_roc = full.select("auc_roc").scalar()
     cv = F.lit(tuned.scores[tuned.best])
     return same.select(cv.alias("cv_auc_pr"), F.col("auc_pr").alias("val_auc_pr_sampled"),

@@ -31,7 +31,7 @@ def daily_ctr(df: DataFrame, config: Config = Config()) -> DataFrame:
     day = config.columns.day
     return daily_totals(df, [day], config).select(
         day, F.col("imp").alias("impressions"), F.col("clk").alias("clicks"),
-        F.round(100 * ratio(F.col("clk"), F.col("imp")), 6).alias("ctr_pct"))
+        F.round(100 * ratio(F.col("clk"), F.col("imp")), 6).alias("ctr_pct")).orderBy(day)
 
 
 def deferred_prior(daily: DataFrame, config: Config = Config()) -> DataFrame:

@@ -1,7 +1,8 @@
 """Evaluating a click probability, by distributed aggregation only.
 
 Everything here depends on a prediction only through its score and its label, so predictions are
-read once, into one row per distinct score; all metrics are aggregates of that table.
+read into one row per distinct score; all metrics are aggregates of that table. Given predictions, a
+metric makes the table for itself; :func:`score_table` makes one for several.
 """
 from __future__ import annotations
 
@@ -10,10 +11,7 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.functions.columns import log_loss, ratio, unpivot_rows
-
-# Scores are ranked inside this many equal slices of [0, 1]; slice totals are a table of at most
-# that many rows, whatever the size of the data.
-SCORE_SLICES = 65536
+from lagwise.sources.layers import staged
 
 
 def constant_prior(train: DataFrame, evaluate: DataFrame, config: Config = Config(),
@@ -31,24 +29,38 @@ def score_counts(pred: DataFrame, score: str = "p_calibrated",
         .groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
 
 
-def ranked(counts: DataFrame) -> DataFrame:
-    """``counts`` with the counts from the highest score down to each one, and the total.
+_TABLE = ["s", "n", "pos", "slice"]
+
+
+def score_table(pred: DataFrame, score: str = "p_calibrated", config: Config = Config()) -> DataFrame:
+    """:func:`score_counts`, written once, in slices from the highest scores down.
+
+    Slices are ranges of the scores that occur, so they are even however closely the scores lie.
+    Every metric here takes such a table in place of predictions; a run that wants several scores
+    its rows once.
+    """
+    if pred.columns == _TABLE:
+        return pred
+    parts = int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = score_counts(pred, score, config).repartitionByRange(parts, F.col("s").desc())
+    return staged(sliced.withColumn("slice", F.spark_partition_id()), "scores")
+
+
+def ranked(table: DataFrame) -> DataFrame:
+    """A score table with the counts from the highest score down to each one, and the total.
 
-    A running total over all scores would be one task. Scores are summed within slices of the
-    score range, then shifted by the totals of the higher slices.
+    A running total over all scores would be one task. Scores are summed within slices, then
+    shifted by the totals of the higher slices, a table of one row per slice.
     """
-    sliced = counts.withColumn("_slice", F.least(F.greatest(
-        F.floor(F.col("s") * SCORE_SLICES), F.lit(0)), F.lit(SCORE_SLICES)).cast("int"))
-    higher = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sliced.groupBy("_slice").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-               .select("_slice", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("_n0"),
+    higher = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (table.groupBy("slice").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+               .select("slice", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("_n0"),
                        F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("_pos0"),
                        F.sum("n").over(Window.partitionBy()).alias("n_all")))
-    within = (Window.partitionBy("_slice").orderBy(F.col("s").desc())
+    within = (Window.partitionBy("slice").orderBy(F.col("s").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = sliced.withColumns({"_n1": F.sum("n").over(within),
-                                 "_pos1": F.sum("pos").over(within)})
-    joined = summed.join(F.broadcast(offsets), "_slice")  # at most SCORE_SLICES + 1 rows
+    summed = table.withColumns({"_n1": F.sum("n").over(within), "_pos1": F.sum("pos").over(within)})
+    joined = summed.join(F.broadcast(offsets), "slice")  # one row per partition of the table
     return joined.select("s", "n", "pos", "n_all", (F.col("_n0") + F.col("_n1")).alias("n_cum"),
                          (F.col("_pos0") + F.col("_pos1")).alias("pos_cum"))
 
@@ -78,7 +90,7 @@ def _aliased(columns: dict[str, Column]) -> list[Column]:
 
 def auc(pred: DataFrame, score: str = "p_calibrated", config: Config = Config()) -> DataFrame:
     """Exact areas under the ROC and precision-recall curves, one row."""
-    sums = ranked(score_counts(pred, score, config)).agg(*_aliased(_area_sums()))
+    sums = ranked(score_table(pred, score, config)).agg(*_aliased(_area_sums()))
     return sums.select(*_aliased(_areas()))
 
 
@@ -87,7 +99,7 @@ def binary_metrics(pred: DataFrame, score: str = "p_calibrated",
     """One row: size, observed and predicted rate, log-loss, Brier, AUCs, lift, calibration."""
     s, pos = F.col("s"), F.col("pos")
     neg, one, zero = F.col("n") - pos, F.lit(1), F.lit(0)
-    sums = ranked(score_counts(pred, score, config)).agg(
+    sums = ranked(score_table(pred, score, config)).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("_pos"), F.sum(s * F.col("n")).alias("_s"),
         F.sum(pos * log_loss(one, s) + neg * log_loss(zero, s)).alias("_loss"),
         F.sum(pos * (1 - s) * (1 - s) + neg * s * s).alias("_square"), *_aliased(_area_sums()))
@@ -117,13 +129,13 @@ def sampling_effect(full: DataFrame, sampled: DataFrame, score: str = "p_calibra
         F.try_divide(F.col("sampled") - F.col("full"), F.col("full")), 6))
 
 
-def exact_quantiles(counts: DataFrame, probabilities: list[float]) -> DataFrame:
-    """One row with one column ``q0, q1, ...`` per probability, linearly interpolated.
+def exact_quantiles(table: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Of a score table: one row with one column ``q0, q1, ...`` per probability, linearly interpolated.
 
     Picks the two neighbouring order statistics out of the running counts, so nothing is sorted
     in one place and nothing is approximated.
     """
-    rows = ranked(counts)
+    rows = ranked(table)
     below = F.col("n_all") - F.col("n_cum")
 
     def at(position: Column) -> Column:
@@ -146,7 +158,7 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
     The bucket of a row is the number of cut points strictly below its score. Cut points are
     exact, or come from ``approxQuantile`` if a relative error is given.
     """
-    counts = score_counts(pred, score, config)
+    counts = score_table(pred, score, config)
     probabilities = [i / buckets for i in range(1, buckets)]
     if relative_error is None:
         names = [f"q{i}" for i in range(len(probabilities))]
@@ -155,7 +167,8 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
         cuts = [F.col(f"_cut.{name}") for name in names]
     else:
         rows = counts
-        cuts = [F.lit(v) for v in pred.approxQuantile(score, probabilities, relative_error)]
+        column = score if score in pred.columns else "s"
+        cuts = [F.lit(v) for v in pred.approxQuantile(column, probabilities, relative_error)]
     bucket = sum(((F.col("s") > v).cast("int") for v in cuts), F.lit(0))
     per_bucket = rows.withColumn("bucket", bucket).groupBy("bucket").agg(
         F.sum("n").alias("impressions"), F.sum("pos").alias("clicks"),
@@ -168,16 +181,15 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
         F.concat(F.lit("D"), from_top.cast("string")).alias("decile"),
         "impressions", "clicks", F.round(100 * rate, 6).alias("ctr_pct"),
         F.round(100 * ratio(F.col("_s"), F.col("impressions")), 6).alias("mean_score_pct"),
-        F.round(F.try_divide(rate, overall), 6).alias("lift"))
+        F.round(F.try_divide(rate, overall), 6).alias("lift")).orderBy(F.col("bucket").desc())
 
 
 def pr_curve(pred: DataFrame, score: str = "p_calibrated", points: int = 60,
              config: Config = Config()) -> DataFrame:
     """Precision and recall at evenly spaced thresholds, from one histogram of the scores."""
-    label = config.columns.label
-    bin_of = F.least(F.floor(F.col(score) * points), F.lit(points - 1)).cast("int")
-    bins = pred.groupBy(bin_of.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"))
+    bin_of = F.least(F.floor(F.col("s") * points), F.lit(points - 1)).cast("int")
+    bins = score_table(pred, score, config).groupBy(bin_of.alias("bin")).agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     down = (Window.orderBy(F.col("bin").desc())  # at most ``points`` rows
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     all_pos = F.sum("pos").over(Window.partitionBy())
@@ -185,4 +197,5 @@ def pr_curve(pred: DataFrame, score: str = "p_calibrated", points: int = 60,
     return bins.select(
         F.round(F.col("bin") / F.lit(float(points)), 6).alias("threshold"),
         n_cum.alias("n_cum"), F.round(ratio(pos_cum, n_cum), 6).alias("precision"),
-        F.round(F.coalesce(ratio(pos_cum, all_pos), F.lit(0.0)), 6).alias("recall"))
+        F.round(F.coalesce(ratio(pos_cum, all_pos), F.lit(0.0)), 6).alias("recall")).orderBy(
+        F.col("threshold").desc())

@@ -12,6 +12,7 @@ from lagwise.config import Config
 from lagwise.errors import DataQualityError
 from lagwise.functions.columns import count_where, ratio, two_proportion_z, unpivot_rows
 from lagwise.operators.enrich import sentinel
+from lagwise.sources.layers import staged
 
 
 # --- join cardinality ---------------------------------------------------------------------------
@@ -30,18 +31,22 @@ def join_cardinality(impressions: DataFrame, ads: DataFrame, profiles: DataFrame
                      config: Config = Config()) -> DataFrame:
     """What the two joins would do to the row count, and whether the dimension keys are unique.
 
-    Join sizes come from multiplying per-key counts, so a duplicated key is measured without
-    producing the duplicated rows, and a hot key is one row.
+    The first join is sized from impressions and ads per ad key, so a hot ad is one row per task.
+    The second changes that size only at users with several profiles: only their impressions, none
+    if all is well, are looked at for it.
     """
     c = config.columns
-    pairs = impressions.groupBy(c.ad, c.user).agg(F.count(F.lit(1)).alias("n"))
     ad_keys = _key_counts(ads, c.ad, "n_ad")
     user_keys = _key_counts(profiles, c.user, "n_user")
-    sizes = (pairs.join(ad_keys, c.ad, "left").join(user_keys, c.user, "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("expected"),
-        F.coalesce(F.sum(F.col("n") * F.coalesce("n_ad", F.lit(0))), F.lit(0)).alias("inner"),
-        F.coalesce(F.sum(F.col("n") * F.coalesce("n_ad", F.lit(0))
-                         * F.coalesce("n_user", F.lit(1))), F.lit(0)).alias("both")))
+    zero = F.lit(0)
+    inner = _key_counts(impressions, c.ad, "n").join(ad_keys, c.ad, "left").agg(
+        F.coalesce(F.sum("n"), zero).alias("expected"),
+        F.coalesce(F.sum(F.col("n") * F.coalesce("n_ad", zero)), zero).alias("inner"))
+    several = staged(user_keys.filter("n_user > 1"), "repeated-profiles")
+    more = impressions.select(c.ad, c.user).join(several, c.user).groupBy(c.ad).agg(
+        F.sum(F.col("n_user") - 1).alias("more")).join(ad_keys, c.ad).agg(
+        F.coalesce(F.sum(F.col("more") * F.col("n_ad")), zero)).scalar()
+    sizes = inner.withColumn("both", F.col("inner") + more)
     joins = sizes.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("check"), F.col(rows).alias("rows"),
                  (F.col(rows) - F.col("expected")).alias("delta"),

@@ -5,11 +5,12 @@ import math
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.errors import DataQualityError
+from lagwise.sources.layers import staged
 
 INT_MAX = 2_147_483_647
 # Factor blocks grow with the matrix, so a block always fits a task.
@@ -43,6 +44,23 @@ def require_int_ids(*matrices: DataFrame, config: Config = Config()) -> None:
         raise DataQualityError(f"ids beyond 32 bits, index them first: {too_big}")
 
 
+def id_index(df: DataFrame, column: str) -> DataFrame:
+    """(id, index): dense numbers from 0 in order of id, for ids that do not fit 32 bits.
+
+    Distinct ids are dealt by ranges and numbered inside each; a range starts where those before
+    it end, which one row per range tells. Written before that, so all parts see the same ranges.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("id")).distinct()
+    dealt = staged(ids.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()), "ids")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("id")) - 1
+    return dealt.withColumn("inside", inside).join(F.broadcast(starts), "part").select(
+        "id", (F.col("start") + F.col("inside")).alias("index"))
+
+
 def popularity_topk(matrix: DataFrame, k: int | None = None,
                     config: Config = Config()) -> DataFrame:
     """The k most clicked items: (rank, item, clicks); the smaller id wins a tie."""

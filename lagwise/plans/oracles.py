@@ -504,6 +504,11 @@ FROM (SELECT userid, max(wanted) AS wanted, sum(hit) AS found,
             LEFT JOIN clicks_test t ON t.userid = u.userid AND t.cate_id = popular.item)
       GROUP BY userid)"""
 
+_SQL["popularity_metrics"] = _SQL["ranking_metrics"]
+_SQL["id_index"] = """
+SELECT id, row_number() OVER (ORDER BY id) - 1 AS index
+FROM (SELECT DISTINCT l_orderkey AS id FROM lineitem)"""
+
 _SQL["token_encode"] = (
     "SELECT event_id, " + ", ".join(
         f"coalesce(CAST({c} AS VARCHAR), 'DESCONOCIDO') AS {c}_cat" for c in _PROFILE)
@@ -513,15 +518,12 @@ SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER)
 FROM (SELECT coalesce(CAST(new_user_class_level AS VARCHAR), 'DESCONOCIDO') AS label,
              count(*) AS n FROM with_profile GROUP BY 1)"""
 _REJECTED = (
-    ("brand", "NULLs made by the cast, not by the source; only the known-value flag is used"),
-    ("nonclk", "complement of the label in the same row"),
-    ("adgroup_id (history)",
-     "entity-day table too large for its value; the campaign contains it"),
-    ("cms_segid", "many unbalanced levels, redundant with cms_group_id"),
-    ("ts_local / time_stamp",
-     "an identifier of the moment; enters as hour, weekday, part of day"),
-    ("userid / adgroup_id (as category)",
-     "too many levels to encode; enter through their history"),
+    ("brand", "unknown for the rows whose text is no number; the flag of a known brand stands for it"),
+    ("nonclk", "the outcome itself, written the other way round"),
+    ("adgroup_id (history)", "its campaign carries the same history in far fewer rows per day"),
+    ("cms_segid", "cms_group_id says the same with fewer, fuller levels"),
+    ("ts_local / time_stamp", "no moment comes back; hour, weekday and part of day do"),
+    ("userid / adgroup_id (as category)", "one slot per id would be the vector; their past is used"),
 )
 _SQL["feature_registry"] = " UNION ALL ".join(
     [f"SELECT '{c}' AS feature, '{kind}' AS kind, 'accepted' AS status, '' AS reason, "

@@ -494,6 +494,21 @@ def ranking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranking_metrics(lists, truth, config=CONFIG)
 
 
+@query
+def popularity_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shared list judged on the test users, without a copy of it per user."""
+    train, test = _clicks(spark, sf_dir)
+    truth = test.select("userid", F.col("cate_id").alias("item"))
+    return ranking.shared_list_metrics(recommend.popularity_topk(train, config=CONFIG), truth,
+                                       config=CONFIG)
+
+
+@query
+def id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense numbers for the order keys of all order lines."""
+    return recommend.id_index(standins.table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 @query
 def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = recommend.fit_als(_clicks(spark, sf_dir)[0], CONFIG)

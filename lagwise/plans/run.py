@@ -5,6 +5,7 @@
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -104,37 +105,69 @@ def run_experiments(gold: DataFrame, config: Config = Config(),
     rate = sampling.effective_rate(train, config)
     learn = sampling.undersample_negatives(train, config)
     catalogue = models.experiments(config)
-    chosen = [catalogue[n] for n in (only or catalogue)]
-    judged = [_named("baseline_prior", metrics.binary_metrics(
-        metrics.constant_prior(train, test, config), config=config))]
     tables: dict[str, list[DataFrame]] = {k: [] for k in (
-        "grid", "deciles", "pr_curve", "weights", "optimism", "sampling_effect")}
-    for experiment in chosen:
+        "metrics", "fits", "grid", "deciles", "pr_curve", "weights", "optimism",
+        "sampling_effect")}
+    for name, days in (("val", val), ("test", test)):
+        tables["metrics"].append(_named("baseline_prior", _judged(name, metrics.score_table(
+            metrics.constant_prior(train, days, config), config=config), config)))
+    for experiment in [catalogue[n] for n in (only or catalogue)]:
         e = experiment.quick() if quick else experiment
         tuned = models.tune(learn, e, replace(config, folds=2) if quick else config,
                             search_fraction=1.0 if quick else None)
-        scored = models.scored(tuned.model, test, rate)
-        sampled = models.scored(
-            tuned.model, sampling.undersample_negatives(test, config, rate), rate)
-        judged.append(_named(e.name, metrics.binary_metrics(scored, config=config)))
-        tables["grid"].append(models.grid_table(tuned, e, gold))
+        # The rows of each day set are scored once; all that is said about them comes from these.
+        on_val, on_test, sampled = [
+            metrics.score_table(models.scored(tuned.model, rows, rate), config=config)
+            for rows in (val, test, sampling.undersample_negatives(test, config, rate))]
         for name, df in (
-                ("deciles", metrics.score_deciles(scored, config=config)),
-                ("pr_curve", metrics.pr_curve(scored, config=config)),
+                ("metrics", _judged("val", on_val, config)),
+                ("metrics", _judged("test", on_test, config)),
+                ("fits", models.fit_record(tuned, gold)),
+                ("deciles", metrics.score_deciles(on_test, config=config)),
+                ("pr_curve", metrics.pr_curve(on_test, config=config)),
                 ("weights", feat.feature_weights(tuned.model, test)),
-                ("optimism", models.optimism_gap(tuned, val, rate, config)),
-                ("sampling_effect", metrics.sampling_effect(scored, sampled, config=config))):
+                ("optimism", models.optimism_gap(tuned, val, rate, config, on_val)),
+                ("sampling_effect", metrics.sampling_effect(on_test, sampled, config=config))):
             tables[name].append(_named(e.name, df))
-    tables["metrics"] = judged
+        tables["grid"].append(models.grid_table(tuned, e, gold))
     return {name: reduce(DataFrame.unionByName, parts) for name, parts in tables.items()}
 
 
+def _judged(days: str, scores: DataFrame, config: Config) -> DataFrame:
+    """All single-number metrics of one set of days, the lift of the top bucket among them."""
+    top = metrics.score_deciles(scores, config=config).filter("decile = 'D1'").select("lift").scalar()
+    return metrics.binary_metrics(scores, config=config).select(
+        F.lit(days).alias("days"), "*", top.alias("d1_lift"))
+
+
+def best_experiment(judged: DataFrame) -> str:
+    """The name of the model with the largest area under precision-recall on the test days."""
+    models_only = judged.filter("days = 'test' AND experiment <> 'baseline_prior'")
+    return models_only.orderBy(F.col("auc_pr").desc(), "experiment").first()["experiment"]
+
+
 def run_weighted(gold: DataFrame, config: Config = Config()) -> DataFrame:
-    """The linear model on every training row with class weights, judged on the test days."""
+    """The linear model on every training row with class weights, judged on the test days.
+
+    Stated beside it: the undersampled fit of the same model, the seconds of both, and what the
+    weights cost and bring.
+    """
     train, _, test = split.temporal_split(gold, config)
-    model, factor = models.weighted_fit(train, models.experiments(config)["lr_full"], config)
-    return _named("lr_weighted", metrics.binary_metrics(
-        models.scored(model, test, odds_factor=factor), config=config))
+    experiment = models.experiments(config)["lr_full"]
+    rows, seconds, scores = [], {}, {}
+    for name, fit in (("lr_weighted", models.weighted_fit), ("lr_undersampled", models.undersampled_fit)):
+        start = time.perf_counter()
+        model, number = fit(train, experiment, config)
+        seconds[name] = time.perf_counter() - start
+        rated = {"odds_factor": number} if name == "lr_weighted" else {"kept_rate": number}
+        table = metrics.score_table(models.scored(model, test, **rated), config=config)
+        rows.append(_named(name, _judged("test", table, config)).withColumn(
+            "fit_seconds", F.lit(seconds[name])))
+    both = reduce(DataFrame.unionByName, rows)
+    base = rows[1].select(F.col("auc_pr").alias("_pr"), F.col("fit_seconds").alias("_s"))
+    return both.crossJoin(F.broadcast(base)).select(  # one row
+        *both.columns, (F.col("auc_pr") - F.col("_pr")).alias("delta_auc_pr"),
+        F.try_divide("fit_seconds", "_s").alias("time_ratio"))
 
 
 def run_recommendation(gold: DataFrame, config: Config = Config(), quick: bool = False
@@ -146,13 +179,12 @@ def run_recommendation(gold: DataFrame, config: Config = Config(), quick: bool =
     recommend.require_int_ids(learn, truth, config=config)
     wanted = truth.select(c.user, F.col(c.category).alias("item"))
     model = recommend.fit_als(learn, config, iterations=3 if quick else None)
-    popular = ranking.list_rows(recommend.popularity_lists(truth, learn, config=config),
-                                c.user, "recommended")
-    factored = recommend.als_rows(model, config=config, users=truth)
-    return reduce(DataFrame.unionByName, [
-        _named(name, ranking.ranking_metrics(rows, wanted, config=config, users_with_list=n))
-        for name, rows, n in (("als", factored, model.userFactors.count()),
-                              ("popularity", popular, None))])
+    factored = ranking.ranking_metrics(
+        recommend.als_rows(model, config=config, users=truth), wanted, config=config,
+        users_with_list=model.userFactors.count())
+    popular = ranking.shared_list_metrics(
+        recommend.popularity_topk(learn, config=config), wanted, config=config)
+    return _named("als", factored).unionByName(_named("popularity", popular))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -188,9 +220,10 @@ def main(argv: list[str] | None = None) -> None:
         reports["weighted"] = run_weighted(gold, config)
     if args.learning_curve:
         train, val, _ = split.temporal_split(gold, config)
+        best = best_experiment(reports["metrics"])
         reports["learning_curve"] = models.learning_curve(
             sampling.undersample_negatives(train, config), val,
-            models.experiments(config)["lr_full"], sampling.effective_rate(train, config),
+            models.experiments(config)[best], sampling.effective_rate(train, config),
             (0.25, 1.0) if args.quick else (0.1, 0.25, 0.5, 1.0), config)
     if not args.no_als:
         reports["ranking"] = run_recommendation(gold, config, args.quick)

@@ -113,7 +113,14 @@ def test_whole_run(spark, csv_folder, tmp_path):
     assert train.select("d").distinct().count() == 5 and val.count() > 0 and test.count() > 0
     assert "franja" in run.published(gold).columns
     reports = run.run_experiments(gold, config, only=["lr_context"], quick=True)
-    judged = {r["experiment"]: r for r in reports["metrics"].collect()}
+    rows = reports["metrics"].collect()
+    assert {(r["experiment"], r["days"]) for r in rows} == {
+        (name, days) for name in ("baseline_prior", "lr_context") for days in ("val", "test")}
+    assert all(r["d1_lift"] > 0 for r in rows)
+    assert run.best_experiment(reports["metrics"]) == "lr_context"
+    record = reports["fits"].first()
+    assert record["fits"] == 3 and record["refit_seconds"] > 0 and record["params"]
+    judged = {r["experiment"]: r for r in rows if r["days"] == "test"}
     assert judged["baseline_prior"]["auc_pr"] == judged["baseline_prior"]["observed"]
     assert 0.3 < judged["lr_context"]["calibration_bias"] < 3.0
     assert reports["deciles"].count() > 1 and reports["weights"].count() == 25

@@ -454,7 +454,7 @@ def test_deciles(spark):
 
 
 def test_exact_quantiles_interpolate(spark):
-    counts = metrics.score_counts(_pred(spark, [.1, .2, .2, .4], [0, 0, 0, 0]))
+    counts = metrics.score_table(_pred(spark, [.1, .2, .2, .4], [0, 0, 0, 0]))
     row = metrics.exact_quantiles(counts, [0.0, 0.25, 0.5, 0.9, 1.0]).first()
     assert [round(v, 10) for v in row] == [0.1, 0.175, 0.2, 0.34, 0.4]
 

@@ -6,7 +6,7 @@ from lagwise import fixed_values as fv
 from lagwise.config import Config
 from lagwise.errors import DataQualityError
 from lagwise.functions.columns import correlation
-from lagwise.operators import fatigue, history, ingest, leakage, quality, recommend
+from lagwise.operators import fatigue, history, ingest, leakage, metrics, quality, recommend
 from lagwise.plans.standins import STANDIN_CONFIG as CONFIG
 from lagwise.sources import contract, layers
 
@@ -137,3 +137,33 @@ def test_only_finished_layers_of_the_same_configuration_are_reused(spark, tmp_pa
     (tmp_path / "layer" / "_SUCCESS").unlink()
     layers.build_layer(spark, path, ["id"], build, stamp="b")
     assert len(built) == 3
+
+
+def test_slices_follow_the_scores(spark):
+    """All scores below 1e-4: no slice holds more than an eighth of them (and some slack)."""
+    pred = spark.range(200_000).select(
+        ((F.xxhash64("id") % 1_000_000 + 1_000_000) / 2e10).alias("p_calibrated"),
+        (F.col("id") % 50 == 0).cast("int").alias("clk"))
+    table = metrics.score_table(pred)
+    sizes = [r["count"] for r in table.groupBy("slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.3 * sum(sizes) / 8
+    assert metrics.score_table(table) is table
+    assert metrics.binary_metrics(table).first() == metrics.binary_metrics(pred).first()
+
+
+def test_id_index_is_dense_beyond_32_bits(spark):
+    ids = spark.range(5000).select((F.col("id") * 7_000_000_001 - 10**13).alias("u"))
+    got = recommend.id_index(ids.unionByName(ids), "u").orderBy("id").collect()
+    assert [r["index"] for r in got] == list(range(5000))
+    assert [r["id"] for r in got] == sorted(r["u"] for r in ids.collect())
+
+
+def test_several_profiles_are_counted_without_pairs(spark):
+    imp = spark.createDataFrame([(1, 10), (1, 10), (2, 10), (2, 11), (None, 11), (3, 99)],
+                                "userid bigint, adgroup_id bigint")
+    ads = spark.createDataFrame([(10,), (11,), (11,)], "adgroup_id bigint")
+    users = spark.createDataFrame([(1,), (1,), (1,), (2,)], "userid bigint")
+    rows = {r["check"]: r["rows"] for r in quality.join_cardinality(imp, ads, users).collect()}
+    joined = imp.join(ads, "adgroup_id")
+    assert rows["inner_ads"] == joined.count() == 7
+    assert rows["inner_ads_left_profiles"] == joined.join(users, "userid", "left").count()
