@@ -138,7 +138,7 @@ class Automaton:
                          if p & mask != words.number.get(END)}
         self.arcs = {w: (math.log10(p), state_of_word.get(w, 0)) for w, p in enumerate(root)}
         self.fail: dict[int, tuple[float, int]] = {}
-        seen = {_BEGIN: texts} | dict(enumerate(words.counts))
+        seen = {_BEGIN: max(1, texts)} | dict(enumerate(words.counts))
         follow: dict[int, list[tuple[int, int]]] = {}
         for pair, n in pairs.items():
             follow.setdefault(pair >> _SHIFT, []).append((pair & mask, n))
