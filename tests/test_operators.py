@@ -116,7 +116,8 @@ def test_time_features_do_not_depend_on_the_session_zone(spark):
 
 
 def test_row_id_comes_from_the_content(spark):
-    df = spark.createDataFrame([(1, 10, 5, "a", 0), (1, 10, 5, "a", 1), (1, 10, 5, "a", 0)],
+    """From all of it but the outcome: rows that differ in nothing else share an id."""
+    df = spark.createDataFrame([(1, 10, 5, "a", 0), (1, 10, 5, "a", 1), (1, 10, 5, "b", 0)],
                                "user bigint, time_stamp bigint, adgroup_id bigint, pid string, "
                                "clk int")
     ids = [r["event_id"] for r in ingest_impressions(df).collect()]

@@ -146,7 +146,8 @@ def test_slices_follow_the_scores(spark):
         (F.col("id") % 50 == 0).cast("int").alias("clk"))
     table = metrics.score_table(pred)
     sizes = [r["count"] for r in table.groupBy("slice").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 1.3 * sum(sizes) / 8
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) == parts and max(sizes) < 1.3 * sum(sizes) / parts
     assert metrics.score_table(table) is table
     assert metrics.binary_metrics(table).first() == metrics.binary_metrics(pred).first()
 
