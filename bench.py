@@ -80,6 +80,7 @@ def main() -> None:
     timed("learning_curve", lambda: models.learning_curve(
         learn, val, catalogue["lr_full"], rate, config=CONFIG))
     timed("als", lambda: run.run_recommendation(gold, CONFIG))
+    q.volume_layer(spark, sf_dir)  # set-up of two queries, not timed by itself
     for name in QUERIES:
         timed(name, lambda name=name: q.queries()[name](spark, sf_dir))
     total = time.perf_counter() - start
