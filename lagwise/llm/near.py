@@ -11,8 +11,9 @@ Candidates are confirmed on the full shingle sets.
 A link of similarity 0.75 has fewer than 30 of 64 collisions with a probability of about 1e-6.
 
 Not all pairs of a group are made. Documents with equal shingle sets are one class. Each list first
-meets only its smallest member; only classes that are still in different components after that meet
-each other. Components need no more, and no link between different components is lost.
+meets only two of its members; classes that are still in different components after that meet each
+other in their rarest shingles. Components need no more, and no link between different components is
+lost.
 
 Defined results: NULL text, or text without words: no shingles, linked with nothing. A NULL id is
 linked with nothing; its component is NULL and it is kept. Rows with equal ids are linked by their
@@ -44,7 +45,7 @@ _MIX = np.random.default_rng(20240501)
 _PLACE = _MIX.integers(1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _MIX.integers(1 << 63, size=(COORDINATES, 1), dtype=np.uint64)
 _TURN = _MIX.integers(1 << 63, size=(COORDINATES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORD_HASHES = ChunkCache(xxhash.xxh64_intdigest)
+_WORD_HASHES = ChunkCache(xxhash.xxh64_intdigest, 1 << 16)
 
 
 def shingles(text: str) -> np.ndarray:
@@ -163,30 +164,70 @@ def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         _collisions(F.col("s_a"), F.col("s_b")) >= LEAST)).select("a", "b"), "candidates")
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between class representatives: enough of them for the components."""
-    lists = prefixes(classes)
-    heads = staged(lists.groupBy("key").agg(F.min("rep").alias("b")), "heads")
-    stars = lists.join(heads, "key").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    first = confirmed(docs, _candidates(stars, classes))
-    label = components(first)
+def _rare_prefixes(sets: DataFrame) -> DataFrame:
+    """(rep, gram, n_shingles, short) of the shingles in which a set is met by others.
 
+    Shingles are ordered from rare to common. Similar sets share so much that the rarest quarter
+    of the larger one meets the rarest seventh of the smaller one (``short``); shingles that occur
+    in one set come first in this order and meet nothing.
+    """
+    grams = sets.select("rep", F.size("shingles").alias("n_shingles"),
+                        F.explode("shingles").alias("gram"))
+    common = staged(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "grams")
+    size, shared = F.col("n_shingles"), F.size("l")
+    # Overlap of at least 3/4 of the larger set, and 6/7 of the smaller one.
+    quarter = size - F.ceil(size * SIMILARITY / 100).cast("int") + 1 - (size - shared)
+    seventh = size - F.ceil(size * (2 * SIMILARITY) / (100 + SIMILARITY)).cast("int") + 1 - (
+        size - shared)
+    lists = staged(grams, "set-grams").join(common, "gram").groupBy("rep", "n_shingles").agg(
+        F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("l"))
+    return lists.select("rep", "n_shingles", F.posexplode(
+        F.slice("l", F.lit(1), F.greatest(quarter, F.lit(0)))).alias("at", "p"),
+        seventh.alias("seventh")).select(
+        "rep", "n_shingles", "p.gram", (F.col("at") < F.col("seventh")).alias("short"))
+
+
+def _across(docs: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components that can still be links.
+
+    Only members of posting lists with several components are looked at. Their lists are long
+    where many texts share a passage, and pairs of such texts would be very many, so they meet in
+    their rarest shingles instead, which for texts with enough of their own are not the passage.
+    """
     known = staged(lists.join(label, lists["rep"] == label["v"], "left").select(
         "key", "rep", F.coalesce("label", "rep").alias("label")), "labelled")
     mixed = staged(known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .filter("low <> high").select("key"), "mixed")
-    open_ = known.join(mixed, "key", "left_semi").join(
-        classes.select("rep", "n_shingles", "signature"), "rep")
-    open_ = staged(open_.select("key", "rep", "label", "n_shingles", "signature"), "open")
-    a, b = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in open_.columns if c != "key"))
+    reps = staged(known.join(mixed, "key", "left_semi").select(
+        F.col("rep").alias("doc_id"), "label").distinct(), "open")
+    sets = shingle_sets(bitmap.only_ids(docs, "doc_id", reps)).withColumnRenamed("doc_id", "rep")
+    met = _rare_prefixes(staged(sets, "open-sets")).join(
+        reps.select(F.col("doc_id").alias("rep"), "label"), "rep")
+    met = staged(met.select("gram", "rep", "label", "n_shingles", "short"), "met-grams")
+    several = staged(met.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                     .filter("low <> high").select("gram"), "mixed-grams")
+    met = staged(met.join(several, "gram", "left_semi"), "met-grams")
+    a, b = (met.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in met.columns if c != "gram"))
             for s in "ab")
-    across = a.join(b, (a["key"] == b["key"]) & (F.col("rep_a") < F.col("rep_b"))
-                    & (F.col("label_a") != F.col("label_b"))
-                    & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b"))
-                    & (_collisions(F.col("signature_a"), F.col("signature_b")) >= LEAST))
-    pairs = staged(across.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(),
-                   "across")
-    return first.unionByName(confirmed(docs, pairs))
+    smaller = (F.col("n_shingles_a") < F.col("n_shingles_b")) | (
+        (F.col("n_shingles_a") == F.col("n_shingles_b")) & (F.col("rep_a") < F.col("rep_b")))
+    pairs = a.filter("short_a").join(b, "gram").filter(
+        smaller & (F.col("label_a") != F.col("label_b"))
+        & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b")))
+    return staged(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(),
+                  "across")
+
+
+def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between class representatives: enough of them for the components."""
+    lists = prefixes(classes)
+    heads = staged(lists.groupBy("key").agg(
+        F.min("rep").alias("low"), F.min_by("rep", F.xxhash64("rep")).alias("any")), "heads")
+    stars = lists.join(heads, "key").select(
+        F.col("rep").alias("a"), F.explode(F.array("low", "any")).alias("b")).filter("a <> b").distinct()
+    first = confirmed(docs, _candidates(stars, classes))
+    pairs = _across(docs, lists, components(first))
+    return first.unionByName(confirmed(docs, _candidates(pairs, classes)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
