@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from lagwise.llm.common import id_type, pick, slices
-from lagwise.llm.tokens import BYTE_CHUNKS, ChunkCache, read_spec
+from lagwise.llm.tokens import SpacedChunks, packed_ids, read_spec
 
 #: Fixed value: the published word pattern of this kind of vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -91,7 +91,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.compatible: dict[tuple[int, int], bool] = {}
         self._edges: tuple[dict, dict] = ({}, {})
-        self.cache = ChunkCache(self._chunk)
+        self.values = SpacedChunks(self._whole, _joined)
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, int]]:
         """The tokens that lie at one end of ``token`` while it is merged, oldest first, each with
@@ -164,25 +164,29 @@ class Encoder:
                 left = tried.pop()
         return out
 
-    def _chunk(self, chunk: str) -> tuple[int, str, bytes]:
+    def _whole(self, chunk: str) -> tuple[int, str, bytes]:
         ids = [i for w in WORDS.findall(chunk) for i in self.word(w.encode())]
-        return len(ids), ",".join(map(str, ids)), np.asarray(ids, dtype="<u4").tobytes()
+        return len(ids), ",".join(map(str, ids)), packed_ids(ids)
 
     def text(self, text: str) -> list[tuple[int, str, bytes]]:
         """(number, decimal ids, 32-bit ids) of each chunk in turn."""
-        cache = self.cache
         if not any(t in text for t in self.v.added):
-            return [cache[c] for c in BYTE_CHUNKS.findall(text)]
+            return self.values(text)
         out = []
         for part in re.split("(" + "|".join(map(re.escape, self.v.added)) + ")", text):
             if part in self.v.added:
                 i = self.v.added[part]
-                out.append((1, str(i), np.asarray([i], dtype="<u4").tobytes()))
+                out.append((1, str(i), packed_ids([i])))
             else:
-                out += [cache[c] for c in BYTE_CHUNKS.findall(part)]
+                out += self.values(part)
         return out
 
 
+def _joined(values: list[tuple[int, str, bytes]]) -> tuple[int, str, bytes]:
+    sizes, spelled, raw = zip(*values)
+    return sum(sizes), ",".join(spelled), b"".join(raw)
+
+
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.block = np.frombuffer(b"".join(vocabulary.tokens), dtype=np.uint8)

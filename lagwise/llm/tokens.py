@@ -8,8 +8,7 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+import struct
 
 #: The Unicode property White_Space, which `\\s` means to the tokenizers.
 WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -17,21 +16,22 @@ WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u200
 #: A word with at most one space before it, or white space that no word takes.
 BYTE_CHUNKS = re.compile(
     f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+BETWEEN_SPACE = re.compile(f"[{WHITE_SPACE}] [{WHITE_SPACE}]")
 WORD_CHUNKS = re.compile(f"[^{WHITE_SPACE}]+")
 #: Chunks that a worker remembers in each of two generations, and the longest that it does.
-REMEMBERED, LONGEST = 1 << 17, 64
+REMEMBERED, LONGEST = 1 << 19, 64
 
 
 class ChunkCache(dict):
     """chunk -> what ``make`` gives for it.
 
-    When ``REMEMBERED`` chunks are in, they become the old generation, from which a chunk that is
+    When ``most`` chunks are in, they become the old generation, from which a chunk that is
     seen again comes back; the old generation before that is forgotten.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, most: int | None = None):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most or REMEMBERED
         self.old: dict = {}
 
     def __missing__(self, chunk):
@@ -39,17 +39,81 @@ class ChunkCache(dict):
         if value is None:
             value = self.make(chunk)
         if len(chunk) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[chunk] = value
         return value
 
 
+def words_of(text: str) -> list[str]:
+    """Runs without white space; str.split is faster, but also splits at four control characters."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return WORD_CHUNKS.findall(text)
+    return text.split()
+
+
+def stem_and_mark(chunk: str) -> tuple[str, str] | None:
+    """A chunk of letters (a space may come first) and one mark as these two; the patterns of these
+    tokenizers always cut between letters and marks."""
+    if chunk and chunk[-1] in ".,;:!?|" and chunk[:-1].lstrip(" ").isalpha():
+        return chunk[:-1], chunk[-1]
+    return None
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def added_tokens(spec: str) -> list[str]:
     return [t["content"] for t in json.loads(spec)["added_tokens"]]
 
 
+def vocabulary_size(spec: str) -> int:
+    data = json.loads(spec)
+    return 1 + max([*data["model"]["vocab"].values(), *(t["id"] for t in data["added_tokens"])])
+
+
+class SpacedChunks:
+    """Values of the byte-level chunks of a text, each value made once while it is remembered.
+
+    A text is split at spaces, which is faster than by a pattern: a space always starts a chunk,
+    unless it has white space on both sides. Other white space is cut out of the parts that hold
+    it. ``whole`` gives the value of a chunk, ``joined`` the value of several in a row.
+    """
+
+    def __init__(self, whole, joined):
+        self.whole, self.joined = whole, joined
+        self.start = ChunkCache(self._start)  # chunk
+        self.after = ChunkCache(self._after)  # part of a text that follows a space
+
+    def _start(self, chunk: str):
+        parts = stem_and_mark(chunk)
+        if parts:
+            return self.joined([self.start[parts[0]], self.start[parts[1]]])
+        return self.whole(chunk)
+
+    def _after(self, part: str):
+        parts = stem_and_mark(part)
+        if parts:
+            return self.joined([self.after[parts[0]], self.start[parts[1]]])
+        chunks = BYTE_CHUNKS.findall(" " + part)
+        if len(chunks) == 1:
+            return self.whole(chunks[0])
+        return self.joined([self.after[c[1:]] if c[0] == " " and len(c) > 1 else self.start[c]
+                            for c in chunks])
+
+    def __call__(self, text: str) -> list:
+        if BETWEEN_SPACE.search(text):
+            start = self.start
+            return [start[c] for c in BYTE_CHUNKS.findall(text)]
+        first, *parts = text.split(" ")
+        after = self.after
+        out = [after[p] for p in parts]
+        return [self.start[c] for c in BYTE_CHUNKS.findall(first)] + out
+
+
 class TextEncoder:
     """Whole texts to ids, for tokenizers that keep (byte level) or drop white space.
 
@@ -64,20 +128,35 @@ class TextEncoder:
         self._library.no_truncation()
         self._library.no_padding()
         self._added = added_tokens(spec)
-        byte_level = (json.loads(spec).get("pre_tokenizer") or {}).get("type") == "ByteLevel"
-        self._chunks = (BYTE_CHUNKS if byte_level else WORD_CHUNKS).findall
-        self._cache = ChunkCache(self._whole)
+        data = json.loads(spec)
+        if (data.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
+            self._values = SpacedChunks(self._whole, b"".join)
+        else:
+            self._lower = '"Lowercase"' in json.dumps(data.get("normalizer"))
+            self._words = ChunkCache(self._word)
+            self._values = self._word_values
 
     def _whole(self, text: str) -> bytes:
-        ids = self._library.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return packed_ids(self._library.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, chunk: str) -> bytes:
+        """A new word from known parts, if a mark follows it or it has capitals."""
+        parts = stem_and_mark(chunk)
+        if parts:
+            return self._words[parts[0]] + self._words[parts[1]]
+        if self._lower and chunk.isascii() and chunk != (small := chunk.lower()):
+            return self._words[small]
+        return self._whole(chunk)
+
+    def _word_values(self, text: str) -> list[bytes]:
+        words = self._words
+        return [words[c] for c in words_of(text)]
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if any(t in text for t in self._added):
             return self._whole(text)
-        cache = self._cache
-        return b"".join([cache[c] for c in self._chunks(text)])
+        return b"".join(self._values(text))
 
 
 _ENCODERS: dict[int, TextEncoder] = {}
