@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagwise.llm.common import pick, slices
-from lagwise.llm.tokens import encoder, read_spec
+from lagwise.llm.tokens import encoder, read_spec, vocabulary_size
 from lagwise.sources.layers import fresh_path, staged
 
 MAGIC, HEADER = b"LRA1", struct.Struct("<4s6I")
-LANES, GAP = 512, 128
+LANES, GAP = 1024, 128
 SCALE = 20  # frequencies add up to 2**SCALE
 LOW = np.uint64(1 << 31)
-BLOCK_IDS = 1 << 17
+BLOCK_IDS = 1 << 18
 
 
 class Table:
@@ -146,13 +146,13 @@ class Block:
         return ids
 
 
-def _counts(encoded: DataFrame) -> np.ndarray:
+def _counts(encoded: DataFrame, width: str) -> np.ndarray:
     """How often each id occurs; what reaches the driver is one row per id of the vocabulary."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in slices(batches):
             for raw in batch.column(0).to_pylist():
-                more = np.bincount(np.frombuffer(raw, "<u4"), minlength=len(total))
+                more = np.bincount(np.frombuffer(raw, width), minlength=len(total))
                 more[:len(total)] += total
                 total = more
         seen = np.flatnonzero(total)
@@ -178,18 +178,20 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     path = path or fresh_path(spark, "token-ids")
     end = np.asarray([end_id], dtype="<u4").tobytes()
+    # What is staged and shuffled takes two bytes per id if the vocabulary allows.
+    width = "<u2" if max(end_id, vocabulary_size(spec.value) - 1) < 1 << 16 else "<u4"
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(spec.value)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0),
-                 pa.array([encode(t) + end for t in batch.column(1).to_pylist()], pa.binary())],
-                names=["doc_id", "ids"])
+            ids = [np.frombuffer(encode(t) + end, "<u4").astype(width).tobytes()
+                   for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
+                                             names=["doc_id", "ids"])
 
     rows = pick(docs, id_col, text_col)
     encoded = staged(rows.mapInArrow(tokenise, "doc_id long, ids binary"), "ids")
-    counts = _counts(encoded)
+    counts = _counts(encoded, width)
     spark.createDataFrame([(counts.tolist(),)], "counts array<long>").write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast(counts)
 
@@ -211,7 +213,7 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
                 if doc_id is None:
                     raise ValueError("a document without an id has no place in the order")
                 names.append(doc_id)
-                held.append(np.frombuffer(raw, "<u4"))
+                held.append(np.frombuffer(raw, width))
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield block()
