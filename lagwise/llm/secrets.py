@@ -178,9 +178,9 @@ def spans_of(text: Column, rule: Rule, rank: int, asked: Column | None = None) -
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """(doc_id, gram): the inverted index, restricted to the trigrams that queries ask for."""
-    text = F.lower("text")
-    held = F.array_compact(F.array(*(F.when(F.contains(text, F.lit(g)), F.lit(g)) for g in grams)))
-    return docs.select("doc_id", F.explode(held).alias("gram"))
+    low = docs.select("doc_id", F.lower("text").alias("low"))
+    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams)))
+    return low.select("doc_id", F.explode(held).alias("gram"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
