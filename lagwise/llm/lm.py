@@ -1,15 +1,15 @@
-"""Scores of texts under a language model that is a weighted backoff automaton.
+"""Scores of texts under a backoff model of all words, pairs and triples that are repeated.
 
-States are contexts: the root, frequent words and frequent word pairs. An arc reads a token, adds
-its discounted log probability and leads to the longest context that the token ends. A state
-without an arc for a token takes its failure arc: its backoff weight, and the next shorter context.
-The root has an arc for every token there is, so a text is scored in one traversal from left to
-right.
+A pair or triple is kept if it occurs ``LEAST`` times in the training texts, whatever these weigh.
+Words, pairs and triples live in written tables, of any size.
 
-Word counts cover all training tokens; they live in a table, of any size. The automaton holds what
-is frequent: a word, pair or triple has to make up a stated share of all training tokens, so there
-are at most 1 / share of each, and it can be sent to every task. Root arcs of rarer words are looked
-up in the table of counts by a join.
+A kept n-gram has one value: what it adds to the score of a text over what its shorter parts add,
+and the backoff weight of a context is added wherever the context occurs. A text's score is so the
+sum of its words' log probabilities and of the values of the kept n-grams in it, in any order. The
+``HOT`` most frequent values are sent to every task. Of the other n-grams of a text, a filter of
+fixed size rules out most that are not kept; what it lets through is joined with the values.
+
+Words, pairs and triples are known by 64-bit hashes in these tables; word counts are exact.
 
 The probability of a token t in context h with kept continuations K(h), c(h) occurrences and the
 discount D: (c(h t) - D) / c(h) if t is in K(h), else weight(h) * P(t | shorter h), with the weight
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +35,18 @@ from pyspark.sql import functions as F
 from lagwise.llm.common import id_type, pick, slices
 from lagwise.sources.layers import staged
 
-#: Least shares of all training tokens: of words with an arc at the root, of words that are
-#: contexts or follow one, and of pairs and triples.
-ARC_SHARE, CONTEXT_SHARE, GRAM_SHARE = 1 / 2**19, 1 / 2**15, 1 / 2**18
+#: Least count of a kept pair or triple.
+LEAST = 2
+#: Shares of all training tokens from which words are numbered and pairs broadcast in joins: at most
+#: 1 / share of them, all others are joined. HOT: how many values every task gets at most.
+ARC_SHARE, GRAM_SHARE, HOT = 1 / 2**19, 1 / 2**18, 1 << 20
 DISCOUNT = 0.5
 END = b""
 _SHIFT = 20
 _BEGIN = (1 << _SHIFT) - 1  # context before the first token; no word has this number
 _FLUSH = 200_000
+_FILTER_BITS, _BUCKET_BITS = 28, 15  # bitmap_construct_agg fills 32,768 bits
+_HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -78,52 +83,153 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Words:
-    """Numbers of the frequent words, the most frequent first; ``contexts`` is how many of them
-    are contexts."""
+    """Numbers of the frequent words, the most frequent first."""
 
-    def __init__(self, counts: list[tuple[bytes, int]], total: int):
+    def __init__(self, counts: list[tuple[bytes, int]]):
         ordered = sorted(counts, key=lambda wc: (-wc[1], wc[0]))
         self.number = {w: i for i, (w, _) in enumerate(ordered)}
         self.counts = [n for _, n in ordered]
-        self.contexts = sum(n >= total * CONTEXT_SHARE for n in self.counts)
-
-    def numbered(self, text: str) -> np.ndarray:
-        """Numbers of the tokens that are contexts, -1 for others, after the begin."""
-        get, most = self.number.get, self.contexts
-        found = np.asarray([_BEGIN, *(get(w, most) for w in tokens(text))], dtype=np.int64)
-        return np.where((found < most) | (found == _BEGIN), found, -1)
-
-
-def _gram_counts(texts: DataFrame, keys_of) -> DataFrame:
-    """(gram, n) of the keys that ``keys_of`` finds in each text."""
+        self.hashes = np.asarray([xxhash.xxh64_intdigest(w) for w, _ in ordered], dtype=np.uint64)
+
+
+class Tokens:
+    """The tokens of some texts one after another: their hashes with a begin before each text, the
+    text of each, and numbers of the frequent words (-1: the begin or another word, see ``rare``)."""
+
+    def __init__(self, texts: list[str], words: Words):
+        get, flat, self.lengths, self.rare = words.number.get, [], [], []
+        places, hashes = [], []
+        for text in texts:
+            found = tokens(text)
+            flat.append(-1)
+            places.append(len(flat) - 1)
+            hashes.append(_HASH_OF_BEGIN)
+            numbers = [get(w, -1) for w in found]
+            rare = [i for i, k in enumerate(numbers) if k < 0]
+            places.extend(len(flat) + i for i in rare)
+            hashes.extend(xxhash.xxh64_intdigest(found[i]) for i in rare)
+            self.rare.append(Counter(found[i] for i in rare))
+            flat.extend(numbers)
+            self.lengths.append(len(found))
+        self.numbers = np.asarray(flat, dtype=np.int64)
+        self.hashes = (words.hashes[self.numbers] if len(words.hashes)
+                       else np.zeros(len(flat), dtype=np.uint64))
+        self.hashes[places] = np.asarray(hashes, dtype=np.uint64)
+        self.text = np.repeat(np.arange(len(texts)), np.asarray(self.lengths, dtype=np.int64) + 1)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of neighbours, whether both are of one text, and whether the next pair is as well."""
+        one = self.text[:-1] == self.text[1:]
+        return _key(self.hashes[:-1], self.hashes[1:], 1), one, one[:-1] & one[1:]
+
+
+def _key(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(salt))
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(29)
+
+
+def _longs(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64), pa.int64())
+
+
+def _gram_counts(texts: DataFrame, parts_of, salt: int) -> DataFrame:
+    """(key, a, b, n) of the n-grams with at least ``LEAST`` occurrences; ``parts_of`` gives the
+    keys of the two parts of each n-gram of some texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        left, right, size = [], [], 0
 
         def rows() -> pa.RecordBatch:
-            grams, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(n, pa.int64())],
-                                              names=["gram", "n"])
-
-        for text in _texts(batches):
-            held.append(keys_of(text))
-            size += len(held[-1])
-            if size >= 5 * _FLUSH:
+            a, b = np.concatenate(left), np.concatenate(right)
+            _, at, n = np.unique(_key(a, b, salt), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([_longs(a[at]), _longs(b[at]), pa.array(n, pa.int64())],
+                                              names=["a", "b", "n"])
+
+        for batch in slices(batches, 256):
+            a, b = parts_of(batch.column(0).to_pylist())
+            left.append(a)
+            right.append(b)
+            size += len(a)
+            if size >= 10 * _FLUSH:
                 yield rows()
-                held, size = [], 0
-        if held:
+                left, right, size = [], [], 0
+        if left:
             yield rows()
 
-    return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _frequent(counted: DataFrame, total: int) -> dict[int, int]:
-    """Grams with enough of all tokens: at most 1 / GRAM_SHARE of them."""
-    rows = counted.filter(F.col("n") >= max(2, math.ceil(total * GRAM_SHARE))).collect()
-    return {r["gram"]: r["n"] for r in rows}
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([_longs(_key(a, b, salt)), *batch.columns],
+                                             names=["key", "a", "b", "n"])
+
+    counted = texts.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    return counted.mapInArrow(keyed, "key long, a long, b long, n long")
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys' upper ``_FILTER_BITS`` bits: of fixed size, whatever the table is."""
+    place = F.shiftrightunsigned("key", 64 - _FILTER_BITS)
+    found = keys.select(place.alias("p")).groupBy(F.shiftright("p", _BUCKET_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("p").bitwiseAND((1 << _BUCKET_BITS) - 1)).alias("bits")).toArrow()
+    bits = np.zeros((1 << _FILTER_BITS - _BUCKET_BITS, 1 << _BUCKET_BITS - 3), dtype=np.uint8)
+    for bucket, row in zip(found["bucket"].to_pylist(), found["bits"].to_pylist()):
+        bits[bucket] = np.frombuffer(row, dtype=np.uint8)
+    return bits.reshape(-1)
+
+
+def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - _FILTER_BITS)
+    return bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
+
+
+class Hot:
+    """Values by key in two tables of slots; of keys with the same slot, the most frequent stays,
+    the others go to the second table or are left out."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, n: np.ndarray):
+        order = np.argsort(n, kind="stable")  # of equal slots, the last one written stays
+        keys, values = keys[order], values[order]
+        self.bits = max(4, int(len(keys)).bit_length() + 1)
+        self.tables = []
+        for turn in (0, 32):
+            held, value = np.zeros(1 << self.bits, dtype=np.uint64), np.zeros(1 << self.bits)
+            slot = self._slot(keys, turn)
+            held[slot], value[slot] = keys, values
+            self.tables.append((turn, held, value))
+            lost = held[slot] != keys
+            keys, values = keys[lost], values[lost]
+
+    def _slot(self, keys: np.ndarray, turn: int) -> np.ndarray:
+        return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 if there is none), and whether the key is here. Key 0 is not used."""
+        values, found = np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
+        open_ = np.arange(len(keys))
+        for turn, held, value in self.tables:
+            slot = self._slot(keys[open_], turn)
+            hit = held[slot] == keys[open_]
+            values[open_[hit]], found[open_[hit]] = value[slot[hit]], True
+            open_ = open_[~hit]
+        return values, found
+
+
+def _attached(rows: DataFrame, key: str, table: DataFrame, hot) -> DataFrame:
+    """``rows`` (written) with the columns of ``table`` (written; it has every key): keys with
+    ``hot``, of which there are few, by a broadcast, so that no task gets all rows of one key."""
+    own = rows.columns
+    met = rows.join(F.broadcast(table.filter(hot).withColumn("hot", F.lit(True))), key, "left")
+    return met.filter("hot").drop("hot").unionByName(
+        met.filter(F.col("hot").isNull()).select(*own).join(table.filter(~hot), key))
 
 
 class Automaton:
-    """``arcs``: state << 20 | word -> (log10 probability, next state); ``fail``: state ->
+    """The model of a small corpus in memory: states are the root, words and kept pairs; a state
+    without an arc for a token takes its failure arc to the next shorter context.
+
+    ``arcs``: state << 20 | word -> (log10 probability, next state); ``fail``: state ->
     (log10 backoff weight, next shorter state). State 0 is the root."""
 
     def __init__(self, words: Words, total: int, distinct: int, pairs: dict[int, int],
@@ -131,8 +237,8 @@ class Automaton:
         bottom = total + distinct + 1
         mask = (1 << _SHIFT) - 1
         root = [(n + 1) / bottom for n in words.counts]
-        state_of_word = {w: 1 + w for w in range(words.contexts)} | {_BEGIN: 1 + words.contexts}
-        self.start = 1 + words.contexts
+        state_of_word = {w: 1 + w for w in range(len(words.counts))} | {_BEGIN: 1 + len(words.counts)}
+        self.start = 1 + len(words.counts)
         ordered = sorted(pairs)
         state_of_pair = {p: self.start + 1 + i for i, p in enumerate(ordered)
                          if p & mask != words.number.get(END)}
@@ -187,87 +293,168 @@ class Automaton:
 
 
 class Model:
-    """Word counts (a written table), their totals, and the automaton over what is frequent."""
+    """Written tables: word counts, kept ``pairs`` and ``triples`` with their counts, ``values``."""
 
     def __init__(self, texts: DataFrame):
         spark = texts.sparkSession
         self.counts = staged(word_counts(texts), "words")
         sums = self.counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                                F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("e")).first()
-        self.total, self.distinct = sums["n"] or 0, sums["v"]
-        least = max(2, math.ceil(self.total * ARC_SHARE))
+        self.total, self.distinct, self.texts = sums["n"] or 0, sums["v"], sums["e"] or 0
+        self.least = max(2, math.ceil(self.total * ARC_SHARE))
         self.words = Words([(bytes(r["word"]), r["n"]) for r in
-                            self.counts.filter(F.col("n") >= least).collect()], self.total)
-        words = spark.sparkContext.broadcast(self.words)
-
-        def pairs_of(text: str) -> np.ndarray:
-            found = words.value.numbered(text)
-            a, b = found[:-1], found[1:]
-            return (a << _SHIFT | b)[(a >= 0) & (b >= 0)]
-
-        pairs = _frequent(_gram_counts(texts, pairs_of), self.total)
-        kept = spark.sparkContext.broadcast(np.asarray(sorted(pairs), dtype=np.int64))
-
-        def triples_of(text: str) -> np.ndarray:
-            # A frequent triple consists of two frequent pairs.
-            found, known = words.value.numbered(text), kept.value
-            if len(found) < 3 or not len(known):
-                return np.zeros(0, dtype=np.int64)
-            pair = found[:-1] << _SHIFT | found[1:]
-            at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-            good = (known[at] == pair) & (found[:-1] >= 0) & (found[1:] >= 0)
-            both = good[:-1] & good[1:]
-            return (at[:-1] << _SHIFT | found[2:])[both]
-
-        triples = _frequent(_gram_counts(texts, triples_of), self.total)
-        self.automaton = Automaton(self.words, self.total, self.distinct, pairs, triples,
-                                   sums["e"] or 0)
+                            self.counts.filter(F.col("n") >= self.least).collect()])
+        self.shared_words = spark.sparkContext.broadcast(self.words)
+        words = self.shared_words
+
+        def pairs_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = Tokens(some, words.value)
+            one = found.text[:-1] == found.text[1:]
+            return found.hashes[:-1][one], found.hashes[1:][one]
+
+        self.pairs = staged(_gram_counts(texts, pairs_of, 1), "pairs")
+        kept = spark.sparkContext.broadcast(_filter(self.pairs))
+
+        def triples_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # A repeated triple consists of two repeated pairs.
+            pair, one, both = Tokens(some, words.value).pairs()
+            good = _may_hold(kept.value, pair) & one
+            both &= good[:-1] & good[1:]
+            return pair[:-1][both], pair[1:][both]
+
+        self.triples = staged(_gram_counts(texts, triples_of, 2), "triples")
+        kept.destroy()
+        self.values = staged(self._valued(), "values")
+
+    def _valued(self) -> DataFrame:
+        """(key, n, value) of context words, kept pairs and kept triples."""
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = np.asarray([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()],
+                                   dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([_longs(found), batch.column(1)], names=["h", "m"])
+
+        begin = self.counts.sparkSession.range(1).select(
+            F.lit(_HASH_OF_BEGIN).cast("long").alias("h"), F.lit(max(1, self.texts)).cast("long").alias("m"))
+        words = staged(self.counts.mapInArrow(hashed, "h long, m long").unionByName(begin), "hashes")
+        bottom, used = float(self.total + self.distinct + 1), F.col("n") - DISCOUNT
+        frequent = F.col("m") >= self.least
+        frequent_pair = F.col("m") >= max(LEAST, math.ceil(self.total * GRAM_SHARE))
+
+        def weight(seen: str):
+            return F.log10((1 - F.col("used") / F.col(seen)) / (1 - F.col("lower")))
+
+        ending = staged(_attached(self.pairs, "b", words.withColumnRenamed("h", "b"), frequent).select(
+            "key", "a", "n", ((F.col("m") + 1) / bottom).alias("p1")), "pair-ends")
+        contexts = staged(ending.groupBy("a").agg(F.sum(used).alias("used"), F.sum("p1").alias("lower"))
+                          .join(words.withColumnRenamed("h", "a"), "a")
+                          .select("a", "m", weight("m").alias("weight")), "contexts")
+        pairs = staged(_attached(ending, "a", contexts, frequent).select(
+            "key", "n", (used / F.col("m")).alias("p2"),
+            (F.log10(used / F.col("m")) - F.col("weight") - F.log10("p1")).alias("value")), "pair-values")
+        ending = staged(_attached(self.triples, "b", pairs.select(
+            F.col("key").alias("b"), F.col("n").alias("m"), "p2"), frequent_pair).select(
+            "key", "a", "n", "p2"), "triple-ends")
+        over = staged(ending.groupBy("a").agg(F.sum(used).alias("used"), F.sum("p2").alias("lower"))
+                      .join(pairs.select(F.col("key").alias("a"), F.col("n").alias("m")), "a")
+                      .select("a", "m", weight("m").alias("weight")), "pair-contexts")
+        triples = _attached(ending, "a", over, frequent_pair).select(
+            "key", "n", (F.log10(used / F.col("m")) - F.col("weight") - F.log10("p2")).alias("value"))
+        weights = over.select(F.col("a").alias("key"), "weight")
+        return contexts.select(F.col("a").alias("key"), F.col("m").alias("n"),
+                               F.col("weight").alias("value")).unionByName(
+            pairs.join(weights, "key", "left").select(
+                "key", "n", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value"))
+        ).unionByName(triples)
+
+    def _hot(self) -> Hot:
+        """The most frequent values, at most ``HOT``."""
+        size = F.floor(8 * F.log2("n"))
+        sizes = self.values.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k")).collect()
+        least, held = None, 0
+        for r in sorted(sizes, key=lambda r: -r["size"]):
+            held += r["k"]
+            if held > HOT:
+                break
+            least = r["size"]
+        found = self.values.filter(F.lit(False) if least is None else size >= least).toArrow()
+        return Hot(found["key"].to_numpy().view(np.uint64), found["value"].to_numpy(),
+                   found["n"].to_numpy())
+
+    @property
+    def automaton(self) -> Automaton:
+        """The model in memory, to look into it; only of texts whose repeated words are all numbered."""
+        if self.least > LEAST:
+            raise ValueError("the training texts are too large for an automaton in memory")
+        number = {int(h): i for i, h in enumerate(self.words.hashes.view(np.int64))} | {
+            _HASH_OF_BEGIN: _BEGIN}
+        rows = self.pairs.collect()
+        pair = {r["key"]: number[r["a"]] << _SHIFT | number[r["b"]] for r in rows}
+        place = {p: i for i, p in enumerate(sorted(pair.values()))}
+        triples = {place[pair[r["a"]]] << _SHIFT | pair[r["b"]] & (1 << _SHIFT) - 1: r["n"]
+                   for r in self.triples.collect()}
+        return Automaton(self.words, self.total, self.distinct,
+                         {pair[r["key"]]: r["n"] for r in rows}, triples, self.texts)
 
     def score(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_tokens, n_known, base_score, score of (doc_id, text)."""
-        shared = docs.sparkSession.sparkContext.broadcast((self.words, self.automaton))
+        shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(self.values)))
+        shared_words = self.shared_words
         bottom = float(self.total + self.distinct + 1)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, automaton = shared.value
-            number = words.number
-            logs = [math.log10((n + 1) / bottom) for n in words.counts]
+            words, (hot, kept) = shared_words.value, shared.value
+            logs = np.log10((np.asarray([*words.counts, 0], dtype=np.float64) + 1) / bottom)
+            logs[-1] = 0.0  # of the begin, and of words that are joined
             row = TaskContext.get().partitionId() << 40
-            for batch in slices(batches):
-                sizes, bases, scores, rare, times = [], [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    found = tokens(text)
-                    numbers = [number.get(w, -1) for w in found]
-                    others = Counter(w for w, i in zip(found, numbers) if i < 0)
-                    sizes.append(len(found))
-                    bases.append(math.fsum(logs[i] for i in numbers if i >= 0))
-                    scores.append(automaton.traverse(numbers))
-                    rare.append(list(others.keys()))
-                    times.append(list(others.values()))
+            for batch in slices(batches, 256):
                 n = batch.num_rows
+                found = Tokens(batch.column(1).to_pylist(), words)
+                base = np.bincount(found.text, logs[found.numbers], n)
+                pair, one, both = found.pairs()
+                keys = np.concatenate([found.hashes[:-1][one], pair[one],
+                                       _key(pair[:-1], pair[1:], 2)[both]])
+                text = np.concatenate([found.text[:-1][one], found.text[:-1][one],
+                                       found.text[:-2][both]])
+                values, here = hot.look_up(keys)
+                gain = np.bincount(text, values, n)
+                left = np.flatnonzero(~here)
+                left = left[_may_hold(kept, keys[left])]
+                left = left[np.argsort(text[left], kind="stable")]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(text[left], minlength=n))])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(row, row + n), pa.int64()), batch.column(0),
-                     pa.array(sizes, pa.int64()), pa.array(bases, pa.float64()),
-                     pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                     pa.array(times, pa.list_(pa.int64()))],
-                    names=["row", "doc_id", "n_tokens", "base", "part", "rare", "times"])
+                     pa.array(found.lengths, pa.int64()), pa.array(base, pa.float64()),
+                     pa.array(gain, pa.float64()),
+                     pa.array([list(c.keys()) for c in found.rare], pa.list_(pa.binary())),
+                     pa.array([list(c.values()) for c in found.rare], pa.list_(pa.int64())),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _longs(keys[left]))],
+                    names=["row", "doc_id", "n_tokens", "base", "gain", "rare", "times", "grams"])
                 row += n
 
         part = staged(docs.mapInArrow(
-            work, f"row long, doc_id {id_type(docs)}, n_tokens long, base double, part double, "
-                  "rare array<binary>, times array<long>"), "traversed")
+            work, f"row long, doc_id {id_type(docs)}, n_tokens long, base double, gain double, "
+                  "rare array<binary>, times array<long>, grams array<long>"), "looked-up")
         rare = part.select("row", F.inline(F.arrays_zip("rare", "times"))).join(
             self.counts, F.col("rare") == F.col("word"), "left")
         log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(bottom))
-        rest = rare.groupBy("row").agg(
-            F.sum(log * F.col("times")).alias("log"), F.sum("times").alias("rare"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
-        zero = F.lit(0)
-        return part.drop("rare", "times").join(rest, "row", "left").select(
+        of_words = rare.select(
+            "row", (log * F.col("times")).alias("log"), F.lit(0.0).alias("more"), "times",
+            F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"))
+        of_grams = part.select("row", F.explode("grams").alias("key")).join(
+            self.values, "key").select("row", F.lit(0.0).alias("log"), F.col("value").alias("more"),
+                                       F.lit(0).cast("long").alias("times"),
+                                       F.lit(0).cast("long").alias("known"))
+        rest = of_words.unionByName(of_grams).groupBy("row").agg(
+            F.sum("log").alias("log"), F.sum("more").alias("more"), F.sum("times").alias("rare"),
+            F.sum("known").alias("known"))
+        zero, none = F.lit(0), F.lit(0.0)
+        base = F.col("base") + F.coalesce("log", none)
+        return part.drop("rare", "times", "grams").join(rest, "row", "left").select(
             "doc_id", "n_tokens",
             (F.col("n_tokens") - F.coalesce("rare", zero) + F.coalesce("known", zero)).alias("n_known"),
-            (F.col("base") + F.coalesce("log", F.lit(0.0))).alias("base_score"),
-            (F.col("part") + F.coalesce("log", F.lit(0.0))).alias("score"))
+            base.alias("base_score"),
+            (base + F.col("gain") + F.coalesce("more", none)).alias("score"))
 
 
 def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id",

@@ -1,5 +1,6 @@
 """Defined results on awkward rows, and brute-force versions on the small table."""
 import collections
+import functools
 import hashlib
 import itertools
 import math
@@ -247,6 +248,74 @@ def test_scores_against_brute_force(spark, sf_dir, docs):
     assert model > base
 
 
+def backoff_scores(train, texts, least):
+    """Discounted backoff scores by plain dictionaries."""
+    def toks(text):
+        return ["<begin>", *(text or "").encode().lower().split(), b""]
+
+    grams = [collections.Counter() for _ in range(3)]
+    for text in train:
+        w = toks(text)
+        for k in range(3):
+            grams[k].update(tuple(w[i:i + k + 1]) for i in range(len(w) - k))
+    n = sum(c for g, c in grams[0].items() if g != ("<begin>",))
+    v = len(grams[0]) - 1
+    kept = [{g: c for g, c in grams[k].items() if c >= least} for k in (1, 2)]
+    follow = collections.defaultdict(list)
+    for table in kept:
+        for g in table:
+            follow[g[:-1]].append(g[-1])
+
+    def p(context, w):
+        if not context:
+            return (grams[0][(w,)] + 1) / (n + v + 1)
+        if len(context) == 2 and context not in kept[0]:
+            return p(context[1:], w)
+        seen = grams[len(context) - 1][context]
+        if context + (w,) in kept[len(context) - 1]:
+            return (kept[len(context) - 1][context + (w,)] - lm.DISCOUNT) / seen
+        return weight(context) * p(context[1:], w)
+
+    @functools.cache
+    def weight(context):
+        seen, words = grams[len(context) - 1][context], follow.get(context, ())
+        used = sum(kept[len(context) - 1][context + (x,)] - lm.DISCOUNT for x in words)
+        return (1 - used / seen) / (1 - sum(p(context[1:], x) for x in words)) if words else 1.0
+
+    for text in texts:
+        w = toks(text)
+        yield sum(math.log10(p(tuple(w[max(0, i - 2):i]), w[i])) for i in range(1, len(w)))
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 50, 0])
+def test_scores_equal_a_model_of_all_repeated_grams(spark, sf_dir, docs, hot, monkeypatch):
+    monkeypatch.setattr(lm, "HOT", hot)
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
+    want = backoff_scores([r["text"] for i, r in docs.items() if not out[i]],
+                          [r["text"] for r in docs.values()], 2)
+    got = {r["doc_id"]: r["score"] for r in queries.op3_lm_scoring(spark, sf_dir).collect()}
+    for i, score in zip(docs, want):
+        assert math.isclose(got[i], score, rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_kept_grams_grow_with_the_input(spark):
+    def repeated(sf):
+        texts = [r["text"] for r in documents(spark, f"/root/testdata/{sf}").select("text").collect()]
+        pairs, triples = collections.Counter(), collections.Counter()
+        for text in texts:
+            w = ["<begin>", *(text or "").encode().lower().split(), b""]
+            pairs.update(zip(w, w[1:]))
+            triples.update(zip(w, w[1:], w[2:]))
+        return [sum(c >= 2 for c in g.values()) for g in (pairs, triples)]
+
+    sizes = []
+    for sf in ("sf0.01", "sf0.1"):
+        model = lm.Model(pick(documents(spark, f"/root/testdata/{sf}"), "doc_id", "text").select("text"))
+        sizes.append([model.pairs.count(), model.triples.count()])
+        assert sizes[-1] == repeated(sf)
+    assert sizes[1][0] > 2 * sizes[0][0] and sizes[1][1] > 2 * sizes[0][1]
+
+
 def test_every_state_is_a_distribution(spark, sf_dir):
     model = lm.Model(pick(documents(spark, sf_dir), "doc_id", "text").select("text"))
     counts = {bytes(r["word"]): r["n"] for r in model.counts.collect()}
