@@ -14,7 +14,7 @@ from lagwise.sources.layers import staged
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter, and texts of which no language has half of the words."""
+    """Rejects texts without a letter, and texts whose words no language explains."""
     return language.keep_identified(docs, language.train(docs.select("doc_id", "text", "lang")))
 
 

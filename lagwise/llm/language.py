@@ -274,8 +274,9 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
 
 def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.5,
                     text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, without texts that are undetermined or whose language has a share of
-    less than ``least``. Rows are filtered where they are: nothing is joined or shuffled."""
+    """``docs``, all columns, without texts that have no letters or whose words no language explains:
+    of a word's best language the mean probability is below ``least``, so a text may mix languages.
+    Without labelled rows, all texts with letters stay. Rows are filtered where they are."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     place = docs.columns.index(text_col)
     key = uuid.uuid4().int
@@ -287,12 +288,13 @@ def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.5,
             _CACHES[key] = model.cache()
         for batch in slices(batches, 256):
             texts = [words_of(t or "") for t in batch.column(place).to_pylist()]
-            good = np.zeros(len(texts), dtype=bool)
-            some = np.flatnonzero([bool(words) and model is not None for words in texts])
-            if len(some):
+            good = np.asarray([bool(words) for words in texts], dtype=bool)
+            some = np.flatnonzero(good)
+            if len(some) and model is not None:
                 lengths = np.asarray([len(texts[i]) for i in some])
                 posterior = model.posteriors([texts[i] for i in some], _CACHES[key])
-                good[some] = _by_document(posterior, lengths).max(axis=1) >= least
+                best = posterior.max(axis=1, keepdims=True)
+                good[some] = _by_document(best, lengths)[:, 0] >= least
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(work, docs.schema)

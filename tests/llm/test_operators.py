@@ -494,6 +494,25 @@ def test_held_out_accuracy_and_switches(spark):
     assert all(out[i]["lang_pred"] == "und" and out[i]["score"] == 0 for i in (2, 3, 4))
 
 
+def test_language_filter_keeps_mixed_text(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    field = language.train(docs.select("doc_id", "text", "lang"))
+    words = {lang: [w for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").limit(20).collect()
+                    for w in (r["text"] or "").split()] for lang in field.languages[:3]}
+    mixed = " ".join(w for share, lang in zip((80, 70, 50), words) for w in words[lang][:share])
+    more = spark.createDataFrame([(1, mixed, None, "s", 1), (2, "12 34 ?", "en", "s", 1)], cases.SCHEMA)
+    assert language.predict(more.filter("doc_id = 1"), field).first()["score"] < 0.5
+    assert [r["doc_id"] for r in language.keep_identified(more, field).collect()] == [1]
+
+
+def test_language_filter_without_labels_keeps_texts_with_letters(awkward):
+    bare = awkward.withColumn("lang", F.lit(None).cast("string"))
+    assert language.train(bare.select("doc_id", "text", "lang")) is None
+    want = [r for r in bare.collect() if language.words_of(r["text"] or "")]
+    got = language.keep_identified(bare, None).collect()
+    assert len(want) > 5 and sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_language_filter_keeps_rows_as_they_are(awkward):
     field = language.train(awkward.select("doc_id", "text", "lang"))
     kept = language.keep_identified(cases.crowded(awkward), field)
