@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from lagwise.llm import bitmap
 from lagwise.llm.common import id_type, pick, slices
@@ -96,13 +97,27 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(rep, shingles): the set of each text, and the class it names."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+                [pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                names=["rep", "shingles"])
 
-    return docs.mapInArrow(work, f"doc_id {id_type(docs)}, shingles array<long>")
+    return docs.mapInArrow(work, "rep binary, shingles array<long>")
+
+
+def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, shingles) of the ``wanted`` classes (rep, written): one text of each is read.
+
+    An id can have several texts; only those of a wanted class stay.
+    """
+    ids = staged(wanted.join(classes.select("rep", "doc_id"), "rep").select("doc_id").distinct(),
+                 "wanted-ids")
+    sets = shingle_sets(bitmap.only_ids(docs, "doc_id", ids))
+    return staged(sets, "read-sets").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def _posted(classes: DataFrame) -> DataFrame:
@@ -137,17 +152,17 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
     Only texts whose id passes the filter of all wanted ids are read into sets.
     """
-    wanted = staged(pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
-    sets = staged(shingle_sets(bitmap.only_ids(docs, "doc_id", wanted)), "sets")
-    both = staged(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")),
+    wanted = staged(pairs.select(F.col("a").alias("rep")).unionByName(
+        pairs.select(F.col("b").alias("rep"))).distinct(), "wanted")
+    sets = staged(class_sets(docs, classes, wanted), "sets")
+    both = staged(pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")),
                              "a"), "left-sets").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+        sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return staged(both.filter(100 * common >= SIMILARITY * (F.size("x") + F.size("y") - common))
                   .select("a", "b"), "links")
@@ -187,7 +202,7 @@ def _rare_prefixes(sets: DataFrame) -> DataFrame:
         "rep", "n_shingles", "p.gram", (F.col("at") < F.col("seventh")).alias("short"))
 
 
-def _across(docs: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
+def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components that can still be links.
 
     Only members of posting lists with several components are looked at. Their lists are long
@@ -198,11 +213,9 @@ def _across(docs: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
         "key", "rep", F.coalesce("label", "rep").alias("label")), "labelled")
     mixed = staged(known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .filter("low <> high").select("key"), "mixed")
-    reps = staged(known.join(mixed, "key", "left_semi").select(
-        F.col("rep").alias("doc_id"), "label").distinct(), "open")
-    sets = shingle_sets(bitmap.only_ids(docs, "doc_id", reps)).withColumnRenamed("doc_id", "rep")
-    met = _rare_prefixes(staged(sets, "open-sets")).join(
-        reps.select(F.col("doc_id").alias("rep"), "label"), "rep")
+    reps = staged(known.join(mixed, "key", "left_semi").select("rep", "label").distinct(), "open")
+    sets = class_sets(docs, classes, reps)
+    met = _rare_prefixes(staged(sets, "open-sets")).join(reps, "rep")
     met = staged(met.select("gram", "rep", "label", "n_shingles", "short"), "met-grams")
     several = staged(met.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                      .filter("low <> high").select("gram"), "mixed-grams")
@@ -225,33 +238,59 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         F.min("rep").alias("low"), F.min_by("rep", F.xxhash64("rep")).alias("any")), "heads")
     stars = lists.join(heads, "key").select(
         F.col("rep").alias("a"), F.explode(F.array("low", "any")).alias("b")).filter("a <> b").distinct()
-    first = confirmed(docs, _candidates(stars, classes))
-    pairs = _across(docs, lists, components(first))
-    return first.unionByName(confirmed(docs, _candidates(pairs, classes)))
+    first = confirmed(docs, classes, _candidates(stars, classes))
+    pairs = _across(docs, classes, lists, components(first))
+    return first.unionByName(confirmed(docs, classes, _candidates(pairs, classes)))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row."""
-    docs = pick(docs, id_col, text_col)
+def _decided(docs: DataFrame) -> DataFrame:
+    """doc_id, set_key, n_shingles, component_id, kept of (doc_id, text)."""
     rows = staged(sketches(docs), "sketches")
     some = rows.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = staged(some.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"),
+    # An id may have several texts, so a class is named by its set and not by an id.
+    classes = staged(some.groupBy(F.col("set_key").alias("rep")).agg(
+        F.min("doc_id").alias("doc_id"),
         F.min_by(F.struct("n_shingles", "signature"), "doc_id").alias("of")
-    ).select("set_key", "rep", "of.*"), "classes")
+    ).select("rep", "doc_id", "of.*"), "classes")
     label = components(links(docs, classes))
-    named = staged(classes.select("set_key", "rep").join(
+    joined = staged(classes.select("rep", "doc_id").join(
         label, F.col("rep") == label["v"], "left").select(
-        "set_key", F.coalesce("label", "rep").alias("label")), "class-labels")
+        F.col("rep").alias("set_key"), "doc_id", F.coalesce("label", "rep").alias("group")), "groups")
+    named = staged(joined.join(joined.groupBy("group").agg(F.min("doc_id").alias("label")), "group")
+                   .select("set_key", "label"), "class-labels")
     found = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(
         F.coalesce("label", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"),
+    return found.select("doc_id", "set_key", "n_shingles", component.alias("component_id"),
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row."""
+    return _decided(pick(docs, id_col, text_col)).drop("set_key")
+
+
+def _with_class(rows: DataFrame, text_col: str) -> DataFrame:
+    """(doc_id, row) with the class of the row's text."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingles(t) for t in batch.column(2).to_pylist()]
+            keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.binary())],
+                                             names=["doc_id", "row", "set_key"])
+
+    text = F.coalesce(F.col("row").getField(text_col), F.lit("")).alias("text")
+    return rows.select("doc_id", "row", text).mapInArrow(work, StructType(
+        [*rows.schema.fields, StructField("set_key", BinaryType())]))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, all columns kept."""
-    gone = staged(near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select("doc_id"),
-                  "near-copies")
-    return bitmap.without_ids(docs, id_col, gone)
+    """``docs`` with one document of each component, all columns kept.
+
+    Of an id with several texts, only the texts that are near copies go.
+    """
+    gone = staged(_decided(pick(docs, id_col, text_col)).filter(~F.col("kept")).select(
+        "doc_id", "set_key").distinct(), "near-copies")
+    maybe, never = bitmap.split_by_ids(docs, id_col, gone)
+    left = _with_class(maybe, text_col).join(gone, ["doc_id", "set_key"], "left_anti")
+    return never.select("row.*").unionByName(left.select("row.*"))

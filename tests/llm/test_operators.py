@@ -217,6 +217,19 @@ def test_near_on_awkward_rows(awkward):
     assert label[0] == 0 and label[1] == 1
 
 
+def test_near_tells_the_texts_of_a_repeated_id_apart(spark):
+    rng = random.Random(11)
+    base, other = ([f"{c}{rng.randrange(10**6)}" for _ in range(120)] for c in "ab")
+    rows = [(3, _edited(rng, base, 0)), (5, _edited(rng, base, 1)), (5, _edited(rng, other, 0)),
+            (9, _edited(rng, other, 1))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text_of = {n: t for n, (_, t) in enumerate(rows)}
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near.near_duplicates(df).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 5, False)]
+    kept = sorted((r["doc_id"], r["text"]) for r in near.keep_one(df).collect())
+    assert kept == [(3, text_of[0]), (5, text_of[2])]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, k) for k in range(500, 700)]
