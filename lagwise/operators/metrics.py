@@ -156,19 +156,19 @@ def score_deciles(pred: DataFrame, score: str = "p_calibrated", buckets: int = 1
     """Click rate and lift by score bucket; D1 is the highest bucket that has rows.
 
     The bucket of a row is the number of cut points strictly below its score. Cut points are
-    exact, or come from ``approxQuantile`` if a relative error is given.
+    exact, or come from ``approxQuantile`` if a relative error is given and ``pred`` has one row per
+    impression; a score table has rows with counts, and its cut points are always exact.
     """
     counts = score_table(pred, score, config)
     probabilities = [i / buckets for i in range(1, buckets)]
-    if relative_error is None:
+    if relative_error is None or pred.columns == _TABLE:
         names = [f"q{i}" for i in range(len(probabilities))]
         cut = exact_quantiles(counts, probabilities).select(F.struct(*names)).scalar()
         rows = counts.withColumn("_cut", cut)  # one column, so the subquery is planned once
         cuts = [F.col(f"_cut.{name}") for name in names]
     else:
         rows = counts
-        column = score if score in pred.columns else "s"
-        cuts = [F.lit(v) for v in pred.approxQuantile(column, probabilities, relative_error)]
+        cuts = [F.lit(v) for v in pred.approxQuantile(score, probabilities, relative_error)]
     bucket = sum(((F.col("s") > v).cast("int") for v in cuts), F.lit(0))
     per_bucket = rows.withColumn("bucket", bucket).groupBy("bucket").agg(
         F.sum("n").alias("impressions"), F.sum("pos").alias("clicks"),

@@ -443,6 +443,14 @@ def test_missing_scores_are_an_error(spark):
         metrics.auc(pred).collect()
 
 
+def test_deciles_of_a_score_table_count_rows(spark):
+    scores = [.1] * 40 + [.2] * 30 + [.3] * 20 + [.4, .5, .6, .7, .8, .9] + [.95] * 4
+    pred = _pred(spark, scores, [1, 0] * 50)
+    want = metrics.score_deciles(pred).collect()
+    table = metrics.score_table(pred)
+    assert metrics.score_deciles(table, relative_error=0.001).collect() == want
+
+
 def test_deciles(spark):
     pred = _pred(spark, [i / 100 for i in range(100)], [int(i >= 90) for i in range(100)])
     for relative_error in (None, 0.001):
