@@ -86,9 +86,9 @@ def _leaf(text: str) -> str:
 
 #: CRC-32 of the decimal id, bit by bit (fixed value: the reversed polynomial).
 _CRC = """xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
-        c -> ord(c)::UBIGINT),
-        (a, b) -> list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
-                              (x, y) -> xor(x >> 1, 3988292384::UBIGINT * (x & 1)))),
+        lambda c: ord(c)::UBIGINT),
+        lambda a, b: list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+                              lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))),
     4294967295::UBIGINT)"""
 
 
@@ -135,11 +135,11 @@ way AS (
 ways AS (SELECT doc_id, list({{'before': before, 'after': after}} ORDER BY level) AS path,
                 sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM way GROUP BY doc_id),
 fold AS (
-    SELECT l.doc_id, 1 AS i, l.seen AS at FROM leaves l
+    SELECT l.doc_id, 1 AS i, l.seen AS h FROM leaves l
     UNION ALL
-    SELECT f.doc_id, f.i + 1, sha256(w.path[f.i].before || f.at || w.path[f.i].after)
+    SELECT f.doc_id, f.i + 1, sha256(w.path[f.i].before || f.h || w.path[f.i].after)
     FROM fold f JOIN ways w USING (doc_id) WHERE f.i <= len(w.path)),
-ends AS (SELECT doc_id, max_by(at, i) AS folded_root FROM fold GROUP BY doc_id)
+ends AS (SELECT doc_id, max_by(h, i) AS folded_root FROM fold GROUP BY doc_id)
 SELECT l.doc_id, l.node AS leaf, t.node AS subroot, r.node AS root,
        coalesce(w.proof, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.node AS verified
 FROM leaves l JOIN tops t ON t.source IS NOT DISTINCT FROM l.grp
@@ -148,6 +148,27 @@ JOIN ends e USING (doc_id) LEFT JOIN ways w USING (doc_id)
 """
 
 
+NEGATIVES = """
+WITH x AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM x a JOIN x b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_secrets": _secrets(), "op5_line_dedup": LINES,
-            "op7_exact_dedup": EXACT, "op13_merkle": MERKLE}
+            "op7_exact_dedup": EXACT, "op11_hard_negatives": NEGATIVES,
+            "op13_merkle": MERKLE}

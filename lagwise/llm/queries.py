@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagwise.llm import (bpe, exact, language, lines, lm, merkle, near, packing, quality, rans, secrets,
-                         sentencepieces)
+from lagwise.llm import (bpe, exact, language, lines, lm, merkle, near, negatives, packing, quality, rans,
+                         secrets, sentencepieces)
 from lagwise.llm.common import documents
 from lagwise.llm.tokens import tokenizer
 
@@ -52,6 +52,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_corpus(spark, path)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.roundtrip(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
@@ -63,4 +67,5 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secrets, op2_near_dedup, op3_lm_scoring, op4_quality, op5_line_dedup, op6_packing,
-        op7_exact_dedup, op8_language_id, op9_bpe, op10_token_files, op12_sentencepieces, op13_merkle)}
+        op7_exact_dedup, op8_language_id, op9_bpe, op10_token_files, op11_hard_negatives,
+        op12_sentencepieces, op13_merkle)}
