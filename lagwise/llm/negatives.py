@@ -32,7 +32,6 @@ a long they are held at its ends. An empty table gives an empty table. Other col
 """
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Callable, Iterator
 
@@ -52,6 +51,8 @@ SHRINK, LEAF = 1.5, 16
 SCALE = 256
 #: What rounding may add to a bound, as a share of the squared norms; centres tried in one product.
 SLACK, _TRIED = 1e-6, 64
+#: Nodes that a search opens together at first.
+FIRST = 256
 _LONG = (1 << 63) - 1
 
 
@@ -123,10 +124,13 @@ class CoverTree:
         self.rows: list[np.ndarray] = []
         if len(vectors):
             self._grow()
-        self.centre_of, self.radius_of = np.asarray(self.centre, dtype=np.int64), np.asarray(self.radius)
-        self._kids = [(np.asarray(c, dtype=np.int64), vectors[self.centre_of[c]], self.radius_of[c])
-                      for c in self.children]
-        self._leaves = [vectors[r] for r in self.rows]
+        # Flat: the leaf rows of a node are neighbours, and so are its children.
+        self.centres, self.radii = vectors[np.asarray(self.centre, dtype=np.int64)], np.asarray(self.radius)
+        self.order = np.concatenate([np.zeros(0, dtype=np.int64), *self.rows])
+        self.sorted = vectors[self.order]
+        self.leaf_ends = np.cumsum([0] + [len(r) for r in self.rows])
+        self.first_kid = np.asarray([c[0] if c else 0 for c in self.children], dtype=np.int64)
+        self.n_kids = np.asarray([len(c) for c in self.children], dtype=np.int64)
 
     def _add(self, rows: np.ndarray, radius: float) -> int:
         self.centre.append(int(rows[0]))
@@ -180,33 +184,59 @@ class CoverTree:
         """Opens nodes best first and gives ``visit`` (rows, scores) of all leaf rows reached.
 
         ``wanted`` tells of (lowest, highest) bounds which of them may hold something that is still
-        looked for. Returns how many nodes were opened.
+        looked for. The nodes with the highest bounds are opened together, a few at first and twice
+        as many each time. Returns how many nodes were opened.
         """
         if not len(self.vectors):
             return 0
         base = float(q @ q) + self.most
         slack = SLACK * base + 0.5
 
-        def bounds(centres: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            d = np.sqrt(np.maximum(base - 2 * (centres @ q), 0.0))
+        whole: dict[str, np.ndarray] = {}
+
+        def scored(kind: str, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+            """Scores of some rows; if they are many, all are scored once, without a copy."""
+            if kind not in whole and 4 * len(at) < len(rows):
+                return products(rows[at], q, self.largest)
+            if kind not in whole:
+                whole[kind] = products(rows, q, self.largest)
+            return whole[kind][at]
+
+        def bounds(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            d = np.sqrt(np.maximum(base - 2.0 * scored("centres", self.centres, nodes), 0.0))
+            radii = self.radii[nodes]
             return ((base - (d + radii) ** 2) / 2 - slack,
                     (base - np.maximum(d - radii, 0.0) ** 2) / 2 + slack)
 
-        low, high = bounds(self.vectors[self.centre_of[:1]], self.radius_of[:1])
-        heap, opened = [(-high[0], 0, low[0])], 0
-        while heap:
-            top, node, lowest = heapq.heappop(heap)
-            if not wanted(np.asarray([lowest]), np.asarray([-top]))[0]:
-                continue
-            opened += 1
-            rows, (kids, centres, radii) = self.rows[node], self._kids[node]
-            if len(rows):
-                visit(rows, products(self._leaves[node], q, self.largest))
-            if len(kids):
-                low, high = bounds(centres, radii)
-                for i in np.flatnonzero(wanted(low, high)):
-                    heapq.heappush(heap, (-high[i], int(kids[i]), low[i]))
-        return opened
+        nodes = np.zeros(1, dtype=np.int64)
+        low, high = bounds(nodes)
+        at_once, opened = FIRST, 0
+        while True:
+            keep = wanted(low, high)
+            nodes, low, high = nodes[keep], low[keep], high[keep]
+            if not len(nodes):
+                return opened
+            if len(nodes) > at_once:
+                cut = np.argpartition(-high, at_once)
+                now, later = cut[:at_once], cut[at_once:]
+            else:
+                now, later = np.arange(len(nodes)), np.zeros(0, dtype=np.int64)
+            some = nodes[now]
+            opened += len(some)
+            at_once *= 2
+            leaves = _ranges(self.leaf_ends[some], self.leaf_ends[some + 1] - self.leaf_ends[some])
+            if len(leaves):
+                visit(self.order[leaves], scored("leaves", self.sorted, leaves))
+            kids = _ranges(self.first_kid[some], self.n_kids[some])
+            below, above = bounds(kids)
+            nodes = np.append(nodes[later], kids)
+            low, high = np.append(low[later], below), np.append(high[later], above)
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
 class Best:
@@ -360,8 +390,9 @@ def _negatives_in(k: int):
 
         def visit(rows: np.ndarray, scores: np.ndarray) -> None:
             other = labels[rows] != anchor.label
+            other &= scores >= min(w.floor for w in windows)
             scores, found = scores[other], ids[rows[other]]
-            for w in windows:
+            for w in windows if len(scores) else ():
                 w.offer(scores, found)
 
         def wanted(low: np.ndarray, high: np.ndarray) -> np.ndarray:
