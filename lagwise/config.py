@@ -48,9 +48,8 @@ class Config:
     order_cap: int = 20
     rolling_hours: int = 6
 
-    # Users with more rows than this are windowed in slices of this many seconds.
+    # Users with more rows than this are windowed in ranges of about as many rows.
     hot_user_rows: int = 1_000_000
-    user_slice_seconds: int = 60
 
     drop_threshold: float = 0.01
     impute_threshold: float = 0.05
@@ -63,12 +62,18 @@ class Config:
     folds: int = 3
     parallel_folds: int = 3
 
+    # Layout of rows while a model is fitted. It depends on nothing else, so that draws and factor
+    # starts, hence models, are functions of the rows; raise both for more rows than tasks can hold.
+    train_partitions: int = 16
+    als_blocks: int = 10
+
     als_rank: int = 32
     als_reg: float = 0.05
     als_alpha: float = 20.0
     als_iterations: int = 10
     top_k: int = 10
 
+    # Names and order of the published feature columns.
     profile_columns: tuple[str, ...] = (
         "cms_segid", "cms_group_id", "final_gender_code", "age_level",
         "pvalue_level", "shopping_level", "occupation", "new_user_class_level",
@@ -87,7 +92,7 @@ class Config:
 
     @property
     def measured_numeric(self) -> tuple[str, ...]:
-        """Numeric features that are not 0/1 flags."""
+        """Numeric features that are not 0/1 flags (fixed values: published names and order)."""
         return self.history_features + (
             "ctr_user_prev", "log_imp_prev", "order_capped", "log_gap", "ctr_6h",
             "log_price", "price_rel")

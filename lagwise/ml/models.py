@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import itertools
-import math
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -31,7 +30,6 @@ from lagwise.operators.sampling import (effective_rate, fraction_of, positive_we
 @dataclass(frozen=True)
 class Experiment:
     name: str
-    question: str
     estimator: Estimator
     grid: Sequence[dict[Param, object]]
     scale: bool = False
@@ -44,12 +42,6 @@ class Experiment:
 
 _KINDS = {"logistic": LogisticRegression, "forest": RandomForestClassifier,
           "boosting": GBTClassifier}
-_QUESTIONS = {
-    "lr_context": "What do the profile and the moment say without any past clicks?",
-    "lr_full": "How much does the past add to a linear model?",
-    "rf_full": "Do trees find crossings that the linear model lacks?",
-    "gbt_full": "Do boosted trees earn the time they take?",
-}
 
 
 def _experiment(name: str, config: Config) -> Experiment:
@@ -59,29 +51,27 @@ def _experiment(name: str, config: Config) -> Experiment:
         else estimator.setSeed(config.seed)
     points = [{estimator.getParam(axis): value for axis, value in zip(axes, values)}
               for values in itertools.product(*axes.values())]
-    return Experiment(name, _QUESTIONS[name], estimator, points, scale,
+    return Experiment(name, estimator, points, scale,
                       None if with_past else config.context_numeric)
 
 
 def experiments(config: Config = Config()) -> dict[str, Experiment]:
-    """The catalogue; every entry answers one question."""
+    """The catalogue: a linear model without and with features of the past, and two kinds of trees."""
     return {name: _experiment(name, config) for name in fv.MODELS}
 
 
-# Rows per task while a model iterates: enough that a pass is work and not task start-up, few
-# enough (tens of megabytes) that any number of rows fits.
-ROWS_PER_PARTITION = 100_000
-
-
 @contextmanager
 def held(df: DataFrame, config: Config = Config()) -> Iterator[DataFrame]:
-    """``df`` evened out by row id and kept while a model passes over it again and again.
+    """``df`` dealt to ``train_partitions`` by row id, sorted by it, and kept while a model iterates.
 
-    Filters leave many partitions of very different sizes, and every one of them is a task in
-    every iteration. The count reads only the columns the filters need.
+    Bagging, sketches and sums go by partition and by place in it. Here both follow from the row ids
+    alone, so a model does not depend on how its training rows were read, and adding a row moves
+    no other. Rows that share an id are ordered by their content.
     """
-    parts = max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
-    kept = df.repartition(parts, config.columns.row_id).persist(StorageLevel.MEMORY_AND_DISK)
+    row_id = config.columns.row_id
+    content = F.xxhash64(*[F.col(c) for c in sorted(df.columns) if c != row_id])
+    kept = (df.repartition(config.train_partitions, row_id)
+            .sortWithinPartitions(row_id, content).persist(StorageLevel.MEMORY_AND_DISK))
     try:
         yield kept
     finally:

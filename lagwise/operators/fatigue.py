@@ -6,51 +6,48 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.functions.columns import gap_bucket, smoothed_rate
+from lagwise.operators import ranges
 from lagwise.operators.history import join_combination
 from lagwise.sources.layers import staged
 
+_USER = "_user"
 
-_KEYS = ["_hash", "_key"]
 
+def _wrapped(config: Config) -> Column:
+    """The user in a struct, so that rows without a user are a user like any other."""
+    return F.struct(F.col(config.columns.user).alias("id"))
 
-def hot_users(df: DataFrame, config: Config = Config()) -> DataFrame:
-    """Users with more rows than one task should order; at most rows / ``hot_user_rows`` of them.
 
-    The user is wrapped, so that rows without a user are a user like any other.
-    """
-    user = F.struct(F.col(config.columns.user).alias("id"))
-    return (df.groupBy(user.alias("_user")).agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > config.hot_user_rows).select("_user"))
+def hot_users(df: DataFrame, config: Config = Config()) -> DataFrame:
+    """(_user, n): users with more rows than one task should order, at most rows / ``hot_user_rows``."""
+    return (df.groupBy(_wrapped(config).alias(_USER)).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > config.hot_user_rows))
 
 
-def _with_slice(df: DataFrame, hot: DataFrame, config: Config) -> DataFrame:
-    """Add ``_hot`` and the window key: the user, and for hot users also the slice of time.
+def hot_ranges(df: DataFrame, hot: DataFrame, config: Config = Config()) -> DataFrame:
+    """The rows of ``hot`` users in ranges of (user, time, ties), written.
 
-    The key is one struct, not two columns: a plan whose input is already spread by user alone
-    must not pass for spread by user and slice. Its hash comes first because sorting by a number
-    is fast and sorting by a struct is not.
+    Cuts follow the rows: a second with a million rows is as many ranges as any other million rows,
+    and no range is much longer than ``hot_user_rows``.
     """
     c = config.columns
-    part = F.when(F.col("_hot"), F.floor(F.col(c.time) / config.user_slice_seconds))
-    return (
-        df.withColumn("_user", F.struct(F.col(c.user).alias("id")))
-        .join(hot.withColumn("_hot", F.lit(True)), "_user", "left")
-        .withColumns({"_key": F.struct(F.col(c.user).alias("user"), part.alias("slice")),
-                      "_hash": F.xxhash64(c.user, part)})
-        .drop("_user"))
+    rows = hot.agg(F.sum("n")).first()[0] or 0
+    order = [F.col(name).asc_nulls_first() for name in (c.user, c.time, c.ad, c.slot, c.row_id)]
+    some = df.withColumn(_USER, _wrapped(config)).join(hot.select(_USER), _USER, "left_semi")
+    return ranges.dealt(some, order, ranges.range_count(df, rows, max(1, config.hot_user_rows)),
+                        "hot-rows")
 
 
-def _earlier_slices(sliced: DataFrame, config: Config) -> DataFrame:
-    """Per hot user and slice: what had happened before the slice began."""
+def _earlier_ranges(rows: DataFrame, config: Config) -> DataFrame:
+    """Per hot user and range: what had happened before the range began."""
     c = config.columns
-    dated = sliced.filter(F.col("_hot") & F.col(c.time).isNotNull())
-    totals = dated.groupBy(*_KEYS).agg(
+    totals = rows.filter(F.col(c.time).isNotNull()).groupBy(_USER, ranges.PART).agg(
         F.count(F.lit(1)).alias("n"), F.sum(c.label).alias("k"), F.max(c.time).alias("last"))
-    before = (Window.partitionBy("_key.user").orderBy("_key.slice")
+    before = (Window.partitionBy(_USER).orderBy(ranges.PART)  # at most one row per range
               .rowsBetween(Window.unboundedPreceding, -1))
     return totals.select(
-        *_KEYS, F.sum("n").over(before).alias("_n0"), F.sum("k").over(before).alias("_k0"),
-        F.max("last").over(before).alias("_last0"))
+        _USER, ranges.PART, F.sum("n").over(before).alias("_n0"),
+        F.sum("k").over(before).alias("_k0"), F.max("last").over(before).alias("_last0"))
 
 
 def _within(df: DataFrame, keys: list[str], config: Config) -> DataFrame:
@@ -83,29 +80,32 @@ def with_user_order(df: DataFrame, config: Config = Config(),
                     history_of: DataFrame | None = None) -> DataFrame:
     """Add ``order_seen`` (1 for a user's first row), ``gap_sec`` and ``clk_prev``.
 
-    A running window puts a whole user into one task, which is right for nearly all of them. The
-    few with very many rows are windowed in slices of time instead, and each slice starts from
-    the totals of the earlier ones. Slices follow the order of the rows, so the result is that
-    of the window over the whole user.
+    A running window puts a whole user into one task, which is right for nearly all of them. The rows
+    of the few with very many are written in ranges of the window's order and scanned twice: inside
+    each range, and over the totals of the ranges before it. The result is that of the window over
+    the whole user. ``df`` is then read once for the hot users and once for the others.
 
-    ``history_of`` is the table to count in, if ``df`` is the same rows behind costly joins.
+    ``history_of`` is the table to count users in, if ``df`` is the same rows behind costly joins.
     """
     c, source = config.columns, df if history_of is None else history_of
     hot = staged(hot_users(source, config), "hot-users")
+    plain = {"order_seen": F.col("_n1"), "clk_prev": F.col("_k1"),
+             "gap_sec": F.col(c.time) - F.col("_last1")}
+    inner = ["_n1", "_k1", "_last1"]
     if hot.isEmpty():
-        return _within(df, [c.user], config).withColumns(_only_dated({
-            "order_seen": F.col("_n1"), "clk_prev": F.col("_k1"),
-            "gap_sec": F.col(c.time) - F.col("_last1")}, config)).drop("_n1", "_k1", "_last1")
-    within = _within(_with_slice(df, hot, config), _KEYS, config)
-    joined = within.join(
-        _earlier_slices(_with_slice(source, hot, config), config), _KEYS, "left")
+        return _within(df, [c.user], config).withColumns(_only_dated(plain, config)).drop(*inner)
+    others = df.withColumn(_USER, _wrapped(config)).join(hot.select(_USER), _USER, "left_anti")
+    others = _within(others.drop(_USER), [c.user], config).withColumns(_only_dated(plain, config))
+    rows = hot_ranges(df, hot, config)
+    joined = _within(rows, [_USER, ranges.PART], config).join(
+        staged(_earlier_ranges(rows, config), "range-totals"), [_USER, ranges.PART], "left")
     zero = F.lit(0)
-    return joined.withColumns(_only_dated({
+    carried = joined.withColumns(_only_dated({
         "order_seen": F.col("_n1") + F.coalesce("_n0", zero),
         "clk_prev": F.col("_k1") + F.coalesce("_k0", zero),
-        "gap_sec": F.col(c.time) - F.when(F.col("_n1") == 1, F.col("_last0"))
-        .otherwise(F.col("_last1")),
-    }, config)).drop(*_KEYS, "_hot", "_n0", "_n1", "_k0", "_k1", "_last0", "_last1")
+        "gap_sec": F.col(c.time) - F.coalesce("_last1", "_last0")}, config))
+    return others.drop(*inner).unionByName(
+        carried.drop(*inner, _USER, ranges.PART, "_n0", "_k0", "_last0"))
 
 
 def _lagged_totals(df: DataFrame, lag_days: int, config: Config) -> DataFrame:

@@ -1,7 +1,6 @@
 """User-item clicks, popularity and implicit-feedback factorisation."""
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -10,11 +9,10 @@ from pyspark.sql import functions as F
 
 from lagwise.config import Config
 from lagwise.errors import DataQualityError
+from lagwise.operators.products import top_products
 from lagwise.sources.layers import staged
 
 INT_MAX = 2_147_483_647
-# Factor blocks grow with the matrix, so a block always fits a task.
-RATINGS_PER_BLOCK = 500_000
 
 
 def interaction_matrix(df: DataFrame, config: Config = Config()) -> DataFrame:
@@ -86,11 +84,13 @@ def popularity_lists(users: DataFrame, matrix: DataFrame, k: int | None = None,
 
 def fit_als(matrix: DataFrame, config: Config = Config(), iterations: int | None = None
             ) -> ALSModel:
-    """Non-negative implicit ALS on the click matrix, after the id-range gate."""
+    """Non-negative implicit ALS on the click matrix, after the id-range gate.
+
+    Factors start from draws per block; the number of blocks is set and not counted.
+    """
     c = config.columns
     require_int_ids(matrix, config=config)
-    blocks = max(1, math.ceil(matrix.count() / RATINGS_PER_BLOCK))
-    als = ALS(numUserBlocks=blocks, numItemBlocks=blocks,
+    als = ALS(numUserBlocks=config.als_blocks, numItemBlocks=config.als_blocks,
               userCol=c.user, itemCol=c.category, ratingCol="clicks", implicitPrefs=True,
               nonnegative=True, coldStartStrategy="drop", rank=config.als_rank,
               regParam=config.als_reg, alpha=config.als_alpha, seed=config.seed,
@@ -101,16 +101,22 @@ def fit_als(matrix: DataFrame, config: Config = Config(), iterations: int | None
 
 def als_rows(model: ALSModel, k: int | None = None, config: Config = Config(),
              users: DataFrame | None = None) -> DataFrame:
-    """Top-k recommendations per user as (user, rank, item, score).
+    """Top-k recommendations per user as (user, rank, item, score); the smaller item wins a tie.
 
-    Only users in ``users`` are scored if it is given: each costs a product with all items.
+    Only users in ``users`` get lists if it is given. Items are searched in falling order of norm, as
+    far as each user needs.
     """
+    return als_search(model, k, config, users).drop("blocks")
+
+
+def als_search(model: ALSModel, k: int | None = None, config: Config = Config(),
+               users: DataFrame | None = None) -> DataFrame:
+    """:func:`als_rows` with the number of item blocks that were scored for each user."""
     c = config.columns
     k = config.top_k if k is None else k
-    lists = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(
-        users.select(F.col(c.user).cast("int")).distinct(), k)
-    return (lists.select(F.col(c.user).cast("bigint").alias(c.user),
-                         F.posexplode("recommendations").alias("pos", "r"))
-            .select(c.user, (F.col("pos") + 1).alias("rank"),
-                    F.col(f"r.{c.category}").cast("bigint").alias("item"),
-                    F.col("r.rating").alias("score")))
+    wanted = model.userFactors
+    if users is not None:
+        wanted = wanted.join(users.select(F.col(c.user).cast("int").alias("id")).distinct(), "id", "left_semi")
+    found = top_products(wanted, model.itemFactors, k)
+    return found.select(F.col("id").alias(c.user), "rank", "item", F.col("score").cast("float").alias("score"),
+                        "blocks")

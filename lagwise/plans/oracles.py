@@ -459,6 +459,20 @@ SELECT concat('D', row_number() OVER (ORDER BY b DESC)) AS decile, n AS impressi
 FROM (SELECT b, count(*) AS n, {_B('sum(clk)')} AS k, avg(p) AS m
       FROM (SELECT clk, p, len(list_filter(q, lambda c: p > c)) AS b
             FROM scored, (SELECT quantile_cont(p, {_CUTS}) AS q FROM scored)) GROUP BY b)"""
+_PROBABILITIES = "[0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]"
+_SQL["score_quantiles"] = f"""
+SELECT CAST(unnest({_PROBABILITIES}) AS DOUBLE) AS probability, true AS within"""
+_SQL["score_quantiles_small_error"] = f"""
+SELECT CAST(p AS DOUBLE) AS probability,
+       (SELECT min(v) FROM (SELECT CAST(o_totalprice AS DOUBLE) AS v, row_number() OVER (ORDER BY o_totalprice) AS k,
+                                   count(*) OVER () AS n FROM orders) WHERE k >= CAST(p AS DOUBLE) * n) AS value
+FROM (SELECT unnest({_PROBABILITIES}[2:]) AS p)"""
+_SQL["product_topk"] = f"""
+WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (CAST(1 AS DOUBLE) / (1 + vec_id % 97))) AS v
+           FROM embeddings),
+s AS (SELECT a.vec_id AS id, b.vec_id AS item, list_dot_product(a.v, b.v) AS score FROM w a CROSS JOIN w b),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, item) AS k FROM s)
+SELECT id, CAST(k AS INTEGER) AS rank, item, {_r('score')} AS score FROM r WHERE k <= 10"""
 _SQL["pr_curve"] = f"""
 SELECT {_r('b / CAST(60 AS DOUBLE)')} AS threshold, {_B('sum(n) OVER w')} AS n_cum,
        {_r('CAST(sum(k) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS DOUBLE)')} AS precision,

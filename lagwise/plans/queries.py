@@ -12,8 +12,8 @@ from lagwise.functions.columns import corrected_probability
 from lagwise.ml import features as feat
 from lagwise.ml import models
 from lagwise.ml.transformers import PriorCorrector, TokenEncoder
-from lagwise.operators import (enrich, fatigue, history, ingest, leakage, metrics, quality,
-                               ranking, recommend, sampling, split)
+from lagwise.operators import (enrich, fatigue, history, ingest, leakage, metrics, products, quality,
+                               quantiles, ranking, recommend, sampling, split)
 from lagwise.operators.gold import gold_columns, gold_features
 from lagwise.operators.ingest import with_time_features
 from lagwise.plans import standins
@@ -308,7 +308,7 @@ def user_fatigue(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def user_fatigue_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same order of rows with most users treated as too large for one task."""
-    config = replace(CONFIG, hot_user_rows=20, user_slice_seconds=3600)
+    config = replace(CONFIG, hot_user_rows=20)
     return fatigue.with_user_order(standins.impressions(spark, sf_dir), config).select(
         "event_id", "order_seen", "gap_sec", "clk_prev")
 
@@ -445,6 +445,28 @@ def score_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.score_deciles(_scored_test(spark, sf_dir), SCORE, config=CONFIG)
 
 
+QUANTILES = (0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
+
+
+@query
+def score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of order quantities from a table of values and counts, which has heavy ties; the
+    exact rank of each is within the error it was asked for."""
+    table = standins.table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_quantity").cast("double").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    found = quantiles.approximate_quantiles(table, list(QUANTILES), 0.01)
+    return quantiles.rank_errors(table, found).select(
+        "probability", (F.col("rank_error") <= 0.01).alias("within"))
+
+
+@query
+def score_quantiles_small_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of prices with an error under one row are order statistics."""
+    table = standins.table(spark, sf_dir, "orders").groupBy(
+        F.col("o_totalprice").cast("double").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return quantiles.approximate_quantiles(table, list(QUANTILES[1:]), 1e-9)
+
+
 @query
 def pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.pr_curve(_scored_test(spark, sf_dir), SCORE, config=CONFIG)
@@ -525,6 +547,28 @@ def als_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    users_with_list=model.userFactors.count())
 
 
+@query
+def als_blocks_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many users needed how many blocks of items."""
+    found = recommend.als_search(recommend.fit_als(_clicks(spark, sf_dir)[0], CONFIG), config=CONFIG)
+    return found.filter("rank = 1").groupBy("blocks").agg(F.count(F.lit(1)).alias("users"))
+
+
+def _weighted_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of very different norms: (id, features)."""
+    size = 1 / (1 + F.col("vec_id") % 97)
+    return standins.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"),
+        F.transform("embedding", lambda x: x.cast("double") * size).alias("features"))
+
+
+@query
+def product_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows with the largest inner product for every row."""
+    rows = _weighted_vectors(spark, sf_dir)
+    return _rounded(products.top_products(rows, rows, 10).drop("blocks"), ["score"])
+
+
 # --- feature pipeline and models --------------------------------------------------------------------
 
 @query

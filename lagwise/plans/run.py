@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lagwise import fixed_values as fv
@@ -163,11 +163,15 @@ def run_weighted(gold: DataFrame, config: Config = Config()) -> DataFrame:
         table = metrics.score_table(models.scored(model, test, **rated), config=config)
         rows.append(_named(name, _judged("test", table, config)).withColumn(
             "fit_seconds", F.lit(seconds[name])))
-    both = reduce(DataFrame.unionByName, rows)
-    base = rows[1].select(F.col("auc_pr").alias("_pr"), F.col("fit_seconds").alias("_s"))
-    return both.crossJoin(F.broadcast(base)).select(  # one row
-        *both.columns, (F.col("auc_pr") - F.col("_pr")).alias("delta_auc_pr"),
-        F.try_divide("fit_seconds", "_s").alias("time_ratio"))
+    both = layers.staged(reduce(DataFrame.unionByName, rows), "weighted")
+
+    def base(name: str) -> Column:
+        under = F.when(F.col("experiment") == "lr_undersampled", F.col(name))
+        return F.max(under).over(Window.partitionBy())  # two rows
+
+    return both.select(
+        "*", (F.col("auc_pr") - base("auc_pr")).alias("delta_auc_pr"),
+        F.try_divide("fit_seconds", base("fit_seconds")).alias("time_ratio"))
 
 
 def run_recommendation(gold: DataFrame, config: Config = Config(), quick: bool = False

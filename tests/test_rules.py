@@ -60,7 +60,7 @@ def test_undated_rows_change_no_feature(spark):
 
     def features(rows, lag, hot):
         df = _rows(spark, rows)
-        config = Config(splits=CONFIG.splits, hot_user_rows=hot, user_slice_seconds=3600)
+        config = Config(splits=CONFIG.splits, hot_user_rows=hot)
         out = fatigue.with_user_fatigue(df, config, lag_days=lag)
         out = history.with_slot_rate(out, config=config)
         out = history.with_entity_history(out.drop("p0"), config)
