@@ -64,7 +64,7 @@ class Config:
 
     # Layout of rows while a model is fitted. It depends on nothing else, so that draws and factor
     # starts, hence models, are functions of the rows; raise both for more rows than tasks can hold.
-    train_partitions: int = 16
+    train_partitions: int = 8
     als_blocks: int = 10
 
     als_rank: int = 32

@@ -132,3 +132,14 @@ def test_whole_run(spark, csv_folder, tmp_path):
     assert ranked["als"]["users_evaluated"] > 0
     again = run.build_bronze(spark, csv_folder, out, config)
     assert again.impressions.count() == n
+
+
+def test_main_with_every_flag(spark, csv_folder, tmp_path):
+    out = str(tmp_path)
+    run.main(["--csv", csv_folder, "--out", out, "--quick", "--only", "lr_context", "--weighted",
+              "--learning-curve", "--fraction", "0.9"])
+    reports = f"{out}/fraction-0.9/reports"
+    weighted = spark.read.parquet(f"{reports}/weighted")
+    assert {r["experiment"] for r in weighted.collect()} == {"lr_weighted", "lr_undersampled"}
+    assert spark.read.parquet(f"{reports}/learning_curve").count() == 2
+    assert spark.read.parquet(f"{reports}/ranking").count() == 2
