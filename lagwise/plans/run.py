@@ -203,8 +203,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--weighted", action="store_true")
     parser.add_argument("--learning-curve", action="store_true")
     args = parser.parse_args(argv)
-    spark, config = SparkSession.builder.appName("lagwise").getOrCreate(), Config()
+    spark = SparkSession.builder.appName("lagwise").getOrCreate()
+    with layers.scope(spark):  # reports are written inside; staged tables go with the run
+        _run(spark, args)
 
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
+    config = Config()
     bronze = build_bronze(spark, args.csv, args.out, config, args.rebuild)
     silver = build_silver(spark, bronze, args.out, config, args.rebuild)
     origin, out = None, args.out

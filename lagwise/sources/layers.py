@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +60,8 @@ def _stamped(df: DataFrame, stamp: str) -> DataFrame:
 
 def is_complete(spark: SparkSession, path: str, stamp: str | None = None) -> bool:
     """Whether a write to ``path`` was finished and, if ``stamp`` is given, was made from the same."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    if not marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker):
+    marker, fs = _hadoop_path(spark, f"{path}/_SUCCESS")
+    if not fs.exists(marker):
         return False
     return stamp is None or any(f.metadata.get(_STAMP) == stamp
                                 for f in spark.read.parquet(path).schema.fields)
@@ -89,16 +91,103 @@ def build_layer(spark: SparkSession, path: str, required: Iterable[str],
     return spark.read.parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go when it has ended; a stage that needs them is run again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+class Scope:
+    """The staged tables of some steps. They are deleted when the scope ends, but for those kept."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Leaves staged tables to the scope around this one, or to whoever clears the folder."""
+        for df in tables:
+            path = getattr(df, "_staged_at", None)
+            if path in self.paths:
+                self.paths.remove(path)
+                around = _scopes()[:_scopes().index(self)] if self in _scopes() else []
+                if around:
+                    around[-1].paths.append(path)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes staged tables whose last consumer is written."""
+        for df in tables:
+            path = getattr(df, "_staged_at", None)
+            if path in self.paths:
+                self.paths.remove(path)
+                _delete(self.spark, path)
+
+
+_STACKS = threading.local()
+
+
+def _scopes() -> list[Scope]:
+    if not hasattr(_STACKS, "open"):
+        _STACKS.open = []
+    return _STACKS.open
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found, fs = _hadoop_path(spark, path)
+    fs.delete(found, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """``with scope(spark) as s``: tables staged inside (by this thread) are deleted at its end.
+
+    What is returned must be written or kept (``s.keep``) before that. If the steps fail, nothing is
+    deleted and the paths are written as a table under the shared folder, in ``left-over``.
+    """
+    own = Scope(spark)
+    _scopes().append(own)
+    try:
+        yield own
+    except BaseException:
+        if own.paths:
+            spark.createDataFrame([(p,) for p in own.paths], "path string").write.mode(
+                "append").parquet(f"{shared_folder(spark)}/lagwise/left-over")
+        raise
+    else:
+        for path in own.paths:
+            _delete(spark, path)
+    finally:
+        _scopes().remove(own)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage in a way that survives lost executors, and gives the planner the real size,
-    so its own broadcast threshold decides by what is there and not by an estimate.
+    so its own broadcast threshold decides by what is there and not by an estimate. Shuffle files of
+    the write are dropped with it; inside a :func:`scope` the table is, too, at the scope's end.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    write_layer(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scopes():
+        _scopes()[-1].paths.append(path)
+    with _shuffles_dropped(spark):
+        write_layer(df, path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._staged_at = path
+    return read
 
 
 def layer_footprint(layer: DataFrame) -> DataFrame:

@@ -168,3 +168,41 @@ def test_several_profiles_are_counted_without_pairs(spark):
     joined = imp.join(ads, "adgroup_id")
     assert rows["inner_ads"] == joined.count() == 7
     assert rows["inner_ads_left_profiles"] == joined.join(users, "userid", "left").count()
+
+
+def _exists(spark, path):
+    found, fs = layers._hadoop_path(spark, path)
+    return fs.exists(found)
+
+
+def test_staged_tables_live_as_long_as_their_scope(spark):
+    df = spark.range(100)
+    with layers.scope(spark) as outer:
+        with layers.scope(spark) as inner:
+            gone, kept, early = (layers.staged(df.groupBy((F.col("id") % k).alias("k")).count(), "t")
+                                 for k in (3, 5, 7))
+            inner.keep(kept)
+            assert _exists(spark, early._staged_at)
+            inner.drop(early)
+            assert not _exists(spark, early._staged_at)
+        assert not _exists(spark, gone._staged_at) and _exists(spark, kept._staged_at)
+        assert kept.count() == 5 and outer.paths == [kept._staged_at]
+    assert not _exists(spark, kept._staged_at)
+    free = layers.staged(df, "t")
+    assert _exists(spark, free._staged_at)
+
+
+def test_a_failed_scope_leaves_a_list(spark):
+    with pytest.raises(ZeroDivisionError):
+        with layers.scope(spark):
+            left = layers.staged(spark.range(3), "t")
+            1 / 0
+    listed = spark.read.parquet(f"{layers.shared_folder(spark)}/lagwise/left-over")
+    assert left._staged_at in [r["path"] for r in listed.collect()]
+    assert left.count() == 3 and not layers._scopes()
+
+
+def test_staging_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get(layers._CLEANUP, None)
+    assert layers.staged(spark.range(10).repartition(3), "t").count() == 10
+    assert spark.conf.get(layers._CLEANUP, None) == before
