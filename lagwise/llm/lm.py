@@ -3,11 +3,16 @@
 A pair or triple is kept if it occurs ``LEAST`` times in the training texts, whatever these weigh.
 Words, pairs and triples live in written tables, of any size.
 
-A kept n-gram has one value: what it adds to the score of a text over what its shorter parts add,
-and the backoff weight of a context is added wherever the context occurs. A text's score is so the
-sum of its words' log probabilities and of the values of the kept n-grams in it, in any order. The
-``HOT`` most frequent values are sent to every task. Of the other n-grams of a text, a filter of
-fixed size rules out most that are not kept; what it lets through is joined with the values.
+The model is a weighted backoff automaton. A state is the longest kept context: a pair, a word or
+the root. An arc reads a token, adds its log probability and leads to the longest kept context that
+ends there; a state without an arc for the token takes its failure arc to the next shorter context
+and adds the backoff weight. Arcs and failure weights are one table, ``machine``, by the key of the
+n-gram that the arc spells or that the state is. A text is traversed once from left to right with the
+state carried along.
+
+The ``HOT`` most frequent rows of the machine are sent to every task, and a filter of fixed size rules
+out n-grams that are not in it. The arcs and weights that a slice of texts needs beyond that are
+joined, each once per slice, and meet the texts of the slice before these are traversed.
 
 Words, pairs and triples are known by 64-bit hashes in these tables; word counts are exact.
 
@@ -27,13 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagwise.llm.common import id_type, pick, slices
-from lagwise.sources.layers import staged
+from lagwise.sources.layers import Scope, scope, staged
 
 #: Least count of a kept pair or triple.
 LEAST = 2
@@ -94,11 +100,11 @@ class Words:
 
 class Tokens:
     """The tokens of some texts one after another: their hashes with a begin before each text, the
-    text of each, and numbers of the frequent words (-1: the begin or another word, see ``rare``)."""
+    text of each, and numbers of the frequent words (-1: the begin, or a word of ``rare_words``)."""
 
     def __init__(self, texts: list[str], words: Words):
-        get, flat, self.lengths, self.rare = words.number.get, [], [], []
-        places, hashes = [], []
+        get, flat, self.lengths, self.rare_words = words.number.get, [], [], []
+        places, hashes, self.rare_at = [], [], []
         for text in texts:
             found = tokens(text)
             flat.append(-1)
@@ -108,7 +114,8 @@ class Tokens:
             rare = [i for i, k in enumerate(numbers) if k < 0]
             places.extend(len(flat) + i for i in rare)
             hashes.extend(xxhash.xxh64_intdigest(found[i]) for i in rare)
-            self.rare.append(Counter(found[i] for i in rare))
+            self.rare_words.extend(found[i] for i in rare)
+            self.rare_at.extend(len(flat) + i for i in rare)
             flat.extend(numbers)
             self.lengths.append(len(found))
         self.numbers = np.asarray(flat, dtype=np.int64)
@@ -185,8 +192,8 @@ def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Hot:
-    """Values by key in two tables of slots; of keys with the same slot, the most frequent stays,
-    the others go to the second table or are left out."""
+    """Rows of the machine by key in two tables of slots; of keys with the same slot, the most frequent
+    stays, the others go to the second table or are left out."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, n: np.ndarray):
         order = np.argsort(n, kind="stable")  # of equal slots, the last one written stays
@@ -194,7 +201,7 @@ class Hot:
         self.bits = max(4, int(len(keys)).bit_length() + 1)
         self.tables = []
         for turn in (0, 32):
-            held, value = np.zeros(1 << self.bits, dtype=np.uint64), np.zeros(1 << self.bits)
+            held, value = np.zeros(1 << self.bits, dtype=np.uint64), np.zeros((1 << self.bits, 2))
             slot = self._slot(keys, turn)
             held[slot], value[slot] = keys, values
             self.tables.append((turn, held, value))
@@ -205,8 +212,8 @@ class Hot:
         return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values (0 if there is none), and whether the key is here. Key 0 is not used."""
-        values, found = np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
+        """Rows (no arc and no weight if there is none), and whether the key is here. Key 0 is not used."""
+        values, found = _nothing(len(keys)), np.zeros(len(keys), dtype=bool)
         open_ = np.arange(len(keys))
         for turn, held, value in self.tables:
             slot = self._slot(keys[open_], turn)
@@ -216,6 +223,35 @@ class Hot:
         return values, found
 
 
+def _nothing(n: int) -> np.ndarray:
+    """Rows of the machine (log probability, failure weight) without an arc and without a weight."""
+    return np.tile(np.asarray([np.nan, 0.0]), (n, 1))
+
+
+def traverse(root: list[float], word_weight: list[float], pair_arc: list[float],
+             pair_weight: list[float], triple_arc: list[float]) -> float:
+    """log10 probability of a text, read once from left to right from the state of its begin.
+
+    Position 0 is the begin. ``root[i]`` is what the root's arc for token i adds; ``pair_arc[i]`` is the
+    arc that token i + 1 takes from the word i, ``pair_weight[i]`` the failure weight of the state of
+    these two, ``triple_arc[i]`` the arc of token i + 2 from that state. NaN: no such arc, so the
+    failure arc is taken.
+    """
+    score, in_pair = 0.0, False  # else the state is the word before
+    for i in range(1, len(root)):
+        arc = triple_arc[i - 2] if in_pair else math.nan
+        if arc == arc:
+            score += arc
+            in_pair = pair_arc[i - 1] == pair_arc[i - 1]
+            continue
+        if in_pair:
+            score += pair_weight[i - 2]
+        arc = pair_arc[i - 1]
+        in_pair = arc == arc
+        score += arc if in_pair else word_weight[i - 1] + root[i]
+    return score
+
+
 def _attached(rows: DataFrame, key: str, table: DataFrame, hot) -> DataFrame:
     """``rows`` (written) with the columns of ``table`` (written; it has every key): keys with
     ``hot``, of which there are few, by a broadcast, so that no task gets all rows of one key."""
@@ -293,9 +329,14 @@ class Automaton:
 
 
 class Model:
-    """Written tables: word counts, kept ``pairs`` and ``triples`` with their counts, ``values``."""
+    """Written tables: word counts, kept ``pairs`` and ``triples`` with their counts, ``machine``."""
 
     def __init__(self, texts: DataFrame):
+        with scope(texts.sparkSession) as steps:
+            self._build(texts, steps)
+            steps.keep(self.counts, self.pairs, self.triples, self.machine)
+
+    def _build(self, texts: DataFrame, steps: Scope) -> None:
         spark = texts.sparkSession
         self.counts = staged(word_counts(texts), "words")
         sums = self.counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
@@ -324,10 +365,10 @@ class Model:
 
         self.triples = staged(_gram_counts(texts, triples_of, 2), "triples")
         kept.destroy()
-        self.values = staged(self._valued(), "values")
+        self.machine = staged(self._arcs(steps), "machine")
 
-    def _valued(self) -> DataFrame:
-        """(key, n, value) of context words, kept pairs and kept triples."""
+    def _arcs(self, steps: Scope) -> DataFrame:
+        """(key, n, arc, weight) of context words, kept pairs and kept triples; NULL where there is none."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = np.asarray([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()],
@@ -350,36 +391,34 @@ class Model:
                           .join(words.withColumnRenamed("h", "a"), "a")
                           .select("a", "m", weight("m").alias("weight")), "contexts")
         pairs = staged(_attached(ending, "a", contexts, frequent).select(
-            "key", "n", (used / F.col("m")).alias("p2"),
-            (F.log10(used / F.col("m")) - F.col("weight") - F.log10("p1")).alias("value")), "pair-values")
+            "key", "n", (used / F.col("m")).alias("p2")), "pair-arcs")
+        steps.drop(ending, words)
         ending = staged(_attached(self.triples, "b", pairs.select(
             F.col("key").alias("b"), F.col("n").alias("m"), "p2"), frequent_pair).select(
             "key", "a", "n", "p2"), "triple-ends")
         over = staged(ending.groupBy("a").agg(F.sum(used).alias("used"), F.sum("p2").alias("lower"))
                       .join(pairs.select(F.col("key").alias("a"), F.col("n").alias("m")), "a")
                       .select("a", "m", weight("m").alias("weight")), "pair-contexts")
+        none = F.lit(None).cast("double")
         triples = _attached(ending, "a", over, frequent_pair).select(
-            "key", "n", (F.log10(used / F.col("m")) - F.col("weight") - F.log10("p2")).alias("value"))
+            "key", "n", F.log10(used / F.col("m")).alias("arc"), none.alias("weight"))
         weights = over.select(F.col("a").alias("key"), "weight")
-        return contexts.select(F.col("a").alias("key"), F.col("m").alias("n"),
-                               F.col("weight").alias("value")).unionByName(
-            pairs.join(weights, "key", "left").select(
-                "key", "n", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value"))
-        ).unionByName(triples)
+        return contexts.select(F.col("a").alias("key"), F.col("m").alias("n"), none.alias("arc"), "weight") \
+            .unionByName(pairs.join(weights, "key", "left").select(
+                "key", "n", F.log10("p2").alias("arc"), "weight")).unionByName(triples)
 
     def _hot(self) -> Hot:
-        """The most frequent values, at most ``HOT``."""
+        """The most frequent rows of the machine, at most ``HOT``."""
         size = F.floor(8 * F.log2("n"))
-        sizes = self.values.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k")).collect()
+        sizes = self.machine.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k")).collect()
         least, held = None, 0
         for r in sorted(sizes, key=lambda r: -r["size"]):
             held += r["k"]
             if held > HOT:
                 break
             least = r["size"]
-        found = self.values.filter(F.lit(False) if least is None else size >= least).toArrow()
-        return Hot(found["key"].to_numpy().view(np.uint64), found["value"].to_numpy(),
-                   found["n"].to_numpy())
+        found = self.machine.filter(F.lit(False) if least is None else size >= least).toArrow()
+        return Hot(found["key"].to_numpy().view(np.uint64), _rows(found), found["n"].to_numpy())
 
     @property
     def automaton(self) -> Automaton:
@@ -398,63 +437,103 @@ class Model:
 
     def score(self, docs: DataFrame) -> DataFrame:
         """doc_id, n_tokens, n_known, base_score, score of (doc_id, text)."""
-        shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(self.values)))
+        shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(self.machine)))
         shared_words = self.shared_words
         bottom = float(self.total + self.distinct + 1)
 
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Slices of texts, and one row per slice with the keys and words it must be told about."""
             words, (hot, kept) = shared_words.value, shared.value
-            logs = np.log10((np.asarray([*words.counts, 0], dtype=np.float64) + 1) / bottom)
-            logs[-1] = 0.0  # of the begin, and of words that are joined
-            row = TaskContext.get().partitionId() << 40
+            number = TaskContext.get().partitionId() << 32
             for batch in slices(batches, 256):
-                n = batch.num_rows
-                found = Tokens(batch.column(1).to_pylist(), words)
-                base = np.bincount(found.text, logs[found.numbers], n)
-                pair, one, both = found.pairs()
-                keys = np.concatenate([found.hashes[:-1][one], pair[one],
-                                       _key(pair[:-1], pair[1:], 2)[both]])
-                text = np.concatenate([found.text[:-1][one], found.text[:-1][one],
-                                       found.text[:-2][both]])
-                values, here = hot.look_up(keys)
-                gain = np.bincount(text, values, n)
-                left = np.flatnonzero(~here)
-                left = left[_may_hold(kept, keys[left])]
-                left = left[np.argsort(text[left], kind="stable")]
-                ends = np.concatenate([[0], np.cumsum(np.bincount(text[left], minlength=n))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(row, row + n), pa.int64()), batch.column(0),
-                     pa.array(found.lengths, pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(gain, pa.float64()),
-                     pa.array([list(c.keys()) for c in found.rare], pa.list_(pa.binary())),
-                     pa.array([list(c.values()) for c in found.rare], pa.list_(pa.int64())),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _longs(keys[left]))],
-                    names=["row", "doc_id", "n_tokens", "base", "gain", "rare", "times", "grams"])
-                row += n
+                for part in _in_steps(batch):
+                    found = Tokens(part.column(1).to_pylist(), words)
+                    pair, one, both = found.pairs()
+                    keys = np.unique(np.concatenate([
+                        found.hashes[:-1][one], pair[one], _key(pair[:-1], pair[1:], 2)[both]]))
+                    keys = keys[_may_hold(kept, keys)]
+                    keys = keys[~hot.look_up(keys)[1]]
+                    n = part.num_rows
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number] * (n + 1), pa.int64()),
+                         pa.array([True] * n + [False]),
+                         pa.concat_arrays([part.column(0), pa.nulls(1, part.column(0).type)]),
+                         pa.concat_arrays([part.column(1), pa.nulls(1, part.column(1).type)]),
+                         pa.array([None] * n + [keys.view(np.int64)], pa.list_(pa.int64())),
+                         pa.array([None] * n + [sorted(set(found.rare_words))], pa.list_(pa.binary()))],
+                        names=["slice", "is_text", "doc_id", "text", "keys", "words"])
+                    number += 1
 
         part = staged(docs.mapInArrow(
-            work, f"row long, doc_id {id_type(docs)}, n_tokens long, base double, gain double, "
-                  "rare array<binary>, times array<long>, grams array<long>"), "looked-up")
-        rare = part.select("row", F.inline(F.arrays_zip("rare", "times"))).join(
-            self.counts, F.col("rare") == F.col("word"), "left")
-        log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(bottom))
-        of_words = rare.select(
-            "row", (log * F.col("times")).alias("log"), F.lit(0.0).alias("more"), "times",
-            F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"))
-        of_grams = part.select("row", F.explode("grams").alias("key")).join(
-            self.values, "key").select("row", F.lit(0.0).alias("log"), F.col("value").alias("more"),
-                                       F.lit(0).cast("long").alias("times"),
-                                       F.lit(0).cast("long").alias("known"))
-        rest = of_words.unionByName(of_grams).groupBy("row").agg(
-            F.sum("log").alias("log"), F.sum("more").alias("more"), F.sum("times").alias("rare"),
-            F.sum("known").alias("known"))
-        zero, none = F.lit(0), F.lit(0.0)
-        base = F.col("base") + F.coalesce("log", none)
-        return part.drop("rare", "times", "grams").join(rest, "row", "left").select(
-            "doc_id", "n_tokens",
-            (F.col("n_tokens") - F.coalesce("rare", zero) + F.coalesce("known", zero)).alias("n_known"),
-            base.alias("base_score"),
-            (base + F.col("gain") + F.coalesce("more", none)).alias("score"))
+            asked, f"slice long, is_text boolean, doc_id {id_type(docs)}, text string, keys array<long>, "
+                   "words array<binary>"), "asked")
+        needs = part.filter(~F.col("is_text"))
+        of = F.col("slice").alias("of")
+        arcs = needs.select(of, F.explode("keys").alias("key")).join(self.machine, "key").select(
+            "of", "key", F.lit(None).cast("binary").alias("word"), "n", "arc", "weight")
+        rare = needs.select(of, F.explode("words").alias("word")).join(self.counts, "word").select(
+            "of", F.lit(None).cast("long").alias("key"), "word", "n",
+            F.lit(None).cast("double").alias("arc"), F.lit(None).cast("double").alias("weight"))
+
+        def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
+            words, (hot, _) = shared_words.value, shared.value
+            found = Tokens(texts["text"].to_pylist(), words)
+            n = texts.num_rows
+            of_word = told.filter(pc.is_valid(told["word"]))
+            counts = dict(zip(of_word["word"].to_pylist(), of_word["n"].to_pylist()))
+            seen = np.asarray([*words.counts, 0], dtype=np.float64)[found.numbers]
+            seen[found.rare_at] = [counts.get(w, 0) for w in found.rare_words]
+            root = np.log10((seen + 1) / bottom)
+            begins = np.append(True, found.text[1:] != found.text[:-1])
+            root[begins] = 0.0
+            arcs = told.filter(pc.is_valid(told["key"]))
+            keys = arcs["key"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            keys, rows = keys[order], _rows(arcs)[order]
+
+            def machine(wanted: np.ndarray, use: np.ndarray) -> np.ndarray:
+                values, here = hot.look_up(wanted)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    told_of = ~here & (keys[at] == wanted)
+                    values[told_of] = rows[at[told_of]]
+                values[~use] = (np.nan, 0.0)
+                return values
+
+            pair, one, both = found.pairs()
+            of_words = machine(found.hashes, np.ones(len(found.hashes), dtype=bool))
+            of_pairs, of_triples = machine(pair, one), machine(_key(pair[:-1], pair[1:], 2), both)
+            ends = np.append(np.flatnonzero(begins), len(begins))
+            score = [traverse(root[a:b].tolist(), of_words[a:b, 1].tolist(), of_pairs[a:b - 1, 0].tolist(),
+                              of_pairs[a:b - 1, 1].tolist(), of_triples[a:max(a, b - 2), 0].tolist())
+                     for a, b in zip(ends[:-1], ends[1:])]
+            known = np.bincount(found.text, (seen > 0) & ~begins, n).astype(np.int64)
+            return pa.Table.from_arrays(
+                [texts["doc_id"], pa.array(found.lengths, pa.int64()), pa.array(known),
+                 pa.array(np.bincount(found.text, root, n)), pa.array(score, pa.float64())],
+                names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+        return part.filter("is_text").groupBy("slice").cogroup(
+            arcs.unionByName(rare).groupBy("of")).applyInArrow(
+            scores, f"doc_id {id_type(docs)}, n_tokens long, n_known long, base_score double, score double")
+
+
+def _rows(table: pa.Table) -> np.ndarray:
+    """(arc, weight) of rows of the machine: NaN for no arc, 0 for no weight."""
+    arc = table["arc"].to_numpy()
+    weight = np.nan_to_num(table["weight"].to_numpy().astype(np.float64), nan=0.0)
+    return np.column_stack([arc.astype(np.float64), weight])
+
+
+def _in_steps(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut where texts would hold more than ``most`` characters together; a longer text is alone."""
+    ends = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id",

@@ -350,6 +350,37 @@ def test_every_state_is_a_distribution(spark, sf_dir):
         assert math.isclose(total, 1, rel_tol=1e-9)
 
 
+def test_traversal_is_that_of_the_automaton_in_memory(spark, sf_dir, docs):
+    model = lm.Model(pick(documents(spark, sf_dir), "doc_id", "text").select("text"))
+    auto, number = model.automaton, model.words.number
+    texts = [r["text"] for r in docs.values()] + ["", "no such words here", "the the the"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in model.score(rows).collect()}
+    bottom = model.total + model.distinct + 1
+    counts = {bytes(r["word"]): r["n"] for r in model.counts.collect()}
+    for i, text in enumerate(texts):
+        w = lm.tokens(text or "")
+        # The automaton in memory leaves out what the root says about words without a number.
+        rest = sum(math.log10((counts.get(x, 0) + 1) / bottom) for x in w if x not in number)
+        assert math.isclose(got[i]["score"], auto.traverse([number.get(x, -1) for x in w]) + rest,
+                            rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_scoring_awkward_rows(spark):
+    """NULL ids and texts, repeated rows, a very long text, clashing columns."""
+    rows = cases.rows()
+    want = list(backoff_scores([r[1] for r in rows if zlib.crc32(
+        ("" if r[0] is None else str(r[0])).encode()) % 7 != 2], [r[1] for r in rows], 2))
+    for docs in (cases.awkward(spark), cases.crowded(cases.awkward(spark))):
+        got = lm.held_out_scores(docs).collect()
+        assert len(got) == len(rows)
+
+        def told(pairs):
+            return sorted((i is not None, i or 0, round(s, 6)) for i, s in pairs)
+
+        assert told((r["doc_id"], r["score"]) for r in got) == told(zip((r[0] for r in rows), want))
+
+
 # Quality rules
 
 def test_statistics_against_brute_force(spark, sf_dir, docs, awkward):
