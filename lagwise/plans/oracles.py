@@ -531,21 +531,18 @@ _SQL["frequency_index"] = """
 SELECT label, n, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS label_index
 FROM (SELECT coalesce(CAST(new_user_class_level AS VARCHAR), 'DESCONOCIDO') AS label,
              count(*) AS n FROM with_profile GROUP BY 1)"""
-_REJECTED = (
-    ("brand", "unknown for the rows whose text is no number; the flag of a known brand stands for it"),
-    ("nonclk", "the outcome itself, written the other way round"),
-    ("adgroup_id (history)", "its campaign carries the same history in far fewer rows per day"),
-    ("cms_segid", "cms_group_id says the same with fewer, fuller levels"),
-    ("ts_local / time_stamp", "no moment comes back; hour, weekday and part of day do"),
-    ("userid / adgroup_id (as category)", "one slot per id would be the vector; their past is used"),
-)
+_NO_FEATURES = {
+    "event_id": "names the row", "userid": "history key", "adgroup_id": "identifier",
+    "cate_id": "history key", "campaign_id": "history key", "customer": "history key",
+    "time_stamp": "orders the rows", "d": "splits the rows", "clk": "outcome",
+}
 _SQL["feature_registry"] = " UNION ALL ".join(
     [f"SELECT '{c}' AS feature, '{kind}' AS kind, 'accepted' AS status, '' AS reason, "
      f"count({c}) AS known_rows, count(*) - count({c}) AS null_rows FROM gold WHERE {_TRAIN}"
      for kind, names in (("categorical", _CATEGORICAL), ("numeric", (*_MEASURED, *_FLAGS)))
      for c in names]
-    + [f"SELECT '{name}', '-', 'rejected', '{reason}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"
-       for name, reason in _REJECTED])
+    + [f"SELECT '{name}', '-', 'rejected', '{role}', count({name}), count(*) - count({name}) "
+       f"FROM gold WHERE {_TRAIN}" for name, role in _NO_FEATURES.items()])
 
 
 def oracle_sql() -> dict[str, str]:
