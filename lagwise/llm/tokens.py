@@ -18,6 +18,10 @@ BYTE_CHUNKS = re.compile(
     f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 BETWEEN_SPACE = re.compile(f"[{WHITE_SPACE}] [{WHITE_SPACE}]")
 WORD_CHUNKS = re.compile(f"[^{WHITE_SPACE}]+")
+#: What byte-level vocabularies call each byte: printable bytes themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_NAMES = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 #: Chunks that a worker remembers in each of two generations, and the longest that it does.
 REMEMBERED, LONGEST = 1 << 19, 64
 
@@ -129,16 +133,34 @@ class TextEncoder:
         self._library.no_padding()
         self._added = added_tokens(spec)
         data = json.loads(spec)
+        self._model = self._library.model
+        self._lower = '"Lowercase"' in json.dumps(data.get("normalizer"))
+        self._letters = all(self._of_letters(w) == self._by_library(w) for w in (
+            "a", " a", "the", " the", "zqxj", " zqxj", "straße", " été", "ŧħ"))
         if (data.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
             self._values = SpacedChunks(self._whole, b"".join)
         else:
-            self._lower = '"Lowercase"' in json.dumps(data.get("normalizer"))
             self._words = ChunkCache(self._word)
             self._values = self._word_values
 
-    def _whole(self, text: str) -> bytes:
+    def _by_library(self, text: str) -> bytes:
         return packed_ids(self._library.encode(text, add_special_tokens=False).ids)
 
+    def _of_letters(self, text: str) -> bytes:
+        """Ids of one word by the merges alone: there is nothing to normalise or to cut in it."""
+        if not self._lower or text[:1] != " ":
+            return packed_ids([t.id for t in self._model.tokenize("".join(
+                [BYTE_NAMES[b] for b in text.encode()]))])
+        return self._of_letters(text[1:])  # white space is dropped
+
+    def _whole(self, text: str) -> bytes:
+        """A word of (lower-case) Latin letters goes to the merges, all else through the library."""
+        word = text[1:] if text[:1] == " " else text
+        if self._letters and word.isalpha() and max(word) < "\u0250" and not (
+                self._lower and word != word.lower()):
+            return self._of_letters(text)
+        return self._by_library(text)
+
     def _word(self, chunk: str) -> bytes:
         """A new word from known parts, if a mark follows it or it has capitals."""
         parts = stem_and_mark(chunk)
