@@ -1,12 +1,15 @@
 """Small helpers that several operators of this subpackage share."""
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagwise.sources.layers import scope
+
 #: White space that separates words, as a character class for Java, RE2 and Python patterns.
 SPACE = r"\x20\x09-\x0D"
 
@@ -39,6 +42,19 @@ def packed(docs: DataFrame) -> Column:
     return F.struct(*(column(c) for c in docs.columns))
 
 
+def tidy(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``step``, whose result is a staged table, without the other tables that it stages: these are
+    deleted once the result is written."""
+    @wraps(step)
+    def run(first: DataFrame, *more: DataFrame) -> DataFrame:
+        with scope(first.sparkSession) as steps:
+            result = step(first, *more)
+            steps.keep(result)
+        return result
+
+    return run
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches cut to ``rows`` rows: bounds what Python objects one step holds."""
     for batch in batches:

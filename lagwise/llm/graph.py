@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagwise.llm.common import tidy
 from lagwise.sources.layers import staged
 
 
@@ -11,6 +12,7 @@ def _lowest(links: DataFrame) -> DataFrame:
     return staged(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "lowest")
 
 
+@tidy
 def components(links: DataFrame) -> DataFrame:
     """(v, label): the smallest vertex reachable from each vertex of ``links`` (a, b).
 

@@ -11,9 +11,12 @@ Candidates are confirmed on the full shingle sets.
 A link of similarity 0.75 has fewer than 30 of 64 collisions with a probability of about 1e-6.
 
 Not all pairs of a group are made. Documents with equal shingle sets are one class. Each list first
-meets only two of its members; classes that are still in different components after that meet each
-other in their rarest shingles. Components need no more, and no link between different components is
-lost.
+meets only two of its members: one drawn by hash, and the central one, whose pairs are the most common
+(in a group of copies, the one with the fewest edits). Classes that are still in different components
+after that meet each other in their rarest shingles, and only pairs that can differ little enough come
+out of that join: ``parity`` bounds from below in how many shingles two sets differ, so no link is ruled
+out. Components need no more, and no link between different components is lost. Above some 3,000
+shingles the bound says little; there the signatures decide after the join.
 
 Defined results: NULL text, or text without words: no shingles, linked with nothing. A NULL id is
 linked with nothing; its component is NULL and it is kept. Rows with equal ids are linked by their
@@ -23,6 +26,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +37,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from lagwise.llm import bitmap
-from lagwise.llm.common import id_type, pick, slices
+from lagwise.llm.common import id_type, pick, slices, tidy
 from lagwise.llm.graph import components
 from lagwise.llm.tokens import ChunkCache
-from lagwise.sources.layers import staged
+from lagwise.sources.layers import scope, staged
 
 WORDS = 5
 COORDINATES, LEAST = 64, 30
 #: Links have 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
+#: 64-bit words of a set's parities.
+PARITIES = 16
 
 _MIX = np.random.default_rng(20240501)
 _PLACE = _MIX.integers(1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -77,6 +84,14 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Per bin of hashes, whether an odd number of the shingles falls in it. Bins in which two sets
+    disagree are at most as many as the shingles that only one of them has."""
+    bins = PARITIES * 64
+    odd = np.bincount((found >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key (equal for equal sets), signature; the last two NULL if empty."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,27 +112,30 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(rep, shingles): the set of each text, and the class it names."""
+    """(rep, shingles, parity): the set of each text, and the class it names."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["rep", "shingles"])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([parity(s) for s in sets], pa.list_(pa.int64()))],
+                names=["rep", "shingles", "parity"])
 
-    return docs.mapInArrow(work, "rep binary, shingles array<long>")
+    return docs.mapInArrow(work, "rep binary, shingles array<long>, parity array<long>")
 
 
+@tidy
 def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, shingles) of the ``wanted`` classes (rep, written): one text of each is read.
+    """(rep, shingles, parity) of the ``wanted`` classes (rep, written): one text of each is read.
 
     An id can have several texts; only those of a wanted class stay.
     """
     ids = staged(wanted.join(classes.select("rep", "doc_id"), "rep").select("doc_id").distinct(),
                  "wanted-ids")
     sets = shingle_sets(bitmap.only_ids(docs, "doc_id", ids))
-    return staged(sets, "read-sets").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
+    return staged(staged(sets, "read-sets").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]),
+                  "sets")
 
 
 def _posted(classes: DataFrame) -> DataFrame:
@@ -128,8 +146,10 @@ def _posted(classes: DataFrame) -> DataFrame:
     return pairs.select("rep", key.alias("key"))
 
 
+@tidy
 def prefixes(classes: DataFrame) -> DataFrame:
-    """(rep, key): the posting lists in which each class is met.
+    """(rep, key, central): the posting lists in which each class is met, and how many other classes
+    its pairs are shared with in all.
 
     Pairs that occur once can collide with nothing. They are the rarest, so they come first in the
     prefix: of a class with m other pairs, the m - LEAST + 1 rarest of these remain.
@@ -139,8 +159,10 @@ def prefixes(classes: DataFrame) -> DataFrame:
     maybe = bitmap.probe(posted, F.col("key"), bitmap.build(common, F.col("key")), "maybe")
     shared = staged(maybe.filter("maybe").select("rep", "key"), "postings").join(common, "key")
     listed = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("l"))
-    return staged(listed.filter(F.size("l") >= LEAST).select("rep", F.explode(F.slice(
-        "l", F.lit(1), F.size("l") - (LEAST - 1))).alias("p")).select("rep", "p.key"), "prefixes")
+    central = F.aggregate("l", F.lit(0).cast("long"), lambda total, p: total + p["n"])
+    return staged(listed.filter(F.size("l") >= LEAST).select("rep", central.alias("central"), F.explode(
+        F.slice("l", F.lit(1), F.size("l") - (LEAST - 1))).alias("p")).select(
+        "rep", "p.key", "central"), "prefixes")
 
 
 def _collisions(a: Column, b: Column) -> Column:
@@ -152,6 +174,13 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
+def _parities_allow(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+    """Links share 3/7 of n_a + n_b at least, so they differ in 1/7 of it at most."""
+    apart = reduce(add, (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(PARITIES)))
+    return (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * (n_a + n_b)
+
+
+@tidy
 def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
@@ -159,7 +188,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     """
     wanted = staged(pairs.select(F.col("a").alias("rep")).unionByName(
         pairs.select(F.col("b").alias("rep"))).distinct(), "wanted")
-    sets = staged(class_sets(docs, classes, wanted), "sets")
+    sets = class_sets(docs, classes, wanted)
     both = staged(pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")),
                              "a"), "left-sets").join(
         sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
@@ -168,6 +197,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
                   .select("a", "b"), "links")
 
 
+@tidy
 def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Of the pairs (a, b), those with enough collisions and possible sizes."""
     def side(name: str) -> DataFrame:
@@ -202,6 +232,7 @@ def _rare_prefixes(sets: DataFrame) -> DataFrame:
         "rep", "n_shingles", "p.gram", (F.col("at") < F.col("seventh")).alias("short"))
 
 
+@tidy
 def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components that can still be links.
 
@@ -215,36 +246,55 @@ def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, label: DataFr
                    .filter("low <> high").select("key"), "mixed")
     reps = staged(known.join(mixed, "key", "left_semi").select("rep", "label").distinct(), "open")
     sets = class_sets(docs, classes, reps)
-    met = _rare_prefixes(staged(sets, "open-sets")).join(reps, "rep")
+    met = _rare_prefixes(sets).join(reps, "rep")
     met = staged(met.select("gram", "rep", "label", "n_shingles", "short"), "met-grams")
     several = staged(met.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                      .filter("low <> high").select("gram"), "mixed-grams")
-    met = staged(met.join(several, "gram", "left_semi"), "met-grams")
+    met = staged(met.join(several, "gram", "left_semi"), "met-grams").join(
+        sets.select("rep", "parity"), "rep")
+    met = staged(met, "met-parities")
     a, b = (met.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in met.columns if c != "gram"))
             for s in "ab")
     smaller = (F.col("n_shingles_a") < F.col("n_shingles_b")) | (
         (F.col("n_shingles_a") == F.col("n_shingles_b")) & (F.col("rep_a") < F.col("rep_b")))
-    pairs = a.filter("short_a").join(b, "gram").filter(
-        smaller & (F.col("label_a") != F.col("label_b"))
-        & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b")))
+    pairs = a.filter("short_a").join(
+        b, (a["gram"] == b["gram"]) & (F.col("label_a") != F.col("label_b")) & smaller
+        & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b"))
+        & _parities_allow(F.col("parity_a"), F.col("parity_b"),
+                          F.col("n_shingles_a"), F.col("n_shingles_b")))
     return staged(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(),
                   "across")
 
 
+@tidy
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between class representatives: enough of them for the components."""
     lists = prefixes(classes)
     heads = staged(lists.groupBy("key").agg(
-        F.min("rep").alias("low"), F.min_by("rep", F.xxhash64("rep")).alias("any")), "heads")
-    stars = lists.join(heads, "key").select(
-        F.col("rep").alias("a"), F.explode(F.array("low", "any")).alias("b")).filter("a <> b").distinct()
+        F.max_by("rep", F.struct("central", "rep")).alias("central"),
+        F.min_by("rep", F.xxhash64("rep")).alias("any")), "heads")
+    stars = lists.select("rep", "key").join(heads, "key").select(
+        F.col("rep").alias("a"), F.explode(F.array("central", "any")).alias("b")).filter(
+        "a <> b").distinct()
     first = confirmed(docs, classes, _candidates(stars, classes))
     pairs = _across(docs, classes, lists, components(first))
-    return first.unionByName(confirmed(docs, classes, _candidates(pairs, classes)))
+    return staged(first.unionByName(confirmed(docs, classes, _candidates(pairs, classes))), "all-links")
 
 
 def _decided(docs: DataFrame) -> DataFrame:
     """doc_id, set_key, n_shingles, component_id, kept of (doc_id, text)."""
+    with scope(docs.sparkSession) as steps:
+        rows, named = _classes_named(docs)
+        steps.keep(rows, named)
+    found = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    component = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(
+        F.coalesce("label", "doc_id"))
+    return found.select("doc_id", "set_key", "n_shingles", component.alias("component_id"),
+                        F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _classes_named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and the smallest document id (label) of each class's component."""
     rows = staged(sketches(docs), "sketches")
     some = rows.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     # An id may have several texts, so a class is named by its set and not by an id.
@@ -258,11 +308,7 @@ def _decided(docs: DataFrame) -> DataFrame:
         F.col("rep").alias("set_key"), "doc_id", F.coalesce("label", "rep").alias("group")), "groups")
     named = staged(joined.join(joined.groupBy("group").agg(F.min("doc_id").alias("label")), "group")
                    .select("set_key", "label"), "class-labels")
-    found = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(
-        F.coalesce("label", "doc_id"))
-    return found.select("doc_id", "set_key", "n_shingles", component.alias("component_id"),
-                        F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows, named
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
