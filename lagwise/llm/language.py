@@ -34,6 +34,8 @@ PER_LANGUAGE, SEGMENTS, RUN = 250, 12, 20
 FEATURES = 1 << 17
 ROUNDS, RATE, DECAY = 40, 0.3, 2e-4
 UNDETERMINED = "und"
+#: Words whose scores a worker remembers in each of two generations.
+REMEMBERED = 1 << 17
 _STEP = 64  # words of a text that are passed in one block; blocks are passed side by side
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -131,7 +133,7 @@ class Field:
         return np.exp(np.maximum(score - score.max(), -30.0)).astype("<f4").tobytes()
 
     def cache(self) -> ChunkCache:
-        return ChunkCache(self._emission)
+        return ChunkCache(self._emission, REMEMBERED)
 
     def posteriors(self, texts: list[list[str]], cache: ChunkCache) -> np.ndarray:
         """(words of all texts, languages); no text is empty."""
