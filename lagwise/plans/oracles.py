@@ -381,6 +381,7 @@ _SQL["price_relative"] = f"""
 SELECT event_id, {_r('log_price')} AS log_price, {_r('price_rel')} AS price_rel FROM price_rows"""
 _SQL["gold_features"] = ("SELECT * REPLACE (" + ", ".join(f"{_r(c)} AS {c}" for c in _MEASURED)
                          + ") FROM gold")
+_SQL["gold_append_day"] = _SQL["gold_features"]
 
 _SQL["temporal_split"] = f"""
 SELECT event_id, d, CASE WHEN {_TRAIN} THEN 'train' WHEN {_VAL} THEN 'val' ELSE 'test' END AS split

@@ -343,6 +343,23 @@ def gold_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES["gold_features"] = _QUERIES.pop("gold_features_query")
 
 
+@query
+def gold_append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature layer of all days but the last, to which the last day is then added: the same rows
+    as a build over all days."""
+    day, silver = CONFIG.columns.day, silver_layer(spark, sf_dir)
+    last = silver.agg(F.max(day)).first()[0]
+    path = layers.fresh_path(spark, "gold-by-day")
+
+    def upto(rows: DataFrame) -> DataFrame:
+        return layers.build_layer(spark, path, gold_columns(CONFIG), lambda: gold_features(rows, CONFIG),
+                                  day, grow=True)
+
+    if last is not None:
+        upto(silver.filter(F.col(day) < F.lit(last)))
+    return _rounded(upto(silver), CONFIG.measured_numeric)
+
+
 # --- split and leakage ------------------------------------------------------------------------------
 
 @query

@@ -37,17 +37,20 @@ def csv_reads(spark: SparkSession, csv: str) -> dict[str, contract.ContractRead]
 
 
 def build_bronze(spark: SparkSession, csv: str, out: str, config: Config = Config(),
-                 rebuild: bool = False) -> Bronze:
-    """Typed Parquet copies of the CSV files, impressions by local date; reused if valid."""
+                 rebuild: bool = False, grow: bool = False) -> Bronze:
+    """Typed Parquet copies of the CSV files, impressions by local date; reused if valid.
+
+    With ``grow``, dates that the impressions do not hold yet are added, and ads and profiles are
+    written again."""
     c, reads = config.columns, csv_reads(spark, csv)
     impressions = layers.build_layer(
         spark, f"{out}/impressions",
         [c.row_id, c.user, c.time, c.ad, c.slot, c.label, "ts_local", c.day, "hour", "day_part"],
         lambda: ingest_impressions(reads["raw_sample"].typed, config), c.day, rebuild,
-        repr(config))
+        repr(config), grow)
     ads, profiles = [
         layers.build_layer(spark, f"{out}/{t.name}", t.required,
-                           lambda t=t: reads[t.name].typed, rebuild=rebuild)
+                           lambda t=t: reads[t.name].typed, rebuild=rebuild or grow)
         for t in (contract.ADS, contract.PROFILES)]
     layers.register_views({"impressions": impressions, "ad_feature": ads,
                            "user_profile": profiles})
@@ -55,7 +58,7 @@ def build_bronze(spark: SparkSession, csv: str, out: str, config: Config = Confi
 
 
 def build_silver(spark: SparkSession, bronze: Bronze, out: str, config: Config = Config(),
-                 rebuild: bool = False) -> DataFrame:
+                 rebuild: bool = False, grow: bool = False) -> DataFrame:
     """The enriched layer, after the join gate and with the measured imputation decisions.
 
     Only decisions to drop rows or impute a mode differ from the sentinel default.
@@ -69,17 +72,20 @@ def build_silver(spark: SparkSession, bronze: Bronze, out: str, config: Config =
         spark, f"{out}/silver", [*config.profile_columns, "no_profile", "brand_known"],
         lambda: quality.apply_imputation(enrich.enriched(
             bronze.impressions, bronze.ads, bronze.profiles, config), decided),
-        config.columns.day, rebuild, repr(config))
+        config.columns.day, rebuild, repr(config), grow)
     layers.register_views({"silver": silver})
     return silver
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, out: str, config: Config = Config(),
-               rebuild: bool = False, origin: int | None = None) -> DataFrame:
-    """The feature layer, after the leakage gate."""
+               rebuild: bool = False, origin: int | None = None, grow: bool = False) -> DataFrame:
+    """The feature layer, after the leakage gate.
+
+    No feature looks ahead, so with ``grow`` the rows of the dates it holds stay as they are."""
     gold = layers.build_layer(
         spark, f"{out}/gold", gold_columns(config),
-        lambda: gold_features(silver, config, origin), config.columns.day, rebuild, repr(config))
+        lambda: gold_features(silver, config, origin), config.columns.day, rebuild, repr(config),
+        grow)
     layers.register_views({"gold": gold})
     leakage.require_leak_free(gold, config)
     return gold
@@ -198,6 +204,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--quick", action="store_true", help="one grid point, two folds")
     parser.add_argument("--only", help="comma-separated experiments")
     parser.add_argument("--rebuild", action="store_true", help="do not reuse layers")
+    parser.add_argument("--grow", action="store_true", help="add dates that the layers lack")
     parser.add_argument("--fraction", type=float, default=1.0, help="share of silver to use")
     parser.add_argument("--no-als", action="store_true")
     parser.add_argument("--weighted", action="store_true")
@@ -210,15 +217,15 @@ def main(argv: list[str] | None = None) -> None:
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     config = Config()
-    bronze = build_bronze(spark, args.csv, args.out, config, args.rebuild)
-    silver = build_silver(spark, bronze, args.out, config, args.rebuild)
+    bronze = build_bronze(spark, args.csv, args.out, config, args.rebuild, args.grow)
+    silver = build_silver(spark, bronze, args.out, config, args.rebuild, args.grow)
     origin, out = None, args.out
     if args.fraction < 1:
         # The sample keeps the hours of the whole table, and gets a feature layer of its own.
         origin = silver.agg(F.min(config.columns.time)).first()[0]
         silver = sampling.fraction_of(silver, args.fraction, config, "silver")
         out = f"{args.out}/fraction-{args.fraction:g}"
-    gold = build_gold(spark, silver, out, config, args.rebuild, origin)
+    gold = build_gold(spark, silver, out, config, args.rebuild, origin, args.grow)
     reports = {
         "cast_audit": contract.audit_cast(*csv_reads(spark, args.csv).values()),
         "layer": layers.layer_footprint(bronze.impressions),

@@ -75,14 +75,35 @@ def missing_columns(spark: SparkSession, path: str, required: Iterable[str]) ->
         return None
 
 
+def add_dates(df: DataFrame, path: str, partition_by: str, stamp: str | None = None) -> None:
+    """Write the dates of ``df`` that the layer at ``path`` does not hold; its files stay as they are.
+
+    The dates held (one value per day) become a filter on ``df``, which prunes partitions. Each new
+    date is replaced as a whole, so a write that was broken off is simply done again. A date that the
+    layer holds is final: later rows of it need a rebuild. No new date writes nothing.
+    """
+    held = [r[0] for r in df.sparkSession.read.parquet(path).select(partition_by).distinct().collect()]
+    known = F.col(partition_by).isin([d for d in held if d is not None])
+    new = df.filter(~F.coalesce(known, F.lit(None in held)))
+    if stamp is not None:
+        new = _stamped(new, stamp)
+    new.hint("rebalance", partition_by).write.mode("overwrite").option("compression", "zstd").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
 def build_layer(spark: SparkSession, path: str, required: Iterable[str],
                 build: Callable[[], DataFrame], partition_by: str | None = None,
-                rebuild: bool = False, stamp: str | None = None) -> DataFrame:
+                rebuild: bool = False, stamp: str | None = None, grow: bool = False) -> DataFrame:
     """Read the layer if it is there, finished, with all its columns and, if ``stamp`` is given,
-    built under the same one (a run's configuration); otherwise build, write and check it."""
+    built under the same one (a run's configuration); otherwise build, write and check it.
+
+    With ``grow``, a partitioned layer that could be read as it is first gets the dates it lacks."""
     required = set(required)
-    if rebuild or missing_columns(spark, path, required) != set() or not is_complete(
-            spark, path, stamp):
+    usable = not rebuild and missing_columns(spark, path, required) == set() and is_complete(
+        spark, path, stamp)
+    if usable and grow and partition_by:
+        add_dates(build(), path, partition_by, stamp)
+    if not usable:
         built = build()
         write_layer(built if stamp is None else _stamped(built, stamp), path, partition_by)
         lost = missing_columns(spark, path, required)

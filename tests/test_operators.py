@@ -164,6 +164,28 @@ def test_contract_tolerates_a_missing_optional_column(spark):
     assert read.missing == ("brand",) and "brand" not in read.typed.columns
 
 
+def test_a_layer_grows_by_dates_and_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "layer")
+
+    def grown(rows, stamp="s"):
+        df = spark.createDataFrame(rows, "x bigint, d date")
+        return layers.build_layer(spark, path, ["x", "d"], lambda: df, "d", stamp=stamp, grow=True)
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in tmp_path.glob("layer/*/*.parquet")}
+
+    grown([(1, DAY), (2, None)])
+    before = files()
+    again = grown([(9, DAY), (9, None), (3, days(1)), (4, days(2))])  # held dates are final
+    assert sorted((r["x"], str(r["d"])) for r in again.collect()) == [
+        (1, str(DAY)), (2, "None"), (3, str(days(1))), (4, str(days(2)))]
+    assert before.items() <= files().items() and len(files()) == 4
+    before = files()
+    assert grown([(9, DAY)]).count() == 4 and files() == before  # nothing new: nothing is written
+    assert grown([], "s").count() == 4
+    assert [r["x"] for r in grown([(7, DAY)], "other").collect()] == [7]  # other settings: a rebuild
+
+
 def test_layers_are_reused_until_the_contract_breaks(spark, tmp_path):
     path, built = str(tmp_path / "layer"), []
 
