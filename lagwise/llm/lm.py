@@ -6,15 +6,19 @@ Words, pairs and triples live in written tables, of any size.
 The model is a weighted backoff automaton. A state is the longest kept context: a pair, a word or
 the root. An arc reads a token, adds its log probability and leads to the longest kept context that
 ends there; a state without an arc for the token takes its failure arc to the next shorter context
-and adds the backoff weight. Arcs and failure weights are one table, ``machine``, by the key of the
-n-gram that the arc spells or that the state is. A text is traversed once from left to right with the
-state carried along.
+and adds the backoff weight. All of it is one table, ``machine``, by the key of the n-gram: its count,
+from which the arc that spells it follows, and its failure weight as a state. A text is traversed once
+from left to right with the state carried along.
 
-The ``HOT`` most frequent rows of the machine are sent to every task, and a filter of fixed size rules
-out n-grams that are not in it. The arcs and weights that a slice of texts needs beyond that are
-joined, each once per slice, and meet the texts of the slice before these are traversed.
+N-grams are counted in two passes. The first sends 4 bytes of each and leaves a filter of fixed size
+with those that may be repeated; the second counts what the filter lets through. A full filter costs
+a larger shuffle, never a result. The ``HOT`` most frequent rows of the machine are sent to every task,
+and a filter rules out n-grams that are not in it. What a slice of texts asks beyond that goes to
+ranges of the machine as blocks of sorted keys; the answers come back in the same order and meet the
+texts of the slice before these are traversed. The number of ranges follows the number of tokens, so
+a range fits in a task at any size.
 
-Words, pairs and triples are known by 64-bit hashes in these tables; word counts are exact.
+Words, pairs and triples are known by 64-bit hashes in the machine.
 
 The probability of a token t in context h with kept continuations K(h), c(h) occurrences and the
 discount D: (c(h t) - D) / c(h) if t is in K(h), else weight(h) * P(t | shorter h), with the weight
@@ -44,13 +48,14 @@ from lagwise.sources.layers import Scope, scope, staged
 #: Least count of a kept pair or triple.
 LEAST = 2
 #: Shares of all training tokens from which words are numbered and pairs broadcast in joins: at most
-#: 1 / share of them, all others are joined. HOT: how many values every task gets at most.
+#: 1 / share of them, all others are joined. HOT: how many rows every task gets at most.
 ARC_SHARE, GRAM_SHARE, HOT = 1 / 2**19, 1 / 2**18, 1 << 20
 DISCOUNT = 0.5
 END = b""
 _SHIFT = 20
 _BEGIN = (1 << _SHIFT) - 1  # context before the first token; no word has this number
 _FLUSH = 200_000
+_RANGE = 1 << 20  # tokens for each range of keys
 _FILTER_BITS, _BUCKET_BITS = 28, 15  # bitmap_construct_agg fills 32,768 bits
 _HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
 
@@ -141,38 +146,87 @@ def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
-def _gram_counts(texts: DataFrame, parts_of, salt: int) -> DataFrame:
-    """(key, a, b, n) of the n-grams with at least ``LEAST`` occurrences; ``parts_of`` gives the
-    keys of the two parts of each n-gram of some texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right, size = [], [], 0
+def _bits(size: int) -> int:
+    """How many upper bits of a key name its range, for ``size`` tokens."""
+    return min(28, max(1, math.ceil(size / _RANGE).bit_length()))
 
-        def rows() -> pa.RecordBatch:
-            a, b = np.concatenate(left), np.concatenate(right)
-            _, at, n = np.unique(_key(a, b, salt), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([_longs(a[at]), _longs(b[at]), pa.array(n, pa.int64())],
-                                              names=["a", "b", "n"])
-
-        for batch in slices(batches, 256):
-            a, b = parts_of(batch.column(0).to_pylist())
-            left.append(a)
-            right.append(b)
-            size += len(a)
-            if size >= 10 * _FLUSH:
-                yield rows()
-                left, right, size = [], [], 0
-        if left:
-            yield rows()
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([_longs(_key(a, b, salt)), *batch.columns],
-                                             names=["key", "a", "b", "n"])
+def _runs(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The ranges that occur in sorted keys, and where the keys of each begin and end."""
+    at = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, dtype=np.int64)
+    return at[starts], list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)]))
+
+
+def _joined(blocks: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=kind), *(np.frombuffer(x, kind) for x in blocks.to_pylist())])
+
+
+def _collected(batches: Iterator[pa.RecordBatch], parts_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The parts of the n-grams of some texts, at least 10 * ``_FLUSH`` at a time."""
+    left, right, size = [], [], 0
+    for batch in slices(batches, 256):
+        a, b = parts_of(batch.column(0).to_pylist())
+        left.append(a)
+        right.append(b)
+        size += len(a)
+        if size >= 10 * _FLUSH:
+            yield np.concatenate(left), np.concatenate(right)
+            left, right, size = [], [], 0
+    if left:
+        yield np.concatenate(left), np.concatenate(right)
+
+
+def _maybe_repeated(texts: DataFrame, parts_of, salt: int, bits: int) -> DataFrame:
+    """(key) of all n-grams with at least ``LEAST`` occurrences, and of some that share the upper
+    ``bits`` + 32 bits of their key with others; the lower bits of these keys are 0."""
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _collected(batches, parts_of):
+            keys, n = np.unique(_key(a, b, salt), return_counts=True)
+            keys = np.repeat(keys, np.minimum(n, LEAST))
+            ranges, ends = _runs(keys, bits)
+            short = (keys >> np.uint64(32 - bits)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ranges), pa.array([short[i:j].tobytes() for i, j in ends], pa.binary())],
+                names=["range", "short"])
+
+    def repeated(blocks: pa.Table) -> pa.Table:
+        short = np.sort(_joined(blocks["short"], "<u4"))
+        last = short[LEAST - 1:]
+        again = np.unique(last[last == short[:len(last)]]).astype(np.uint64)
+        first = np.uint64(blocks["range"][0].as_py())
+        return pa.table({"key": _longs(first << np.uint64(64 - bits) | again << np.uint64(32 - bits))})
+
+    return texts.mapInArrow(seen, "range long, short binary").groupBy("range").applyInArrow(
+        repeated, "key long")
+
 
-    counted = texts.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
-    return counted.mapInArrow(keyed, "key long, a long, b long, n long")
+def _gram_counts(texts: DataFrame, parts_of, salt: int, bits: int, maybe) -> DataFrame:
+    """(key, a, b, n) of the n-grams with at least ``LEAST`` occurrences; ``parts_of`` gives the
+    keys of the two parts of each n-gram of some texts, ``maybe`` is a shared filter that holds all
+    that are repeated."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _collected(batches, parts_of):
+            keys = _key(a, b, salt)
+            good = _may_hold(maybe.value, keys)
+            a, b = a[good], b[good]
+            keys, at, n = np.unique(keys[good], return_index=True, return_counts=True)
+            a, b, n = a[at], b[at], n.astype(np.int64)
+            ranges, ends = _runs(keys, bits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ranges), *(pa.array([x[i:j].tobytes() for i, j in ends], pa.binary())
+                                     for x in (a, b, n))], names=["range", "a", "b", "n"])
+
+    def added(blocks: pa.Table) -> pa.Table:
+        a, b, n = _joined(blocks["a"], "<u8"), _joined(blocks["b"], "<u8"), _joined(blocks["n"], "<i8")
+        keys, at, of = np.unique(_key(a, b, salt), return_index=True, return_inverse=True)
+        sums = np.bincount(of, n, len(keys)).astype(np.int64)
+        often = sums >= LEAST
+        return pa.table({"key": _longs(keys[often]), "a": _longs(a[at][often]), "b": _longs(b[at][often]),
+                         "n": pa.array(sums[often], pa.int64())})
+
+    return texts.mapInArrow(count, "range long, a binary, b binary, n binary").groupBy(
+        "range").applyInArrow(added, "key long, a long, b long, n long")
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
@@ -212,8 +266,8 @@ class Hot:
         return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows (no arc and no weight if there is none), and whether the key is here. Key 0 is not used."""
-        values, found = _nothing(len(keys)), np.zeros(len(keys), dtype=bool)
+        """Rows (zeros if there is none), and whether the key is here. Key 0 is not used."""
+        values, found = np.zeros((len(keys), 2)), np.zeros(len(keys), dtype=bool)
         open_ = np.arange(len(keys))
         for turn, held, value in self.tables:
             slot = self._slot(keys[open_], turn)
@@ -223,9 +277,21 @@ class Hot:
         return values, found
 
 
-def _nothing(n: int) -> np.ndarray:
-    """Rows of the machine (log probability, failure weight) without an arc and without a weight."""
-    return np.tile(np.asarray([np.nan, 0.0]), (n, 1))
+def _questions(found: Tokens, hot: Hot, kept: np.ndarray) -> np.ndarray:
+    """Sorted keys of some texts that the machine may hold and that are not hot."""
+    pair, one, both = found.pairs()
+    keys = np.unique(np.concatenate([found.hashes, pair[one], _key(pair[:-1], pair[1:], 2)[both]]))
+    keys = keys[_may_hold(kept, keys)]
+    return keys[~hot.look_up(keys)[1]]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """8-byte values as their first bytes, then their second ones, ...: sorted keys compress well so."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _of_planes(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
 
 
 def traverse(root: list[float], word_weight: list[float], pair_arc: list[float],
@@ -329,12 +395,13 @@ class Automaton:
 
 
 class Model:
-    """Written tables: word counts, kept ``pairs`` and ``triples`` with their counts, ``machine``."""
+    """Written tables: word counts, ``machine``, and with ``grams`` the kept ``pairs`` and ``triples``
+    with their counts."""
 
-    def __init__(self, texts: DataFrame):
+    def __init__(self, texts: DataFrame, grams: bool = True):
         with scope(texts.sparkSession) as steps:
             self._build(texts, steps)
-            steps.keep(self.counts, self.pairs, self.triples, self.machine)
+            steps.keep(self.machine, *((self.counts, self.pairs, self.triples) if grams else ()))
 
     def _build(self, texts: DataFrame, steps: Scope) -> None:
         spark = texts.sparkSession
@@ -346,15 +413,20 @@ class Model:
         self.words = Words([(bytes(r["word"]), r["n"]) for r in
                             self.counts.filter(F.col("n") >= self.least).collect()])
         self.shared_words = spark.sparkContext.broadcast(self.words)
-        words = self.shared_words
+        words, bits = self.shared_words, _bits(self.total)
 
         def pairs_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
             found = Tokens(some, words.value)
             one = found.text[:-1] == found.text[1:]
             return found.hashes[:-1][one], found.hashes[1:][one]
 
-        self.pairs = staged(_gram_counts(texts, pairs_of, 1), "pairs")
-        kept = spark.sparkContext.broadcast(_filter(self.pairs))
+        def counted(parts_of, salt: int, name: str):
+            maybe = staged(_maybe_repeated(texts, parts_of, salt, bits), f"maybe-{name}")
+            shared = spark.sparkContext.broadcast(_filter(maybe))
+            steps.drop(maybe)
+            return staged(_gram_counts(texts, parts_of, salt, bits, shared), name), shared
+
+        self.pairs, kept = counted(pairs_of, 1, "pairs")
 
         def triples_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
             # A repeated triple consists of two repeated pairs.
@@ -363,12 +435,13 @@ class Model:
             both &= good[:-1] & good[1:]
             return pair[:-1][both], pair[1:][both]
 
-        self.triples = staged(_gram_counts(texts, triples_of, 2), "triples")
+        self.triples, kept_triples = counted(triples_of, 2, "triples")
         kept.destroy()
-        self.machine = staged(self._arcs(steps), "machine")
+        kept_triples.destroy()
+        self.machine = staged(self._rows(steps), "machine")
 
-    def _arcs(self, steps: Scope) -> DataFrame:
-        """(key, n, arc, weight) of context words, kept pairs and kept triples; NULL where there is none."""
+    def _rows(self, steps: Scope) -> DataFrame:
+        """(key, n, weight) of all words, kept pairs and kept triples; no weight where nothing follows."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = np.asarray([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()],
@@ -382,30 +455,25 @@ class Model:
         frequent = F.col("m") >= self.least
         frequent_pair = F.col("m") >= max(LEAST, math.ceil(self.total * GRAM_SHARE))
 
-        def weight(seen: str):
-            return F.log10((1 - F.col("used") / F.col(seen)) / (1 - F.col("lower")))
-
-        ending = staged(_attached(self.pairs, "b", words.withColumnRenamed("h", "b"), frequent).select(
-            "key", "a", "n", ((F.col("m") + 1) / bottom).alias("p1")), "pair-ends")
-        contexts = staged(ending.groupBy("a").agg(F.sum(used).alias("used"), F.sum("p1").alias("lower"))
-                          .join(words.withColumnRenamed("h", "a"), "a")
-                          .select("a", "m", weight("m").alias("weight")), "contexts")
-        pairs = staged(_attached(ending, "a", contexts, frequent).select(
-            "key", "n", (used / F.col("m")).alias("p2")), "pair-arcs")
-        steps.drop(ending, words)
-        ending = staged(_attached(self.triples, "b", pairs.select(
-            F.col("key").alias("b"), F.col("n").alias("m"), "p2"), frequent_pair).select(
-            "key", "a", "n", "p2"), "triple-ends")
-        over = staged(ending.groupBy("a").agg(F.sum(used).alias("used"), F.sum("p2").alias("lower"))
-                      .join(pairs.select(F.col("key").alias("a"), F.col("n").alias("m")), "a")
-                      .select("a", "m", weight("m").alias("weight")), "pair-contexts")
-        none = F.lit(None).cast("double")
-        triples = _attached(ending, "a", over, frequent_pair).select(
-            "key", "n", F.log10(used / F.col("m")).alias("arc"), none.alias("weight"))
-        weights = over.select(F.col("a").alias("key"), "weight")
-        return contexts.select(F.col("a").alias("key"), F.col("m").alias("n"), none.alias("arc"), "weight") \
-            .unionByName(pairs.join(weights, "key", "left").select(
-                "key", "n", F.log10("p2").alias("arc"), "weight")).unionByName(triples)
+        def followed(rows: DataFrame, lower: Column) -> DataFrame:
+            return rows.groupBy("a").agg(F.sum(used).alias("used"), F.sum(lower).alias("lower"))
+
+        weight = F.log10((1 - F.col("used") / F.col("m")) / (1 - F.col("lower")))
+        root = (F.col("m") + 1) / bottom
+        ending = _attached(self.pairs.select("a", "b", "n"), "b", words.withColumnRenamed("h", "b"), frequent)
+        contexts = staged(words.withColumnRenamed("h", "a").join(followed(ending, root), "a", "left").select(
+            F.col("a").alias("key"), F.col("m").alias("n"), weight.alias("weight")), "contexts")
+        arcs = staged(_attached(self.pairs.select("key", "a", "n"), "a", words.withColumnRenamed("h", "a"),
+                                frequent).select(F.col("key").alias("b"), F.col("n").alias("m"),
+                                                 (used / F.col("m")).alias("p2")), "pair-arcs")
+        steps.drop(words)
+        over = staged(followed(_attached(self.triples.select("a", "b", "n"), "b", arcs, frequent_pair),
+                               F.col("p2")), "pair-contexts")
+        steps.drop(arcs)
+        pairs = self.pairs.select(F.col("key").alias("a"), F.col("n").alias("m")).join(over, "a", "left")
+        return contexts.unionByName(pairs.select(
+            F.col("a").alias("key"), F.col("m").alias("n"), weight.alias("weight"))).unionByName(
+            self.triples.select("key", "n", F.lit(None).cast("double").alias("weight")))
 
     def _hot(self) -> Hot:
         """The most frequent rows of the machine, at most ``HOT``."""
@@ -418,7 +486,8 @@ class Model:
                 break
             least = r["size"]
         found = self.machine.filter(F.lit(False) if least is None else size >= least).toArrow()
-        return Hot(found["key"].to_numpy().view(np.uint64), _rows(found), found["n"].to_numpy())
+        n, weight = found["n"].to_numpy(), np.nan_to_num(found["weight"].to_numpy().astype(np.float64))
+        return Hot(found["key"].to_numpy().view(np.uint64), np.column_stack([n.astype(np.float64), weight]), n)
 
     @property
     def automaton(self) -> Automaton:
@@ -440,89 +509,93 @@ class Model:
         shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(self.machine)))
         shared_words = self.shared_words
         bottom = float(self.total + self.distinct + 1)
+        letters = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+        bits = _bits(max(self.total, letters // 4))
 
         def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Slices of texts, and one row per slice with the keys and words it must be told about."""
+            """A row with the texts of each slice (range -1), and rows with the keys it asks of a range."""
             words, (hot, kept) = shared_words.value, shared.value
             number = TaskContext.get().partitionId() << 32
             for batch in slices(batches, 256):
                 for part in _in_steps(batch):
-                    found = Tokens(part.column(1).to_pylist(), words)
-                    pair, one, both = found.pairs()
-                    keys = np.unique(np.concatenate([
-                        found.hashes[:-1][one], pair[one], _key(pair[:-1], pair[1:], 2)[both]]))
-                    keys = keys[_may_hold(kept, keys)]
-                    keys = keys[~hot.look_up(keys)[1]]
-                    n = part.num_rows
+                    keys = _questions(Tokens(part.column(1).to_pylist(), words), hot, kept)
+                    ranges, ends = _runs(keys, bits)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([number] * (n + 1), pa.int64()),
-                         pa.array([True] * n + [False]),
-                         pa.concat_arrays([part.column(0), pa.nulls(1, part.column(0).type)]),
-                         pa.concat_arrays([part.column(1), pa.nulls(1, part.column(1).type)]),
-                         pa.array([None] * n + [keys.view(np.int64)], pa.list_(pa.int64())),
-                         pa.array([None] * n + [sorted(set(found.rare_words))], pa.list_(pa.binary()))],
-                        names=["slice", "is_text", "doc_id", "text", "keys", "words"])
+                        [pa.array([number] * (len(ends) + 1), pa.int64()),
+                         pa.array([-1, *ranges.tolist()], pa.int64()),
+                         pa.array([_written(part), *(_planes(keys[i:j]) for i, j in ends)], pa.binary())],
+                        names=["slice", "range", "data"])
                     number += 1
 
-        part = staged(docs.mapInArrow(
-            asked, f"slice long, is_text boolean, doc_id {id_type(docs)}, text string, keys array<long>, "
-                   "words array<binary>"), "asked")
-        needs = part.filter(~F.col("is_text"))
-        of = F.col("slice").alias("of")
-        arcs = needs.select(of, F.explode("keys").alias("key")).join(self.machine, "key").select(
-            "of", "key", F.lit(None).cast("binary").alias("word"), "n", "arc", "weight")
-        rare = needs.select(of, F.explode("words").alias("word")).join(self.counts, "word").select(
-            "of", F.lit(None).cast("long").alias("key"), "word", "n",
-            F.lit(None).cast("double").alias("arc"), F.lit(None).cast("double").alias("weight"))
-
-        def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
-            words, (hot, _) = shared_words.value, shared.value
-            found = Tokens(texts["text"].to_pylist(), words)
-            n = texts.num_rows
-            of_word = told.filter(pc.is_valid(told["word"]))
-            counts = dict(zip(of_word["word"].to_pylist(), of_word["n"].to_pylist()))
-            seen = np.asarray([*words.counts, 0], dtype=np.float64)[found.numbers]
-            seen[found.rare_at] = [counts.get(w, 0) for w in found.rare_words]
-            root = np.log10((seen + 1) / bottom)
-            begins = np.append(True, found.text[1:] != found.text[:-1])
-            root[begins] = 0.0
-            arcs = told.filter(pc.is_valid(told["key"]))
-            keys = arcs["key"].to_numpy().view(np.uint64)
+        def answered(rows: pa.Table, questions: pa.Table) -> pa.Table:
+            keys = rows["key"].to_numpy().view(np.uint64)
             order = np.argsort(keys)
-            keys, rows = keys[order], _rows(arcs)[order]
+            keys = np.append(keys[order], np.uint64(0))  # one more, which no key is equal to
+            n = np.append(rows["n"].to_numpy()[order], 0).astype(np.int64)
+            weight = np.append(np.nan_to_num(rows["weight"].to_numpy().astype(np.float64)[order]), 0.0)
+            of_n, of_weight = [], []
+            for data in questions["data"].to_pylist():
+                wanted = _of_planes(data, "<u8")
+                at = np.searchsorted(keys[:-1], wanted)
+                at[keys[at] != wanted] = len(keys) - 1
+                of_n.append(_planes(n[at]))
+                of_weight.append(_planes(weight[at]))
+            return pa.table({"slice": questions["slice"], "range": questions["range"],
+                             "n": pa.array(of_n, pa.binary()), "weight": pa.array(of_weight, pa.binary())})
 
-            def machine(wanted: np.ndarray, use: np.ndarray) -> np.ndarray:
+        def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
+            words, (hot, kept) = shared_words.value, shared.value
+            part = pa.ipc.open_stream(texts["data"][0].as_buffer()).read_all()
+            found, n = Tokens(part.column(1).to_pylist(), words), part.num_rows
+            keys = _questions(found, hot, kept)
+            told = told.sort_by("range")
+            rows = np.zeros((len(keys) + 1, 2))
+            for at, name, kind in ((0, "n", "<i8"), (1, "weight", "<f8")):
+                rows[:-1, at] = np.concatenate(
+                    [np.zeros(0), *(_of_planes(x, kind) for x in told[name].to_pylist())])
+
+            def machine(wanted: np.ndarray) -> np.ndarray:
                 values, here = hot.look_up(wanted)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                    told_of = ~here & (keys[at] == wanted)
-                    values[told_of] = rows[at[told_of]]
-                values[~use] = (np.nan, 0.0)
+                at = np.searchsorted(keys, wanted)
+                at[np.append(keys, np.uint64(0))[at] != wanted] = len(keys)
+                values[~here] = rows[at[~here]]
                 return values
 
             pair, one, both = found.pairs()
-            of_words = machine(found.hashes, np.ones(len(found.hashes), dtype=bool))
-            of_pairs, of_triples = machine(pair, one), machine(_key(pair[:-1], pair[1:], 2), both)
-            ends = np.append(np.flatnonzero(begins), len(begins))
-            score = [traverse(root[a:b].tolist(), of_words[a:b, 1].tolist(), of_pairs[a:b - 1, 0].tolist(),
-                              of_pairs[a:b - 1, 1].tolist(), of_triples[a:max(a, b - 2), 0].tolist())
-                     for a, b in zip(ends[:-1], ends[1:])]
-            known = np.bincount(found.text, (seen > 0) & ~begins, n).astype(np.int64)
+            of_words = machine(found.hashes)
+            of_pairs, of_triples = machine(pair), machine(_key(pair[:-1], pair[1:], 2))
+            begins = np.append(True, found.text[1:] != found.text[:-1])
+            seen = np.where(begins, 0, of_words[:, 0])
+            root = np.where(begins, 0.0, np.log10((seen + 1) / bottom))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                pair_arc = np.where(one & (of_pairs[:, 0] > 0), np.log10(
+                    (of_pairs[:, 0] - DISCOUNT) / of_words[:-1, 0]), np.nan).tolist()
+                triple_arc = np.where(both & (of_triples[:, 0] > 0), np.log10(
+                    (of_triples[:, 0] - DISCOUNT) / of_pairs[:-1, 0]), np.nan).tolist()
+            root_arc, word_weight, pair_weight = root.tolist(), of_words[:, 1].tolist(), of_pairs[:, 1].tolist()
+            ends = np.append(np.flatnonzero(begins), len(begins)).tolist()
+            score = [traverse(root_arc[a:b], word_weight[a:b], pair_arc[a:b - 1], pair_weight[a:b - 1],
+                              triple_arc[a:max(a, b - 2)]) for a, b in zip(ends[:-1], ends[1:])]
+            known = np.bincount(found.text, seen > 0, n).astype(np.int64)
             return pa.Table.from_arrays(
-                [texts["doc_id"], pa.array(found.lengths, pa.int64()), pa.array(known),
+                [part.column(0), pa.array(found.lengths, pa.int64()), pa.array(known),
                  pa.array(np.bincount(found.text, root, n)), pa.array(score, pa.float64())],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-        return part.filter("is_text").groupBy("slice").cogroup(
-            arcs.unionByName(rare).groupBy("of")).applyInArrow(
+        blocks = staged(docs.mapInArrow(asked, "slice long, range long, data binary"), "asked")
+        in_range = self.machine.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
+        told = in_range.groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
+            answered, "slice long, range long, n binary, weight binary")
+        return blocks.filter("range < 0").groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(
             scores, f"doc_id {id_type(docs)}, n_tokens long, n_known long, base_score double, score double")
 
 
-def _rows(table: pa.Table) -> np.ndarray:
-    """(arc, weight) of rows of the machine: NaN for no arc, 0 for no weight."""
-    arc = table["arc"].to_numpy()
-    weight = np.nan_to_num(table["weight"].to_numpy().astype(np.float64), nan=0.0)
-    return np.column_stack([arc.astype(np.float64), weight])
+def _written(part: pa.RecordBatch) -> bytes:
+    """Ids and texts of a slice, compressed."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(part)
+    return sink.getvalue().to_pybytes()
 
 
 def _in_steps(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -542,7 +615,7 @@ def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str
     by a model of the documents outside the fold."""
     docs = pick(docs, id_col, text_col)
     held_out = remainder(F.col("doc_id"), folds) == fold
-    model = Model(docs.filter(~held_out).select("text"))
+    model = Model(docs.filter(~held_out).select("text"), grams=False)
     return model.score(docs).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
