@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from lagwise.sources.layers import Scope, scope, staged
 LEAST = 2
 #: Shares of all training tokens from which words are numbered and pairs broadcast in joins: at most
 #: 1 / share of them, all others are joined. HOT: how many rows every task gets at most.
-ARC_SHARE, GRAM_SHARE, HOT = 1 / 2**19, 1 / 2**18, 1 << 20
+ARC_SHARE, GRAM_SHARE, HOT = 1 / 2**19, 1 / 2**18, 1 << 18
 DISCOUNT = 0.5
 END = b""
 _SHIFT = 20
@@ -104,29 +105,22 @@ class Words:
 
 
 class Tokens:
-    """The tokens of some texts one after another: their hashes with a begin before each text, the
-    text of each, and numbers of the frequent words (-1: the begin, or a word of ``rare_words``)."""
+    """The tokens of some texts one after another: their hashes with a begin before each text, and
+    the text of each."""
 
     def __init__(self, texts: list[str], words: Words):
-        get, flat, self.lengths, self.rare_words = words.number.get, [], [], []
-        places, hashes, self.rare_at = [], [], []
+        flat, self.lengths = [], []
         for text in texts:
             found = tokens(text)
-            flat.append(-1)
-            places.append(len(flat) - 1)
-            hashes.append(_HASH_OF_BEGIN)
-            numbers = [get(w, -1) for w in found]
-            rare = [i for i, k in enumerate(numbers) if k < 0]
-            places.extend(len(flat) + i for i in rare)
-            hashes.extend(xxhash.xxh64_intdigest(found[i]) for i in rare)
-            self.rare_words.extend(found[i] for i in rare)
-            self.rare_at.extend(len(flat) + i for i in rare)
-            flat.extend(numbers)
+            flat.append(None)
+            flat += found
             self.lengths.append(len(found))
-        self.numbers = np.asarray(flat, dtype=np.int64)
-        self.hashes = (words.hashes[self.numbers] if len(words.hashes)
-                       else np.zeros(len(flat), dtype=np.uint64))
-        self.hashes[places] = np.asarray(hashes, dtype=np.uint64)
+        numbers = np.asarray(list(map(words.number.get, flat, repeat(-1))), dtype=np.int64)
+        self.hashes = (words.hashes[numbers] if len(words.hashes) else np.zeros(len(flat), dtype=np.uint64))
+        places = np.flatnonzero(numbers < 0)
+        digest = xxhash.xxh64_intdigest
+        self.hashes[places] = np.asarray(
+            [_HASH_OF_BEGIN if flat[i] is None else digest(flat[i]) for i in places.tolist()], dtype=np.uint64)
         self.text = np.repeat(np.arange(len(texts)), np.asarray(self.lengths, dtype=np.int64) + 1)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,7 +223,20 @@ def _gram_counts(texts: DataFrame, parts_of, salt: int, bits: int, maybe) -> Dat
         "range").applyInArrow(added, "key long, a long, b long, n long")
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
+class Filter:
+    """Bits that travel compressed: every executor writes what is broadcast to its disk."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __getstate__(self) -> bytes:
+        return pa.Codec("zstd").compress(self.bits, asbytes=True)
+
+    def __setstate__(self, data: bytes) -> None:
+        self.bits = np.frombuffer(pa.Codec("zstd").decompress(data, 1 << _FILTER_BITS - 3), dtype=np.uint8)
+
+
+def _filter(keys: DataFrame) -> Filter:
     """Bits of the keys' upper ``_FILTER_BITS`` bits: of fixed size, whatever the table is."""
     place = F.shiftrightunsigned("key", 64 - _FILTER_BITS)
     found = keys.select(place.alias("p")).groupBy(F.shiftright("p", _BUCKET_BITS).alias("bucket")).agg(
@@ -237,19 +244,29 @@ def _filter(keys: DataFrame) -> np.ndarray:
     bits = np.zeros((1 << _FILTER_BITS - _BUCKET_BITS, 1 << _BUCKET_BITS - 3), dtype=np.uint8)
     for bucket, row in zip(found["bucket"].to_pylist(), found["bits"].to_pylist()):
         bits[bucket] = np.frombuffer(row, dtype=np.uint8)
-    return bits.reshape(-1)
+    return Filter(bits.reshape(-1))
 
 
-def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def _may_hold(kept: Filter, keys: np.ndarray) -> np.ndarray:
     place = keys >> np.uint64(64 - _FILTER_BITS)
-    return bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
+    return kept.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
 
 
 class Hot:
     """Rows of the machine by key in two tables of slots; of keys with the same slot, the most frequent
-    stays, the others go to the second table or are left out."""
+    stays, the others go to the second table or are left out. Only the rows travel."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, n: np.ndarray):
+        self.rows = keys, values, n
+        self._fill(keys, values, n)
+
+    def __getstate__(self) -> tuple:
+        return self.rows
+
+    def __setstate__(self, rows: tuple) -> None:
+        self._fill(*rows)
+
+    def _fill(self, keys: np.ndarray, values: np.ndarray, n: np.ndarray) -> None:
         order = np.argsort(n, kind="stable")  # of equal slots, the last one written stays
         keys, values = keys[order], values[order]
         self.bits = max(4, int(len(keys)).bit_length() + 1)
@@ -277,12 +294,30 @@ class Hot:
         return values, found
 
 
-def _questions(found: Tokens, hot: Hot, kept: np.ndarray) -> np.ndarray:
-    """Sorted keys of some texts that the machine may hold and that are not hot."""
-    pair, one, both = found.pairs()
-    keys = np.unique(np.concatenate([found.hashes, pair[one], _key(pair[:-1], pair[1:], 2)[both]]))
-    keys = keys[_may_hold(kept, keys)]
-    return keys[~hot.look_up(keys)[1]]
+class Wanted:
+    """The words, pairs and triples of some texts with what the hot rows say about them, and ``keys``:
+    sorted, those that the machine may hold beyond."""
+
+    def __init__(self, found: Tokens, hot: Hot, kept: Filter):
+        pair, self.one, self.both = found.pairs()
+        self.grams, asked = [], []
+        for keys, use in ((found.hashes, True), (pair, self.one),
+                          (_key(pair[:-1], pair[1:], 2), self.both)):
+            values, here = hot.look_up(keys)
+            self.grams.append((keys, values, here))
+            open_ = keys[~here & use]
+            asked.append(open_[_may_hold(kept, open_)])
+        self.keys = np.unique(np.concatenate(asked))
+
+    def rows(self, answers: np.ndarray) -> list[np.ndarray]:
+        """Rows of the words, pairs and triples; ``answers`` are those of ``keys`` and zeros at the end."""
+        ends = np.append(self.keys, np.uint64(0))
+        for keys, values, here in self.grams:
+            open_ = np.flatnonzero(~here)
+            at = np.searchsorted(self.keys, keys[open_])
+            at[ends[at] != keys[open_]] = len(self.keys)
+            values[open_] = answers[at]
+        return [values for _, values, _ in self.grams]
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -518,7 +553,7 @@ class Model:
             number = TaskContext.get().partitionId() << 32
             for batch in slices(batches, 256):
                 for part in _in_steps(batch):
-                    keys = _questions(Tokens(part.column(1).to_pylist(), words), hot, kept)
+                    keys = Wanted(Tokens(part.column(1).to_pylist(), words), hot, kept).keys
                     ranges, ends = _runs(keys, bits)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([number] * (len(ends) + 1), pa.int64()),
@@ -547,30 +582,21 @@ class Model:
             words, (hot, kept) = shared_words.value, shared.value
             part = pa.ipc.open_stream(texts["data"][0].as_buffer()).read_all()
             found, n = Tokens(part.column(1).to_pylist(), words), part.num_rows
-            keys = _questions(found, hot, kept)
+            wanted = Wanted(found, hot, kept)
             told = told.sort_by("range")
-            rows = np.zeros((len(keys) + 1, 2))
+            rows = np.zeros((len(wanted.keys) + 1, 2))
             for at, name, kind in ((0, "n", "<i8"), (1, "weight", "<f8")):
                 rows[:-1, at] = np.concatenate(
                     [np.zeros(0), *(_of_planes(x, kind) for x in told[name].to_pylist())])
 
-            def machine(wanted: np.ndarray) -> np.ndarray:
-                values, here = hot.look_up(wanted)
-                at = np.searchsorted(keys, wanted)
-                at[np.append(keys, np.uint64(0))[at] != wanted] = len(keys)
-                values[~here] = rows[at[~here]]
-                return values
-
-            pair, one, both = found.pairs()
-            of_words = machine(found.hashes)
-            of_pairs, of_triples = machine(pair), machine(_key(pair[:-1], pair[1:], 2))
+            of_words, of_pairs, of_triples = wanted.rows(rows)
             begins = np.append(True, found.text[1:] != found.text[:-1])
             seen = np.where(begins, 0, of_words[:, 0])
             root = np.where(begins, 0.0, np.log10((seen + 1) / bottom))
             with np.errstate(divide="ignore", invalid="ignore"):
-                pair_arc = np.where(one & (of_pairs[:, 0] > 0), np.log10(
+                pair_arc = np.where(wanted.one & (of_pairs[:, 0] > 0), np.log10(
                     (of_pairs[:, 0] - DISCOUNT) / of_words[:-1, 0]), np.nan).tolist()
-                triple_arc = np.where(both & (of_triples[:, 0] > 0), np.log10(
+                triple_arc = np.where(wanted.both & (of_triples[:, 0] > 0), np.log10(
                     (of_triples[:, 0] - DISCOUNT) / of_pairs[:-1, 0]), np.nan).tolist()
             root_arc, word_weight, pair_weight = root.tolist(), of_words[:, 1].tolist(), of_pairs[:, 1].tolist()
             ends = np.append(np.flatnonzero(begins), len(begins)).tolist()
