@@ -28,14 +28,16 @@ def hot_ranges(df: DataFrame, hot: DataFrame, config: Config = Config()) -> Data
     """The rows of ``hot`` users in ranges of (user, time, ties), written.
 
     Cuts follow the rows: a second with a million rows is as many ranges as any other million rows,
-    and no range is much longer than ``hot_user_rows``.
+    and no range is much longer than ``hot_user_rows``. If that is less than a task should have, a task
+    has many ranges: there are as many tasks as its rows ask for, however short the ranges are.
     """
     c = config.columns
     rows = hot.agg(F.sum("n")).first()[0] or 0
     order = [F.col(name).asc_nulls_first() for name in (c.user, c.time, c.ad, c.slot, c.row_id)]
     some = df.withColumn(_USER, _wrapped(config)).join(hot.select(_USER), _USER, "left_semi")
-    return ranges.dealt(some, order, ranges.range_count(df, rows, max(1, config.hot_user_rows)),
-                        "hot-rows")
+    per_range = max(1, config.hot_user_rows)
+    dealt = ranges.dealt(some, order, ranges.range_count(df, rows, per_range), "hot-rows")
+    return ranges.sliced(dealt, order, per_range, "hot-ranges")
 
 
 def _earlier_ranges(rows: DataFrame, config: Config) -> DataFrame:

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from lagwise.sources.layers import staged
 
 PART = "_part"
+#: Rows that are worth a task of their own. Shorter ranges are cut inside of tasks.
+TASK_ROWS = 100_000
 
 
 def range_count(df: DataFrame, rows: int = 0, per_range: int = 1) -> int:
-    """As many ranges as the session has shuffle partitions, more if a range would exceed ``per_range``."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_range))
+    """As many ranges as the session has shuffle partitions, more if a range would exceed ``per_range``
+    and ``TASK_ROWS``: each is a task, so short ranges must not decide how many there are."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+               math.ceil(rows / max(per_range, TASK_ROWS)))
 
 
 def dealt(df: DataFrame, order: list[Column], ranges: int, name: str) -> DataFrame:
@@ -28,6 +32,19 @@ def dealt(df: DataFrame, order: list[Column], ranges: int, name: str) -> DataFra
     return staged(df.repartitionByRange(ranges, *order).withColumn(PART, F.spark_partition_id()), name)
 
 
+def sliced(dealt_rows: DataFrame, order: list[Column], per_range: int, name: str) -> DataFrame:
+    """Ranges of :func:`dealt` cut into shorter ones of about ``per_range`` rows, by places inside of each.
+
+    ``_part`` becomes a number that ascends over all of them. Rows that tie on the whole order share a
+    place, so they stay together. Ranges that are meant to be as long as a task's stay as they are.
+    """
+    if per_range >= TASK_ROWS:
+        return dealt_rows
+    place = F.rank().over(Window.partitionBy(PART).orderBy(*order)) - 1
+    short = F.shiftleft(F.col(PART).cast("bigint"), 32) + F.floor(place / per_range)
+    return staged(dealt_rows.withColumn("_short", short).drop(PART).withColumnRenamed("_short", PART), name)
+
+
 def numbered(df: DataFrame, order: list[Column], column: str, name: str = "ranges") -> DataFrame:
     """``df`` with its place in the order, from 0; rows that tie get places in any order."""
     rows = dealt(df, order, range_count(df), name)

@@ -171,3 +171,15 @@ def test_weighted_contrast(spark, sf_dir):
     assert under["delta_auc_pr"] == 0 and under["time_ratio"] == 1
     assert weighted["delta_auc_pr"] == pytest.approx(weighted["auc_pr"] - under["auc_pr"])
     assert weighted["d1_lift"] > 0 and weighted["time_ratio"] > 0
+
+
+def test_short_ranges_do_not_make_tasks(spark):
+    df, config = one_second(spark, 200_000), Config(hot_user_rows=20)
+    rows = fatigue.hot_ranges(df, fatigue.hot_users(df, config), config)
+    sizes = [r["count"] for r in rows.groupBy(ranges.PART).count().collect()]
+    assert len(sizes) >= 199_000 / 20 and max(sizes) <= 20
+    assert len(rows.inputFiles()) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with_ties = one_second(spark, 5_000).withColumn("event_id", F.lit(0))  # equal rows stay together
+    got, whole = [sorted(map(tuple, fatigue.with_user_order(with_ties, replace(config, hot_user_rows=n)).select(
+        "userid", "adgroup_id", "event_id", "clk_prev").collect())) for n in (20, 10**9)]
+    assert got == whole
