@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 from lagwise.llm.common import SPACE, column, words
 from lagwise.sources.layers import staged
 
-#: Share of the rows that an estimate is fitted to, concentration steps, rows a group needs.
-H, STEPS, LEAST_ROWS = 0.75, 4, 200
+#: Share of the rows that an estimate is fitted to, concentration steps.
+H, STEPS = 0.75, 4
 #: Squared distance from which a text is rejected. For five normal statistics, 99.9999 % lie below
 #: about 38; text statistics have heavier tails, hence twice that distance.
 CUTOFF = 150.0
 #: Variance floor, in units of the transformed statistics.
 FLOOR = 2.5e-3
 NAMES = ("length", "word_length", "symbols", "dup_lines", "repeats")
+#: Rows a group needs for an estimate of its own: five for each statistic, the usual least of the method.
+LEAST_ROWS = 5 * len(NAMES)
 _BINS = 64  # per factor e of a squared distance
 _PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
