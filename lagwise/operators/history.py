@@ -1,6 +1,7 @@
 """Point-in-time rates: every value uses strictly earlier days (or hours) only."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,6 +13,11 @@ from lagwise.functions.columns import ratio, smoothed_rate
 from lagwise.sources.layers import staged
 
 
+#: Rows of a history that one task should hold at once; large tables are dealt to tasks by it.
+TASK_ROWS = 100_000
+_BUCKETS, _BUCKET = 1 << 16, "_bucket"
+
+
 def _strictly_before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -21,8 +27,49 @@ def _dated(df: DataFrame, when: str) -> DataFrame:
     return df.filter(F.col(when).isNotNull())
 
 
-def daily_totals(df: DataFrame, keys: Sequence[str], config: Config = Config()) -> DataFrame:
-    """Impressions and clicks per key combination; partial sums meet in the shuffle."""
+def _hot_buckets(df: DataFrame, entity: str, rows: int) -> DataFrame | None:
+    """Hash buckets of the entity with more rows than a task should hold, or None.
+
+    An entity with that many rows is in one. Counting buckets takes a map of fixed size in each
+    task, whatever the number of entities is.
+    """
+    if rows <= TASK_ROWS:
+        return None
+    counts = df.groupBy(F.pmod(F.xxhash64(entity), F.lit(_BUCKETS)).alias(_BUCKET)).agg(
+        F.count(F.lit(1)).alias("n"))
+    hot = staged(counts.filter(F.col("n") > TASK_ROWS).select(_BUCKET), "hot-buckets")
+    return None if hot.isEmpty() else hot
+
+
+def _parted(df: DataFrame, entity: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot buckets, and all others."""
+    at = df.withColumn(_BUCKET, F.pmod(F.xxhash64(entity), F.lit(_BUCKETS)))
+    return tuple(at.join(hot, _BUCKET, how).drop(_BUCKET) for how in ("left_semi", "left_anti"))
+
+
+def _dealt(df: DataFrame, entity: str, rows: int) -> DataFrame:
+    """``df`` by entity, to as many tasks as ``rows`` ask for; to the session's number if that is enough."""
+    tasks = math.ceil(rows / TASK_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, entity) if tasks > usual else df
+
+
+def daily_totals(df: DataFrame, keys: Sequence[str], config: Config = Config(),
+                 rows: int = 0) -> DataFrame:
+    """Impressions and clicks per key combination; partial sums meet in the shuffle.
+
+    ``rows``, if given, says how many rows ``df`` has. If there are many, they are dealt by the first
+    key to tasks of about ``TASK_ROWS``, as the sums of a task are held at once: then sums by day and
+    histories need no other shuffle. Only keys that are too large for a task are summed before that.
+    """
+    if rows > TASK_ROWS:
+        units = df.select(*keys, F.lit(1).alias("imp"), F.col(config.columns.label).alias("clk"))
+        hot = _hot_buckets(units, keys[0], rows)
+        sums = [F.sum("imp").alias("imp"), F.sum("clk").alias("clk")]
+        if hot is not None:
+            large, units = _parted(units, keys[0], hot)
+            units = units.unionByName(large.groupBy(*keys).agg(*sums))
+        return _dealt(units, keys[0], rows).groupBy(*keys).agg(*sums)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("imp"),
                                  F.sum(config.columns.label).alias("clk"))
 
@@ -77,15 +124,20 @@ def _history_features(rows: DataFrame, totals_of: DataFrame, config: Config,
     ``totals_of`` holds impressions and clicks at a grain that includes the entities and the day.
     """
     day = config.columns.day
-    features: dict[str, Column] = {}
     for e in config.entities:
         h = entity_history(totals_of, e, config).withColumnsRenamed(
             {"imp_prev": f"imp_prev_{e}", "clk_prev": f"clk_prev_{e}"})
         rows = rows.join(h, [e, day], "left")
+    prior = deferred_prior(totals_of, config)
+    return _with_rates(rows.join(F.broadcast(prior), day, "left"), config, counts)  # one row per day
+
+
+def _with_rates(rows: DataFrame, config: Config, counts: bool) -> DataFrame:
+    """The features of every entity, from the sums of earlier days; ``counts`` keeps these."""
+    features: dict[str, Column] = {}
+    for e in config.entities:
         features |= _rate_columns(e, F.col(f"imp_prev_{e}"), F.col(f"clk_prev_{e}"),
                                   F.col("p0"), config)
-    prior = deferred_prior(totals_of, config)
-    rows = rows.join(F.broadcast(prior), day, "left")  # one row per calendar day
     raw = [] if counts else [f"{k}_prev_{e}" for e in config.entities for k in ("imp", "clk")]
     return rows.withColumns(features).drop(*raw)
 

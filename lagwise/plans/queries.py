@@ -278,9 +278,9 @@ def entity_history_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity-day history of the largest table, for three high-cardinality entities."""
     config = standins.VOLUME_CONFIG
     lines = volume_layer(spark, sf_dir)
-    parts = []
+    rows, parts = lines.count(), []
     for e in config.entities:
-        h = history.entity_history(history.daily_totals(lines, [e, "d"], config), e, config)
+        h = history.entity_history(history.daily_totals(lines, [e, "d"], config, rows), e, config)
         parts.append(h.select(F.lit(e).alias("entity"), F.col(e).alias("entity_id"), "d",
                               "imp_prev", "clk_prev"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

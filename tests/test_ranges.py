@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lagwise.config import Config
 from lagwise.ml import features as feat
 from lagwise.ml import models
-from lagwise.operators import fatigue, products, quantiles, ranges, recommend, sampling, split
+from lagwise.operators import fatigue, history, products, quantiles, ranges, recommend, sampling, split
 from lagwise.plans import queries as q
 from lagwise.plans import run, standins
 
@@ -183,3 +183,34 @@ def test_short_ranges_do_not_make_tasks(spark):
     got, whole = [sorted(map(tuple, fatigue.with_user_order(with_ties, replace(config, hot_user_rows=n)).select(
         "userid", "adgroup_id", "event_id", "clk_prev").collect())) for n in (20, 10**9)]
     assert got == whole
+
+
+@pytest.mark.parametrize("limit", [10**9, 1_000, 200])
+def test_histories_in_tasks_of_bounded_size(spark, monkeypatch, limit):
+    """A third of the rows are of one entity, others of none, some have no day."""
+    monkeypatch.setattr(history, "TASK_ROWS", limit)
+    df = spark.range(6_000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.xxhash64("id") % 900).alias("e"),
+        F.when(F.col("id") % 41 != 0, F.date_add(F.lit("2024-01-01"), (F.col("id") % 29).cast("int"))).alias("d"),
+        (F.xxhash64("id") % 3 == 0).cast("int").alias("clk"))
+    config = Config(entities=("e",))
+    totals = history.daily_totals(df, ["e", "d"], config, df.count())
+    assert sorted(map(repr, totals.collect())) == sorted(map(repr, history.daily_totals(
+        df, ["e", "d"], config).collect()))
+    if limit < 10**9:  # as many tasks as the rows ask for, whatever the session's number is
+        assert max(8, 6_000 // limit) <= history._dealt(df, "e", 60_000).rdd.getNumPartitions()
+        sizes = df.join(history._hot_buckets(df, "e", 6_000), F.pmod(F.xxhash64("e"), F.lit(
+            1 << 16)) == F.col("_bucket"), "left_semi").select("e").distinct().collect()
+        assert [r["e"] for r in sizes] == [7]
+    got, want = [history.with_entity_history(df, config, counts=True, combined=c).select(
+        "event_id", "imp_prev_e", "clk_prev_e", F.round("ctr_hist_e", 9), "p0") for c in (False, True)]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_many_training_rows_make_more_partitions(spark, monkeypatch):
+    monkeypatch.setattr(models, "TRAIN_ROWS", 100)
+    df = spark.range(2_000).select(F.col("id").alias("event_id"), F.lit(1).alias("clk"))
+    with models.held(df) as rows:
+        sizes = [len(p) for p in rows.rdd.glom().collect()]
+    assert len(sizes) == 20 and max(sizes) < 200
