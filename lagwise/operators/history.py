@@ -142,6 +142,34 @@ def _with_rates(rows: DataFrame, config: Config, counts: bool) -> DataFrame:
     return rows.withColumns(features).drop(*raw)
 
 
+def _with_running_history(df: DataFrame, entity: str, rows: int, config: Config) -> DataFrame:
+    """``df`` with impressions and clicks of its entity on earlier days, by a window over the rows.
+
+    The rows are shuffled once and no history is joined to them, but for entities with more rows than
+    a task should hold: they get theirs from :func:`entity_history`.
+    """
+    day, label = config.columns.day, config.columns.label
+    imp, clk = f"imp_prev_{entity}", f"clk_prev_{entity}"
+    hot = _hot_buckets(df, entity, rows)
+    large, usual = (None, df) if hot is None else _parted(staged(df, "history-rows"), entity, hot)
+    before = (Window.partitionBy(entity).orderBy(F.unix_date(day).cast("bigint"))
+              .rangeBetween(Window.unboundedPreceding, -1))
+    known, dated = F.col(entity).isNotNull() & F.col(day).isNotNull(), F.col(day).isNotNull()
+
+    def earlier(value: Column) -> Column:
+        total = F.sum(F.when(dated, value)).over(before)
+        return F.when(known, F.coalesce(total, F.lit(0)))
+
+    out = _dealt(usual, entity, rows).withColumns(
+        {imp: earlier(F.lit(1)), clk: earlier(F.col(label))})
+    if large is None:
+        return out
+    units = large.select(entity, day, F.lit(1).alias("imp"), F.col(label).alias("clk"))
+    history = entity_history(units, entity, config).withColumnsRenamed(
+        {"imp_prev": imp, "clk_prev": clk})
+    return out.unionByName(large.join(history, [entity, day], "left"))
+
+
 def combination_keys(config: Config = Config()) -> list[str]:
     return list(dict.fromkeys([*config.entities, config.columns.day]))
 
@@ -171,15 +199,17 @@ def with_entity_history(df: DataFrame, config: Config = Config(), counts: bool =
 
     ``combined`` joins the impressions once, with the features of each entity combination; the
     table of combinations is staged, so its real size decides whether it is broadcast. If nearly
-    every impression is a combination of its own, that table saves nothing: then join each
-    entity's history directly.
+    every impression is a combination of its own, that table saves nothing: then each entity's
+    history comes from the impressions directly.
     """
     if combined:
         features = staged(entity_features(df, config, counts), "entity-features")
         return join_combination(df, features, combination_keys(config))
-    label = config.columns.label
-    units = df.select(*combination_keys(config), F.lit(1).alias("imp"), F.col(label).alias("clk"))
-    return _history_features(df, units, config, counts)
+    n, day, rows = df.count(), config.columns.day, df
+    for e in config.entities:
+        rows = _with_running_history(rows, e, n, config)
+    prior = deferred_prior(daily_totals(df, [day], config), config)
+    return _with_rates(rows.join(F.broadcast(prior), day, "left"), config, counts)  # one row per day
 
 
 def deferred_entity_ctr(df: DataFrame, config: Config = Config()) -> DataFrame:
