@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -27,6 +28,10 @@ from lagwise.operators.sampling import (effective_rate, fraction_of, positive_we
                                         undersample_negatives, with_class_weights)
 
 
+#: Training rows that a task should read at once; more rows than that in each make more tasks.
+TRAIN_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class Experiment:
     name: str
@@ -64,13 +69,14 @@ def experiments(config: Config = Config()) -> dict[str, Experiment]:
 def held(df: DataFrame, config: Config = Config()) -> Iterator[DataFrame]:
     """``df`` dealt to ``train_partitions`` by row id, sorted by it, and kept while a model iterates.
 
-    Bagging, sketches and sums go by partition and by place in it. Here both follow from the row ids
+    If that would be more than ``TRAIN_ROWS`` in each, there are as many as the rows ask for. Bagging, sketches and sums go by partition and by place in it. Here both follow from the row ids
     alone, so a model does not depend on how its training rows were read, and adding a row moves
-    no other. Rows that share an id are ordered by their content.
+    no other, unless it asks for one more partition. Rows that share an id are ordered by their content.
     """
     row_id = config.columns.row_id
     content = F.xxhash64(*[F.col(c) for c in sorted(df.columns) if c != row_id])
-    kept = (df.repartition(config.train_partitions, row_id)
+    partitions = max(config.train_partitions, math.ceil(df.count() / TRAIN_ROWS))
+    kept = (df.repartition(partitions, row_id)
             .sortWithinPartitions(row_id, content).persist(StorageLevel.MEMORY_AND_DISK))
     try:
         yield kept
