@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from lagwise.llm.common import id_type, pick, slices
-from lagwise.llm.tokens import SpacedChunks, packed_ids, read_spec
+from lagwise.llm.tokens import SpacedChunks, held, packed_ids, read_spec
 
 #: Fixed value: the published word pattern of this kind of vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -202,17 +202,13 @@ class Decoder:
         return raw.decode("utf-8", errors="replace").encode()
 
 
-_CODERS: dict[int, tuple[Encoder, Decoder]] = {}
-
-
 def coders(spec: str) -> tuple[Encoder, Decoder]:
     """One pair per worker process, kept between tasks."""
-    key = hash(spec)
-    if key not in _CODERS:
-        _CODERS.clear()
+    def make() -> tuple[Encoder, Decoder]:
         vocabulary = Vocabulary(spec)
-        _CODERS[key] = Encoder(vocabulary), Decoder(vocabulary)
-    return _CODERS[key]
+        return Encoder(vocabulary), Decoder(vocabulary)
+
+    return held(("coders", hash(spec)), make)
 
 
 def roundtrip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lagwise.llm.common import column, id_type, pick, slices
-from lagwise.llm.tokens import ChunkCache
+from lagwise.llm.tokens import ChunkCache, held
 from lagwise.sources.layers import staged
 
 PER_LANGUAGE, SEGMENTS, RUN = 250, 12, 20
@@ -232,9 +232,6 @@ def _by_document(posterior: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.add.reduceat(posterior, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
 
 
-_CACHES: dict[int, ChunkCache] = {}
-
-
 def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text",
             with_words: bool = False) -> DataFrame:
     """doc_id, lang_pred, score; ``with_words`` adds the words and the label of each."""
@@ -244,9 +241,7 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if key not in _CACHES and model is not None:
-            _CACHES.clear()
-            _CACHES[key] = model.cache()
+        cache = None if model is None else held(("language", key), model.cache)
         for batch in slices(batches, 256):
             texts = [words_of(t) for t in batch.column(1).to_pylist()]
             names = [UNDETERMINED] * len(texts)
@@ -255,7 +250,7 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
             some = [i for i, words in enumerate(texts) if words and model is not None]
             if some:
                 lengths = np.asarray([len(texts[i]) for i in some])
-                posterior = model.posteriors([texts[i] for i in some], _CACHES[key])
+                posterior = model.posteriors([texts[i] for i in some], cache)
                 shares = _by_document(posterior, lengths)
                 for i, best, share in zip(some, shares.argmax(axis=1), shares.max(axis=1)):
                     names[i], scores[i] = model.languages[best], min(1.0, float(share))
@@ -285,16 +280,14 @@ def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.5,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if key not in _CACHES and model is not None:
-            _CACHES.clear()
-            _CACHES[key] = model.cache()
+        cache = None if model is None else held(("language", key), model.cache)
         for batch in slices(batches, 256):
             texts = [words_of(t or "") for t in batch.column(place).to_pylist()]
             good = np.asarray([bool(words) for words in texts], dtype=bool)
             some = np.flatnonzero(good)
             if len(some) and model is not None:
                 lengths = np.asarray([len(texts[i]) for i in some])
-                posterior = model.posteriors([texts[i] for i in some], _CACHES[key])
+                posterior = model.posteriors([texts[i] for i in some], cache)
                 best = posterior.max(axis=1, keepdims=True)
                 good[some] = _by_document(best, lengths)[:, 0] >= least
             yield batch.filter(pa.array(good))

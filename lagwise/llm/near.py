@@ -39,7 +39,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from lagwise.llm import bitmap
 from lagwise.llm.common import id_type, pick, slices, tidy
 from lagwise.llm.graph import components
-from lagwise.llm.tokens import ChunkCache
+from lagwise.llm.tokens import ChunkCache, held
 from lagwise.sources.layers import scope, staged
 
 WORDS = 5
@@ -53,7 +53,10 @@ _MIX = np.random.default_rng(20240501)
 _PLACE = _MIX.integers(1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _MIX.integers(1 << 63, size=(COORDINATES, 1), dtype=np.uint64)
 _TURN = _MIX.integers(1 << 63, size=(COORDINATES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORD_HASHES = ChunkCache(xxhash.xxh64_intdigest, 1 << 16)
+
+
+def _word_hashes() -> ChunkCache:
+    return held("word hashes", lambda: ChunkCache(xxhash.xxh64_intdigest, 1 << 16))
 
 
 def shingles(text: str) -> np.ndarray:
@@ -64,7 +67,8 @@ def shingles(text: str) -> np.ndarray:
     if len(words) < WORDS:
         return np.asarray([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))],
                           dtype=np.uint64)
-    hashes = np.asarray([_WORD_HASHES[w] for w in words], dtype=np.uint64)
+    of_word = _word_hashes()
+    hashes = np.asarray([of_word[w] for w in words], dtype=np.uint64)
     n = len(hashes) - WORDS + 1
     mixed = hashes[:n] * _PLACE[0]
     for i in range(1, WORDS):

@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from lagwise.llm.common import id_type, pick, slices
+from lagwise.llm.tokens import held
 
 MARK = "▁"
 #: Chunks of a generation of the table, and the longest that it keeps.
@@ -155,16 +156,9 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"={len(ids)}I", *ids)
 
 
-_PIECES: dict[int, Pieces] = {}
-
-
 def pieces(model: bytes) -> Pieces:
     """One model per worker process, kept between tasks."""
-    key = hash(model)
-    if key not in _PIECES:
-        _PIECES.clear()
-        _PIECES[key] = Pieces(model)
-    return _PIECES[key]
+    return held(("pieces", hash(model)), lambda: Pieces(model))
 
 
 def read_model(path: str) -> bytes:

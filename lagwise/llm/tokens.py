@@ -50,6 +50,20 @@ class ChunkCache(dict):
         return value
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What ``make`` gave in this worker process, kept between tasks until another key is asked for.
+
+    Workers outlive operators: one that goes on to the next must not keep the caches of the last.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def words_of(text: str) -> list[str]:
     """Runs without white space; str.split is faster, but also splits at four control characters."""
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -181,16 +195,9 @@ class TextEncoder:
         return b"".join(self._values(text))
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
-
-
 def encoder(spec: str) -> TextEncoder:
-    """One encoder per worker process and tokenizer, kept between tasks."""
-    key = hash(spec)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = TextEncoder(spec)
-    return _ENCODERS[key]
+    """One encoder per worker process and tokenizer."""
+    return held(("encoder", hash(spec)), lambda: TextEncoder(spec))
 
 
 def read_spec(path: str) -> str:

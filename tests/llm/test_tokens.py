@@ -1,9 +1,12 @@
 """Text encoding against the library."""
 from __future__ import annotations
 
+import gc
+import weakref
+
 import pytest
 
-from lagwise.llm import tokens
+from lagwise.llm import bpe, near, tokens
 from tests.llm import cases
 
 TEXTS = [r[1] or "" for r in cases.rows()] + [
@@ -29,3 +32,16 @@ def test_without_the_short_way_ids_are_the_same():
         short, plain = tokens.TextEncoder(spec), tokens.TextEncoder(spec)
         plain._letters = False
         assert [short(t) for t in TEXTS] == [plain(t) for t in TEXTS]
+
+
+def test_a_worker_keeps_one_operators_caches():
+    """Workers go from one stage of the pipeline to the next: what the last one remembered must go."""
+    spec = tokens.read_spec(tokens.tokenizer("byte_bpe_50k.json"))
+    encoder = tokens.encoder(spec)
+    assert tokens.encoder(spec) is encoder
+    coders = weakref.ref(bpe.coders(spec)[0])
+    gone = weakref.ref(encoder)
+    del encoder
+    near.shingles("one two three four five six")
+    gc.collect()
+    assert gone() is None and coders() is None
