@@ -135,8 +135,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFr
 
     An id can have several texts; only those of a wanted class stay.
     """
-    ids = staged(wanted.join(classes.select("rep", "doc_id"), "rep").select("doc_id").distinct(),
-                 "wanted-ids")
+    ids = staged(wanted.join(classes.select("rep", "doc_id"), "rep").select("doc_id"), "wanted-ids")
     sets = shingle_sets(bitmap.only_ids(docs, "doc_id", ids))
     return staged(staged(sets, "read-sets").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]),
                   "sets")
@@ -185,14 +184,16 @@ def _parities_allow(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
 
 
 @tidy
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame,
+              sets: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
-    Only texts whose id passes the filter of all wanted ids are read into sets.
+    Without ``sets`` of them, only texts whose id passes the filter of all wanted ids are read into sets.
     """
-    wanted = staged(pairs.select(F.col("a").alias("rep")).unionByName(
-        pairs.select(F.col("b").alias("rep"))).distinct(), "wanted")
-    sets = class_sets(docs, classes, wanted)
+    if sets is None:
+        wanted = staged(pairs.select(F.col("a").alias("rep")).unionByName(
+            pairs.select(F.col("b").alias("rep"))).distinct(), "wanted")
+        sets = class_sets(docs, classes, wanted)
     both = staged(pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")),
                              "a"), "left-sets").join(
         sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
@@ -236,43 +237,46 @@ def _rare_prefixes(sets: DataFrame) -> DataFrame:
         "rep", "n_shingles", "p.gram", (F.col("at") < F.col("seventh")).alias("short"))
 
 
-@tidy
-def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different components that can still be links.
+def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, label: DataFrame
+            ) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) in different components that can still be links, and the sets of their classes.
 
     Only members of posting lists with several components are looked at. Their lists are long
     where many texts share a passage, and pairs of such texts would be very many, so they meet in
     their rarest shingles instead, which for texts with enough of their own are not the passage.
     """
-    known = staged(lists.join(label, lists["rep"] == label["v"], "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label")), "labelled")
-    mixed = staged(known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                   .filter("low <> high").select("key"), "mixed")
-    reps = staged(known.join(mixed, "key", "left_semi").select("rep", "label").distinct(), "open")
-    sets = class_sets(docs, classes, reps)
-    met = _rare_prefixes(sets).join(reps, "rep")
-    met = staged(met.select("gram", "rep", "label", "n_shingles", "short"), "met-grams")
-    several = staged(met.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                     .filter("low <> high").select("gram"), "mixed-grams")
-    met = staged(met.join(several, "gram", "left_semi"), "met-grams").join(
-        sets.select("rep", "parity"), "rep")
-    met = staged(met, "met-parities")
-    a, b = (met.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in met.columns if c != "gram"))
-            for s in "ab")
-    smaller = (F.col("n_shingles_a") < F.col("n_shingles_b")) | (
-        (F.col("n_shingles_a") == F.col("n_shingles_b")) & (F.col("rep_a") < F.col("rep_b")))
-    pairs = a.filter("short_a").join(
-        b, (a["gram"] == b["gram"]) & (F.col("label_a") != F.col("label_b")) & smaller
-        & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b"))
-        & _parities_allow(F.col("parity_a"), F.col("parity_b"),
-                          F.col("n_shingles_a"), F.col("n_shingles_b")))
-    return staged(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(),
-                  "across")
+    with scope(docs.sparkSession) as steps:
+        known = staged(lists.join(label, lists["rep"] == label["v"], "left").select(
+            "key", "rep", F.coalesce("label", "rep").alias("label")), "labelled")
+        mixed = staged(known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                       .filter("low <> high").select("key"), "mixed")
+        reps = staged(known.join(mixed, "key", "left_semi").select("rep", "label").distinct(), "open")
+        sets = class_sets(docs, classes, reps)
+        met = _rare_prefixes(sets).join(reps, "rep")
+        met = staged(met.select("gram", "rep", "label", "n_shingles", "short"), "met-grams")
+        several = staged(met.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                         .filter("low <> high").select("gram"), "mixed-grams")
+        met = staged(met.join(several, "gram", "left_semi"), "met-grams").join(
+            sets.select("rep", "parity"), "rep")
+        met = staged(met, "met-parities")
+        a, b = (met.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in met.columns if c != "gram"))
+                for s in "ab")
+        smaller = (F.col("n_shingles_a") < F.col("n_shingles_b")) | (
+            (F.col("n_shingles_a") == F.col("n_shingles_b")) & (F.col("rep_a") < F.col("rep_b")))
+        pairs = a.filter("short_a").join(
+            b, (a["gram"] == b["gram"]) & (F.col("label_a") != F.col("label_b")) & smaller
+            & _sizes_allow(F.col("n_shingles_a"), F.col("n_shingles_b"))
+            & _parities_allow(F.col("parity_a"), F.col("parity_b"),
+                              F.col("n_shingles_a"), F.col("n_shingles_b")))
+        pairs = staged(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(),
+                       "across")
+        steps.keep(pairs, sets)
+    return pairs, sets
 
 
 @tidy
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between class representatives: enough of them for the components."""
+def labels(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(v, label): the smallest class reachable by links, of the classes that have any."""
     lists = prefixes(classes)
     heads = staged(lists.groupBy("key").agg(
         F.max_by("rep", F.struct("central", "rep")).alias("central"),
@@ -280,9 +284,13 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     stars = lists.select("rep", "key").join(heads, "key").select(
         F.col("rep").alias("a"), F.explode(F.array("central", "any")).alias("b")).filter(
         "a <> b").distinct()
-    first = confirmed(docs, classes, _candidates(stars, classes))
-    pairs = _across(docs, classes, lists, components(first))
-    return staged(first.unionByName(confirmed(docs, classes, _candidates(pairs, classes))), "all-links")
+    label = components(confirmed(docs, classes, _candidates(stars, classes)))
+    pairs, sets = _across(docs, classes, lists, label)
+    close = _candidates(pairs, classes)
+    more = close if close.isEmpty() else confirmed(docs, classes, close, sets)
+    if more.isEmpty():
+        return label
+    return components(more.unionByName(label.select(F.col("v").alias("a"), F.col("label").alias("b"))))
 
 
 def _decided(docs: DataFrame) -> DataFrame:
@@ -306,7 +314,7 @@ def _classes_named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("doc_id").alias("doc_id"),
         F.min_by(F.struct("n_shingles", "signature"), "doc_id").alias("of")
     ).select("rep", "doc_id", "of.*"), "classes")
-    label = components(links(docs, classes))
+    label = labels(docs, classes)
     joined = staged(classes.select("rep", "doc_id").join(
         label, F.col("rep") == label["v"], "left").select(
         F.col("rep").alias("set_key"), "doc_id", F.coalesce("label", "rep").alias("group")), "groups")

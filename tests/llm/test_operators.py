@@ -238,6 +238,31 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 100 for i in range(100, 161)} | {k: 7 for k in [7, *range(500, 700)]}
 
 
+@pytest.mark.parametrize("chunk, most", [(1 << 17, 3), (40, 60)])
+def test_components_take_few_steps(spark, monkeypatch, chunk, most):
+    """What fits in one chunk is linked in one step; what several chunks share, in a few rounds."""
+    written = []
+    staged = graph.staged
+    monkeypatch.setattr(graph, "CHUNK", chunk)
+    monkeypatch.setattr(graph, "staged", lambda df, name: written.append(name) or staged(df, name))
+    rng = random.Random(11)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [
+        (k, k + 1) for k in range(1000, 1120)] + [(2000, k) for k in range(2001, 2200)] + [(None, 5), (6, 6)]
+    rng.shuffle(edges)
+    label = {}
+    for a, b in edges:
+        if a is not None and a != b:
+            label.setdefault(a, a), label.setdefault(b, b)
+    for _ in range(400):
+        for a, b in edges:
+            if a in label and b in label:
+                label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = [(r["v"], r["label"]) for r in graph.components(df).collect()]
+    assert sorted(got) == sorted(label.items())
+    assert len(written) <= most
+
+
 # Language model
 
 def test_scores_against_brute_force(spark, sf_dir, docs):
