@@ -63,17 +63,22 @@ def encode_ids(ids: np.ndarray, table: Table) -> tuple[list[tuple[int, np.ndarra
     words: list[np.ndarray] = []
     marks: list[tuple[int, np.ndarray]] = []
     written = 0
+    ids = ids.astype(np.intp)
+    frequencies, starts = table.frequency.take(ids), table.start.take(ids)
+    limits = frequencies << np.uint64(31 - SCALE + 32)
+    turns = np.uint64(1 << SCALE) - frequencies  # what a whole turn adds beyond the frequency
     for step in range(steps - 1, -1, -1):
-        here = ids[step * LANES:(step + 1) * LANES]
-        frequency, start = table.frequency[here], table.start[here]
-        x = states[:len(here)]
-        full = x >= (frequency << np.uint64(31 - SCALE + 32))
-        if full.any():
-            words.append(x[full].astype(np.uint32))
-            written += len(words[-1])
-            x = np.where(full, x >> np.uint64(32), x)
-        quotient = x // frequency
-        states[:len(here)] = (quotient << np.uint64(SCALE)) + (x - quotient * frequency) + start
+        here = slice(step * LANES, (step + 1) * LANES)
+        frequency = frequencies[here]
+        x = states[:len(frequency)]
+        full = (x >= limits[here]).nonzero()[0]
+        if len(full):
+            high = x.take(full)
+            words.append(high.astype(np.uint32))
+            written += len(high)
+            x[full] = high >> np.uint64(32)
+        x += x // frequency * turns[here]
+        x += starts[here]
         if step % GAP == 0:
             marks.append((written, states.copy()))
     stream = np.concatenate(words[::-1]) if words else np.zeros(0, dtype=np.uint32)
@@ -92,15 +97,17 @@ def decode_ids(n: int, place: int, states: np.ndarray, words: np.ndarray, table:
     for step in range(first, last):
         x = states[:min(LANES, n - step * LANES)]
         slot = x & mask
-        symbol = table.symbol[slot.astype(np.int64)]
-        x = table.frequency[symbol] * (x >> np.uint64(SCALE)) + slot - table.start[symbol]
-        low = x < LOW
-        k = int(low.sum())
-        if k:
-            x[low] = (x[low] << np.uint64(32)) | words[place:place + k]
-            place += k
-        states[:len(x)] = x
+        symbol = table.symbol.take(slot.view(np.int64))
         out.append(symbol)
+        at = symbol.astype(np.intp)
+        slot -= table.start.take(at)
+        x >>= np.uint64(SCALE)
+        x *= table.frequency.take(at)
+        x += slot
+        low = (x < LOW).nonzero()[0]
+        if len(low):
+            x[low] = x.take(low) << np.uint64(32) | words[place:place + len(low)]
+            place += len(low)
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
@@ -146,21 +153,18 @@ class Block:
         return ids
 
 
-def _counts(encoded: DataFrame, width: str) -> np.ndarray:
+def _counts(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs; what reaches the driver is one row per id of the vocabulary."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for batch in slices(batches):
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for raw in batch.column(0).to_pylist():
-                more = np.bincount(np.frombuffer(raw, width), minlength=len(total))
-                more[:len(total)] += total
-                total = more
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])],
-                                         names=["token", "n"])
+                counts = np.frombuffer(raw, "<i8")
+                seen = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen])],
+                                                 names=["token", "n"])
 
-    rows = encoded.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(
-        F.sum("n").alias("n")).collect()
+    rows = encoded.filter(F.col("counts").isNotNull()).select("counts").mapInArrow(
+        unpack, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 + max((r["token"] for r in rows), default=0), dtype=np.int64)
     for r in rows:
         counts[r["token"]] = r["n"]
@@ -182,16 +186,26 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     width = "<u2" if max(end_id, vocabulary_size(spec.value) - 1) < 1 << 16 else "<u4"
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(spec.value)
+        """The ids of each text, and in a last row how often this task has met each id."""
+        encode, total = encoder(spec.value), np.zeros(0, dtype=np.int64)
+        names = ["doc_id", "ids", "counts"]
         for batch in slices(batches):
-            ids = [np.frombuffer(encode(t) + end, "<u4").astype(width).tobytes()
-                   for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "ids"])
+            ids = [np.frombuffer(encode(t) + end, "<u4").astype(width) for t in batch.column(1).to_pylist()]
+            if ids:
+                more = np.bincount(np.concatenate(ids), minlength=len(total))
+                more[:len(total)] += total
+                total = more
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()),
+                 pa.nulls(len(ids), pa.binary())], names=names)
+        if len(total):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
     rows = pick(docs, id_col, text_col)
-    encoded = staged(rows.mapInArrow(tokenise, "doc_id long, ids binary"), "ids")
-    counts = _counts(encoded, width)
+    encoded = staged(rows.mapInArrow(tokenise, "doc_id long, ids binary, counts binary"), "ids")
+    counts = _counts(encoded)
     spark.createDataFrame([(counts.tolist(),)], "counts array<long>").write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast(counts)
 
@@ -221,6 +235,7 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
         if held:
             yield block()
 
+    encoded = encoded.filter(F.col("counts").isNull()).select("doc_id", "ids")
     ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(write, "part long, first long, n_ids long, block binary").write.option(
         "compression", "none").parquet(f"{path}/blocks")

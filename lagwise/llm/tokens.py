@@ -22,10 +22,16 @@ WORD_CHUNKS = re.compile(f"[^{WHITE_SPACE}]+")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_NAMES = {b: chr(b) for b in _PRINTABLE} | {
     b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: What they call the bytes of Latin letters.
+_NAMES = {chr(c): "".join([BYTE_NAMES[b] for b in chr(c).encode()]) for c in range(0x250) if chr(c).isalpha()}
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 #: Chunks that a worker remembers in each of two generations, and the longest that it does.
 REMEMBERED, LONGEST = 1 << 19, 64
 
 
+MARKS = frozenset(".,;:!?|")
+
+
 class ChunkCache(dict):
     """chunk -> what ``make`` gives for it.
 
@@ -74,14 +80,14 @@ def words_of(text: str) -> list[str]:
 def stem_and_mark(chunk: str) -> tuple[str, str] | None:
     """A chunk of letters (a space may come first) and one mark as these two; the patterns of these
     tokenizers always cut between letters and marks."""
-    if chunk and chunk[-1] in ".,;:!?|" and chunk[:-1].lstrip(" ").isalpha():
+    if chunk[-1:] in MARKS and chunk[:-1].lstrip(" ").isalpha():
         return chunk[:-1], chunk[-1]
     return None
 
 
 def packed_ids(ids: list[int]) -> bytes:
     """As little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def added_tokens(spec: str) -> list[str]:
@@ -147,7 +153,7 @@ class TextEncoder:
         self._library.no_padding()
         self._added = added_tokens(spec)
         data = json.loads(spec)
-        self._model = self._library.model
+        self._tokenize = self._library.model.tokenize
         self._lower = '"Lowercase"' in json.dumps(data.get("normalizer"))
         self._letters = all(self._of_letters(w) == self._by_library(w) for w in (
             "a", " a", "the", " the", "zqxj", " zqxj", "straße", " été", "ŧħ"))
@@ -162,27 +168,31 @@ class TextEncoder:
 
     def _of_letters(self, text: str) -> bytes:
         """Ids of one word by the merges alone: there is nothing to normalise or to cut in it."""
-        if not self._lower or text[:1] != " ":
-            return packed_ids([t.id for t in self._model.tokenize("".join(
-                [BYTE_NAMES[b] for b in text.encode()]))])
-        return self._of_letters(text[1:])  # white space is dropped
+        if text[:1] == " ":
+            space, text = "" if self._lower else BYTE_NAMES[32], text[1:]  # some drop white space
+        else:
+            space = ""
+        if not text.isascii():  # other letters are named by themselves
+            text = "".join([_NAMES[c] for c in text])
+        return packed_ids([t.id for t in self._tokenize(space + text)])
 
     def _whole(self, text: str) -> bytes:
         """A word of (lower-case) Latin letters goes to the merges, all else through the library."""
         word = text[1:] if text[:1] == " " else text
-        if self._letters and word.isalpha() and max(word) < "\u0250" and not (
+        if self._letters and word.isalpha() and (word.isascii() or max(word) < "\u0250") and not (
                 self._lower and word != word.lower()):
             return self._of_letters(text)
         return self._by_library(text)
 
     def _word(self, chunk: str) -> bytes:
         """A new word from known parts, if a mark follows it or it has capitals."""
-        parts = stem_and_mark(chunk)
-        if parts:
+        letters = chunk.isalpha()
+        if not letters and (parts := stem_and_mark(chunk)):
             return self._words[parts[0]] + self._words[parts[1]]
-        if self._lower and chunk.isascii() and chunk != (small := chunk.lower()):
+        if self._lower and chunk != (small := chunk.lower()) and (
+                chunk.isascii() or letters and len(small) == len(chunk) and max(chunk + small) < "\u0250"):
             return self._words[small]
-        return self._whole(chunk)
+        return self._of_letters(chunk) if letters and self._letters and chunk.isascii() else self._whole(chunk)
 
     def _word_values(self, text: str) -> list[bytes]:
         words = self._words

@@ -45,3 +45,14 @@ def test_a_worker_keeps_one_operators_caches():
     near.shingles("one two three four five six")
     gc.collect()
     assert gone() is None and coders() is None
+
+
+def test_latin_words_with_capitals_go_to_the_merges():
+    own = tokens.TextEncoder(tokens.read_spec(tokens.tokenizer("word_bpe_49k.json")))
+    by_library, asked = own._by_library, []
+    text = "Éouoien Öauach ÈREÉ Straße Ǆ ŧĦx"
+    own._by_library = lambda t: asked.append(t) or by_library(t)
+    assert own(text) == by_library(text)
+    assert asked == []
+    assert own("İx Ⱥ") == by_library("İx Ⱥ")
+    assert asked  # their small forms are other letters or more than one
