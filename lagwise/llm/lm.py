@@ -16,7 +16,8 @@ a larger shuffle, never a result. The ``HOT`` most frequent rows of the machine
 and a filter rules out n-grams that are not in it. What a slice of texts asks beyond that goes to
 ranges of the machine as blocks of sorted keys; the answers come back in the same order and meet the
 texts of the slice before these are traversed. The number of ranges follows the number of tokens, so
-a range fits in a task at any size.
+a range fits in a task at any size. Texts are scored in rounds, dealt by a hash, so what is written and
+shuffled for one round is gone before the next.
 
 Words, pairs and triples are known by 64-bit hashes in the machine.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -57,6 +59,7 @@ _SHIFT = 20
 _BEGIN = (1 << _SHIFT) - 1  # context before the first token; no word has this number
 _FLUSH = 200_000
 _RANGE = 1 << 20  # tokens for each range of keys
+_ROUNDS = 4  # in which texts are scored: what one writes and shuffles goes before the next
 _FILTER_BITS, _BUCKET_BITS = 28, 15  # bitmap_construct_agg fills 32,768 bits
 _HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
 
@@ -329,28 +332,26 @@ def _of_planes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
 
 
-def traverse(root: list[float], word_weight: list[float], pair_arc: list[float],
-             pair_weight: list[float], triple_arc: list[float]) -> float:
-    """log10 probability of a text, read once from left to right from the state of its begin.
+def traverse(root: np.ndarray, word_weight: np.ndarray, pair_arc: np.ndarray, pair_weight: np.ndarray,
+             triple_arc: np.ndarray) -> np.ndarray:
+    """What each position of some texts in a row adds to the log10 probability, read from left to right
+    from the state of the begin before each text (whose position adds nothing of use).
 
-    Position 0 is the begin. ``root[i]`` is what the root's arc for token i adds; ``pair_arc[i]`` is the
-    arc that token i + 1 takes from the word i, ``pair_weight[i]`` the failure weight of the state of
-    these two, ``triple_arc[i]`` the arc of token i + 2 from that state. NaN: no such arc, so the
-    failure arc is taken.
+    ``root[i]`` is what the root's arc for token i adds; ``pair_arc[i]`` the arc that token i + 1 takes
+    from the word i, ``pair_weight[i]`` the failure weight of the state of these two, ``triple_arc[i]`` the
+    arc of token i + 2 from that state. NaN: no such arc, so the failure arc is taken. Whichever arc token i
+    takes, it leads to the state of the last two if ``pair_arc[i - 1]`` is there, else to that of the last
+    one: so the state before each token is known, and all tokens take their arcs at once.
     """
-    score, in_pair = 0.0, False  # else the state is the word before
-    for i in range(1, len(root)):
-        arc = triple_arc[i - 2] if in_pair else math.nan
-        if arc == arc:
-            score += arc
-            in_pair = pair_arc[i - 1] == pair_arc[i - 1]
-            continue
-        if in_pair:
-            score += pair_weight[i - 2]
-        arc = pair_arc[i - 1]
-        in_pair = arc == arc
-        score += arc if in_pair else word_weight[i - 1] + root[i]
-    return score
+    adds = np.zeros(len(root))
+    if len(root) < 2:
+        return adds
+    has = ~np.isnan(pair_arc)
+    adds[1:] = np.where(has, pair_arc, word_weight[:-1] + root[1:])
+    in_pair = has[:-1]  # before token i + 2: the state is a pair
+    adds[2:] += np.where(in_pair, pair_weight[:-1], 0.0)
+    return np.where(np.append([False, False], in_pair & ~np.isnan(triple_arc)),
+                    np.append([0.0, 0.0], triple_arc), adds)
 
 
 def _attached(rows: DataFrame, key: str, table: DataFrame, hot) -> DataFrame:
@@ -562,12 +563,20 @@ class Model:
                         names=["slice", "range", "data"])
                     number += 1
 
+        def ordered(rows: pa.Table) -> pa.Table:
+            """The rows of a range as one, in the order of their keys."""
+            order = np.argsort(rows["key"].to_numpy().view(np.uint64))
+            weight = np.nan_to_num(rows["weight"].to_numpy().astype(np.float64)[order])
+            return pa.table({"range": rows["range"][:1], **{
+                name: pa.array([_planes(column)], pa.binary()) for name, column in (
+                    ("keys", rows["key"].to_numpy()[order]), ("n", rows["n"].to_numpy()[order]),
+                    ("weight", weight))}})
+
         def answered(rows: pa.Table, questions: pa.Table) -> pa.Table:
-            keys = rows["key"].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            keys = np.append(keys[order], np.uint64(0))  # one more, which no key is equal to
-            n = np.append(rows["n"].to_numpy()[order], 0).astype(np.int64)
-            weight = np.append(np.nan_to_num(rows["weight"].to_numpy().astype(np.float64)[order]), 0.0)
+            keys, n, weight = (
+                np.concatenate([np.zeros(0, kind), *(_of_planes(x, kind) for x in rows[name].to_pylist()),
+                                np.zeros(1, kind)])  # one more, which no key is equal to
+                for name, kind in (("keys", "<u8"), ("n", "<i8"), ("weight", "<f8")))
             of_n, of_weight = [], []
             for data in questions["data"].to_pylist():
                 wanted = _of_planes(data, "<u8")
@@ -595,25 +604,35 @@ class Model:
             root = np.where(begins, 0.0, np.log10((seen + 1) / bottom))
             with np.errstate(divide="ignore", invalid="ignore"):
                 pair_arc = np.where(wanted.one & (of_pairs[:, 0] > 0), np.log10(
-                    (of_pairs[:, 0] - DISCOUNT) / of_words[:-1, 0]), np.nan).tolist()
+                    (of_pairs[:, 0] - DISCOUNT) / of_words[:-1, 0]), np.nan)
                 triple_arc = np.where(wanted.both & (of_triples[:, 0] > 0), np.log10(
-                    (of_triples[:, 0] - DISCOUNT) / of_pairs[:-1, 0]), np.nan).tolist()
-            root_arc, word_weight, pair_weight = root.tolist(), of_words[:, 1].tolist(), of_pairs[:, 1].tolist()
-            ends = np.append(np.flatnonzero(begins), len(begins)).tolist()
-            score = [traverse(root_arc[a:b], word_weight[a:b], pair_arc[a:b - 1], pair_weight[a:b - 1],
-                              triple_arc[a:max(a, b - 2)]) for a, b in zip(ends[:-1], ends[1:])]
+                    (of_triples[:, 0] - DISCOUNT) / of_pairs[:-1, 0]), np.nan)
+            adds = traverse(root, of_words[:, 1], pair_arc, of_pairs[:, 1], triple_arc)
+            score = np.bincount(found.text, np.where(begins, 0.0, adds), n)
             known = np.bincount(found.text, seen > 0, n).astype(np.int64)
             return pa.Table.from_arrays(
                 [part.column(0), pa.array(found.lengths, pa.int64()), pa.array(known),
                  pa.array(np.bincount(found.text, root, n)), pa.array(score, pa.float64())],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-        blocks = staged(docs.mapInArrow(asked, "slice long, range long, data binary"), "asked")
-        in_range = self.machine.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
-        told = in_range.groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
-            answered, "slice long, range long, n binary, weight binary")
-        return blocks.filter("range < 0").groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(
-            scores, f"doc_id {id_type(docs)}, n_tokens long, n_known long, base_score double, score double")
+        def scored(some: DataFrame) -> DataFrame:
+            blocks = staged(some.mapInArrow(asked, "slice long, range long, data binary"), "asked")
+            told = ranges.groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
+                answered, "slice long, range long, n binary, weight binary")
+            return staged(blocks.filter("range < 0").groupBy("slice").cogroup(
+                told.groupBy("slice")).applyInArrow(scores, f"doc_id {id_type(docs)}, n_tokens long, "
+                              "n_known long, base_score double, score double"), "scored")
+
+        with scope(docs.sparkSession) as steps:
+            ranges = staged(self.machine.withColumn("range", F.shiftrightunsigned("key", 64 - bits)).groupBy(
+                "range").applyInArrow(ordered, "range long, keys binary, n binary, weight binary"), "ranges")
+            turn, found = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_ROUNDS)), []
+            for k in range(_ROUNDS):
+                with scope(docs.sparkSession) as round_steps:
+                    found.append(scored(docs.filter(turn == k)))
+                    round_steps.keep(found[-1])
+            steps.keep(*found)
+        return reduce(DataFrame.unionByName, found)
 
 
 def _written(part: pa.RecordBatch) -> bytes:

@@ -17,6 +17,7 @@ from lagwise.llm import (bitmap, bpe, exact, graph, language, lines, lm, near, p
                          queries, rans, secrets)
 from lagwise.llm import tokens as tokens_
 from lagwise.llm.common import documents, pick
+from lagwise.sources import layers
 from tests.llm import cases
 
 BYTE, WORD = tokens_.tokenizer("byte_bpe_50k.json"), tokens_.tokenizer("word_bpe_49k.json")
@@ -265,6 +266,27 @@ def test_components_take_few_steps(spark, monkeypatch, chunk, most):
 
 # Language model
 
+def test_scoring_goes_in_rounds(spark, tmp_path, monkeypatch):
+    """What a round writes is gone before the next one starts, and all rows are scored as in one round."""
+    docs = spark.createDataFrame([(k % 40, " ".join(f"w{(k * j) % 13}" for j in range(9))) for k in range(60)] + [
+        (None, "w1 w2 w3"), (7, "")], "doc_id long, text string")
+    staged, open_ = lm.staged, []
+
+    def watched(df, name):
+        if name == "asked":
+            open_.append([f for f in lm_folder.iterdir() if f.name.startswith("asked")])
+        return staged(df, name)
+
+    lm_folder = tmp_path / "lagwise"
+    monkeypatch.setattr(layers, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(lm, "staged", watched)
+    rows = [sorted(map(str, lm.held_out_scores(docs).collect()))]
+    assert len(open_) == lm._ROUNDS > 1 and not any(open_)
+    monkeypatch.setattr(lm, "_ROUNDS", 1)
+    rows.append(sorted(map(str, lm.held_out_scores(docs).collect())))
+    assert len(rows[0]) == 62 and rows[0] == rows[1]
+
+
 def test_scores_against_brute_force(spark, sf_dir, docs):
     def toks(text):
         return (text or "").encode().lower().split() + [b""]
