@@ -4,7 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,17 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def in_steps(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Cut where texts would hold more than ``most`` characters together; a longer text is alone."""
+    ends = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -39,13 +39,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagwise.llm.common import id_type, pick, slices
+from lagwise.llm.common import id_type, in_steps, pick, slices
 from lagwise.sources.layers import Scope, scope, staged
 
 #: Least count of a kept pair or triple.
@@ -553,7 +552,7 @@ class Model:
             words, (hot, kept) = shared_words.value, shared.value
             number = TaskContext.get().partitionId() << 32
             for batch in slices(batches, 256):
-                for part in _in_steps(batch):
+                for part in in_steps(batch, 1 << 20):
                     keys = Wanted(Tokens(part.column(1).to_pylist(), words), hot, kept).keys
                     ranges, ends = _runs(keys, bits)
                     yield pa.RecordBatch.from_arrays(
@@ -643,17 +642,6 @@ def _written(part: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _in_steps(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut where texts would hold more than ``most`` characters together; a longer text is alone."""
-    ends = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document,

@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lagwise.llm.common import id_type, pick, slices
+from lagwise.llm.common import id_type, in_steps, pick, slices
 from lagwise.llm.tokens import encoder, read_spec
 
 #: Windows of one block of remainders.
 BLOCK_WINDOWS = 32
+#: Rows and characters that are encoded at once; a longer text is alone.
+_ROWS, _LETTERS = 4096, 1 << 23
 
 
 class Piece(NamedTuple):
@@ -166,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     rows = pick(docs, id_col, text_col)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kind = rows.schema["doc_id"].dataType
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+    end = np.asarray([end_id], dtype="<u4")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(spec.value)
@@ -174,12 +176,13 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
 
         def documents() -> Iterator[np.ndarray]:
             n = 0
-            for batch in slices(batches):
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = np.frombuffer(encode(text) + end, dtype="<u4")
-                    about[n] = [doc_id, len(ids), len(ids)]
-                    n += 1
-                    yield ids
+            for batch in slices(batches, _ROWS):
+                for part in in_steps(batch, _LETTERS):
+                    for doc_id, ids in zip(part.column(0).to_pylist(), encode.arrays(part.column(1))):
+                        ids = np.concatenate([ids, end])
+                        about[n] = [doc_id, len(ids), len(ids)]
+                        n += 1
+                        yield ids
 
         def rows_of(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found))

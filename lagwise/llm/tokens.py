@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, one call per distinct chunk of text.
 
 A text is cut only where the tokenizer itself always cuts, so the ids of the chunks in a row are
-the ids of the text. Repeated chunks are then a dictionary lookup.
+the ids of the text. Repeated chunks are then a dictionary lookup; of many texts at once, a chunk is
+looked up once and its ids are gathered to all places where it stands.
 """
 from __future__ import annotations
 
@@ -10,6 +11,10 @@ import os
 import re
 import struct
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: The Unicode property White_Space, which `\\s` means to the tokenizers.
 WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
                "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -119,6 +124,8 @@ class SpacedChunks:
         return self.whole(chunk)
 
     def _after(self, part: str):
+        if part.isalpha():
+            return self.whole(" " + part)
         parts = stem_and_mark(part)
         if parts:
             return self.joined([self.after[parts[0]], self.start[parts[1]]])
@@ -135,7 +142,11 @@ class SpacedChunks:
         first, *parts = text.split(" ")
         after = self.after
         out = [after[p] for p in parts]
-        return [self.start[c] for c in BYTE_CHUNKS.findall(first)] + out
+        return self.first(first) + out
+
+    def first(self, part: str) -> list:
+        """Values of what precedes the first space of a text."""
+        return [self.start[c] for c in BYTE_CHUNKS.findall(part)]
 
 
 class TextEncoder:
@@ -204,6 +215,66 @@ class TextEncoder:
             return self._whole(text)
         return b"".join(self._values(text))
 
+    def _of_parts(self, parts: pa.StringArray) -> list[bytes]:
+        """Ids of distinct parts that follow a space; a word of letters is looked up once for all marks
+        that may come after it."""
+        after, start, marks = self._values.after, self._values.start, sorted(MARKS)
+        ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset:][:len(parts) + 1].astype(np.int64)
+        which = np.zeros(len(parts), dtype=np.int64)  # 0: no mark
+        long = np.flatnonzero(np.diff(ends) > 1)
+        number = np.zeros(256, dtype=np.int64)
+        number[[ord(m) for m in marks]] = np.arange(1, len(marks) + 1)
+        if len(long):
+            which[long] = number[np.frombuffer(parts.buffers()[2], np.uint8)[ends[long + 1] - 1]]
+        marked = which > 0
+        stems = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(parts, 0, -1), parts).dictionary_encode()
+        at, names = stems.indices.to_numpy().copy(), stems.dictionary.to_pylist()
+        alone = marked & ~np.fromiter(map(str.isalpha, names), bool, len(names))[at]
+        asked = np.zeros(len(names), dtype=bool)
+        asked[at[~alone]] = True
+        values = list(map(after.get, names))
+        for i in np.flatnonzero(asked).tolist():
+            if values[i] is None:
+                values[i] = after[names[i]]
+        ends_with = [b"", *(start[m] for m in marks)]
+        at[alone], which[alone] = len(values), 0
+        values.append(b"")
+        out = [values[i] + ends_with[j] if j else values[i] for i, j in zip(at.tolist(), which.tolist())]
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = after[parts[i].as_py()]
+        return out
+
+    def arrays(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text, all texts at once: each part between spaces is looked up once."""
+        plain = texts.to_pylist()
+        if not plain or not isinstance(self._values, SpacedChunks):
+            return [np.frombuffer(self(t), "<u4") for t in plain]
+        odd = [any(a in t for a in self._added) or bool(BETWEEN_SPACE.search(t)) for t in plain]
+        if any(odd):  # these are encoded one by one, as the only part of their text
+            texts = pa.array(["" if o else t for o, t in zip(odd, plain)], pa.string())
+        parts = pc.split_pattern(texts, " ")
+        ends = parts.offsets.to_numpy().astype(np.int64)
+        begins, ends = ends[:-1], ends[1:]
+        found = parts.values.dictionary_encode()
+        at = found.indices.to_numpy().astype(np.int64)
+        later = np.ones(len(at), dtype=bool)
+        later[begins] = False
+        follows = np.zeros(len(found.dictionary), dtype=bool)
+        follows[at[later]] = True
+        number = np.cumsum(follows) - 1  # parts that only come first are not looked up
+        at = number[at]
+        values = self._of_parts(found.dictionary.filter(pa.array(follows)))
+        at[begins] = np.arange(len(values), len(values) + len(plain))
+        values += [self(t) if o else b"".join(self._values.first(t[:t.index(" ")] if " " in t else t))
+                   for o, t in zip(odd, plain)]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(sizes) - sizes
+        sizes, starts = sizes[at], starts[at]
+        places = np.cumsum(sizes)
+        ids = np.frombuffer(b"".join(values), "<u4")[
+            np.repeat(starts - (places - sizes), sizes) + np.arange(places[-1])]
+        return np.split(ids, places[ends - 1][:-1])
+
 
 def encoder(spec: str) -> TextEncoder:
     """One encoder per worker process and tokenizer."""

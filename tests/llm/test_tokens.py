@@ -4,6 +4,7 @@ from __future__ import annotations
 import gc
 import weakref
 
+import pyarrow as pa
 import pytest
 
 from lagwise.llm import bpe, near, tokens
@@ -56,3 +57,22 @@ def test_latin_words_with_capitals_go_to_the_merges():
     assert asked == []
     assert own("İx Ⱥ") == by_library("İx Ⱥ")
     assert asked  # their small forms are other letters or more than one
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_many_texts_at_once_have_the_ids_of_the_library(name):
+    encoder = tokens.TextEncoder(tokens.read_spec(tokens.tokenizer(name)))
+    texts = TEXTS + ["", " ", ".", " .", ", ,", "a, b. 3. l'été, é! x.. y", "<|endoftext|> a<|endoftext|>",
+                     "\n \n a", "日本。 日本.", "²! ª; ª"]
+    for some in (texts, texts[:1], texts[::-1], []):
+        column = pa.array(["left out", *some], pa.string()).slice(1)  # buffers that do not start at 0
+        assert [x.tobytes() for x in encoder.arrays(column)] == [
+            tokens.packed_ids(encoder._library.encode(t, add_special_tokens=False).ids) for t in some]
+
+
+def test_many_texts_at_once_ask_for_a_word_once():
+    encoder = tokens.TextEncoder(tokens.read_spec(tokens.tokenizer("byte_bpe_50k.json")))
+    asked = []
+    encoder._values.after.make = lambda part: asked.append(part) or b"\0\0\0\0"
+    assert [len(x) for x in encoder.arrays(pa.array(["x word, word. word"] * 500))] == [6] * 500
+    assert asked == ["word"]
