@@ -64,9 +64,9 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-def in_steps(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+def in_steps(batch: pa.RecordBatch, most: int, at: int = 1) -> Iterator[pa.RecordBatch]:
     """Cut where texts would hold more than ``most`` characters together; a longer text is alone."""
-    ends = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(pc.utf8_length(batch.column(at)).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0

@@ -12,7 +12,9 @@ from left to right with the state carried along.
 
 N-grams are counted in two passes. The first sends 4 bytes of each and leaves a filter of fixed size
 with those that may be repeated; the second counts what the filter lets through. A full filter costs
-a larger shuffle, never a result. The ``HOT`` most frequent rows of the machine are sent to every task,
+a larger shuffle, never a result. Words are counted with the first look at pairs, pairs with the first
+look at triples, so the texts are read three times. Counts, and what follows each context, meet in
+ranges of the machine as blocks of sorted keys. The ``HOT`` most frequent rows of the machine are sent to every task,
 and a filter rules out n-grams that are not in it. What a slice of texts asks beyond that goes to
 ranges of the machine as blocks of sorted keys; the answers come back in the same order and meet the
 texts of the slice before these are traversed. The number of ranges follows the number of tokens, so
@@ -35,10 +37,10 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -59,8 +61,14 @@ _BEGIN = (1 << _SHIFT) - 1  # context before the first token; no word has this n
 _FLUSH = 200_000
 _RANGE = 1 << 20  # tokens for each range of keys
 _ROUNDS = 4  # in which texts are scored: what one writes and shuffles goes before the next
-_FILTER_BITS, _BUCKET_BITS = 28, 15  # bitmap_construct_agg fills 32,768 bits
+_FILTER_BITS = 28
+#: Rows and characters whose n-grams are counted, or that are scored, at once; a longer text is alone.
+_COUNTED, _SCORED = (8192, 1 << 23), (1024, 1 << 22)
 _HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
+_LONG = 64  # bytes of a word that are hashed eight at a time; longer words are hashed one by one
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FIRST = np.asarray([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n of eight bytes
 
 
 def tokens(text: str) -> list[bytes]:
@@ -103,27 +111,65 @@ class Words:
         ordered = sorted(counts, key=lambda wc: (-wc[1], wc[0]))
         self.number = {w: i for i, (w, _) in enumerate(ordered)}
         self.counts = [n for _, n in ordered]
-        self.hashes = np.asarray([xxhash.xxh64_intdigest(w) for w, _ in ordered], dtype=np.uint64)
+        ends = np.cumsum([0, *(len(w) for w, _ in ordered)], dtype=np.int64)
+        raw = np.frombuffer(b"".join([w for w, _ in ordered]) + bytes(16), np.uint8)
+        self.hashes = np.where(ends[1:] > ends[:-1], word_hashes(raw, ends[:-1], ends[1:]),
+                               np.uint64(_HASH_OF_END))
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words at places of ``raw``, which goes on for 8 bytes or more after the last."""
+    size = ends - starts
+    eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+
+    def stirred(x: np.ndarray, which, done: int) -> np.ndarray:
+        x = x ^ eights[starts[which] + done] & _FIRST[np.minimum(size[which] - done, 8)]
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(29)
+        return x
+
+    out = stirred(size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F), slice(None), 0)
+    open_ = np.flatnonzero((size > 8) & (size <= _LONG))
+    for done in range(8, _LONG, 8):
+        if not len(open_):
+            break
+        out[open_] = stirred(out[open_], open_, done)
+        open_ = open_[size[open_] > done + 8]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]].tobytes())
+    return out
 
 
 class Tokens:
     """The tokens of some texts one after another: their hashes with a begin before each text, and
     the text of each."""
 
-    def __init__(self, texts: list[str], words: Words):
-        flat, self.lengths = [], []
-        for text in texts:
-            found = tokens(text)
-            flat.append(None)
-            flat += found
-            self.lengths.append(len(found))
-        numbers = np.asarray(list(map(words.number.get, flat, repeat(-1))), dtype=np.int64)
-        self.hashes = (words.hashes[numbers] if len(words.hashes) else np.zeros(len(flat), dtype=np.uint64))
-        places = np.flatnonzero(numbers < 0)
-        digest = xxhash.xxh64_intdigest
-        self.hashes[places] = np.asarray(
-            [_HASH_OF_BEGIN if flat[i] is None else digest(flat[i]) for i in places.tolist()], dtype=np.uint64)
-        self.text = np.repeat(np.arange(len(texts)), np.asarray(self.lengths, dtype=np.int64) + 1)
+    def __init__(self, texts: pa.StringArray):
+        texts = texts.cast(pa.string())
+        ends = np.frombuffer(texts.buffers()[1] or bytes(4), np.int32)[texts.offset:][:len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        ends = ends.astype(np.int64) - ends[0]
+        raw = np.zeros(len(data) + 16, dtype=np.uint8)
+        raw[:len(data)] = _LOWER[data]
+        space = _SPACE[data]
+        begins, stops = ~space, ~space
+        begins[1:] &= space[:-1]
+        stops[:-1] &= space[1:]
+        filled = ends[1:] > ends[:-1]  # a text ends a word, too
+        for mark, at in ((begins, ends[:-1][filled]), (stops, ends[1:][filled] - 1)):
+            mark[at] = ~space[at]
+        begins, stops = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        self.lengths = np.diff(np.searchsorted(begins, ends)) + 1
+        place = np.cumsum(self.lengths + 1)  # where the next text begins
+        self.text = np.repeat(np.arange(len(texts)), self.lengths + 1)
+        self.hashes = np.empty(len(self.text), dtype=np.uint64)
+        inner = np.ones(len(self.text), dtype=bool)
+        for at, value in ((place - self.lengths - 1, _HASH_OF_BEGIN), (place - 1, _HASH_OF_END)):
+            self.hashes[at] = value
+            inner[at] = False
+        self.hashes[inner] = word_hashes(raw, begins, stops)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys of neighbours, whether both are of one text, and whether the next pair is as well."""
@@ -144,7 +190,7 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 def _bits(size: int) -> int:
     """How many upper bits of a key name its range, for ``size`` tokens."""
-    return min(28, max(1, math.ceil(size / _RANGE).bit_length()))
+    return min(_FILTER_BITS - 3, max(1, math.ceil(size / _RANGE).bit_length()))
 
 
 def _runs(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -154,75 +200,102 @@ def _runs(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]
     return at[starts], list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)]))
 
 
-def _joined(blocks: pa.ChunkedArray, kind: str) -> np.ndarray:
+def _joined(blocks: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype=kind), *(np.frombuffer(x, kind) for x in blocks.to_pylist())])
 
 
-def _collected(batches: Iterator[pa.RecordBatch], parts_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The parts of the n-grams of some texts, at least 10 * ``_FLUSH`` at a time."""
-    left, right, size = [], [], 0
-    for batch in slices(batches, 256):
-        a, b = parts_of(batch.column(0).to_pylist())
-        left.append(a)
-        right.append(b)
-        size += len(a)
-        if size >= 10 * _FLUSH:
-            yield np.concatenate(left), np.concatenate(right)
-            left, right, size = [], [], 0
-    if left:
-        yield np.concatenate(left), np.concatenate(right)
-
-
-def _maybe_repeated(texts: DataFrame, parts_of, salt: int, bits: int) -> DataFrame:
-    """(key) of all n-grams with at least ``LEAST`` occurrences, and of some that share the upper
-    ``bits`` + 32 bits of their key with others; the lower bits of these keys are 0."""
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in _collected(batches, parts_of):
-            keys, n = np.unique(_key(a, b, salt), return_counts=True)
-            keys = np.repeat(keys, np.minimum(n, LEAST))
-            ranges, ends = _runs(keys, bits)
-            short = (keys >> np.uint64(32 - bits)).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges), pa.array([short[i:j].tobytes() for i, j in ends], pa.binary())],
-                names=["range", "short"])
-
-    def repeated(blocks: pa.Table) -> pa.Table:
-        short = np.sort(_joined(blocks["short"], "<u4"))
-        last = short[LEAST - 1:]
-        again = np.unique(last[last == short[:len(last)]]).astype(np.uint64)
-        first = np.uint64(blocks["range"][0].as_py())
-        return pa.table({"key": _longs(first << np.uint64(64 - bits) | again << np.uint64(32 - bits))})
-
-    return texts.mapInArrow(seen, "range long, short binary").groupBy("range").applyInArrow(
-        repeated, "key long")
-
-
-def _gram_counts(texts: DataFrame, parts_of, salt: int, bits: int, maybe) -> DataFrame:
-    """(key, a, b, n) of the n-grams with at least ``LEAST`` occurrences; ``parts_of`` gives the
-    keys of the two parts of each n-gram of some texts, ``maybe`` is a shared filter that holds all
-    that are repeated."""
+def _parts(batches: Iterator[pa.RecordBatch], most: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, most[0]):
+        yield from in_steps(batch, most[1], batch.num_columns - 1)  # the texts are the last column
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, an order of ``keys`` and where each distinct one begins in it."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[starts], order, starts
+
+
+def _blocks(kind: int, keys: np.ndarray, bits: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """The rows of sorted keys as one row for each range."""
+    ranges, ends = _runs(keys, bits)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([kind] * len(ends), pa.int32()), pa.array(ranges),
+         *(pa.array([columns[c][i:j].tobytes() for i, j in ends] if c in columns else [None] * len(ends),
+                    pa.binary()) for c in "abn")], names=["kind", "range", "a", "b", "n"])
+
+
+#: What is counted in blocks: words by their key, n-grams by those of their two parts, or the upper
+#: ``bits`` + 32 bits of the keys of n-grams, to see which may be repeated. The blocks of a range make
+#: rows and one block (sorted keys, counts) of the machine, or the bits of a filter in this range.
+_OF_WORDS, _OF_GRAMS, _MAYBE, _BLOCK = 0, 1, 2, 3
+_BLOCKS, _COUNTS = "kind int, range long, a binary, b binary, n binary", (
+    "kind int, key long, a long, b long, n long, data binary, more binary")
+#: Blocks of the machine: counts of sorted keys, or what the kept n-grams add to contexts.
+_OF_MACHINE = "range long, keys binary, n binary, used binary, lower binary"
+
+
+def _words_of(keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    keys, n = np.unique(keys, return_counts=True)
+    return _blocks(_OF_WORDS, keys, bits, a=keys, n=n.astype(np.int64))
+
+
+def _maybe_of(keys: np.ndarray, bits: int) -> pa.RecordBatch:
+    keys, n = np.unique(keys, return_counts=True)
+    keys = np.repeat(keys, np.minimum(n, LEAST))
+    return _blocks(_MAYBE, keys, bits, a=(keys >> np.uint64(32 - bits)).astype(np.uint32))
+
+
+def _grams_of(keys: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> pa.RecordBatch:
+    keys, order, starts = _distinct(keys)
+    at = order[starts]
+    n = np.diff(np.append(starts, len(order))).astype(np.int64)
+    return _blocks(_OF_GRAMS, keys, bits, a=a[at], b=b[at], n=n)
+
+
+def _segment(first: int, keys: np.ndarray, bits: int) -> bytes:
+    """The bits of a filter in the range ``first``, in which all the keys are; compressed."""
+    held = np.zeros(1 << _FILTER_BITS - bits, dtype=bool)
+    held[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64) - (first << _FILTER_BITS - bits)] = True
+    return pa.Codec("zstd").compress(np.packbits(held, bitorder="little"), asbytes=True)
+
+
+def _counted(texts: DataFrame, counts_of, bits: int, salt: int) -> DataFrame:
+    """Rows of (kind, key, a, b, n), and (kind, key, bits) for ranges of what may be repeated, of the
+    blocks that ``counts_of`` makes of the tokens of some texts. Of n-grams, those with at least
+    ``LEAST`` occurrences; ``salt`` is that of their keys."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in _collected(batches, parts_of):
-            keys = _key(a, b, salt)
-            good = _may_hold(maybe.value, keys)
-            a, b = a[good], b[good]
-            keys, at, n = np.unique(keys[good], return_index=True, return_counts=True)
-            a, b, n = a[at], b[at], n.astype(np.int64)
-            ranges, ends = _runs(keys, bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges), *(pa.array([x[i:j].tobytes() for i, j in ends], pa.binary())
-                                     for x in (a, b, n))], names=["range", "a", "b", "n"])
+        for part in _parts(batches, _COUNTED):
+            yield from counts_of(Tokens(part.column(0)))
 
-    def added(blocks: pa.Table) -> pa.Table:
-        a, b, n = _joined(blocks["a"], "<u8"), _joined(blocks["b"], "<u8"), _joined(blocks["n"], "<i8")
-        keys, at, of = np.unique(_key(a, b, salt), return_index=True, return_inverse=True)
-        sums = np.bincount(of, n, len(keys)).astype(np.int64)
-        often = sums >= LEAST
-        return pa.table({"key": _longs(keys[often]), "a": _longs(a[at][often]), "b": _longs(b[at][often]),
-                         "n": pa.array(sums[often], pa.int64())})
+    def rows(kind: int, keys: np.ndarray, data: bytes | None = None, more: bytes | None = None, **columns) -> pa.Table:
+        return pa.table({"kind": pa.array([kind] * len(keys), pa.int32()), "key": _longs(keys), **{
+            c: _longs(columns[c]) if c in columns else pa.nulls(len(keys), pa.int64()) for c in "abn"},
+            **{name: pa.array([x] * len(keys), pa.binary()) for name, x in (("data", data), ("more", more))}})
 
-    return texts.mapInArrow(count, "range long, a binary, b binary, n binary").groupBy(
-        "range").applyInArrow(added, "key long, a long, b long, n long")
+    def added(blocks: pa.Table) -> pa.Table:
+        kind, first = blocks["kind"][0].as_py(), blocks["range"][0].as_py()
+        name = np.asarray([first], dtype=np.uint64)
+        if kind == _MAYBE:
+            short = np.sort(_joined(blocks["a"], "<u4"))
+            last = short[LEAST - 1:]
+            again = last[last == short[:len(last)]].astype(np.uint64)
+            keys = name << np.uint64(64 - bits) | again << np.uint64(32 - bits)
+            return rows(kind, name, _segment(first, keys, bits))
+        a, n = _joined(blocks["a"], "<u8"), _joined(blocks["n"], "<i8")
+        b = _joined(blocks["b"], "<u8") if kind == _OF_GRAMS else a
+        keys, order, starts = _distinct(_key(a, b, salt) if kind == _OF_GRAMS else a)
+        sums, at = np.add.reduceat(n[order], starts), order[starts]
+        if kind == _OF_GRAMS:
+            often = sums >= LEAST
+            keys, sums, at = keys[often], sums[often], at[often]
+        parts = {"a": a[at], "b": b[at]} if kind == _OF_GRAMS else {}
+        return pa.concat_tables([rows(kind, keys, n=sums, **parts),
+                                 rows(_BLOCK, name, _planes(keys), _planes(sums))])
+
+    return texts.mapInArrow(count, _BLOCKS).groupBy(
+        "kind", "range").applyInArrow(added, _COUNTS)
 
 
 class Filter:
@@ -238,15 +311,13 @@ class Filter:
         self.bits = np.frombuffer(pa.Codec("zstd").decompress(data, 1 << _FILTER_BITS - 3), dtype=np.uint8)
 
 
-def _filter(keys: DataFrame) -> Filter:
-    """Bits of the keys' upper ``_FILTER_BITS`` bits: of fixed size, whatever the table is."""
-    place = F.shiftrightunsigned("key", 64 - _FILTER_BITS)
-    found = keys.select(place.alias("p")).groupBy(F.shiftright("p", _BUCKET_BITS).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("p").bitwiseAND((1 << _BUCKET_BITS) - 1)).alias("bits")).toArrow()
-    bits = np.zeros((1 << _FILTER_BITS - _BUCKET_BITS, 1 << _BUCKET_BITS - 3), dtype=np.uint8)
-    for bucket, row in zip(found["bucket"].to_pylist(), found["bits"].to_pylist()):
-        bits[bucket] = np.frombuffer(row, dtype=np.uint8)
-    return Filter(bits.reshape(-1))
+def _filter(segments: DataFrame, bits: int) -> Filter:
+    """Bits of the keys' upper ``_FILTER_BITS`` bits, of (range, bits): of fixed size, whatever the table is."""
+    found, size = segments.select("range", "bits").toArrow(), 1 << _FILTER_BITS - bits - 3
+    out = np.zeros((1 << bits, size), dtype=np.uint8)
+    for at, data in zip(found["range"].to_pylist(), found["bits"].to_pylist()):
+        out[at] = np.frombuffer(pa.Codec("zstd").decompress(data, size), dtype=np.uint8)
+    return Filter(out.reshape(-1))
 
 
 def _may_hold(kept: Filter, keys: np.ndarray) -> np.ndarray:
@@ -284,42 +355,62 @@ class Hot:
     def _slot(self, keys: np.ndarray, turn: int) -> np.ndarray:
         return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows (zeros if there is none), and whether the key is here. Key 0 is not used."""
-        values, found = np.zeros((len(keys), 2)), np.zeros(len(keys), dtype=bool)
-        open_ = np.arange(len(keys))
+    def look_up(self, keys: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+        """Whether each key is here; its row is put in ``values``. Key 0 is not used."""
+        found, open_ = np.zeros(len(keys), dtype=bool), np.arange(len(keys))
         for turn, held, value in self.tables:
             slot = self._slot(keys[open_], turn)
             hit = held[slot] == keys[open_]
-            values[open_[hit]], found[open_[hit]] = value[slot[hit]], True
+            found[open_[hit]] = True
+            if values is not None:
+                values[open_[hit]] = value[slot[hit]]
             open_ = open_[~hit]
-        return values, found
+        return found
 
 
 class Wanted:
     """The words, pairs and triples of some texts with what the hot rows say about them, and ``keys``:
-    sorted, those that the machine may hold beyond."""
-
-    def __init__(self, found: Tokens, hot: Hot, kept: Filter):
-        pair, self.one, self.both = found.pairs()
+    sorted, those that the machine may hold beyond. Only a triple of two kept pairs is kept."""
+
+    def __init__(self, found: Tokens, hot: Hot, kept: Filter, told: bool = True):
+        pair, one, both = found.pairs()
+        self.one, self.both = one, both
+        one = one & _may_hold(kept, pair)
+        both = both & one[:-1] & one[1:]
+        triple = _key(pair[:-1][both], pair[1:][both], 2)
+        good = _may_hold(kept, triple)
+        both[both] = good
         self.grams, asked = [], []
-        for keys, use in ((found.hashes, True), (pair, self.one),
-                          (_key(pair[:-1], pair[1:], 2), self.both)):
-            values, here = hot.look_up(keys)
-            self.grams.append((keys, values, here))
-            open_ = keys[~here & use]
-            asked.append(open_[_may_hold(kept, open_)])
-        self.keys = np.unique(np.concatenate(asked))
-
-    def rows(self, answers: np.ndarray) -> list[np.ndarray]:
-        """Rows of the words, pairs and triples; ``answers`` are those of ``keys`` and zeros at the end."""
-        ends = np.append(self.keys, np.uint64(0))
-        for keys, values, here in self.grams:
-            open_ = np.flatnonzero(~here)
-            at = np.searchsorted(self.keys, keys[open_])
-            at[ends[at] != keys[open_]] = len(self.keys)
-            values[open_] = answers[at]
-        return [values for _, values, _ in self.grams]
+        for size, places, keys in ((len(found.hashes), None, found.hashes),
+                                   (len(pair), np.flatnonzero(one), pair[one]),
+                                   (len(both), np.flatnonzero(both), triple[good])):
+            values = np.zeros((len(keys), 2)) if told else None
+            open_ = np.flatnonzero(~hot.look_up(keys, values))
+            if places is None:
+                open_ = open_[_may_hold(kept, keys[open_])]
+            asked.append(keys[open_])
+            self.grams.append((size, places, values, open_))
+        keys = np.concatenate(asked)
+        if told:
+            self.keys, order, starts = _distinct(keys)
+            self.at = np.empty(len(keys), dtype=np.int64)
+            self.at[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+        else:
+            keys = np.sort(keys)
+            self.keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+
+    def rows(self, answers: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows of the words, pairs and triples; ``answers`` are those of ``keys``."""
+        held = 0
+        for size, places, values, open_ in self.grams:
+            values[open_] = answers[self.at[held:held + len(open_)]]
+            held += len(open_)
+            if places is None:
+                yield values
+            else:
+                out = np.zeros((size, 2))
+                out[places] = values
+                yield out
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -331,6 +422,10 @@ def _of_planes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
 
 
+def _of_blocks(blocks: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=kind), *(_of_planes(x, kind) for x in blocks.to_pylist())])
+
+
 def traverse(root: np.ndarray, word_weight: np.ndarray, pair_arc: np.ndarray, pair_weight: np.ndarray,
              triple_arc: np.ndarray) -> np.ndarray:
     """What each position of some texts in a row adds to the log10 probability, read from left to right
@@ -430,99 +525,108 @@ class Automaton:
 
 
 class Model:
-    """Written tables: word counts, ``machine``, and with ``grams`` the kept ``pairs`` and ``triples``
-    with their counts."""
+    """Written tables: ``machine`` in ranges of its keys, and with ``grams`` the word counts and the kept
+    ``pairs`` and ``triples`` with theirs. ``letters``: about how many characters the texts have."""
 
-    def __init__(self, texts: DataFrame, grams: bool = True):
+    def __init__(self, texts: DataFrame, grams: bool = True, letters: int | None = None):
         with scope(texts.sparkSession) as steps:
-            self._build(texts, steps)
-            steps.keep(self.machine, *((self.counts, self.pairs, self.triples) if grams else ()))
-
-    def _build(self, texts: DataFrame, steps: Scope) -> None:
-        spark = texts.sparkSession
-        self.counts = staged(word_counts(texts), "words")
-        sums = self.counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
-                               F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("e")).first()
+            self._build(texts, steps, grams, _letters(texts) if letters is None else letters)
+            steps.keep(self.machine, *((self.counts, *self.tables) if grams else ()))
+
+    def _build(self, texts: DataFrame, steps: Scope, grams: bool, letters: int) -> None:
+        spark, bits, self.tables = texts.sparkSession, _bits(letters // 4), []
+
+        def counted(counts_of, salt: int, name: str) -> tuple[DataFrame, object]:
+            """Rows and blocks, and the filter of what may be repeated among the next larger n-grams."""
+            table = staged(_counted(texts, counts_of, bits, salt), name)
+            self.tables.append(table)
+            return table, spark.sparkContext.broadcast(_filter(table.filter(F.col("kind") == _MAYBE).select(
+                F.col("key").alias("range"), F.col("data").alias("bits")), bits))
+
+        def of_words(found: Tokens) -> Iterator[pa.RecordBatch]:
+            pair, one, _ = found.pairs()
+            yield _words_of(found.hashes, bits)
+            yield _maybe_of(pair[one], bits)
+
+        hashes, kept = counted(of_words, 0, "words")
+        self.hashes = hashes.filter(F.col("kind") == _OF_WORDS).select(F.col("key").alias("h"), F.col("n").alias("m"))
+        word = F.col("h") != _HASH_OF_BEGIN
+        sums = self.hashes.agg(F.sum(F.when(word, F.col("m"))).alias("n"), F.count_if(word).alias("v"),
+                               F.sum(F.when(~word, F.col("m"))).alias("e")).first()
         self.total, self.distinct, self.texts = sums["n"] or 0, sums["v"], sums["e"] or 0
         self.least = max(2, math.ceil(self.total * ARC_SHARE))
-        self.words = Words([(bytes(r["word"]), r["n"]) for r in
-                            self.counts.filter(F.col("n") >= self.least).collect()])
-        self.shared_words = spark.sparkContext.broadcast(self.words)
-        words, bits = self.shared_words, _bits(self.total)
-
-        def pairs_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = Tokens(some, words.value)
-            one = found.text[:-1] == found.text[1:]
-            return found.hashes[:-1][one], found.hashes[1:][one]
-
-        def counted(parts_of, salt: int, name: str):
-            maybe = staged(_maybe_repeated(texts, parts_of, salt, bits), f"maybe-{name}")
-            shared = spark.sparkContext.broadcast(_filter(maybe))
-            steps.drop(maybe)
-            return staged(_gram_counts(texts, parts_of, salt, bits, shared), name), shared
-
-        self.pairs, kept = counted(pairs_of, 1, "pairs")
-
-        def triples_of(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            # A repeated triple consists of two repeated pairs.
-            pair, one, both = Tokens(some, words.value).pairs()
-            good = _may_hold(kept.value, pair) & one
-            both &= good[:-1] & good[1:]
-            return pair[:-1][both], pair[1:][both]
-
-        self.triples, kept_triples = counted(triples_of, 2, "triples")
+
+        def of_pairs(found: Tokens) -> Iterator[pa.RecordBatch]:
+            pair, one, both = found.pairs()
+            one &= _may_hold(kept.value, pair)
+            both &= one[:-1] & one[1:]  # a repeated triple consists of two repeated pairs
+            yield _grams_of(pair[one], found.hashes[:-1][one], found.hashes[1:][one], bits)
+            yield _maybe_of(_key(pair[:-1][both], pair[1:][both], 2), bits)
+
+        self.pairs, kept_triples = counted(of_pairs, 1, "pairs")
+
+        def of_triples(found: Tokens) -> Iterator[pa.RecordBatch]:
+            pair, one, both = found.pairs()
+            one &= _may_hold(kept.value, pair)
+            both &= one[:-1] & one[1:]
+            keys = _key(pair[:-1][both], pair[1:][both], 2)
+            good = _may_hold(kept_triples.value, keys)
+            yield _grams_of(keys[good], pair[:-1][both][good], pair[1:][both][good], bits)
+
+        self.triples = staged(_counted(texts, of_triples, bits, 2), "triples")
+        self.tables.append(self.triples)
+        self.pairs, self.triples = (t.filter(F.col("kind") == _OF_GRAMS).select("key", "a", "b", "n")
+                                    for t in (self.pairs, self.triples))
         kept.destroy()
         kept_triples.destroy()
-        self.machine = staged(self._rows(steps), "machine")
-
-    def _rows(self, steps: Scope) -> DataFrame:
-        """(key, n, weight) of all words, kept pairs and kept triples; no weight where nothing follows."""
-        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = np.asarray([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()],
-                                   dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([_longs(found), batch.column(1)], names=["h", "m"])
-
-        begin = self.counts.sparkSession.range(1).select(
-            F.lit(_HASH_OF_BEGIN).cast("long").alias("h"), F.lit(max(1, self.texts)).cast("long").alias("m"))
-        words = staged(self.counts.mapInArrow(hashed, "h long, m long").unionByName(begin), "hashes")
+        self.bits, self.machine = bits, staged(_ranges(self._blocks(bits), bits), "machine")
+        if grams:
+            self.counts = staged(word_counts(texts), "counts")
+            self.words = Words([(bytes(r["word"]), r["n"]) for r in
+                                self.counts.filter(F.col("n") >= self.least).collect()])
+
+    def _blocks(self, bits: int) -> DataFrame:
+        """The counts of all words, kept pairs and kept triples, and what follows words and pairs."""
+        words = self.hashes
         bottom, used = float(self.total + self.distinct + 1), F.col("n") - DISCOUNT
         frequent = F.col("m") >= self.least
         frequent_pair = F.col("m") >= max(LEAST, math.ceil(self.total * GRAM_SHARE))
-
-        def followed(rows: DataFrame, lower: Column) -> DataFrame:
-            return rows.groupBy("a").agg(F.sum(used).alias("used"), F.sum(lower).alias("lower"))
-
-        weight = F.log10((1 - F.col("used") / F.col("m")) / (1 - F.col("lower")))
-        root = (F.col("m") + 1) / bottom
-        ending = _attached(self.pairs.select("a", "b", "n"), "b", words.withColumnRenamed("h", "b"), frequent)
-        contexts = staged(words.withColumnRenamed("h", "a").join(followed(ending, root), "a", "left").select(
-            F.col("a").alias("key"), F.col("m").alias("n"), weight.alias("weight")), "contexts")
+        ending = _attached(self.pairs.select("a", "b", "n"), "b", words.withColumnRenamed("h", "b"), frequent).select(
+            "a", used.alias("used"), ((F.col("m") + 1) / bottom).alias("lower"))
         arcs = staged(_attached(self.pairs.select("key", "a", "n"), "a", words.withColumnRenamed("h", "a"),
                                 frequent).select(F.col("key").alias("b"), F.col("n").alias("m"),
                                                  (used / F.col("m")).alias("p2")), "pair-arcs")
-        steps.drop(words)
-        over = staged(followed(_attached(self.triples.select("a", "b", "n"), "b", arcs, frequent_pair),
-                               F.col("p2")), "pair-contexts")
-        steps.drop(arcs)
-        pairs = self.pairs.select(F.col("key").alias("a"), F.col("n").alias("m")).join(over, "a", "left")
-        return contexts.unionByName(pairs.select(
-            F.col("a").alias("key"), F.col("m").alias("n"), weight.alias("weight"))).unionByName(
-            self.triples.select("key", "n", F.lit(None).cast("double").alias("weight")))
+        over = _attached(self.triples.select("a", "b", "n"), "b", arcs, frequent_pair).select(
+            "a", used.alias("used"), F.col("p2").alias("lower"))
+        counts = reduce(DataFrame.unionByName, (t.filter(F.col("kind") == _BLOCK) for t in self.tables)).select(
+            F.col("key").alias("range"), F.col("data").alias("keys"), F.col("more").alias("n"),
+            F.lit(None).cast("binary").alias("used"), F.lit(None).cast("binary").alias("lower"))
+        return reduce(DataFrame.unionByName, (_followed(rows, bits) for rows in (ending, over)), counts)
 
     def _hot(self) -> Hot:
         """The most frequent rows of the machine, at most ``HOT``."""
-        size = F.floor(8 * F.log2("n"))
-        sizes = self.machine.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k")).collect()
-        least, held = None, 0
-        for r in sorted(sizes, key=lambda r: -r["size"]):
+        def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            k = sum((np.bincount(_size(n), minlength=512) for _, n, _ in _rows_of(batches)), np.zeros(512, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(k)), pa.array(k[k > 0])], names=["size", "k"])
+
+        found = self.machine.mapInArrow(sizes, "size long, k long").groupBy("size").agg(F.sum("k").alias("k")).collect()
+        least, held = 512, 0
+        for r in sorted(found, key=lambda r: -r["size"]):
             held += r["k"]
             if held > HOT:
                 break
             least = r["size"]
-        found = self.machine.filter(F.lit(False) if least is None else size >= least).toArrow()
-        n, weight = found["n"].to_numpy(), np.nan_to_num(found["weight"].to_numpy().astype(np.float64))
-        return Hot(found["key"].to_numpy().view(np.uint64), np.column_stack([n.astype(np.float64), weight]), n)
+
+        def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for keys, n, weight in _rows_of(batches):
+                some = _size(n) >= least
+                yield pa.RecordBatch.from_arrays([_longs(keys[some]), pa.array(n[some]), pa.array(weight[some])],
+                                                 names=["key", "n", "weight"])
+
+        rows = self.machine.mapInArrow(frequent, "key long, n long, weight double").toArrow()
+        n = rows["n"].to_numpy()
+        return Hot(rows["key"].to_numpy().view(np.uint64),
+                   np.column_stack([n.astype(np.float64), rows["weight"].to_numpy()]), n)
 
     @property
     def automaton(self) -> Automaton:
@@ -539,37 +643,24 @@ class Model:
         return Automaton(self.words, self.total, self.distinct,
                          {pair[r["key"]]: r["n"] for r in rows}, triples, self.texts)
 
-    def score(self, docs: DataFrame) -> DataFrame:
+    def score(self, docs: DataFrame, letters: int | None = None) -> DataFrame:
         """doc_id, n_tokens, n_known, base_score, score of (doc_id, text)."""
-        shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(self.machine)))
-        shared_words = self.shared_words
         bottom = float(self.total + self.distinct + 1)
-        letters = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-        bits = _bits(max(self.total, letters // 4))
+        bits = _bits(max(self.total, (_letters(docs) if letters is None else letters) // 4))
 
         def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """A row with the texts of each slice (range -1), and rows with the keys it asks of a range."""
-            words, (hot, kept) = shared_words.value, shared.value
+            hot, kept = shared.value
             number = TaskContext.get().partitionId() << 32
-            for batch in slices(batches, 256):
-                for part in in_steps(batch, 1 << 20):
-                    keys = Wanted(Tokens(part.column(1).to_pylist(), words), hot, kept).keys
-                    ranges, ends = _runs(keys, bits)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number] * (len(ends) + 1), pa.int64()),
-                         pa.array([-1, *ranges.tolist()], pa.int64()),
-                         pa.array([_written(part), *(_planes(keys[i:j]) for i, j in ends)], pa.binary())],
-                        names=["slice", "range", "data"])
-                    number += 1
-
-        def ordered(rows: pa.Table) -> pa.Table:
-            """The rows of a range as one, in the order of their keys."""
-            order = np.argsort(rows["key"].to_numpy().view(np.uint64))
-            weight = np.nan_to_num(rows["weight"].to_numpy().astype(np.float64)[order])
-            return pa.table({"range": rows["range"][:1], **{
-                name: pa.array([_planes(column)], pa.binary()) for name, column in (
-                    ("keys", rows["key"].to_numpy()[order]), ("n", rows["n"].to_numpy()[order]),
-                    ("weight", weight))}})
+            for part in _parts(batches, _SCORED):
+                keys = Wanted(Tokens(part.column(1)), hot, kept, told=False).keys
+                ranges, ends = _runs(keys, bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * (len(ends) + 1), pa.int64()),
+                     pa.array([-1, *ranges.tolist()], pa.int64()),
+                     pa.array([_written(part), *(_planes(keys[i:j]) for i, j in ends)], pa.binary())],
+                    names=["slice", "range", "data"])
+                number += 1
 
         def answered(rows: pa.Table, questions: pa.Table) -> pa.Table:
             keys, n, weight = (
@@ -587,14 +678,14 @@ class Model:
                              "n": pa.array(of_n, pa.binary()), "weight": pa.array(of_weight, pa.binary())})
 
         def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
-            words, (hot, kept) = shared_words.value, shared.value
+            hot, kept = shared.value
             part = pa.ipc.open_stream(texts["data"][0].as_buffer()).read_all()
-            found, n = Tokens(part.column(1).to_pylist(), words), part.num_rows
+            found, n = Tokens(part.column(1).combine_chunks()), part.num_rows
             wanted = Wanted(found, hot, kept)
             told = told.sort_by("range")
-            rows = np.zeros((len(wanted.keys) + 1, 2))
+            rows = np.zeros((len(wanted.keys), 2))
             for at, name, kind in ((0, "n", "<i8"), (1, "weight", "<f8")):
-                rows[:-1, at] = np.concatenate(
+                rows[:, at] = np.concatenate(
                     [np.zeros(0), *(_of_planes(x, kind) for x in told[name].to_pylist())])
 
             of_words, of_pairs, of_triples = wanted.rows(rows)
@@ -616,15 +707,15 @@ class Model:
 
         def scored(some: DataFrame) -> DataFrame:
             blocks = staged(some.mapInArrow(asked, "slice long, range long, data binary"), "asked")
-            told = ranges.groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
+            told = ranges.drop("bits").groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
                 answered, "slice long, range long, n binary, weight binary")
             return staged(blocks.filter("range < 0").groupBy("slice").cogroup(
                 told.groupBy("slice")).applyInArrow(scores, f"doc_id {id_type(docs)}, n_tokens long, "
                               "n_known long, base_score double, score double"), "scored")
 
         with scope(docs.sparkSession) as steps:
-            ranges = staged(self.machine.withColumn("range", F.shiftrightunsigned("key", 64 - bits)).groupBy(
-                "range").applyInArrow(ordered, "range long, keys binary, n binary, weight binary"), "ranges")
+            ranges = self.machine if bits == self.bits else staged(_ranges_again(self.machine, bits), "ranges")
+            shared = docs.sparkSession.sparkContext.broadcast((self._hot(), _filter(ranges, bits)))
             turn, found = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_ROUNDS)), []
             for k in range(_ROUNDS):
                 with scope(docs.sparkSession) as round_steps:
@@ -634,6 +725,95 @@ class Model:
         return reduce(DataFrame.unionByName, found)
 
 
+def _followed(rows: DataFrame, bits: int) -> DataFrame:
+    """Blocks of what rows of (a, used, lower) add to the contexts a, added up where many rows meet."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def blocks() -> pa.RecordBatch:
+            some = pa.Table.from_batches(held)
+            keys, order, starts = _distinct(some["a"].to_numpy().view(np.uint64))
+            used, lower = (np.add.reduceat(some[c].to_numpy()[order], starts) for c in ("used", "lower"))
+            ranges, ends = _runs(keys, bits)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ranges), pa.array([_planes(keys[i:j]) for i, j in ends], pa.binary()),
+                 pa.nulls(len(ends), pa.binary()), *(pa.array([x[i:j].tobytes() for i, j in ends], pa.binary())
+                                                     for x in (used, lower))],
+                names=["range", "keys", "n", "used", "lower"])
+
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= _RANGE:
+                yield blocks()
+                held, size = [], 0
+        if size:
+            yield blocks()
+
+    return rows.mapInArrow(work, _OF_MACHINE)
+
+
+_OF_RANGES = "range long, keys binary, n binary, weight binary, bits binary"
+
+
+def _range(first: int, keys: np.ndarray, n: np.ndarray, weight: np.ndarray, bits: int) -> pa.Table:
+    """The row of a range: its sorted keys with their rows, and its bits of the filter."""
+    return pa.table({"range": pa.array([first], pa.int64()), **{
+        c: pa.array([_planes(x)], pa.binary()) for c, x in (("keys", keys), ("n", n), ("weight", weight))},
+        "bits": pa.array([_segment(first, keys, bits)], pa.binary())})
+
+
+def _ranges(blocks: DataFrame, bits: int) -> DataFrame:
+    """The machine: a row for each range of keys, with the failure weights (0 where nothing follows)."""
+    def merged(rows: pa.Table) -> pa.Table:
+        counted, adds = (rows.filter(test(rows["n"])) for test in (pc.is_valid, pc.is_null))
+        keys, n = _of_blocks(counted["keys"], "<u8"), _of_blocks(counted["n"], "<i8")
+        order = np.argsort(keys)
+        keys, n, weight = keys[order], n[order], np.zeros(len(keys))
+        contexts, order, starts = _distinct(_of_blocks(adds["keys"], "<u8"))
+        if len(contexts):
+            used, lower = (np.add.reduceat(_joined(adds[c], "<f8")[order], starts) for c in ("used", "lower"))
+            at = np.searchsorted(keys, contexts)
+            weight[at] = np.log10((1 - used / n[at]) / (1 - lower))
+        return _range(rows["range"][0].as_py(), keys, n, weight, bits)
+
+    return blocks.groupBy("range").applyInArrow(merged, _OF_RANGES)
+
+
+def _ranges_again(machine: DataFrame, bits: int) -> DataFrame:
+    """The machine in other ranges."""
+    names = ["range", "keys", "n", "weight"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _rows_of(batches):
+            ranges, ends = _runs(columns[0], bits)
+            yield pa.RecordBatch.from_arrays([pa.array(ranges), *(
+                pa.array([_planes(x[i:j]) for i, j in ends], pa.binary()) for x in columns)], names=names)
+
+    def ordered(rows: pa.Table) -> pa.Table:
+        keys, n, weight = (_of_blocks(rows[c], kind) for c, kind in zip(names[1:], ("<u8", "<i8", "<f8")))
+        order = np.argsort(keys)
+        return _range(rows["range"][0].as_py(), keys[order], n[order], weight[order], bits)
+
+    return machine.select(*names).mapInArrow(work, "range long, keys binary, n binary, weight binary").groupBy(
+        "range").applyInArrow(ordered, _OF_RANGES)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sorted keys, counts and weights of one range of the machine after the other."""
+    for batch in slices(batches, 1):
+        yield tuple(_of_blocks(batch[c], kind) for c, kind in (("keys", "<u8"), ("n", "<i8"), ("weight", "<f8")))
+
+
+def _size(n: np.ndarray) -> np.ndarray:
+    return np.floor(8 * np.log2(n)).astype(np.int64)
+
+
+def _letters(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+
+
 def _written(part: pa.RecordBatch) -> bytes:
     """Ids and texts of a slice, compressed."""
     sink = pa.BufferOutputStream()
@@ -648,7 +828,8 @@ def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str
     by a model of the documents outside the fold."""
     docs = pick(docs, id_col, text_col)
     held_out = remainder(F.col("doc_id"), folds) == fold
-    model = Model(docs.filter(~held_out).select("text"), grams=False)
-    return model.score(docs).select(
+    letters = _letters(docs)
+    model = Model(docs.filter(~held_out).select("text"), grams=False, letters=letters)
+    return model.score(docs, letters).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

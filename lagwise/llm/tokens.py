@@ -246,6 +246,7 @@ class TextEncoder:
 
     def arrays(self, texts: pa.StringArray) -> list[np.ndarray]:
         """The ids of each text, all texts at once: each part between spaces is looked up once."""
+        texts = texts.cast(pa.string())
         plain = texts.to_pylist()
         if not plain or not isinstance(self._values, SpacedChunks):
             return [np.frombuffer(self(t), "<u4") for t in plain]

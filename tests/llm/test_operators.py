@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -287,6 +288,38 @@ def test_scoring_goes_in_rounds(spark, tmp_path, monkeypatch):
     assert len(rows[0]) == 62 and rows[0] == rows[1]
 
 
+def test_tokens_of_many_texts_are_those_of_each():
+    """Hashes depend on the word alone, wherever it stands and whatever follows it."""
+    rng = random.Random(5)
+    texts = ["", " ", "a", "A b\tÉé\x0bÀ\x1cx\n", "z" * 64, "z" * 65, "日本" * 30, "aa", " a a ", "\xa0", "\x85 "] + [
+        " ".join("".join(rng.choice("abAB") for _ in range(rng.randint(1, 20))) for _ in range(30)) for _ in range(50)]
+    found = lm.Tokens(pa.array(["left out", *texts]).slice(1))
+    want = [lm.tokens(t) for t in texts]
+    assert found.lengths.tolist() == [len(w) for w in want]
+    flat = [w for words in want for w in [None, *words]]
+    pairs = set(zip(flat, found.hashes.tolist()))
+    assert len(flat) == len(found.hashes) and found.text.tolist() == [
+        i for i, words in enumerate(want) for _ in range(len(words) + 1)]
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    words = lm.Words([(w, 1) for w in {w for w in flat if w is not None}])
+    assert {w: int(words.hashes[i]) for w, i in words.number.items()} == {w: h for w, h in pairs if w is not None}
+    assert len(lm.Tokens(pa.array([], pa.string())).hashes) == 0
+
+
+def test_scores_do_not_depend_on_the_number_of_ranges(spark, sf_dir):
+    docs = pick(documents(spark, sf_dir), "doc_id", "text")
+    rows = []
+    for train, scored in ((1, 1), (1, 1 << 25), (1 << 25, 1)):
+        model = lm.Model(docs.select("text"), grams=False, letters=train)
+        rows.append({r["doc_id"]: r for r in model.score(docs, scored).collect()})
+        assert model.machine.count() > 2 or train == 1
+    for more in rows[1:]:
+        assert more.keys() == rows[0].keys()
+        for i, r in more.items():
+            assert r["n_known"] == rows[0][i]["n_known"]
+            assert math.isclose(r["score"], rows[0][i]["score"], rel_tol=1e-9)
+
+
 def test_scores_against_brute_force(spark, sf_dir, docs):
     def toks(text):
         return (text or "").encode().lower().split() + [b""]
