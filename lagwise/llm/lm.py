@@ -60,10 +60,10 @@ _SHIFT = 20
 _BEGIN = (1 << _SHIFT) - 1  # context before the first token; no word has this number
 _FLUSH = 200_000
 _RANGE = 1 << 20  # tokens for each range of keys
-_ROUNDS = 4  # in which texts are scored: what one writes and shuffles goes before the next
+_ROUNDS = 3  # in which texts are scored: what one writes and shuffles goes before the next
 _FILTER_BITS = 28
 #: Rows and characters whose n-grams are counted, or that are scored, at once; a longer text is alone.
-_COUNTED, _SCORED = (8192, 1 << 23), (1024, 1 << 22)
+_COUNTED, _SCORED = (4096, 1 << 22), (512, 1 << 20)
 _HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
 _LONG = 64  # bytes of a word that are hashed eight at a time; longer words are hashed one by one
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
@@ -606,11 +606,13 @@ class Model:
     def _hot(self) -> Hot:
         """The most frequent rows of the machine, at most ``HOT``."""
         def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            k = sum((np.bincount(_size(n), minlength=512) for _, n, _ in _rows_of(batches)), np.zeros(512, np.int64))
+            k = sum((_joined(batch["sizes"], "<i8").reshape(-1, _SIZES).sum(axis=0) for batch in slices(batches)),
+                    np.zeros(_SIZES, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(k)), pa.array(k[k > 0])], names=["size", "k"])
 
-        found = self.machine.mapInArrow(sizes, "size long, k long").groupBy("size").agg(F.sum("k").alias("k")).collect()
-        least, held = 512, 0
+        found = self.machine.select("sizes").mapInArrow(sizes, "size long, k long").groupBy("size").agg(
+            F.sum("k").alias("k")).collect()
+        least, held = _SIZES, 0
         for r in sorted(found, key=lambda r: -r["size"]):
             held += r["k"]
             if held > HOT:
@@ -623,7 +625,7 @@ class Model:
                 yield pa.RecordBatch.from_arrays([_longs(keys[some]), pa.array(n[some]), pa.array(weight[some])],
                                                  names=["key", "n", "weight"])
 
-        rows = self.machine.mapInArrow(frequent, "key long, n long, weight double").toArrow()
+        rows = self.machine.drop("bits", "sizes").mapInArrow(frequent, "key long, n long, weight double").toArrow()
         n = rows["n"].to_numpy()
         return Hot(rows["key"].to_numpy().view(np.uint64),
                    np.column_stack([n.astype(np.float64), rows["weight"].to_numpy()]), n)
@@ -707,7 +709,7 @@ class Model:
 
         def scored(some: DataFrame) -> DataFrame:
             blocks = staged(some.mapInArrow(asked, "slice long, range long, data binary"), "asked")
-            told = ranges.drop("bits").groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
+            told = ranges.drop("bits", "sizes").groupBy("range").cogroup(blocks.filter("range >= 0").groupBy("range")).applyInArrow(
                 answered, "slice long, range long, n binary, weight binary")
             return staged(blocks.filter("range < 0").groupBy("slice").cogroup(
                 told.groupBy("slice")).applyInArrow(scores, f"doc_id {id_type(docs)}, n_tokens long, "
@@ -754,14 +756,17 @@ def _followed(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(work, _OF_MACHINE)
 
 
-_OF_RANGES = "range long, keys binary, n binary, weight binary, bits binary"
+_OF_RANGES = "range long, keys binary, n binary, weight binary, bits binary, sizes binary"
+_SIZES = 512  # of eighths of powers of two
 
 
 def _range(first: int, keys: np.ndarray, n: np.ndarray, weight: np.ndarray, bits: int) -> pa.Table:
-    """The row of a range: its sorted keys with their rows, and its bits of the filter."""
+    """The row of a range: its sorted keys with their rows, its bits of the filter, and how many rows
+    have a count of which size."""
     return pa.table({"range": pa.array([first], pa.int64()), **{
         c: pa.array([_planes(x)], pa.binary()) for c, x in (("keys", keys), ("n", n), ("weight", weight))},
-        "bits": pa.array([_segment(first, keys, bits)], pa.binary())})
+        "bits": pa.array([_segment(first, keys, bits)], pa.binary()),
+        "sizes": pa.array([np.bincount(_size(n), minlength=_SIZES).tobytes()], pa.binary())})
 
 
 def _ranges(blocks: DataFrame, bits: int) -> DataFrame:
@@ -811,7 +816,8 @@ def _size(n: np.ndarray) -> np.ndarray:
 
 
 def _letters(docs: DataFrame) -> int:
-    return docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    """How many bytes the texts have: no letters are decoded for it."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
 
 
 def _written(part: pa.RecordBatch) -> bytes:
