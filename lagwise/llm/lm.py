@@ -255,10 +255,10 @@ def _grams_of(keys: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> pa.R
 
 
 def _segment(first: int, keys: np.ndarray, bits: int) -> bytes:
-    """The bits of a filter in the range ``first``, in which all the keys are; compressed."""
+    """The bits of a filter in the range ``first``, in which all the keys are."""
     held = np.zeros(1 << _FILTER_BITS - bits, dtype=bool)
     held[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64) - (first << _FILTER_BITS - bits)] = True
-    return pa.Codec("zstd").compress(np.packbits(held, bitorder="little"), asbytes=True)
+    return np.packbits(held, bitorder="little").tobytes()
 
 
 def _counted(texts: DataFrame, counts_of, bits: int, salt: int) -> DataFrame:
@@ -316,7 +316,7 @@ def _filter(segments: DataFrame, bits: int) -> Filter:
     found, size = segments.select("range", "bits").toArrow(), 1 << _FILTER_BITS - bits - 3
     out = np.zeros((1 << bits, size), dtype=np.uint8)
     for at, data in zip(found["range"].to_pylist(), found["bits"].to_pylist()):
-        out[at] = np.frombuffer(pa.Codec("zstd").decompress(data, size), dtype=np.uint8)
+        out[at] = np.frombuffer(data, dtype=np.uint8)
     return Filter(out.reshape(-1))
 
 
