@@ -66,8 +66,7 @@ _FILTER_BITS = 28
 _COUNTED, _SCORED = (4096, 1 << 22), (512, 1 << 20)
 _HASH_OF_BEGIN, _HASH_OF_END = 0x5851F42D4C957F2D, xxhash.xxh64_intdigest(END)
 _LONG = 64  # bytes of a word that are hashed eight at a time; longer words are hashed one by one
-_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_AT_ONCE = 1 << 16  # words that are hashed at once: their arrays stay in the cache
 _FIRST = np.asarray([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n of eight bytes
 
 
@@ -119,48 +118,56 @@ class Words:
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of the words at places of ``raw``, which goes on for 8 bytes or more after the last."""
-    size = ends - starts
     eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
-
-    def stirred(x: np.ndarray, which, done: int) -> np.ndarray:
-        x = x ^ eights[starts[which] + done] & _FIRST[np.minimum(size[which] - done, 8)]
-        x *= np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(29)
-        return x
-
-    out = stirred(size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F), slice(None), 0)
-    open_ = np.flatnonzero((size > 8) & (size <= _LONG))
-    for done in range(8, _LONG, 8):
-        if not len(open_):
-            break
-        out[open_] = stirred(out[open_], open_, done)
-        open_ = open_[size[open_] > done + 8]
-    for i in np.flatnonzero(size > _LONG).tolist():
-        out[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]].tobytes())
+    out = np.empty(len(starts), dtype=np.uint64)
+    for first in range(0, len(starts), _AT_ONCE):
+        at, x = starts[first:first + _AT_ONCE], out[first:first + _AT_ONCE]
+        size = ends[first:first + _AT_ONCE] - at
+        np.multiply(size.view(np.uint64), np.uint64(0xC2B2AE3D27D4EB4F), out=x)
+        _stir(x, eights[at], size)
+        open_ = np.flatnonzero((size > 8) & (size <= _LONG))
+        for done in range(8, _LONG, 8):
+            if not len(open_):
+                break
+            left = size.take(open_) - done
+            more = x.take(open_)
+            _stir(more, eights[at.take(open_) + done], left)
+            x[open_] = more
+            open_ = open_.compress(left > 8)
+        for i in np.flatnonzero(size > _LONG).tolist():
+            x[i] = xxhash.xxh64_intdigest(raw[at[i]:at[i] + size[i]].tobytes())
     return out
 
 
+def _stir(x: np.ndarray, eight: np.ndarray, left: np.ndarray) -> None:
+    """The first ``left`` bytes of ``eight`` go into the hashes ``x``; both are written over."""
+    eight &= _FIRST.take(left, mode="clip")
+    x ^= eight
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= np.right_shift(x, np.uint64(32), out=eight)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= np.right_shift(x, np.uint64(29), out=eight)
+
+
 class Tokens:
     """The tokens of some texts one after another: their hashes with a begin before each text, and
     the text of each."""
 
     def __init__(self, texts: pa.StringArray):
-        texts = texts.cast(pa.string())
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         ends = np.frombuffer(texts.buffers()[1] or bytes(4), np.int32)[texts.offset:][:len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
-        ends = ends.astype(np.int64) - ends[0]
+        ends = ends.astype(np.int64) - ends[0] + np.arange(-1, len(texts))  # a space ends each text, too
+        ends[0] = 0
+        one = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), " ")
+        data = np.frombuffer(one[0].as_buffer(), np.uint8)
         raw = np.zeros(len(data) + 16, dtype=np.uint8)
-        raw[:len(data)] = _LOWER[data]
-        space = _SPACE[data]
-        begins, stops = ~space, ~space
-        begins[1:] &= space[:-1]
-        stops[:-1] &= space[1:]
-        filled = ends[1:] > ends[:-1]  # a text ends a word, too
-        for mark, at in ((begins, ends[:-1][filled]), (stops, ends[1:][filled] - 1)):
-            mark[at] = ~space[at]
-        begins, stops = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        low = raw[:len(data)]
+        np.multiply((data - np.uint8(65)) < 26, np.uint8(32), out=low)
+        low |= data
+        in_word = np.zeros(len(data) + 2, dtype=bool)
+        np.logical_and(data != 32, (data - np.uint8(9)) > 4, out=in_word[1:-1])
+        edges = np.flatnonzero(in_word[1:] != in_word[:-1])
+        begins, stops = edges[::2].copy(), edges[1::2].copy()
         self.lengths = np.diff(np.searchsorted(begins, ends)) + 1
         place = np.cumsum(self.lengths + 1)  # where the next text begins
         self.text = np.repeat(np.arange(len(texts)), self.lengths + 1)
@@ -178,10 +185,13 @@ class Tokens:
 
 
 def _key(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    x = a * np.uint64(0x9E3779B97F4A7C15) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(salt))
-    x ^= x >> np.uint64(31)
+    x, y = a * np.uint64(0x9E3779B97F4A7C15), b * np.uint64(0xC2B2AE3D27D4EB4F)
+    y += np.uint64(salt)
+    x ^= y
+    x ^= np.right_shift(x, np.uint64(31), out=y)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ x >> np.uint64(29)
+    x ^= np.right_shift(x, np.uint64(29), out=y)
+    return x
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -212,9 +222,9 @@ def _parts(batches: Iterator[pa.RecordBatch], most: tuple[int, int]) -> Iterator
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, an order of ``keys`` and where each distinct one begins in it."""
     order = np.argsort(keys)
-    keys = keys[order]
+    keys = keys.take(order)
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
-    return keys[starts], order, starts
+    return keys.take(starts), order, starts
 
 
 def _blocks(kind: int, keys: np.ndarray, bits: int, **columns: np.ndarray) -> pa.RecordBatch:
@@ -249,9 +259,9 @@ def _maybe_of(keys: np.ndarray, bits: int) -> pa.RecordBatch:
 
 def _grams_of(keys: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> pa.RecordBatch:
     keys, order, starts = _distinct(keys)
-    at = order[starts]
+    at = order.take(starts)
     n = np.diff(np.append(starts, len(order))).astype(np.int64)
-    return _blocks(_OF_GRAMS, keys, bits, a=a[at], b=b[at], n=n)
+    return _blocks(_OF_GRAMS, keys, bits, a=a.take(at), b=b.take(at), n=n)
 
 
 def _segment(first: int, keys: np.ndarray, bits: int) -> bytes:
@@ -286,11 +296,11 @@ def _counted(texts: DataFrame, counts_of, bits: int, salt: int) -> DataFrame:
         a, n = _joined(blocks["a"], "<u8"), _joined(blocks["n"], "<i8")
         b = _joined(blocks["b"], "<u8") if kind == _OF_GRAMS else a
         keys, order, starts = _distinct(_key(a, b, salt) if kind == _OF_GRAMS else a)
-        sums, at = np.add.reduceat(n[order], starts), order[starts]
+        sums, at = np.add.reduceat(n.take(order), starts), order.take(starts)
         if kind == _OF_GRAMS:
             often = sums >= LEAST
-            keys, sums, at = keys[often], sums[often], at[often]
-        parts = {"a": a[at], "b": b[at]} if kind == _OF_GRAMS else {}
+            keys, sums, at = keys.compress(often), sums.compress(often), at.compress(often)
+        parts = {"a": a.take(at), "b": b.take(at)} if kind == _OF_GRAMS else {}
         return pa.concat_tables([rows(kind, keys, n=sums, **parts),
                                  rows(_BLOCK, name, _planes(keys), _planes(sums))])
 
@@ -322,7 +332,9 @@ def _filter(segments: DataFrame, bits: int) -> Filter:
 
 def _may_hold(kept: Filter, keys: np.ndarray) -> np.ndarray:
     place = keys >> np.uint64(64 - _FILTER_BITS)
-    return kept.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
+    bit = place.astype(np.uint8) & np.uint8(7)
+    place >>= np.uint64(3)
+    return kept.bits.take(place.view(np.int64)) >> bit & 1 > 0
 
 
 class Hot:
@@ -353,19 +365,26 @@ class Hot:
             keys, values = keys[lost], values[lost]
 
     def _slot(self, keys: np.ndarray, turn: int) -> np.ndarray:
-        return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        return (keys >> np.uint64(turn) & np.uint64((1 << self.bits) - 1)).view(np.int64)
 
     def look_up(self, keys: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
-        """Whether each key is here; its row is put in ``values``. Key 0 is not used."""
-        found, open_ = np.zeros(len(keys), dtype=bool), np.arange(len(keys))
+        """Places of the keys that are not here; the rows of the others are put in ``values``. Key 0 is
+        not used."""
+        open_ = None  # all
         for turn, held, value in self.tables:
-            slot = self._slot(keys[open_], turn)
-            hit = held[slot] == keys[open_]
-            found[open_[hit]] = True
+            some = keys if open_ is None else keys.take(open_)
+            slot = self._slot(some, turn)
+            hit = held.take(slot) == some
+            places = np.flatnonzero(hit)
             if values is not None:
-                values[open_[hit]] = value[slot[hit]]
-            open_ = open_[~hit]
-        return found
+                _put(values, places if open_ is None else open_.take(places), value.take(slot.take(places), axis=0))
+            open_ = np.flatnonzero(~hit) if open_ is None else open_.compress(~hit)
+        return open_
+
+
+def _put(rows: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
+    """rows[places] = values, for rows of two numbers: as one of 16 bytes each, which numpy moves faster."""
+    rows.view(np.complex128)[:, 0][places] = values.view(np.complex128)[:, 0]
 
 
 class Wanted:
@@ -377,18 +396,21 @@ class Wanted:
         self.one, self.both = one, both
         one = one & _may_hold(kept, pair)
         both = both & one[:-1] & one[1:]
-        triple = _key(pair[:-1][both], pair[1:][both], 2)
+        of_pairs, of_triples = np.flatnonzero(one), np.flatnonzero(both)
+        triple = _key(pair.take(of_triples), pair.take(of_triples + 1), 2)
         good = _may_hold(kept, triple)
-        both[both] = good
+        of_triples, triple = of_triples.compress(good), triple.compress(good)
+        both[:] = False
+        both[of_triples] = True
         self.grams, asked = [], []
         for size, places, keys in ((len(found.hashes), None, found.hashes),
-                                   (len(pair), np.flatnonzero(one), pair[one]),
-                                   (len(both), np.flatnonzero(both), triple[good])):
+                                   (len(pair), of_pairs, pair.take(of_pairs)),
+                                   (len(both), of_triples, triple)):
             values = np.zeros((len(keys), 2)) if told else None
-            open_ = np.flatnonzero(~hot.look_up(keys, values))
+            open_ = hot.look_up(keys, values)
             if places is None:
-                open_ = open_[_may_hold(kept, keys[open_])]
-            asked.append(keys[open_])
+                open_ = open_.compress(_may_hold(kept, keys.take(open_)))
+            asked.append(keys.take(open_))
             self.grams.append((size, places, values, open_))
         keys = np.concatenate(asked)
         if told:
@@ -397,29 +419,36 @@ class Wanted:
             self.at[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
         else:
             keys = np.sort(keys)
-            self.keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+            self.keys = keys.compress(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
 
     def rows(self, answers: np.ndarray) -> Iterator[np.ndarray]:
         """Rows of the words, pairs and triples; ``answers`` are those of ``keys``."""
         held = 0
         for size, places, values, open_ in self.grams:
-            values[open_] = answers[self.at[held:held + len(open_)]]
+            _put(values, open_, answers.take(self.at[held:held + len(open_)], axis=0))
             held += len(open_)
             if places is None:
                 yield values
             else:
                 out = np.zeros((size, 2))
-                out[places] = values
+                _put(out, places, values)
                 yield out
 
 
 def _planes(values: np.ndarray) -> bytes:
     """8-byte values as their first bytes, then their second ones, ...: sorted keys compress well so."""
-    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+    out, eights = np.empty((8, len(values)), dtype=np.uint8), values.view(np.uint8).reshape(-1, 8)
+    for i in range(8):  # faster than to transpose
+        out[i] = eights[:, i]
+    return out.tobytes()
 
 
 def _of_planes(data: bytes, kind: str) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    out = np.empty((planes.shape[1], 8), dtype=np.uint8)
+    for i in range(8):
+        out[:, i] = planes[i]
+    return out.reshape(-1).view(kind)
 
 
 def _of_blocks(blocks: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
@@ -546,7 +575,7 @@ class Model:
         def of_words(found: Tokens) -> Iterator[pa.RecordBatch]:
             pair, one, _ = found.pairs()
             yield _words_of(found.hashes, bits)
-            yield _maybe_of(pair[one], bits)
+            yield _maybe_of(pair.compress(one), bits)
 
         hashes, kept = counted(of_words, 0, "words")
         self.hashes = hashes.filter(F.col("kind") == _OF_WORDS).select(F.col("key").alias("h"), F.col("n").alias("m"))
@@ -560,8 +589,8 @@ class Model:
             pair, one, both = found.pairs()
             one &= _may_hold(kept.value, pair)
             both &= one[:-1] & one[1:]  # a repeated triple consists of two repeated pairs
-            yield _grams_of(pair[one], found.hashes[:-1][one], found.hashes[1:][one], bits)
-            yield _maybe_of(_key(pair[:-1][both], pair[1:][both], 2), bits)
+            yield _grams_of(*(x.compress(one) for x in (pair, found.hashes[:-1], found.hashes[1:])), bits)
+            yield _maybe_of(_key(pair[:-1].compress(both), pair[1:].compress(both), 2), bits)
 
         self.pairs, kept_triples = counted(of_pairs, 1, "pairs")
 
@@ -569,9 +598,10 @@ class Model:
             pair, one, both = found.pairs()
             one &= _may_hold(kept.value, pair)
             both &= one[:-1] & one[1:]
-            keys = _key(pair[:-1][both], pair[1:][both], 2)
+            a, b = pair[:-1].compress(both), pair[1:].compress(both)
+            keys = _key(a, b, 2)
             good = _may_hold(kept_triples.value, keys)
-            yield _grams_of(keys[good], pair[:-1][both][good], pair[1:][both][good], bits)
+            yield _grams_of(*(x.compress(good) for x in (keys, a, b)), bits)
 
         self.triples = staged(_counted(texts, of_triples, bits, 2), "triples")
         self.tables.append(self.triples)
@@ -673,9 +703,9 @@ class Model:
             for data in questions["data"].to_pylist():
                 wanted = _of_planes(data, "<u8")
                 at = np.searchsorted(keys[:-1], wanted)
-                at[keys[at] != wanted] = len(keys) - 1
-                of_n.append(_planes(n[at]))
-                of_weight.append(_planes(weight[at]))
+                at[keys.take(at) != wanted] = len(keys) - 1
+                of_n.append(_planes(n.take(at)))
+                of_weight.append(_planes(weight.take(at)))
             return pa.table({"slice": questions["slice"], "range": questions["range"],
                              "n": pa.array(of_n, pa.binary()), "weight": pa.array(of_weight, pa.binary())})
 
@@ -735,7 +765,7 @@ def _followed(rows: DataFrame, bits: int) -> DataFrame:
         def blocks() -> pa.RecordBatch:
             some = pa.Table.from_batches(held)
             keys, order, starts = _distinct(some["a"].to_numpy().view(np.uint64))
-            used, lower = (np.add.reduceat(some[c].to_numpy()[order], starts) for c in ("used", "lower"))
+            used, lower = (np.add.reduceat(some[c].to_numpy().take(order), starts) for c in ("used", "lower"))
             ranges, ends = _runs(keys, bits)
             return pa.RecordBatch.from_arrays(
                 [pa.array(ranges), pa.array([_planes(keys[i:j]) for i, j in ends], pa.binary()),

@@ -306,6 +306,30 @@ def test_tokens_of_many_texts_are_those_of_each():
     assert len(lm.Tokens(pa.array([], pa.string())).hashes) == 0
 
 
+def test_words_are_hashed_in_steps(monkeypatch):
+    """A step holds a bounded number of words, and the hashes are the same for any bound."""
+    column = pa.array([" ".join("ab" * (k % 40 + j % 3) for j in range(1, 9)) for k in range(40)])
+    whole, stir, steps = lm.Tokens(column).hashes, lm._stir, []
+    monkeypatch.setattr(lm, "_AT_ONCE", 7)
+    monkeypatch.setattr(lm, "_stir", lambda x, *more: steps.append(len(x)) or stir(x, *more))
+    assert lm.Tokens(column).hashes.tolist() == whole.tolist()
+    assert max(steps) == 7
+
+
+def test_rows_of_frequent_keys_are_put_in_place():
+    """Keys that share their slots are found in the second table, or told to be open."""
+    keys = np.asarray([5, 5 + (1 << 40), 5 + (1 << 45), 9], dtype=np.uint64)
+    rows = np.asarray([[1.0, -1.0], [2.0, -2.0], [3.0, -3.0], [4.0, -4.0]])
+    hot = lm.Hot(keys, rows, np.asarray([4, 3, 2, 1]))
+    asked = np.asarray([9, 77, 5, 5 + (1 << 45), 5 + (1 << 40), 9], dtype=np.uint64)
+    values = np.zeros((6, 2))
+    open_ = hot.look_up(asked, values).tolist()
+    assert 1 in open_ and hot.look_up(asked).tolist() == open_ and 2 not in open_
+    want = {int(k): r.tolist() for k, r in zip(keys, rows)}
+    assert [values[i].tolist() for i in range(6)] == [
+        [0.0, 0.0] if i in open_ else want[int(k)] for i, k in enumerate(asked)]
+
+
 def test_scores_do_not_depend_on_the_number_of_ranges(spark, sf_dir):
     docs = pick(documents(spark, sf_dir), "doc_id", "text")
     rows = []
