@@ -27,12 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from lagwise.llm.common import id_type, in_steps, pick, slices
-from lagwise.llm.tokens import encoder, read_spec
+from lagwise.llm.tokens import LETTERS, ROWS, encoder, read_spec
 
 #: Windows of one block of remainders.
 BLOCK_WINDOWS = 32
-#: Rows and characters that are encoded at once; a longer text is alone.
-_ROWS, _LETTERS = 4096, 1 << 23
 
 
 class Piece(NamedTuple):
@@ -176,8 +174,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
 
         def documents() -> Iterator[np.ndarray]:
             n = 0
-            for batch in slices(batches, _ROWS):
-                for part in in_steps(batch, _LETTERS):
+            for batch in slices(batches, ROWS):
+                for part in in_steps(batch, LETTERS):
                     for doc_id, ids in zip(part.column(0).to_pylist(), encode.arrays(part.column(1))):
                         ids = np.concatenate([ids, end])
                         about[n] = [doc_id, len(ids), len(ids)]

@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagwise.llm.common import pick, slices
-from lagwise.llm.tokens import encoder, read_spec, vocabulary_size
+from lagwise.llm.common import in_steps, pick, slices
+from lagwise.llm.tokens import LETTERS, ROWS, encoder, read_spec, vocabulary_size
 from lagwise.sources.layers import fresh_path, staged
 
 MAGIC, HEADER = b"LRA1", struct.Struct("<4s6I")
@@ -181,7 +181,6 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     path = path or fresh_path(spark, "token-ids")
-    end = np.asarray([end_id], dtype="<u4").tobytes()
     # What is staged and shuffled takes two bytes per id if the vocabulary allows.
     width = "<u2" if max(end_id, vocabulary_size(spec.value) - 1) < 1 << 16 else "<u4"
 
@@ -189,15 +188,21 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
         """The ids of each text, and in a last row how often this task has met each id."""
         encode, total = encoder(spec.value), np.zeros(0, dtype=np.int64)
         names = ["doc_id", "ids", "counts"]
-        for batch in slices(batches):
-            ids = [np.frombuffer(encode(t) + end, "<u4").astype(width) for t in batch.column(1).to_pylist()]
-            if ids:
-                more = np.bincount(np.concatenate(ids), minlength=len(total))
+        for batch in slices(batches, ROWS):
+            for part in in_steps(batch, LETTERS):
+                found, ends = encode.flat(part.column(1))
+                ends += np.arange(1, len(ends) + 1)  # with the end ids
+                ids, own = np.full(len(found) + len(ends), end_id, dtype=width), np.ones(len(found) + len(ends), dtype=bool)
+                own[ends - 1] = False
+                ids[own] = found
+                more = np.bincount(ids, minlength=len(total))
                 more[:len(total)] += total
                 total = more
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()),
-                 pa.nulls(len(ids), pa.binary())], names=names)
+                at = np.append(0, ends * ids.itemsize).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.Array.from_buffers(
+                        pa.binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(ids)]),
+                     pa.nulls(len(ends), pa.binary())], names=names)
         if len(total):
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),

@@ -32,6 +32,8 @@ _NAMES = {chr(c): "".join([BYTE_NAMES[b] for b in chr(c).encode()]) for c in ran
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 #: Chunks that a worker remembers in each of two generations, and the longest that it does.
 REMEMBERED, LONGEST = 1 << 19, 64
+#: Rows and characters that are encoded at once; a longer text is alone.
+ROWS, LETTERS = 4096, 1 << 23
 
 
 MARKS = frozenset(".,;:!?|")
@@ -216,9 +218,15 @@ class TextEncoder:
         return b"".join(self._values(text))
 
     def _of_parts(self, parts: pa.StringArray) -> list[bytes]:
-        """Ids of distinct parts that follow a space; a word of letters is looked up once for all marks
-        that may come after it."""
-        after, start, marks = self._values.after, self._values.start, sorted(MARKS)
+        """Ids of distinct parts that follow a space (or white space, where that is dropped); a word of
+        letters is looked up once for all marks that may come after it, and for all its capitals."""
+        if isinstance(self._values, SpacedChunks):
+            after, start = self._values.after, self._values.start
+        else:
+            after = start = self._words
+            if self._lower:  # other letters may become one with what follows them
+                parts = pc.if_else(pc.string_is_ascii(parts), pc.ascii_lower(parts), parts)
+        marks = sorted(MARKS)
         ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset:][:len(parts) + 1].astype(np.int64)
         which = np.zeros(len(parts), dtype=np.int64)  # 0: no mark
         long = np.flatnonzero(np.diff(ends) > 1)
@@ -244,37 +252,50 @@ class TextEncoder:
             out[i] = after[parts[i].as_py()]
         return out
 
-    def arrays(self, texts: pa.StringArray) -> list[np.ndarray]:
-        """The ids of each text, all texts at once: each part between spaces is looked up once."""
-        texts = texts.cast(pa.string())
+    def flat(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where those of each text end. All texts are encoded at
+        once: each part between spaces (for tokenizers that drop it: white space) is looked up once."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         plain = texts.to_pylist()
-        if not plain or not isinstance(self._values, SpacedChunks):
-            return [np.frombuffer(self(t), "<u4") for t in plain]
-        odd = [any(a in t for a in self._added) or bool(BETWEEN_SPACE.search(t)) for t in plain]
+        if not plain:
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        spaced = isinstance(self._values, SpacedChunks)
+        odd = [any(a in t for a in self._added) or spaced and bool(BETWEEN_SPACE.search(t)) for t in plain]
         if any(odd):  # these are encoded one by one, as the only part of their text
             texts = pa.array(["" if o else t for o, t in zip(odd, plain)], pa.string())
-        parts = pc.split_pattern(texts, " ")
+        parts = pc.split_pattern(texts, " ") if spaced else pc.ascii_split_whitespace(texts)
         ends = parts.offsets.to_numpy().astype(np.int64)
         begins, ends = ends[:-1], ends[1:]
         found = parts.values.dictionary_encode()
         at = found.indices.to_numpy().astype(np.int64)
-        later = np.ones(len(at), dtype=bool)
-        later[begins] = False
-        follows = np.zeros(len(found.dictionary), dtype=bool)
-        follows[at[later]] = True
-        number = np.cumsum(follows) - 1  # parts that only come first are not looked up
-        at = number[at]
-        values = self._of_parts(found.dictionary.filter(pa.array(follows)))
-        at[begins] = np.arange(len(values), len(values) + len(plain))
-        values += [self(t) if o else b"".join(self._values.first(t[:t.index(" ")] if " " in t else t))
-                   for o, t in zip(odd, plain)]
+        if spaced:
+            later = np.ones(len(at), dtype=bool)
+            later[begins] = False
+            follows = np.zeros(len(found.dictionary), dtype=bool)
+            follows[at[later]] = True
+            number = np.cumsum(follows) - 1  # parts that only come first are not looked up
+            at = number[at]
+            values = self._of_parts(found.dictionary.filter(pa.array(follows)))
+            at[begins] = np.arange(len(values), len(values) + len(plain))
+            values += [self(t) if o else b"".join(self._values.first(t[:t.index(" ")] if " " in t else t))
+                       for o, t in zip(odd, plain)]
+        else:
+            values = self._of_parts(found.dictionary)
+            whole = np.flatnonzero(odd)
+            at[begins[whole]] = np.arange(len(values), len(values) + len(whole))
+            values += [self(plain[i]) for i in whole.tolist()]
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         starts = np.cumsum(sizes) - sizes
-        sizes, starts = sizes[at], starts[at]
-        places = np.cumsum(sizes)
-        ids = np.frombuffer(b"".join(values), "<u4")[
-            np.repeat(starts - (places - sizes), sizes) + np.arange(places[-1])]
-        return np.split(ids, places[ends - 1][:-1])
+        sizes, starts = sizes.take(at), starts.take(at)
+        places = np.append(0, np.cumsum(sizes))
+        ids = np.frombuffer(b"".join(values), "<u4").take(
+            np.repeat(starts - places[:-1], sizes) + np.arange(places[-1]))
+        return ids, places.take(ends)
+
+    def arrays(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, ends = self.flat(texts)
+        return np.split(ids, ends[:-1]) if len(ends) else []
 
 
 def encoder(spec: str) -> TextEncoder:

@@ -76,3 +76,24 @@ def test_many_texts_at_once_ask_for_a_word_once():
     encoder._values.after.make = lambda part: asked.append(part) or b"\0\0\0\0"
     assert [len(x) for x in encoder.arrays(pa.array(["x word, word. word"] * 500))] == [6] * 500
     assert asked == ["word"]
+
+
+def test_many_texts_at_once_ask_for_a_word_once_for_all_its_capitals():
+    encoder = tokens.TextEncoder(tokens.read_spec(tokens.tokenizer("word_bpe_49k.json")))
+    asked, make = [], encoder._words.make
+    encoder._words.make = lambda part: asked.append(part) or make(part)
+    texts = ["Word,\tword. WORD\nword!"] * 500
+    want = tokens.packed_ids(encoder._library.encode(texts[0], add_special_tokens=False).ids)
+    assert {x.tobytes() for x in encoder.arrays(pa.array(texts))} == {want}
+    assert [w for w in asked if w not in tokens.MARKS] == ["word"]
+
+
+def test_parts_of_a_text_that_change_with_their_neighbours_have_the_ids_of_the_library():
+    """Marks that join the letter before them, white space beyond ASCII, and words of added tokens."""
+    encoder = tokens.TextEncoder(tokens.read_spec(tokens.tokenizer("word_bpe_49k.json")))
+    texts = ["J̌ ǰ Å, x́. ́ KK", "A\xa0B. C\x85D \x1cE\x1d", "ΑΣ ΑΣ. Σ", " ", "\t.\n,", "A",
+             "<|startoftext|>Ab ab<|endoftext|>", "DON'T We'LL 'S", ". .A a."]
+    found, ends = encoder.flat(pa.array([None, *texts]))
+    want = [encoder._library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found.tolist() == [i for ids in want for i in ids]
+    assert ends.tolist() == [0, *(sum(map(len, want[:k + 1])) for k in range(len(want)))]
